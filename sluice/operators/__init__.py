@@ -22,6 +22,7 @@ from .nested import (
     course_programmes,
     flatten,
     module_items,
+    pivot_last,
     semester_of,
     summaries_flat,
     summaries_nested,
@@ -31,7 +32,7 @@ from .sets import union_frames
 __all__ = [
     "accepted", "active_by_code", "active_terms", "checked", "course_enrollments", "course_programmes",
     "exclude_text", "fill_text", "flatten", "in_active_terms", "keep_newest", "last_row", "legacy_calendar",
-    "lookup", "module_items", "of_courses", "plain", "quarantined", "quoted", "recent_active_events", "recent_users",
+    "lookup", "module_items", "of_courses", "pivot_last", "plain", "quarantined", "quoted", "recent_active_events", "recent_users",
     "replace_matched", "rows_per_course", "semester_of", "since", "still_taught", "summaries_flat",
     "summaries_nested", "union_frames", "update_matched", "upsert", "valid_bigint",
 ]

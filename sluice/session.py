@@ -36,6 +36,7 @@ def local_session(app: str = "sluice", cpus: str | int | None = None) -> SparkSe
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SLUICE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,15 +15,28 @@ from ..operators.sets import union_frames
 ARRIVAL = "arrival"
 
 
-def schema_of(spark: SparkSession, schema: str | T.StructType) -> T.StructType:
-    return schema if isinstance(schema, T.StructType) else spark.createDataFrame([], schema).schema
+def schema_of(schema: str | T.StructType) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
-def _reader(spark: SparkSession, schema):
+def empty_frame(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
+    """No rows of a schema; the optimizer knows that there are none."""
+    fields = schema_of(schema).fields
+    return spark.range(1).filter(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def arrival() -> Column:
+    """Place of a row among the files as they came: file time, file name, place in the file."""
+    return F.struct(
+        F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("file"),
+        F.monotonically_increasing_id().alias("row"),
+    ).alias(ARRIVAL)
+
+
+def _reader(spark: SparkSession):
     # quoted line breaks and doubled quotes as the writers make them; gzip cannot be split anyway
     return (
-        spark.read.schema(schema)
-        .option("header", True)
+        spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("multiLine", True)
         .option("quote", '"')
@@ -32,30 +46,42 @@ def _reader(spark: SparkSession, schema):
     )
 
 
+def _header(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Column names of the first file; reads one line."""
+    try:
+        return _reader(spark).csv(list(paths)).columns
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without files
+            return []
+        raise
+
+
+def _typed(names: Sequence[str], kind: T.StructType) -> T.StructType:
+    known = {f.name: f for f in kind.fields}
+    return T.StructType([known.get(n, T.StructField(n, T.StringType())) for n in names])
+
+
 def read_changes(spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType, *,
-                 arrival: bool = False) -> DataFrame:
-    """All rows of the files, typed by one fixed schema.
+                 with_arrival: bool = False) -> DataFrame:
+    """All rows of the files, with the columns and types of one fixed schema.
 
-    A file whose header differs from the schema is an error, never silently shifted columns. A file
-    with a header only adds no rows; no files at all give an empty frame. With ``arrival`` a column
-    of that name tells which row came last (file time, file name, place in the file).
+    Columns are found by the header, which all files of a set share: files may hold further columns
+    and any column order, but a file whose header differs from the first one's is an error, never
+    silently shifted columns (``read_mixed`` reads such sets). Schema columns the files lack are
+    NULL. A file with a header only adds no rows; no files at all give an empty frame.
 
     One gzip file is one task. The rows spread over the cluster at the first shuffle, so no extra
     repartition is made here.
     """
-    kind = schema_of(spark, schema)
+    kind = schema_of(schema)
     listed = [paths] if isinstance(paths, str) else list(paths)
-    if not listed:
-        empty = spark.createDataFrame([], kind)
-        return empty.withColumn(ARRIVAL, F.struct(F.lit("").alias("file"))) if arrival else empty
-    rows = _reader(spark, kind).csv(listed)
-    if arrival:
-        place = F.struct(
-            F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("file"),
-            F.monotonically_increasing_id().alias("row"),
-        )
-        rows = rows.select(*[quoted(c) for c in kind.names], place.alias(ARRIVAL))
-    return rows
+    names = _header(spark, listed) if listed else []
+    if not names:
+        empty = empty_frame(spark, kind)
+        return empty.withColumn(ARRIVAL, F.lit(None).cast("string")) if with_arrival else empty
+    rows = _reader(spark).schema(_typed(names, kind)).csv(listed)
+    columns = [quoted(f.name) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in kind.fields]
+    return rows.select(*columns, *([arrival()] if with_arrival else []))
 
 
 def read_mixed(spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType) -> DataFrame:
@@ -65,10 +91,10 @@ def read_mixed(spark: SparkSession, paths: str | Sequence[str], schema: str | T.
     read with its own column order and the groups are joined by name. Columns a file lacks are NULL,
     columns the schema does not know are left out.
     """
-    kind = schema_of(spark, schema)
+    kind = schema_of(schema)
     listed = [paths] if isinstance(paths, str) else list(paths)
     if not listed:
-        return spark.createDataFrame([], kind)
+        return empty_frame(spark, kind)
     # the header is the first line of the split that starts a file
     heads = (
         spark.read.text(listed)
@@ -79,15 +105,13 @@ def read_mixed(spark: SparkSession, paths: str | Sequence[str], schema: str | T.
         .groupBy("header")
         .agg(F.collect_list("path").alias("paths"))
     )
-    types = {f.name: f for f in kind.fields}
     frames = []
     # one entry per distinct header; the paths are what the scan has to list on the driver anyway
     for row in heads.collect():
         names = [n.strip().strip('"') for n in row["header"].split(",")]
-        fields = [types.get(n, T.StructField(n, T.StringType())) for n in names]
-        known = [quoted(n) for n in names if n in types]
-        frames.append(_reader(spark, T.StructType(fields)).csv(row["paths"]).select(*known))
-    everything = union_frames([spark.createDataFrame([], kind), *frames])
+        known = [quoted(n) for n in names if n in kind.names]
+        frames.append(_reader(spark).schema(_typed(names, kind)).csv(row["paths"]).select(*known))
+    everything = union_frames([empty_frame(spark, kind), *frames])
     return everything.select(*[quoted(n) for n in kind.names])
 
 

@@ -22,14 +22,17 @@ def control_table(spark: SparkSession, base: str) -> Table:
 
 def get_watermark(control: Table, name: str, as_of: dt.datetime) -> dt.datetime:
     """Until when ``name`` was read; the day before ``as_of`` when it never was."""
-    row = control.read().filter(F.col("tabell") == name).select("sist_oppdatert").first()
-    return row[0] if row and row[0] is not None else yesterday(as_of)
+    saved = F.col("sist_oppdatert").cast("string")  # as text, so that only the session's time zone counts
+    row = control.read().filter(F.col("tabell") == name).select(saved).first()
+    return dt.datetime.fromisoformat(row[0]) if row and row[0] else yesterday(as_of)
 
 
 def set_watermark(control: Table, name: str, until: dt.datetime) -> None:
     """Save the end of the slice that was read. Call it after the data is written, so that a
     failure in between repeats the slice instead of losing it."""
-    line = control.spark.createDataFrame([(name, until)], control.schema)
+    line = control.spark.range(1, numPartitions=1).select(
+        F.lit(name).alias("tabell"), F.lit(until.isoformat()).cast("timestamp").alias("sist_oppdatert")
+    )
     control.upsert(line, ["sist_oppdatert"])
 
 

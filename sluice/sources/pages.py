@@ -9,28 +9,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import PAGES
+from .change_files import ARRIVAL, arrival, schema_of
 
 
 def read_pages(spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType, *,
                lines: bool = False) -> DataFrame:
-    """One row per landed page. With ``lines`` the files hold one page per line and can be split."""
-    return spark.read.schema(schema).option("multiLine", not lines).json(paths)
+    """One row per landed page, with its ``arrival`` among the files.
+
+    With ``lines`` the files hold one page per line and can be split.
+    """
+    kind = schema_of(schema)
+    pages = spark.read.schema(kind).option("multiLine", not lines).json(paths)
+    return pages.select(*kind.names, arrival())
 
 
 def page_nodes(pages: DataFrame, nodes: str, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per record as ``node``, beside the kept page columns.
+    """One row per record as ``node``, with its ``place`` in the page, beside the kept page columns.
 
     Pages without a list (an error page, an empty page) give no rows. A NULL element of the list is
     no record and is left out.
     """
-    return pages.select(*keep, F.explode(F.col(nodes)).alias("node")).filter(F.col("node").isNotNull())
+    rows = pages.select(*keep, F.posexplode(F.col(nodes)).alias("place", "node"))
+    return rows.filter(F.col("node").isNotNull())
 
 
 def read_nodes(spark: SparkSession, paths: str | Sequence[str], kind: str, *, keep: Sequence[str] = (),
                lines: bool = False) -> DataFrame:
-    """Records of a page kind listed in ``schemas.PAGES``."""
+    """Records of a page kind listed in ``schemas.PAGES``, with ``arrival`` and ``place``."""
     schema, nodes = PAGES[kind]
-    return page_nodes(read_pages(spark, paths, schema, lines=lines), nodes, keep)
+    return page_nodes(read_pages(spark, paths, schema, lines=lines), nodes, [*keep, ARRIVAL])
 
 
 def check_pages(pages: DataFrame, page: Column, *, page_set: Column | None = None,

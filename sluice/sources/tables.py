@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from ..operators.filters import quoted
 from ..operators.merge import can_be_null, keep_newest, keyed, last_row, replace_matched, unkeyed, update_matched
 from ..schemas import TARGETS
-from .change_files import schema_of
+from .change_files import empty_frame, schema_of
 
 BUCKET = "table_bucket"
 LOOSE = -1  # the bucket of rows without a key
@@ -57,7 +57,7 @@ class Table:
                  buckets: int = 16, bucket: Callable[..., Column] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.schema = schema_of(spark, schema)
+        self.schema = schema_of(schema)
         self.keys = list(keys)
         self.buckets = buckets if bucket is None else 0
         self._bucket = bucket or hash_buckets(buckets)
@@ -73,7 +73,7 @@ class Table:
     def _log(self) -> DataFrame:
         path = f"{self.path}/log"
         if not self._exists(path):
-            return self.spark.createDataFrame([], _LOG)
+            return empty_frame(self.spark, _LOG)
         return self.spark.read.schema(_LOG).json(path)
 
     def _exists(self, path: str) -> bool:
@@ -114,7 +114,7 @@ class Table:
         for b, versions in sorted(live.items()):
             paths += [f"{root}/version={v}/{BUCKET}={b}" for v in versions if v not in whole]
         if not paths:
-            return self.spark.createDataFrame([], self.schema)
+            return empty_frame(self.spark, self.schema)
         rows = self.spark.read.schema(self.schema).option("basePath", root).parquet(*paths)
         return rows.select(*[quoted(c) for c in self.schema.names])
 
@@ -142,16 +142,23 @@ class Table:
     def _write_loose(self, rows: DataFrame, path: str, mode: str) -> None:
         rows.withColumn(BUCKET, F.lit(LOOSE)).write.mode(mode).partitionBy(BUCKET).parquet(path)
 
+    def _buckets_of(self, rows: DataFrame) -> list[int]:
+        return sorted(r[0] for r in rows.select(BUCKET).distinct().collect())
+
     def _written(self, path: str) -> list[int]:
         """Buckets below a folder: a scan that reads no data column."""
         if not self._exists(f"{path}/_SUCCESS"):
             return []
-        found = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())]))
-        return sorted(r[0] for r in found.parquet(path).select(BUCKET).distinct().collect())
+        columns = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        return self._buckets_of(self.spark.read.schema(columns).parquet(path))
 
     def _commit(self, version: int, kind: str, buckets: Sequence[int], batch_id: str | None) -> None:
-        lines = [(version, kind, b, self.buckets, batch_id) for b in (buckets or [None])]
-        self.spark.createDataFrame(lines, _LOG).coalesce(1).write.mode("append").json(f"{self.path}/log")
+        bucket = F.explode(F.lit(list(buckets))) if buckets else F.lit(None).cast("int")
+        line = self.spark.range(1, numPartitions=1).select(
+            F.lit(version).alias("version"), F.lit(kind).alias("kind"), bucket.alias("bucket"),
+            F.lit(self.buckets).alias("buckets"), F.lit(batch_id).cast("string").alias("batch_id"),
+        )
+        line.write.mode("append").json(f"{self.path}/log")
 
     def _aligned(self, rows: DataFrame, partial: bool = False) -> DataFrame:
         names = [c for c in self.schema.names if c in rows.columns or not partial]
@@ -184,12 +191,11 @@ class Table:
         missing = reduce(lambda a, b: a | b, [quoted(k).isNull() for k in self.keys])
         incoming = keyed(changes.observe(loose, F.count_if(missing).alias("rows")), self.keys)
         last = self._aligned(last_row(incoming, self.keys, order), partial)
-        self._write(self._bucketed(last), staged_path)
+        last.write.mode("overwrite").parquet(staged_path)
 
-        buckets = self._written(staged_path)
+        staged = self.spark.read.schema(last.schema).parquet(staged_path)
+        buckets = self._buckets_of(self._bucketed(staged))
         if buckets:
-            staged = self.spark.read.schema(last.schema).parquet(staged_path)
-            staged = staged.select(*[quoted(c) for c in last.columns])
             base = self._scan({b: state.live[b] for b in buckets if b in state.live})
             if newest:
                 merged = keep_newest(base, staged, self.keys, order)

@@ -1,5 +1,5 @@
 """Change files and pages as streams."""
 
-from .ingest import drop_reread, stream_upsert
+from .ingest import drop_reread, stream_upsert, with_arrival
 
-__all__ = ["drop_reread", "stream_upsert"]
+__all__ = ["drop_reread", "stream_upsert", "with_arrival"]

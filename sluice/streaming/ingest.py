@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.filters import quoted
+from ..sources.change_files import arrival
 from ..sources.tables import Table
 
 
@@ -49,10 +49,6 @@ def stream_upsert(stream: DataFrame, table: Table, order: Sequence[str], checkpo
     )
 
 
-def arrival_order(stream: DataFrame) -> DataFrame:
-    """Adds ``arrival`` to a file stream: the place of each row among the files as they came."""
-    place = F.struct(
-        F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("file"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    return stream.select(*[quoted(c) for c in stream.columns], place.alias("arrival"))
+def with_arrival(stream: DataFrame) -> DataFrame:
+    """Adds ``arrival`` to a file stream, to settle repeats in the order in which they came."""
+    return stream.select(*[quoted(c) for c in stream.columns], arrival())

@@ -34,10 +34,10 @@ from ..operators.nested import (
     summaries_flat,
     summaries_nested,
 )
-from ..schemas import CHANGE_FILES, TARGETS
+from ..schemas import CHANGE_FILES, PAGES, TARGETS
 from ..sources.change_files import ARRIVAL, read_changes
 from ..sources.control import control_table, get_watermark, set_watermark
-from ..sources.pages import read_nodes
+from ..sources.pages import page_nodes, read_nodes, read_pages
 from ..sources.snapshots import write_snapshot
 from ..sources.tables import Table
 
@@ -263,6 +263,12 @@ class Jobs:
     def _nodes(self, kind: str, paths: Paths, keep: Sequence[str] = ()) -> DataFrame:
         return read_nodes(self.spark, paths, kind, keep=keep, lines=self.lines)
 
+    def _course_nodes(self, kind: str, paths: Paths) -> DataFrame:
+        """Records of the running courses; whole pages are selected before they are unfolded."""
+        schema, nodes = PAGES[kind]
+        pages = read_pages(self.spark, paths, schema, lines=self.lines)
+        return page_nodes(of_courses(pages, self._running()), nodes, ["course_id", ARRIVAL])
+
     def _merge(self, name: str, rows: DataFrame, order: Sequence[str], **options) -> Table:
         table = self.table(name)
         table.upsert(rows, order, **options)
@@ -315,7 +321,7 @@ class Jobs:
     # pages of the courses that run now
 
     def enrollments(self, paths: Paths) -> Table:
-        nodes = of_courses(self._nodes("enrollments", paths, ["course_id"]), self._running())
+        nodes = self._course_nodes("enrollments", paths)
         return self._merge("enrollment", course_enrollments(nodes, PLACE), PLACE, null_keys="reject")
 
     def enrollment_counts(self, paths: Paths) -> DataFrame:
@@ -325,11 +331,11 @@ class Jobs:
 
     def student_summaries(self, paths: Paths, nested: bool = False) -> Table:
         kind, shape = ("summaries_nested", summaries_nested) if nested else ("summaries", summaries_flat)
-        nodes = of_courses(self._nodes(kind, paths, ["course_id"]), self._running())
+        nodes = self._course_nodes(kind, paths)
         return self._merge("student_summary", shape(nodes, PLACE), PLACE)
 
     def module_items(self, paths: Paths) -> Table:
-        nodes = of_courses(self._nodes("modules", paths, ["course_id"]), self._running())
+        nodes = self._course_nodes("modules", paths)
         return self._merge("module_item", module_items(nodes, PLACE), [*PLACE, "item_place"])
 
     def history(self, paths: Paths, login_days: int = 4, active_days: int = 2) -> Table:
@@ -338,9 +344,10 @@ class Jobs:
             self.table("user").read(), self.table("enrollment").read(),
             self.as_of - dt.timedelta(days=login_days), self.as_of - dt.timedelta(days=active_days),
         )
-        views = page_view_rows(self._nodes("page_views", paths, ["user_id"])).join(recent, "user_id", "left_semi")
+        schema, nodes = PAGES["page_views"]
+        pages = read_pages(self.spark, paths, schema, lines=self.lines).join(recent, "user_id", "left_semi")
         table = self.table("history")
-        table.reload(views)
+        table.reload(page_view_rows(page_nodes(pages, nodes, ["user_id"])))
         return table
 
     # registry pages

@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.filters import quoted
-from ..sources.change_files import arrival
+from ..sources.change_files import ARRIVAL
 from ..sources.tables import Table
 
 
@@ -38,7 +39,11 @@ def stream_upsert(stream: DataFrame, table: Table, order: Sequence[str], checkpo
 
     def merge(batch: DataFrame, epoch: int) -> None:
         rows = prepare(batch) if prepare else batch
-        table.upsert(rows, order, batch_id=f"{name}:{epoch}", newest=newest, null_keys=null_keys)
+        ranked = list(order)
+        if ARRIVAL in ranked:  # the place inside a file can only be told inside a batch
+            rows = rows.withColumn("_row", F.monotonically_increasing_id())
+            ranked.insert(ranked.index(ARRIVAL) + 1, "_row")
+        table.upsert(rows, ranked, batch_id=f"{name}:{epoch}", newest=newest, null_keys=null_keys)
 
     return (
         stream.writeStream.queryName(name)
@@ -50,5 +55,9 @@ def stream_upsert(stream: DataFrame, table: Table, order: Sequence[str], checkpo
 
 
 def with_arrival(stream: DataFrame) -> DataFrame:
-    """Adds ``arrival`` to a file stream, to settle repeats in the order in which they came."""
-    return stream.select(*[quoted(c) for c in stream.columns], arrival())
+    """Adds ``arrival`` to a file stream: which file a row came with.
+
+    Naming it in the ``order`` of ``stream_upsert`` settles repeats as the rows came.
+    """
+    place = F.struct(F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("file"))
+    return stream.select(*[quoted(c) for c in stream.columns], place.alias(ARRIVAL))

@@ -28,12 +28,14 @@ def half_year(date: Column | dt.date | dt.datetime):
     return date.year + (0.0 if date.month <= 7 else 0.5)
 
 
-def _span_side(side: Column) -> Column:
-    words = F.split(side, " ")
-    number = F.get(words, 0).try_cast("int")
-    word = F.get(words, 1)
-    # a side without a second word is no term; NULL in either part makes the sum NULL
-    return number + F.when(word == AUTUMN, F.lit(0.5)).when(word.isNotNull(), F.lit(0.0))
+_SINGLE = f"^[1-9][0-9]* ({SPRING}|{AUTUMN})$"
+_SPAN = "^[0-9]+ [^-]*-[0-9]+ "
+
+
+def _half(name: Column, lead: str) -> Column:
+    """Half-year of the year and word that follow ``lead``; the name is known to have the shape."""
+    year = F.regexp_extract(name, f"{lead}([0-9]+) ", 1).try_cast("double")
+    return year + F.when(name.rlike(f"{lead}[0-9]+ {AUTUMN}( |-|$)"), F.lit(0.5)).otherwise(F.lit(0.0))
 
 
 def term_span(name: Column) -> Column:
@@ -41,11 +43,9 @@ def term_span(name: Column) -> Column:
 
     ``2024 HØST-2025 VÅR`` gives (2024.5, 2025.0); a single term must be exactly year, blank, word.
     """
-    sides = F.split(name, "-")
-    single = F.when(name.rlike(f"^[1-9][0-9]* ({SPRING}|{AUTUMN})$"), _span_side(name))
-    is_span = F.contains(name, F.lit("-"))
-    start = F.when(is_span, _span_side(F.get(sides, 0))).otherwise(single)
-    end = F.when(is_span, _span_side(F.get(sides, 1))).otherwise(single)
+    single, span = name.rlike(_SINGLE), name.rlike(_SPAN)
+    start = F.when(single | span, _half(name, "^"))
+    end = F.when(single, _half(name, "^")).when(span, _half(name, "^[^-]*-"))
     return F.struct(start.alias("start"), end.alias("end"))
 
 
@@ -63,6 +63,11 @@ def semester_label(year: Column, code: Column) -> Column:
     return F.concat(year.cast("string"), F.lit("_"), code)
 
 
+def _year(text: Column) -> Column:
+    # only digits are cast: a failing cast costs an exception per row
+    return F.when(text.rlike(r"^\s*[0-9]+\s*$"), text.try_cast("int"))
+
+
 def legacy_term_end(name: Column, as_of: dt.date | dt.datetime) -> Column:
     """Struct (end_year, end_month) of the older term calendar, case-insensitive like its SQL form."""
     low = F.lower(name)
@@ -71,10 +76,10 @@ def legacy_term_end(name: Column, as_of: dt.date | dt.datetime) -> Column:
     head, tail = F.left(name, F.lit(4)), F.right(name, F.lit(4))
     after_dash = F.substr(name, F.instr(name, "-") + 1, F.lit(4))
     end_year = (
-        F.when(~has_dash & head.rlike("[0-9]"), head.try_cast("int"))
-        .when(~has_dash & tail.rlike("[0-9]"), tail.try_cast("int"))
+        F.when(~has_dash & head.rlike("[0-9]"), _year(head))
+        .when(~has_dash & tail.rlike("[0-9]"), _year(tail))
         .when(F.contains(low, F.lit("standard")) | F.contains(low, F.lit("eveg vår")), F.lit(as_of.year))
-        .when(has_dash & has_digit, after_dash.try_cast("int"))
+        .when(has_dash & has_digit, _year(after_dash))
     )
     standard_month = 7 if as_of.month < 8 else 12
     end_month = (

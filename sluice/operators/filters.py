@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.terms import AUTUMN, SPRING, half_year, term_span
-from ..functions.times import like_column
+from ..functions.times import like_column, parse_whole
 
 
 def quoted(name: str) -> Column:
@@ -86,22 +86,22 @@ def still_taught(df: DataFrame, end_year: Column, cutoff: int = 2016) -> DataFra
 
 
 def valid_bigint(value: Column) -> Column:
-    return value.try_cast("bigint").isNotNull()
+    return parse_whole(value.cast("string")).isNotNull()
+
+
+def _read(value: Column, kind: str) -> Column:
+    return parse_whole(value, kind) if kind in ("int", "bigint") else value.try_cast(kind)
 
 
 def checked(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
-    """Cast columns and collect the names of those whose text did not fit into ``bad_columns``.
+    """Cast text columns and collect the names of those whose text did not fit into ``bad_columns``.
 
     One pass over the input; ``accepted`` and ``quarantined`` pick the two sides.
     """
-    bad = [
-        F.when(quoted(c).isNotNull() & quoted(c).try_cast(kind).isNull(), F.lit(c)) for c, kind in casts.items()
-    ]
-    kept = [
-        quoted(c).try_cast(casts[c]).alias(c) if c in casts else quoted(c) for c in df.columns
-    ]
-    raw = F.struct(*[quoted(c).cast("string").alias(c) for c in casts])
-    return df.select(*kept, F.array_compact(F.array(*bad)).alias("bad_columns"), raw.alias("raw"))
+    raw = F.struct(*[quoted(c).alias(c) for c in casts]).alias("raw")
+    read = df.select(*[_read(quoted(c), casts[c]).alias(c) if c in casts else quoted(c) for c in df.columns], raw)
+    bad = [F.when(F.col("raw")[c].isNotNull() & quoted(c).isNull(), F.lit(c)) for c in casts]
+    return read.withColumn("bad_columns", F.array_compact(F.array(*bad)))
 
 
 def accepted(rows: DataFrame) -> DataFrame:

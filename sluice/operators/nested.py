@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.nested import NOT_REGISTERED, fallback_period
 from ..functions.terms import semester_label
 from ..functions.text import blank_unless, joined_key
-from ..functions.times import parse_time
+from ..functions.times import parse_time, parse_whole
 from .filters import still_taught
 
 
@@ -53,8 +53,8 @@ def module_items(nodes: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
 def course_enrollments(nodes: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Enrollments of a course with their user; created and updated are the user's."""
     return nodes.select(
-        F.col("node._id").try_cast("bigint").alias("enrollment_id"),
-        F.col("node.user._id").try_cast("bigint").alias("user_id"),
+        parse_whole(F.col("node._id")).alias("enrollment_id"),
+        parse_whole(F.col("node.user._id")).alias("user_id"),
         F.col("node.user.sisId").alias("sis_user_id"),
         "course_id",
         F.col("node.type").alias("type"),
@@ -91,7 +91,7 @@ def summaries_nested(nodes: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     )
     return known.select(
         views["total"].alias("page_views"),
-        F.col("node._id").try_cast("bigint").alias("id"),
+        parse_whole(F.col("node._id")).alias("id"),
         views["max"].alias("max_page_views"),
         views["level"].alias("page_views_level"),
         parts["total"].alias("participations"),

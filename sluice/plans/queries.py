@@ -233,16 +233,14 @@ PROPS_TEXT_SQL = """CASE event_type WHEN 'error' THEN k || '.5' WHEN 'signup' TH
     FROM (SELECT event_id, {PROPS_TEXT_SQL} AS t
           FROM (SELECT event_id, event_type, json_extract_string(props, '$.k') AS k FROM events))""")
 def quarantine_bigint(spark, sf):
-    """Good and bad numbers told apart in one pass."""
+    """Numbers in texts, and the texts that hold none, told apart in one pass."""
     kind, k = F.col("event_type"), F.get_json_object("props", "$.k")
     text = (
         F.when(kind == "error", F.concat(k, F.lit(".5"))).when(kind == "signup", F.concat(k, F.lit("x")))
         .when(kind == "click", F.lit("9223372036854775808")).when(kind == "view", k)
     )
     rows = O.checked(table(spark, sf, "events").select("event_id", text.alias("value")), {"value": "bigint"})
-    good = O.accepted(rows).withColumn("quarantined", F.lit(None).cast("string"))
-    bad = O.quarantined(rows).select("event_id", "value", F.col("raw.value").alias("quarantined"))
-    return good.unionByName(bad)
+    return rows.select("event_id", "value", F.when(F.size("bad_columns") > 0, F.col("raw.value")).alias("quarantined"))
 
 
 @query(f"""
@@ -267,54 +265,76 @@ TERM_SQL = """CASE o_orderstatus
     ELSE CASE WHEN day(o_orderdate) <= 15 THEN 'Standardsemester' ELSE year(o_orderdate) || 'HØST' END END"""
 
 
-def _term_name() -> Column:
-    date = F.col("o_orderdate")
-    year, next_year = F.year(date).cast("string"), (F.year(date) + 1).cast("string")
-    word = X.semester_name(date)
-    end = F.when(F.dayofmonth(date) <= 15, F.lit("VÅR")).otherwise(F.lit("HØST"))
-    return (
-        F.when(F.col("o_orderstatus") == "F", F.concat_ws(" ", year, word))
-        .when(F.col("o_orderstatus") == "O", F.concat(year, F.lit(" "), word, F.lit("-"), next_year, F.lit(" "), end))
-        .when(F.dayofmonth(date) <= 15, F.lit("Standardsemester"))
-        .otherwise(F.concat(year, F.lit("HØST")))
-    )
+TERM_ID_SQL = """CAST(year(o_orderdate) * 12 + CASE WHEN month(o_orderdate) <= 7 THEN 0 ELSE 6 END
+    + CASE WHEN day(o_orderdate) <= 15 THEN 0 ELSE 3 END
+    + CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS INTEGER)"""
+TERMS_SQL = f"SELECT {TERM_ID_SQL} AS term_id, min({TERM_SQL}) AS name FROM orders GROUP BY 1"
+
+
+def _term_parts() -> list[Column]:
+    date, status = F.col("o_orderdate"), F.col("o_orderstatus")
+    return [
+        F.year(date).alias("year"),
+        F.when(F.month(date) <= 7, 0).otherwise(6).alias("autumn"),
+        F.when(F.dayofmonth(date) <= 15, 0).otherwise(3).alias("late"),
+        F.when(status == "F", 0).when(status == "O", 1).otherwise(2).alias("kind"),
+    ]
 
 
-def _orders_with_term(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").withColumn("term", _term_name())
+def _term_id() -> Column:
+    year, autumn, late, kind = _term_parts()
+    return year * 12 + autumn + late + kind
+
+
+def _terms(spark: SparkSession, sf: str) -> DataFrame:
+    """A term table (term_id, name) as the orders give it.
+
+    The parts of a name are aggregated as numbers (so by hash, without a sort), and the name is made
+    and parsed once per term.
+    """
+    parts = table(spark, sf, "orders").select(_term_id().alias("term_id"), *_term_parts())
+    terms = parts.groupBy("term_id").agg(*[F.min(c).alias(c) for c in ("year", "autumn", "late", "kind")])
+    year, following = F.col("year").cast("string"), (F.col("year") + 1).cast("string")
+    word = F.when(F.col("autumn") == 0, F.lit("VÅR")).otherwise(F.lit("HØST"))
+    end = F.when(F.col("late") == 0, F.lit("VÅR")).otherwise(F.lit("HØST"))
+    name = (
+        F.when(F.col("kind") == 0, F.concat_ws(" ", year, word))
+        .when(F.col("kind") == 1, F.concat(year, F.lit(" "), word, F.lit("-"), following, F.lit(" "), end))
+        .when(F.col("late") == 0, F.lit("Standardsemester"))
+        .otherwise(F.concat(year, F.lit("HØST")))
+    )
+    return terms.select("term_id", name.alias("name"))
 
 
 SPAN_SQL = """
-    SELECT name, y1 + CASE WHEN s1 = 'HØST' THEN 0.5 ELSE 0 END AS first_half,
+    SELECT term_id, name, y1 + CASE WHEN s1 = 'HØST' THEN 0.5 ELSE 0 END AS first_half,
            y2 + CASE WHEN s2 = 'HØST' THEN 0.5 ELSE 0 END AS last_half
-    FROM (SELECT name, CAST(left(name, 4) AS DOUBLE) AS y1, split_part(split_part(name, '-', 1), ' ', 2) AS s1,
+    FROM (SELECT term_id, name, CAST(left(name, 4) AS DOUBLE) AS y1,
+                 split_part(split_part(name, '-', 1), ' ', 2) AS s1,
                  CAST(left(right(name, length(name) - coalesce(nullif(strpos(name, '-'), 0), 0)), 4) AS DOUBLE) AS y2,
                  split_part(CASE WHEN contains(name, '-') THEN split_part(name, '-', 2) ELSE name END, ' ', 2) AS s2
           FROM terms WHERE regexp_matches(name, '^[0-9]{4} '))"""
 
 
 @query(f"""
-    WITH terms AS (SELECT DISTINCT {TERM_SQL} AS name FROM orders), spans AS ({SPAN_SQL})
+    WITH terms AS ({TERMS_SQL}), spans AS ({SPAN_SQL})
     SELECT * FROM spans WHERE first_half <= 1998.5 AND 1998.5 <= last_half""", name="active_terms")
 def active_terms_query(spark, sf):
     """Terms that run in autumn 1998, single and spanning."""
-    terms = _orders_with_term(spark, sf).select(F.col("term").alias("name")).distinct()
     span = X.term_span(F.col("name"))
-    return O.active_terms(terms, dt.date(1998, 10, 1)).select(
-        "name", span["start"].alias("first_half"), span["end"].alias("last_half"))
+    return O.active_terms(_terms(spark, sf), dt.date(1998, 10, 1)).select(
+        "term_id", "name", span["start"].alias("first_half"), span["end"].alias("last_half"))
 
 
 @query(f"""
-    WITH c AS (SELECT *, {TERM_SQL} AS name FROM orders), terms AS (SELECT DISTINCT name FROM c),
-         spans AS ({SPAN_SQL})
-    SELECT o_orderkey, o_custkey, name AS term FROM c
-    WHERE name IN (SELECT name FROM spans WHERE first_half <= 1998.5 AND 1998.5 <= last_half)""")
+    WITH terms AS ({TERMS_SQL}), spans AS ({SPAN_SQL})
+    SELECT o_orderkey, o_custkey, {TERM_ID_SQL} AS term_id FROM orders
+    WHERE {TERM_ID_SQL} IN (SELECT term_id FROM spans WHERE first_half <= 1998.5 AND 1998.5 <= last_half)""")
 def courses_in_active_terms(spark, sf):
     """Courses of the running terms, and what hangs on them."""
-    orders = _orders_with_term(spark, sf)
-    terms = orders.select(F.col("term").alias("name")).distinct()
-    running = O.active_terms(terms, dt.date(1998, 10, 1)).withColumnRenamed("name", "term_id")
-    return O.in_active_terms(orders, running, "term").select("o_orderkey", "o_custkey", "term")
+    courses = table(spark, sf, "orders").select("o_orderkey", "o_custkey", _term_id().alias("term_id"))
+    running = O.active_terms(_terms(spark, sf), dt.date(1998, 10, 1))
+    return O.in_active_terms(courses, running, "term_id")
 
 
 CODE_SQL = """CASE o_orderpriority WHEN '5-LOW' THEN 'XX_999_K' || o_custkey || '_1'
@@ -413,9 +433,9 @@ def id_lookup(spark, sf):
 
 
 @query(f"""
-    WITH c AS (SELECT o_orderkey, {TERM_SQL} AS name, {CODE_SQL} AS code,
+    WITH c AS (SELECT o_orderkey, {TERM_ID_SQL} AS term_id, {CODE_SQL} AS code,
                       CASE WHEN o_totalprice > 400000 THEN 'Unpublished' ELSE 'available' END AS state FROM orders),
-         t AS (SELECT DISTINCT name, CASE
+         t AS (SELECT term_id, CASE
                    WHEN name NOT LIKE '%-%' AND regexp_matches(left(name, 4), '[0-9]') THEN
                        TRY_CAST(left(name, 4) AS INTEGER)
                    WHEN name NOT LIKE '%-%' AND regexp_matches(right(name, 4), '[0-9]') THEN
@@ -425,20 +445,19 @@ def id_lookup(spark, sf):
                        TRY_CAST(substr(name, strpos(name, '-') + 1, 4) AS INTEGER) END AS end_year,
                CASE WHEN lower(right(name, 3)) = 'vår' THEN 7 WHEN lower(right(name, 4)) = 'høst' THEN 12
                     WHEN lower(name) LIKE '%vår%' THEN 7 WHEN lower(name) LIKE '%høst%' THEN 12
-                    ELSE 12 END AS end_month FROM c)
-    SELECT DISTINCT o_orderkey AS course_id FROM c LEFT JOIN t ON t.name = c.name
+                    ELSE 12 END AS end_month FROM ({TERMS_SQL}))
+    SELECT DISTINCT o_orderkey AS course_id FROM c LEFT JOIN t ON t.term_id = c.term_id
     WHERE lower(state) NOT LIKE '%unpub%' AND end_year >= 2000 AND end_month >= 9
       AND (upper(code) LIKE '%UE_203%' OR upper(code) LIKE '%UA_203%')""")
 def legacy_term_calendar(spark, sf):
-    """Courses by the older term calendar."""
-    courses = _orders_with_term(spark, sf).select(
-        F.col("o_orderkey").alias("course_id"), F.col("term").alias("enrollment_term_id"),
+    """Courses by the older term calendar."""
+    courses = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("course_id"), _term_id().alias("enrollment_term_id"),
         _course_code().alias("sis_course_id"),
         F.when(F.col("o_totalprice") > 400000, F.lit("Unpublished")).otherwise(F.lit("available")).alias(
             "workflow_state"),
     )
-    terms = courses.select(F.col("enrollment_term_id").alias("term_id")).distinct()
-    return O.legacy_calendar(courses, terms, dt.date(2000, 9, 1), name="term_id")
+    return O.legacy_calendar(courses, _terms(spark, sf), dt.date(2000, 9, 1))
 
 
 @query("""

@@ -71,7 +71,7 @@ def test_times(spark):
     ("2024 HØST", (2024.5, 2024.5)), ("2024 VÅR", (2024.0, 2024.0)), ("2024 HØST-2025 VÅR", (2024.5, 2025.0)),
     ("2023 VÅR-2027 HØST", (2023.0, 2027.5)), ("2023 VÅR-2024 HØST-9999 X", (2023.0, 2024.5)),
     ("Standardsemester", (None, None)), ("2024HØST", (None, None)), ("Vår 2018", (None, None)),
-    ("ABCD HØST", (None, None)), ("2024 HØST - 2025 VÅR", (2024.5, None)), ("2024-2025", (None, None)),
+    ("ABCD HØST", (None, None)), ("2024 HØST - 2025 VÅR", (None, None)), ("2024 VÅR x-2025 HØSTEN", (2024.0, 2025.0)), ("2024-2025", (None, None)),
     ("2024 høst", (None, None)), (None, (None, None)),
 ])
 def test_term_span(spark, name, span):
@@ -156,3 +156,15 @@ def test_fallback_period_goes_by_the_whole_struct(spark):
     rows = spark.createDataFrame([((1, None), (2, "x")), (None, (2, "x")), (None, None)], schema)
     found = [r[0] and tuple(r[0]) for r in rows.select(X.fallback_period(F.col("a"), F.col("b"))).collect()]
     assert found == [(1, None), (2, "x"), None]
+
+
+@pytest.mark.parametrize("text, number", [
+    ("12", 12), (" -7 ", -7), ("+3", 3), ("9223372036854775807", 2**63 - 1), ("-9223372036854775808", -(2**63)),
+    ("9223372036854775808", None), ("99999999999999999999999", None), ("00000000000000000000000000012", 12),
+    ("1.5", None), ("", None), ("x", None), (None, None), ("- 1", None),
+])
+def test_parse_whole(spark, text, number):
+    rows = spark.createDataFrame([(text,)], "c string")
+    assert rows.select(X.parse_whole(F.col("c"))).first()[0] == number
+    small = number if number is not None and abs(number) < 2**31 else None
+    assert rows.select(X.parse_whole(F.col("c"), "int")).first()[0] == small

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import functions as X
 from .. import operators as O
 from ..functions.nested import NOT_REGISTERED
-from ..session import new_path
+from ..session import new_path, settled
 from ..sources import (
     RunMetrics,
     Table,
@@ -32,6 +32,7 @@ from ..sources import (
     write_snapshot,
 )
 from ..streaming import drop_reread, stream_upsert
+from .jobs import Jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -333,7 +334,7 @@ def active_terms_query(spark, sf):
 def courses_in_active_terms(spark, sf):
     """Courses of the running terms, and what hangs on them."""
     courses = table(spark, sf, "orders").select("o_orderkey", "o_custkey", _term_id().alias("term_id"))
-    running = O.active_terms(_terms(spark, sf), dt.date(1998, 10, 1))
+    running = settled(O.active_terms(_terms(spark, sf), dt.date(1998, 10, 1)), "terms")
     return O.in_active_terms(courses, running, "term_id")
 
 
@@ -457,7 +458,7 @@ def legacy_term_calendar(spark, sf):
         F.when(F.col("o_totalprice") > 400000, F.lit("Unpublished")).otherwise(F.lit("available")).alias(
             "workflow_state"),
     )
-    return O.legacy_calendar(courses, _terms(spark, sf), dt.date(2000, 9, 1))
+    return O.legacy_calendar(courses, settled(_terms(spark, sf), "terms"), dt.date(2000, 9, 1))
 
 
 @query("""
@@ -942,3 +943,98 @@ def stream_reread(spark, sf):
         "checkpointLocation", new_path(spark, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(path).select(
         "event_id", "user_id", "event_type", "value", stamp(F.col("ts")).alias("ts"))
+
+
+# -- table jobs -----------------------------------------------------------------------------------
+
+
+@query("""
+    SELECT user_id, sis_user_id FROM (
+        SELECT o_custkey AS user_id, 'S' || o_orderkey AS sis_user_id,
+               row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+        FROM orders WHERE o_orderdate > TIMESTAMP '2000-01-01' AND o_orderstatus <> 'P') WHERE rn = 1""")
+def job_user_id_link(spark, sf):
+    """Change files of a slice to the id link table, with its watermark."""
+    base = new_path(spark, "job_links")
+    date = F.col("o_orderdate")
+    write_changes(table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("key.id"), F.col("o_custkey").alias("value.user_id"), date.alias("value.created_at"),
+        F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("S"), F.col("o_orderkey").cast("string"))).alias(
+            "value.sis_user_id"),
+        F.timestamp_add("MICROSECOND", F.col("o_orderkey"), date).alias("meta.ts"),
+    ), f"{base}/landed")
+    jobs = Jobs(spark, f"{base}/tables", dt.datetime(2000, 1, 2, 6), buckets=8)
+    return jobs.user_id_link(f"{base}/landed", dt.datetime(2001, 8, 1)).read()
+
+
+@query(f"""
+    SELECT o_orderkey AS course_id, o_orderpriority AS name, code AS sis_course_id, {TERM_ID_SQL}::BIGINT AS
+               enrollment_term_id,
+           CASE WHEN contains(code, '_203_') THEN nullif(split_part(code, '_', 3), '') ELSE ' ' END AS emnekode,
+           CASE WHEN contains(code, '_203_') THEN nullif(split_part(code, '_', 4), '') ELSE ' ' END AS versjonskode
+    FROM (SELECT *, {CODE_SQL} AS code FROM orders)""")
+def job_courses(spark, sf):
+    """Landed listing pages to the course table."""
+    base = new_path(spark, "job_courses")
+    item = F.struct(
+        F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"),
+        _course_code().alias("sis_course_id"), _term_id().alias("enrollment_term_id"),
+    )
+    page = F.struct(F.lit(1).alias("page"), F.array(item).alias("items"))
+    table(spark, sf, "orders").select(F.to_json(page).alias("value")).write.text(f"{base}/landed")
+    jobs = Jobs(spark, f"{base}/tables", dt.datetime(2000, 1, 2), buckets=8, lines=True)
+    return jobs.courses(f"{base}/landed").read().select(
+        "course_id", "name", "sis_course_id", "enrollment_term_id", "emnekode", "versjonskode")
+
+
+@query(f"""
+    WITH terms AS ({TERMS_SQL}), spans AS ({SPAN_SQL}), running AS (
+        SELECT * FROM orders
+        WHERE {TERM_ID_SQL} IN (SELECT term_id FROM spans WHERE first_half <= 1998.5 AND 1998.5 <= last_half))
+    SELECT o_orderkey * 10 + 1 AS enrollment_id, o_custkey AS user_id, o_orderkey AS course_id,
+           o_orderstatus AS enrollment_state, CAST(trunc(o_totalprice) AS BIGINT) AS total_activity_time FROM running
+    UNION ALL
+    SELECT o_orderkey * 10 + 2, o_custkey + 1, o_orderkey, o_orderstatus, NULL FROM running WHERE o_orderstatus = 'F'""")
+def job_enrollments(spark, sf):
+    """Pages of the running courses to the enrollment table (D04: F05, J01, J05, G03, K02)."""
+    base = new_path(spark, "job_enrollments")
+    jobs = Jobs(spark, f"{base}/tables", dt.datetime(1998, 10, 1), buckets=8, lines=True)
+    jobs.table("term").reload(_terms(spark, sf))
+    orders = table(spark, sf, "orders")
+    jobs.table("course").reload(orders.select(
+        F.col("o_orderkey").alias("course_id"), _term_id().alias("enrollment_term_id")))
+
+    def node(number: int, user: Column, seconds: Column) -> Column:
+        return F.struct(
+            (F.col("o_orderkey") * 10 + number).cast("string").alias("_id"), F.col("o_orderstatus").alias("state"),
+            seconds.cast("double").alias("totalActivityTime"), F.struct(user.cast("string").alias("_id")).alias("user"))
+
+    first = node(1, F.col("o_custkey"), F.col("o_totalprice"))
+    second = F.when(F.col("o_orderstatus") == "F", node(2, F.col("o_custkey") + 1, F.lit(None)))
+    page = F.struct(F.col("o_orderkey").alias("course_id"), F.struct(F.struct(F.struct(
+        F.array(first, second).alias("nodes")).alias("enrollmentsConnection")).alias("course")).alias("data"))
+    orders.select(F.to_json(page).alias("value")).write.text(f"{base}/landed")
+    return jobs.enrollments(f"{base}/landed").read().select(
+        "enrollment_id", "user_id", "course_id", "enrollment_state", "total_activity_time")
+
+
+@query("""
+    SELECT page_id AS id, url AS title, split_part(html, '<br', 1) AS teacher, html AS description,
+           nullif(regexp_extract(html, 'ID: ?([^<]*)<', 1), '') AS timeedit_id,
+           CASE WHEN contains(place, '<') THEN rtrim(split_part(place, '<', 1)) ELSE place END AS location_name
+    FROM (SELECT *, substr(html, strpos(html, '<h1>') + 4) AS place FROM pages)
+    WHERE NOT contains(url, '/de/')""")
+def job_timetable(spark, sf):
+    """Calendar change files with markup and line breaks to the timetable."""
+    base = new_path(spark, "job_timetable")
+    html = F.col("html")
+    write_changes(table(spark, sf, "pages").select(
+        F.col("page_id").alias("key.id"), F.col("url").alias("value.title"),
+        F.lit("2024-01-01T08:00:00Z").alias("value.start_at"), html.alias("value.description"),
+        F.substr(html, F.instr(html, "<h1>") + 4).alias("value.location_name"),
+        F.when(F.contains("url", F.lit("/de/")), F.lit("deleted")).otherwise(F.lit("active")).alias(
+            "value.workflow_state"),
+    ), f"{base}/landed")
+    jobs = Jobs(spark, f"{base}/tables", dt.datetime(2024, 1, 2), buckets=8)
+    return jobs.timetable(f"{base}/landed").read().select(
+        "id", "title", "teacher", "description", "timeedit_id", "location_name")

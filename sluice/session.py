@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -29,6 +29,18 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written once below the shared folder and read back.
+
+    Worth it for a result that is small but that the planner cannot know to be small (an aggregate,
+    say): read back, its size is that of its files, and Spark broadcasts it only if that is below
+    the session's threshold. The other side of a join is then not shuffled in vain.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_session(app: str = "sluice", cpus: str | int | None = None) -> SparkSession:
     """A single-machine session, as used by the tests and ``bench.py``."""
     cpus = cpus or os.environ.get("BENCH_CPUS", "8")

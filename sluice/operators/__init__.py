@@ -27,12 +27,12 @@ from .nested import (
     summaries_flat,
     summaries_nested,
 )
-from .sets import union_frames
+from .sets import top_rows, union_frames
 
 __all__ = [
     "accepted", "active_by_code", "active_terms", "checked", "course_enrollments", "course_programmes",
     "exclude_text", "fill_text", "flatten", "in_active_terms", "keep_newest", "last_row", "legacy_calendar",
     "lookup", "module_items", "of_courses", "pivot_last", "plain", "quarantined", "quoted", "recent_active_events", "recent_users",
     "replace_matched", "rows_per_course", "semester_of", "since", "still_taught", "summaries_flat",
-    "summaries_nested", "union_frames", "update_matched", "upsert", "valid_bigint",
+    "summaries_nested", "top_rows", "union_frames", "update_matched", "upsert", "valid_bigint",
 ]

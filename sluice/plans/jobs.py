@@ -257,7 +257,7 @@ class Jobs:
     def table(self, name: str) -> Table:
         return Table.target(self.spark, self.base, name, buckets=self.buckets)
 
-    def _changes(self, kind: str, paths: Paths) -> DataFrame:
+    def changes(self, kind: str, paths: Paths) -> DataFrame:
         return read_changes(self.spark, paths, CHANGE_FILES[kind], with_arrival=True)
 
     def _nodes(self, kind: str, paths: Paths, keep: Sequence[str] = ()) -> DataFrame:
@@ -281,15 +281,16 @@ class Jobs:
 
     def user_id_link(self, paths: Paths, until: dt.datetime, order: Sequence[str] = ("ts", ARRIVAL)) -> Table:
         after = get_watermark(self.control, "pseudonyms", self.as_of)
-        rows = link_rows(self._changes("pseudonyms", paths), after)
+        rows = link_rows(self.changes("pseudonyms", paths), after)
         table = self._merge("user_id_link", rows, order, null_keys="reject")
         set_watermark(self.control, "pseudonyms", until)
         return table
 
-    def new_users(self, paths: Paths, links: DataFrame, until: dt.datetime, snapshots: str | None = None) -> Table:
-        """New users that are not students; ``links`` gives the registry id per user."""
+    def new_users(self, paths: Paths, links: DataFrame, until: dt.datetime, snapshots: str | None = None,
+                  exclude: str = "student") -> Table:
+        """New users whose record does not mention ``exclude``; ``links`` gives the registry ids."""
         after = get_watermark(self.control, "users", self.as_of)
-        rows = new_user_rows(self._changes("users", paths), links, after)
+        rows = new_user_rows(self.changes("users", paths), links, after, exclude)
         table = self._merge("user_id_link", rows, ["ts", ARRIVAL], null_keys="reject")
         if snapshots:
             write_snapshot(rows.select("user_id", "sis_user_id"), f"{snapshots}/users", until)
@@ -299,7 +300,7 @@ class Jobs:
     def changed_enrollments(self, paths: Paths, until: dt.datetime, snapshots: str | None = None) -> Table:
         """All enrollments of the slice; the snapshot holds those created after the watermark."""
         after = get_watermark(self.control, "enrollments", self.as_of)
-        changes = self._changes("enrollments", paths)
+        changes = self.changes("enrollments", paths)
         table = self._merge("enrollment", changed_enrollment_rows(changes), ["updated_at", ARRIVAL],
                             null_keys="reject")
         if snapshots:
@@ -308,7 +309,7 @@ class Jobs:
         return table
 
     def timetable(self, paths: Paths, after: dt.datetime = dt.datetime(2023, 1, 1)) -> Table:
-        rows = timetable_rows(self._changes("calendar_events", paths), after)
+        rows = timetable_rows(self.changes("calendar_events", paths), after)
         return self._merge("timetable", rows, [ARRIVAL], null_keys="reject")
 
     def snapshot(self, kind: str, paths: Paths, until: dt.datetime, snapshots: str) -> str:

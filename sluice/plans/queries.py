@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import functions as X
 from .. import operators as O
 from ..functions.nested import NOT_REGISTERED
+from ..schemas import CHANGE_FILES
 from ..session import new_path, settled
 from ..sources import (
     RunMetrics,
@@ -182,21 +183,18 @@ def upsert_composite(spark, sf):
            CAST(l_partkey AS VARCHAR) AS l_partkey, CAST(l_suppkey AS VARCHAR) AS l_suppkey,
            l_returnflag, l_linestatus, {SQL_DAY.format("l_shipdate")} AS l_shipdate
     FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_returnflag DESC, l_linestatus DESC) AS rn
+                ORDER BY CAST(l_shipdate AS DATE) DESC, l_partkey DESC, l_suppkey DESC, l_returnflag DESC, l_linestatus DESC) AS rn
           FROM lineitem) WHERE rn = 1""")
 def replace_entities(spark, sf):
     """All-text rows replaced by (partition key, row key) in a stored table."""
-    lines = table(spark, sf, "lineitem")
     values = ["l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]
-    texts = lines.select(
-        F.col("l_orderkey").cast("string").alias("partition_key"),
-        F.col("l_linenumber").cast("string").alias("row_key"), *[F.col(c).cast("string").alias(c) for c in values],
-        day(F.col("l_shipdate")).alias("l_shipdate"),
-        F.struct("l_shipdate", *values).alias("turn"),
-    )
-    schema = texts.drop("turn").schema
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("partition_key"), F.col("l_linenumber").alias("row_key"), *values,
+        F.col("l_shipdate").cast("date").alias("l_shipdate"))
+    # keys are compared in their own types; the table's schema turns what is left into text
+    schema = ", ".join(f"{c} string" for c in rows.columns)
     target = Table(spark, new_path(spark, "entities"), schema, ["partition_key", "row_key"], buckets=8)
-    target.upsert(texts, ["turn"])
+    target.upsert(rows, ["l_shipdate", *values])
     return target.read()
 
 
@@ -489,6 +487,24 @@ def union_frames(spark, sf):
     ])
 
 
+@query("""
+    SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey DESC LIMIT 10""")
+def top_rows(spark, sf):
+    """The first rows of a listing, by an order that leaves no choice."""
+    return O.top_rows(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"),
+                      [F.desc("o_totalprice"), F.desc("o_orderkey")], 10)
+
+
+@query(f"""
+    SELECT o_orderkey, coalesce(code, '') AS code, CAST(NULL AS BIGINT) AS account_id, '' AS sis_user_id
+    FROM (SELECT *, {CODE_SQL} AS code FROM orders)""", name="fill_text")
+def fill_text_query(spark, sf):
+    """Constant columns, and NULL texts made blank."""
+    return O.fill_text(table(spark, sf, "orders").select(
+        "o_orderkey", _course_code().alias("code"), F.lit(None).cast("bigint").alias("account_id"),
+        F.lit(None).cast("string").alias("sis_user_id")))
+
+
 # -- nested records -------------------------------------------------------------------------------
 
 LINES_SQL = "string_split(text, chr(10))"
@@ -903,8 +919,8 @@ EVENT_COLUMNS = ["user_id", "event_id", "event_type", "value", "ts"]
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").parquet(sf).select(
-        *EVENT_COLUMNS)
+    # the pattern finds a single file as well as a folder of files
+    return spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*").select(*EVENT_COLUMNS)
 
 
 def _event_table(spark: SparkSession, sf: str) -> Table:
@@ -1038,3 +1054,289 @@ def job_timetable(spark, sf):
     jobs = Jobs(spark, f"{base}/tables", dt.datetime(2024, 1, 2), buckets=8)
     return jobs.timetable(f"{base}/landed").read().select(
         "id", "title", "teacher", "description", "timeedit_id", "location_name")
+
+
+def _jobs(spark: SparkSession, base: str, as_of: dt.datetime) -> Jobs:
+    return Jobs(spark, f"{base}/tables", as_of, buckets=8, lines=True)
+
+
+def _land(rows: DataFrame, page: Column, path: str) -> None:
+    """One JSON page per row."""
+    rows.select(F.to_json(page).alias("value")).write.text(path)
+
+
+def _connection(root: str, node: Column) -> Column:
+    """A page of a cursor listing with one record."""
+    return F.struct(F.struct(F.struct(F.array(node).alias("nodes")).alias(root)).alias("data"))
+
+
+def _items(*leading: Column, items: Column) -> Column:
+    """A page of a numbered listing."""
+    return F.struct(*leading, F.lit(1).alias("page"), items.alias("items"))
+
+
+@query("""
+    SELECT c_custkey AS user_id, CASE WHEN c_acctbal > 0 THEN 'S' || c_custkey END AS sis_user_id FROM customer
+    WHERE c_mktsegment <> 'MACHINERY' AND c_nationkey >= 5""")
+def job_new_users(spark, sf):
+    """New users whose record does not mention a text, with their registry id (D02: F01, F03, J03)."""
+    base = new_path(spark, "job_users")
+    customers = table(spark, sf, "customer")
+    created = F.when(F.col("c_nationkey") >= 5, F.lit("2024-01-01T00:00:00Z")).otherwise(F.lit("2023-12-31T00:00:00Z"))
+    write_changes(customers.select(
+        F.col("c_custkey").alias("key.id"), created.alias("value.created_at"), F.col("c_name").alias("value.name"),
+        F.col("c_mktsegment").alias("value.school_name"), created.alias("meta.ts")), f"{base}/landed")
+    links = customers.filter(F.col("c_acctbal") > 0).select(
+        F.col("c_custkey").alias("user_id"), F.concat(F.lit("S"), F.col("c_custkey").cast("string")).alias("sis_user_id"))
+    jobs = _jobs(spark, base, dt.datetime(2024, 1, 2, 6))
+    return jobs.new_users(f"{base}/landed", links, dt.datetime(2024, 1, 2, 5), exclude="machinery").read()
+
+
+@query(f"""
+    SELECT o_orderkey AS enrollment_id, o_custkey AS user_id, o_orderstatus AS enrollment_state,
+           CASE WHEN o_orderstatus = 'O' THEN 0 ELSE CAST(trunc(o_totalprice) AS BIGINT) END AS total_activity_time,
+           {SQL_DAY.format("o_orderdate")} AS updated_on, CAST(NULL AS VARCHAR) AS sis_user_id
+    FROM orders""")
+def job_changed_enrollments(spark, sf):
+    """Change files to the enrollment table (D03: P01, P02, X09, K02)."""
+    base = new_path(spark, "job_changes")
+    write_changes(table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("key.id"), F.col("o_custkey").alias("value.user_id"),
+        F.col("o_orderstatus").alias("value.workflow_state"),
+        F.when(F.col("o_orderstatus") != "O", F.col("o_totalprice")).alias("value.total_activity_time"),
+        F.col("o_orderdate").alias("value.updated_at")), f"{base}/landed")
+    rows = _jobs(spark, base, dt.datetime(2001, 8, 2)).changed_enrollments(f"{base}/landed", dt.datetime(2001, 8, 2)).read()
+    return rows.select("enrollment_id", "user_id", "enrollment_state", "total_activity_time",
+                       day(F.col("updated_at")).alias("updated_on"), "sis_user_id")
+
+
+def _running_jobs(spark: SparkSession, sf: str, base: str) -> Jobs:
+    """Jobs with term and course tables in place: every order is a course of its term."""
+    jobs = _jobs(spark, base, dt.datetime(1998, 10, 1))
+    jobs.table("term").reload(_terms(spark, sf))
+    jobs.table("course").reload(table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("course_id"), _term_id().alias("enrollment_term_id")))
+    return jobs
+
+
+RUNNING_SQL = f"""terms AS ({TERMS_SQL}), spans AS ({SPAN_SQL}), running AS (
+    SELECT * FROM orders
+    WHERE {TERM_ID_SQL} IN (SELECT term_id FROM spans WHERE first_half <= 1998.5 AND 1998.5 <= last_half))"""
+
+
+@query(f"""
+    WITH {RUNNING_SQL}
+    SELECT o_custkey AS id, o_orderkey AS course_id,
+           CAST(CASE WHEN o_orderstatus = 'F' THEN 70 ELSE 7 END AS INTEGER) AS page_views, 3 AS floating,
+           CASE WHEN o_orderstatus = 'F' THEN 20 ELSE 2 END AS late FROM running
+    UNION ALL
+    SELECT o_custkey + 1, o_orderkey, 70, NULL, 20 FROM running WHERE o_orderstatus = 'F'""")
+def job_summaries(spark, sf):
+    """Student summaries from flat pages, then from nested ones that lack a column."""
+    base = new_path(spark, "job_summaries")
+    jobs = _running_jobs(spark, sf, base)
+    orders = table(spark, sf, "orders")
+    course, student = F.col("o_orderkey").alias("course_id"), F.col("o_custkey")
+    flat = F.struct(student.alias("id"), F.lit(7).alias("page_views"), F.struct(
+        F.lit(2).alias("late"), F.lit(3).alias("floating")).alias("tardiness_breakdown"))
+    _land(orders, _items(course, items=F.array(flat)), f"{base}/flat")
+    jobs.student_summaries(f"{base}/flat")
+
+    def node(user: Column, known: bool) -> Column:
+        analytics = F.struct(F.struct(F.lit(70).alias("total")).alias("pageViews"),
+                             F.struct(F.lit(20).alias("late")).alias("tardinessBreakdown"))
+        return F.struct(user.cast("string").alias("_id"),
+                        F.when(F.lit(known), analytics).alias("summaryAnalytics"))
+
+    nodes = F.array(node(student, True), node(student + 1, True), node(student + 2, False))
+    page = F.struct(course, F.struct(F.struct(F.struct(nodes.alias("nodes")).alias("usersConnection")).alias(
+        "course")).alias("data"))
+    _land(orders.filter(F.col("o_orderstatus") == "F"), page, f"{base}/nested")
+    return jobs.student_summaries(f"{base}/nested", nested=True).read().select(
+        "id", "course_id", "page_views", "floating", "late")
+
+
+@query(f"""
+    WITH {RUNNING_SQL}
+    SELECT o_orderkey AS module_id, i AS module_item_id, o_orderkey AS course_id, 'm' || o_custkey AS name,
+           CASE WHEN i = 2 THEN o_orderpriority END AS external_url, i = 1 AS item_published, o_orderstatus = 'F' AS
+               published, 2 AS items_count
+    FROM running, (SELECT unnest([1::BIGINT, 2::BIGINT]) AS i)""")
+def job_modules(spark, sf):
+    """Modules of the running courses to the item table."""
+    base = new_path(spark, "job_modules")
+    jobs = _running_jobs(spark, sf, base)
+
+    def item(number: int) -> Column:
+        url = F.when(F.lit(number == 2), F.col("o_orderpriority"))
+        return F.struct(F.lit(number).alias("id"), F.lit(number == 1).alias("published"), url.alias("external_url"))
+
+    module = F.struct(
+        F.col("o_orderkey").alias("id"), F.concat(F.lit("m"), F.col("o_custkey").cast("string")).alias("name"),
+        (F.col("o_orderstatus") == "F").alias("published"), F.lit(2).alias("items_count"),
+        F.array(item(1), item(2)).alias("items"))
+    _land(table(spark, sf, "orders"), _items(F.col("o_orderkey").alias("course_id"), items=F.array(module)),
+          f"{base}/landed")
+    return jobs.module_items(f"{base}/landed").read().select(
+        "module_id", "module_item_id", "course_id", "name", "external_url", "item_published", "published", "items_count")
+
+
+@query(f"""
+    SELECT user_id, event_type AS visited_url, CAST(NULL AS VARCHAR) AS asset_readable_category,
+           {SQL_STAMP.format("ts")} AS visited_at
+    FROM events WHERE user_id IN (
+        SELECT c_custkey FROM customer JOIN orders ON o_custkey = c_custkey
+        WHERE c_acctbal > 9000 OR o_orderdate > TIMESTAMP '2001-07-30 06:00:00')""")
+def job_history(spark, sf):
+    """Landed page views of recently active users replace the history."""
+    base = new_path(spark, "job_history")
+    jobs = _jobs(spark, base, dt.datetime(2001, 8, 1, 6))
+    login = F.when(F.col("c_acctbal") > 9000, F.lit("2001-07-31")).otherwise(F.lit("2001-07-01"))
+    jobs.table("user").reload(table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("user_id"), login.cast("timestamp").alias("last_login")))
+    jobs.table("enrollment").reload(table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("enrollment_id"), F.col("o_custkey").alias("user_id"),
+        F.col("o_orderdate").alias("last_activity_at")))
+    view = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("visited_at"),
+                    F.col("event_type").alias("visited_url"))
+    _land(table(spark, sf, "events"), _items(F.col("user_id"), items=F.array(view)), f"{base}/landed")
+    return jobs.history(f"{base}/landed").read().withColumn("visited_at", stamp(F.col("visited_at")))
+
+
+@query(f"""
+    SELECT 'K' || o_orderkey AS "Emnekode", 'S' || o_custkey AS "Studieprogramkode", y AS "Undervises_forste_ar",
+           CASE WHEN o_orderstatus = 'O' THEN y + 3 END AS "Undervises_siste_ar",
+           CASE WHEN o_orderstatus = 'O' THEN 'HOST' END AS "Undervises_siste_termin",
+           'S' || o_custkey || '_K' || o_orderkey || '_1' AS "programEmneKode"
+    FROM (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders)
+    UNION ALL
+    SELECT 'K' || o_orderkey, NULL, CAST(year(o_orderdate) AS INTEGER), NULL, NULL, NULL FROM orders
+    WHERE o_orderstatus = 'F'""")
+def job_course_programmes(spark, sf):
+    """Course-programme links to their table, rows without programme kept apart."""
+    base = new_path(spark, "job_links")
+    year, status = F.year("o_orderdate"), F.col("o_orderstatus")
+
+    def term(y: Column) -> Column:
+        return F.struct(y.alias("arstall"), F.struct(F.lit("HOST").alias("kode")).alias("betegnelse"))
+
+    link = F.struct(
+        F.struct(F.when(status == "O", term(year + 3)).alias("tilTermin")).alias("periode"),
+        F.struct(F.concat(F.lit("S"), F.col("o_custkey").cast("string")).alias("kode")).alias("studieprogram"))
+    node = F.struct(
+        F.concat(F.lit("K"), F.col("o_orderkey").cast("string")).alias("kode"), F.lit("1").alias("versjonskode"),
+        F.when(status == "F", F.array(link, F.when(F.lit(False), link))).otherwise(F.array(link)).alias(
+            "studieprogramkoblinger"),
+        F.struct(term(year).alias("forsteTermin")).alias("undervisesIPeriode"))
+    _land(table(spark, sf, "orders"), _connection("emner", node), f"{base}/landed")
+    rows = _jobs(spark, base, dt.datetime(2001, 8, 1)).course_programmes(f"{base}/landed", blank_keys=False).read()
+    return rows.select("Emnekode", "Studieprogramkode", "Undervises_forste_ar", "Undervises_siste_ar",
+                       "Undervises_siste_termin", "programEmneKode")
+
+
+@query(f"""
+    SELECT 'D' || doc_id || '_1' AS unik_kode, lang AS emnenavn_nob, CAST(n_chars AS DOUBLE) AS vekting,
+           coalesce([x FOR x IN ls IF length(x) % 2 = 0][-1], '{NOT_REGISTERED}') AS "LUB_NNO",
+           coalesce([x FOR x IN ls IF length(x) % 2 = 1][-1], '{NOT_REGISTERED}') AS "ARB_ENG",
+           CASE WHEN len([x FOR x IN ls IF x = '']) > 0 THEN '"{NOT_REGISTERED}"'
+               ELSE '[' || array_to_string(['[' || to_json(x) || ', ' || to_json(lang) || ', null]' FOR x IN ls], ', ')
+                    || ']' END AS emneansvarlege
+    FROM (SELECT doc_id, lang, n_chars, source, {LINES_SQL} AS ls FROM documents) WHERE n_chars > 50""")
+def job_course_catalogue(spark, sf):
+    """Catalogue pages to the course table and the table of people."""
+    base = new_path(spark, "job_catalogue")
+
+    def nb(value: Column) -> Column:
+        return F.struct(value.alias("nb"))
+
+    texts = F.transform(_lines(), lambda x: F.struct(
+        x.alias("innhold"),
+        F.struct(F.when(F.length(x) % 2 == 0, F.lit("NNO")).otherwise(F.lit("ENG")).alias("iso6392Kode")).alias("sprak"),
+        F.struct(F.when(F.length(x) % 2 == 0, F.lit("EBLUB")).otherwise(F.lit("EBARB")).alias("kode")).alias(
+            "tekstkategori")))
+    people = F.transform(_lines(), lambda x: F.struct(
+        F.struct(F.when(x != "", F.struct(F.col("lang").alias("etternavn"), x.alias("fornavn"))).alias("navn")).alias(
+            "personProfil"),
+        F.struct(F.lit(None).cast("string").alias("feideBruker"), F.lit("").alias("_")).alias("fagperson")))
+    unit = F.struct(F.struct(F.lit("1").alias("fakultetsnummer")).alias("fakultet"), nb(F.lit("i")).alias("navnAlleSprak"))
+    subject = F.when(F.col("n_chars") > 50, F.struct(F.struct(F.lit("f").alias("nob")).alias("navnAlleSprak")))
+    node = F.struct(
+        F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("kode"), F.lit("1").alias("versjonskode"),
+        nb(F.col("lang")).alias("navnAlleSprak"), F.struct(unit.alias("administrativtAnsvarlig")).alias("organisasjonsenhet"),
+        F.struct(subject.alias("viktigsteFag")).alias("fagkoblinger"),
+        F.struct(F.struct(F.struct(F.lit("SP").alias("kode")).alias("vektingstype"),
+                          F.col("n_chars").alias("verdi")).alias("emnevekting")).alias("vekting"),
+        texts.alias("beskrivelser"), people.alias("personroller"))
+    _land(table(spark, sf, "documents"), _connection("emner", node), f"{base}/landed")
+    courses, responsible = _jobs(spark, base, dt.datetime(2024, 1, 1)).course_catalogue(f"{base}/landed")
+    return courses.read().join(responsible.read(), "unik_kode").select(
+        "unik_kode", "emnenavn_nob", "vekting", "LUB_NNO", "ARB_ENG", "emneansvarlege")
+
+
+@query("""
+    SELECT 'P' || p_partkey AS studieprogramkode, p_name AS studieprogramnavn, p_size AS "prosentAvHeltid",
+           CASE WHEN p_size > 25 THEN p_brand ELSE '' END AS studieniva,
+           CASE WHEN p_size > 10 THEN p_retailprice END AS vekting, '' AS nuskode
+    FROM part""")
+def job_study_programmes(spark, sf):
+    """Study programmes with absent parts."""
+    base = new_path(spark, "job_programmes")
+    size = F.col("p_size")
+    node = F.struct(
+        F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("kode"),
+        F.struct(F.col("p_name").alias("nb")).alias("navnAlleSprak"), size.cast("double").alias("prosentHeltid"),
+        F.when(size > 25, F.struct(F.struct(F.col("p_brand").alias("nb")).alias("navnAlleSprak"))).alias("studieniva"),
+        F.struct(F.when(size > 10, F.col("p_retailprice").cast("string")).otherwise(F.lit("")).alias("verdi")).alias(
+            "vekting"))
+    _land(table(spark, sf, "part"), _connection("studieprogram", node), f"{base}/landed")
+    return _jobs(spark, base, dt.datetime(2024, 1, 1)).study_programmes(f"{base}/landed").read().select(
+        "studieprogramkode", "studieprogramnavn", "prosentAvHeltid", "studieniva", "vekting", "nuskode")
+
+
+@query("""
+    SELECT CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey AS VARCHAR) ELSE '' END AS plnr,
+           'S' || o_orderkey AS studieprogram, '' AS campus, CAST(year(o_orderdate) AS INTEGER) AS "år", '' AS termin
+    FROM orders""")
+def job_programme_rights(spark, sf):
+    """Programme rights by person and programme, missing persons blank."""
+    base = new_path(spark, "job_rights")
+    person = F.when(F.col("o_orderstatus") != "P", F.struct(F.col("o_custkey").cast("string").alias("personlopenummer")))
+    node = F.struct(
+        person.alias("personProfil"),
+        F.struct(F.concat(F.lit("S"), F.col("o_orderkey").cast("string")).alias("kode")).alias("studieprogram"),
+        F.struct(F.struct(F.year("o_orderdate").alias("arstall")).alias("termin")).alias("kull"))
+    _land(table(spark, sf, "orders"), _connection("programStudieretter", node), f"{base}/landed")
+    return _jobs(spark, base, dt.datetime(2024, 1, 1)).programme_rights(
+        f"{base}/landed", keys=("plnr", "studieprogram")).read()
+
+
+@query(f"""
+    SELECT CAST(doc_id AS VARCHAR) AS plnr, '[' || array_to_string([
+               '{{"code":' || to_json(split_part(x, ' ', 1)) || ',"weight":' || length(x) || '.0,"semester":"'
+               || n_chars || '_' || lang || '"}}' FOR x IN ls], ',') || ']' AS programmes
+    FROM (SELECT doc_id, lang, n_chars, [x FOR x IN {LINES_SQL} IF contains(x, 'the')] AS ls FROM documents)
+    WHERE len(ls) > 0""")
+def job_study_rights(spark, sf):
+    """Study programmes per student to a dated CSV, read back."""
+    base = new_path(spark, "job_study_rights")
+    semester = F.struct(F.col("n_chars").alias("arstall"), F.struct(F.col("lang").alias("kode")).alias("betegnelse"))
+    entries = F.transform(F.filter(_lines(), lambda x: F.contains(x, F.lit("the"))), lambda x: F.struct(
+        F.struct(F.get(F.split(x, " "), 0).alias("kode"), F.struct(F.length(x).alias("verdi")).alias("vekting")).alias(
+            "studieprogram"), semester.alias("termin")))
+    node = F.struct(entries.alias("studieprogramISemester"),
+                    F.struct(F.col("doc_id").cast("string").alias("personlopenummer")).alias("personProfil"))
+    _land(table(spark, sf, "documents"), _connection("studenter", node), f"{base}/landed")
+    path = _jobs(spark, base, dt.datetime(2024, 1, 1)).study_rights(f"{base}/landed", f"{base}/snapshots")
+    return read_snapshot(spark, path, "plnr string, programmes string")
+
+
+@query("SELECT s_suppkey AS id, s_name AS name FROM supplier")
+def job_snapshot(spark, sf):
+    """A slice of one change-file table to a dated CSV, with its watermark."""
+    base = new_path(spark, "job_snapshot")
+    write_changes(table(spark, sf, "supplier").select(
+        F.col("s_name").alias("value.name"), F.col("s_acctbal").alias("value.unread"),
+        F.col("s_suppkey").alias("key.id")), f"{base}/landed")
+    path = _jobs(spark, base, dt.datetime(2024, 1, 1)).snapshot("roles", f"{base}/landed", dt.datetime(2024, 1, 1),
+                                                                 f"{base}/snapshots")
+    return O.plain(read_snapshot(spark, path, CHANGE_FILES["roles"]), ["key.id", "value.name"])

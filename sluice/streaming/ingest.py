@@ -33,7 +33,7 @@ def stream_upsert(stream: DataFrame, table: Table, order: Sequence[str], checkpo
     """Merge everything that has arrived into ``table``, batch by batch, then stop.
 
     A batch that is replayed after a failure carries the same id and is skipped if it was already
-    merged. With ``newest`` a late, older version never replaces a newer row; without it, the
+    merged; the id is made of ``name``, so streams into one table need different names. With ``newest`` a late, older version never replaces a newer row; without it, the
     arrival of the batches decides, and ``order`` settles repeats inside a batch.
     """
 
@@ -46,8 +46,7 @@ def stream_upsert(stream: DataFrame, table: Table, order: Sequence[str], checkpo
         table.upsert(rows, ranked, batch_id=f"{name}:{epoch}", newest=newest, null_keys=null_keys)
 
     return (
-        stream.writeStream.queryName(name)
-        .foreachBatch(merge)
+        stream.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -32,7 +32,7 @@ from ..sources import (
     write_changes,
     write_snapshot,
 )
-from ..streaming import drop_reread, stream_upsert
+from ..streaming import drop_reread, stream_changes, stream_upsert
 from .jobs import Jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -948,6 +948,28 @@ def stream_late_rows(spark, sf):
     return target.read().withColumn("ts", stamp(F.col("ts")))
 
 
+@query(f"""
+    SELECT user_id, priority, {SQL_DAY.format("o_orderdate")} AS seen_on FROM (
+        SELECT o_custkey AS user_id, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS priority, o_orderdate,
+               row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
+    WHERE rn = 1""")
+def stream_change_files(spark, sf):
+    """A folder of gzip change files, streamed into a table in steps."""
+    base = new_path(spark, "stream_changes")
+    rows = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("key.id"), F.col("o_custkey").alias("value.user_id"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("value.priority"),
+        F.col("o_orderdate").alias("meta.ts"))
+    write_changes(rows, f"{base}/landed")
+    target = Table(spark, f"{base}/table", "user_id bigint, priority string, ts timestamp_ntz, id bigint", ["user_id"],
+                   buckets=8)
+    stream_upsert(
+        stream_changes(spark, f"{base}/landed", rows.schema), target, ["ts", "id"], f"{base}/checkpoint", newest=True,
+        prepare=lambda batch: O.plain(batch, ["value.user_id", "value.priority", "meta.ts", "key.id"]),
+    ).awaitTermination()
+    return target.read().select("user_id", "priority", day(F.col("ts")).alias("seen_on"))
+
+
 @query(f"SELECT event_id, user_id, event_type, value, {SQL_STAMP.format('ts')} AS ts FROM events")
 def stream_reread(spark, sf):
     """Overlapping slices of a stream, each row once."""
@@ -1082,7 +1104,7 @@ def job_new_users(spark, sf):
     """New users whose record does not mention a text, with their registry id (D02: F01, F03, J03)."""
     base = new_path(spark, "job_users")
     customers = table(spark, sf, "customer")
-    created = F.when(F.col("c_nationkey") >= 5, F.lit("2024-01-01T00:00:00Z")).otherwise(F.lit("2023-12-31T00:00:00Z"))
+    created = F.when(F.col("c_nationkey") >= 5, F.lit("2024-01-01T00:00:00")).otherwise(F.lit("2023-12-31T00:00:00"))
     write_changes(customers.select(
         F.col("c_custkey").alias("key.id"), created.alias("value.created_at"), F.col("c_name").alias("value.name"),
         F.col("c_mktsegment").alias("value.school_name"), created.alias("meta.ts")), f"{base}/landed")

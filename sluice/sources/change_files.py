@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,17 +33,15 @@ def arrival() -> Column:
     ).alias(ARRIVAL)
 
 
-def _reader(spark: SparkSession):
-    # quoted line breaks and doubled quotes as the writers make them; gzip cannot be split anyway
-    return (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .option("nullValue", "")
-    )
+# how the files are written: doubled quotes, breaks inside quotes, empty for missing
+CSV_OPTIONS = {
+    "header": "true", "enforceSchema": "false", "multiLine": "true", "quote": '"', "escape": '"', "emptyValue": "",
+    "nullValue": "",
+}
+
+
+def _reader(spark: SparkSession, splittable: bool = False) -> DataFrameReader:
+    return spark.read.options(**{**CSV_OPTIONS, "multiLine": str(not splittable).lower()})
 
 
 def _header(spark: SparkSession, paths: Sequence[str]) -> list[str]:
@@ -62,7 +60,7 @@ def _typed(names: Sequence[str], kind: T.StructType) -> T.StructType:
 
 
 def read_changes(spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType, *,
-                 with_arrival: bool = False) -> DataFrame:
+                 with_arrival: bool = False, splittable: bool = False) -> DataFrame:
     """All rows of the files, with the columns and types of one fixed schema.
 
     Columns are found by the header, which all files of a set share: files may hold further columns
@@ -70,8 +68,9 @@ def read_changes(spark: SparkSession, paths: str | Sequence[str], schema: str |
     silently shifted columns (``read_mixed`` reads such sets). Schema columns the files lack are
     NULL. A file with a header only adds no rows; no files at all give an empty frame.
 
-    One gzip file is one task. The rows spread over the cluster at the first shuffle, so no extra
-    repartition is made here.
+    One file is one task, since gzip cannot be split and a value may hold line breaks; the rows
+    spread over the cluster at the first shuffle, so no extra repartition is made here. With
+    ``splittable`` (plain files without breaks inside values) large files are read in parts.
     """
     kind = schema_of(schema)
     listed = [paths] if isinstance(paths, str) else list(paths)
@@ -79,7 +78,7 @@ def read_changes(spark: SparkSession, paths: str | Sequence[str], schema: str |
     if not names:
         empty = empty_frame(spark, kind)
         return empty.withColumn(ARRIVAL, F.lit(None).cast("string")) if with_arrival else empty
-    rows = _reader(spark).schema(_typed(names, kind)).csv(listed)
+    rows = _reader(spark, splittable).schema(_typed(names, kind)).csv(listed)
     columns = [quoted(f.name) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in kind.fields]
     return rows.select(*columns, *([arrival()] if with_arrival else []))
 

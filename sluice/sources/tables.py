@@ -15,6 +15,7 @@ instead; the operators in ``operators.merge`` do not depend on this module.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -30,7 +31,7 @@ from .change_files import empty_frame, schema_of
 
 BUCKET = "table_bucket"
 LOOSE = -1  # the bucket of rows without a key
-_LOG = "version int, kind string, bucket int, buckets int, batch_id string"
+_LOG = "version int, kind string, bucket int, written int, buckets int, batch_id string"
 
 
 def hash_buckets(count: int) -> Callable[..., Column]:
@@ -48,6 +49,7 @@ class _State:
     version: int
     live: dict[int, list[int]]  # bucket to the versions that hold its rows
     seen: bool
+    whole: list[int]  # versions none of whose buckets was replaced since
 
 
 class Table:
@@ -87,10 +89,11 @@ class Table:
             F.max("version").alias("newest"),
             F.max(reloads).alias("reload"),
             F.max("buckets").alias("buckets"),
+            F.max_by("written", "version").alias("written"),
             F.collect_set(F.when(F.col("bucket") == LOOSE, F.col("version"))).alias("all"),
             F.bool_or(F.col("batch_id").eqNullSafe(batch_id)).alias("seen"),
         ).collect()
-        state = _State(0, {}, batch_id is not None and any(r["seen"] for r in lines))
+        state = _State(0, {}, batch_id is not None and any(r["seen"] for r in lines), [])
         if not lines:
             return state
         made_with = max(r["buckets"] for r in lines)
@@ -103,6 +106,9 @@ class Table:
             current = sorted(v for v in versions if v >= start)
             if r["bucket"] is not None and current:
                 state.live[r["bucket"]] = current
+        written = {r["newest"]: r["written"] for r in lines if r["bucket"] is not None}
+        held = Counter(v for versions in state.live.values() for v in versions)
+        state.whole = sorted(v for v, n in held.items() if n == written.get(v))
         return state
 
     # -- reading -------------------------------------------------------------------------------
@@ -120,15 +126,8 @@ class Table:
 
     def read(self) -> DataFrame:
         """The current content, as a plain Parquet scan."""
-        live = self._state().live
-        used: dict[int, int] = {}
-        for versions in live.values():
-            for v in versions:
-                used[v] = used.get(v, 0) + 1
-        # a version none of whose buckets was replaced since is one folder instead of many
-        wrote = self._log().filter(F.col("bucket").isNotNull()).groupBy("version").agg(
-            F.count("bucket").alias("n")).filter(F.col("version").isin(list(used))).collect()
-        return self._scan(live, sorted(r["version"] for r in wrote if r["n"] == used[r["version"]]))
+        state = self._state()
+        return self._scan(state.live, state.whole)
 
     # -- writing -------------------------------------------------------------------------------
 
@@ -156,7 +155,8 @@ class Table:
         bucket = F.explode(F.lit(list(buckets))) if buckets else F.lit(None).cast("int")
         line = self.spark.range(1, numPartitions=1).select(
             F.lit(version).alias("version"), F.lit(kind).alias("kind"), bucket.alias("bucket"),
-            F.lit(self.buckets).alias("buckets"), F.lit(batch_id).cast("string").alias("batch_id"),
+            F.lit(len(buckets)).alias("written"), F.lit(self.buckets).alias("buckets"),
+            F.lit(batch_id).cast("string").alias("batch_id"),
         )
         line.write.mode("append").json(f"{self.path}/log")
 
@@ -174,6 +174,8 @@ class Table:
         """
         if null_keys not in ("insert", "reject"):
             raise ValueError(f"null_keys must be 'insert' or 'reject', not {null_keys!r}")
+        if not self.keys:
+            raise ValueError("a table without a key has nothing to match; use append or reload")
         state = self._state(batch_id)
         if state.seen:
             return False

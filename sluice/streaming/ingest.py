@@ -8,15 +8,25 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.filters import quoted
-from ..sources.change_files import ARRIVAL
+from ..sources.change_files import ARRIVAL, CSV_OPTIONS
 from ..sources.tables import Table
 
 
+def stream_changes(spark: SparkSession, path: str, schema: str | T.StructType, files_per_batch: int = 1000) -> DataFrame:
+    """Change files of a folder as a stream; ``schema`` has the columns of the files, in their order.
+
+    A batch takes at most ``files_per_batch`` files, so a long backlog is worked off in steps.
+    """
+    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS)
+    return reader.option("maxFilesPerTrigger", files_per_batch).csv(path)
+
+
 def drop_reread(stream: DataFrame, ts: str, keys: Sequence[str], overlap: str) -> DataFrame:
     """Each key once, although slices overlap by up to ``overlap`` (such as ``36 hours``).
 

@@ -65,3 +65,13 @@ def test_legacy_calendar(spark):
     ], "course_id int, enrollment_term_id int, sis_course_id string, workflow_state string")
     found = O.legacy_calendar(courses, terms, dt.date(2024, 9, 1))
     assert [r[0] for r in found.collect()] == [6, 8, 9]
+
+
+def test_top_rows(spark):
+    rows = spark.range(100, numPartitions=4)
+    assert [r[0] for r in O.top_rows(rows, [F.desc("id")], 3).collect()] == [99, 98, 97]
+    try:
+        O.top_rows(rows, [], 3)
+    except ValueError:
+        return
+    raise AssertionError("an order is required")

@@ -1,7 +1,8 @@
 from pyspark.sql import functions as F
 
 from sluice.sources import Table
-from sluice.streaming import drop_reread, stream_upsert, with_arrival
+from sluice.sources import write_changes
+from sluice.streaming import drop_reread, stream_changes, stream_upsert, with_arrival
 
 SCHEMA = "k bigint, v string, ts timestamp"
 
@@ -73,3 +74,27 @@ def test_reread_rows_come_once(spark, folder):
     assert run() == [1, 2]
     write_ntz([*rows, (3, "c", "2024-01-01 12:00:00")])
     assert run() == [1, 2, 3]
+
+
+def test_change_files_as_a_stream(spark, folder):
+    schema = "`key.id` bigint, `value.name` string, `meta.ts` timestamp"
+
+    def land(rows, name):
+        df = spark.createDataFrame(rows, "`key.id` bigint, `value.name` string, t string")
+        write_changes(df.select("`key.id`", "`value.name`", F.col("t").cast("timestamp").alias("meta.ts")).coalesce(1),
+                      f"{folder}/in/{name}")
+
+    def run():
+        stream = stream_changes(spark, folder + "/in/*", schema, files_per_batch=1)
+        stream_upsert(stream, table, ["ts"], folder + "/check", newest=True, prepare=lambda b: b.select(
+            F.col("`key.id`").alias("k"), F.col("`value.name`").alias("v"), F.col("`meta.ts`").alias("ts"))
+        ).awaitTermination()
+
+    table = Table(spark, folder + "/t", SCHEMA, ["k"], buckets=2)
+    land([(1, 'a "quoted"\nline', "2024-01-02"), (2, "b", "2024-01-01")], "one")
+    run()
+    assert rows_of(table) == [(1, 'a "quoted"\nline'), (2, "b")]
+    land([(1, "late", "2024-01-01"), (2, "c", "2024-01-03")], "two")
+    land([(2, "late", "2024-01-02")], "three")
+    run()
+    assert rows_of(table) == [(1, 'a "quoted"\nline'), (2, "c")]

@@ -113,3 +113,12 @@ def test_read_prunes_columns_and_pushes_filters(spark, folder):
     t.upsert(frame(spark, [(1, "a", "x", 1)]), ["o"])
     plan = t.read().filter("k = 1").select("v")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<k:bigint,v:string>" in plan and "EqualTo(k,1)" in plan
+
+
+def test_untouched_versions_are_read_as_one_folder(spark, folder):
+    t = Table(spark, folder, SCHEMA, ["k"], bucket=id_ranges(10))
+    t.upsert(spark.range(50).select(F.col("id").alias("k"), F.lit("a").alias("v"), F.lit("b").alias("w")))
+    assert t._state().whole == [1]
+    t.upsert(frame(spark, [(3, "x", "y", 1), (None, "n", "n", 1)]), ["o"])
+    assert t._state().whole == [2]
+    assert t.read().count() == 51

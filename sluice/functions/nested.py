@@ -41,8 +41,8 @@ def link_relations(header: Column) -> Column:
 
 
 def _json_text(value: Column) -> Column:
-    listed = F.to_json(F.array(value.cast("string")))
-    return F.substr(listed, F.lit(2), F.length(listed) - 2)
+    # the brackets of a list of one; those inside the text are behind its quotes
+    return F.btrim(F.to_json(F.array(value.cast("string"))), F.lit("[]"))
 
 
 def people_json(people: Column, names: Callable[[Column], Sequence[Column]],

@@ -106,13 +106,23 @@ def update_matched(base: DataFrame, last: DataFrame, keys: Sequence[str]) -> Dat
     return updated.unionByName(new, allowMissingColumns=True)
 
 
-def keep_newest(base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Upsert in which a late, older version never replaces a newer one already in ``base``.
+def keep_newest(base: DataFrame, last: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Like ``replace_matched``, but a base row that is newer by ``order`` stays and its change goes.
 
-    On equal order the change wins.
+    On equal order the change wins. ``last`` holds one row per key, so the base is only filtered
+    against it, never aggregated.
     """
-    both = base.withColumn("_fresh", F.lit(0)).unionByName(changes.withColumn("_fresh", F.lit(1)))
-    return last_row(both, keys, [*order, "_fresh"]).drop("_fresh")
+    ranked = [*keys, *[c for c in order if c not in keys]]
+    newer = (
+        F.struct(*[F.col(f"b.`{c}`") for c in order]) > F.struct(*[F.col(f"c.`{c}`") for c in order])
+        if order else F.lit(False)
+    )
+    same = _on("b", "c", keys)
+    marks = last.select(*[quoted(c) for c in ranked])
+    kept = base.alias("b").join(marks.alias("c"), same & ~newer, "left_anti")
+    contested = base.select(*[quoted(c) for c in ranked]).alias("b").join(marks.alias("c"), same & newer, "left_semi")
+    winners = last.alias("c").join(contested.alias("b"), same, "left_anti")
+    return kept.unionByName(winners)
 
 
 def upsert(base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str] = (), *,
@@ -134,10 +144,10 @@ def upsert(base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequ
 
     change_rows = keyed(changes, keys) if can_be_null(changes, keys) else changes
     base_rows = keyed(base, keys) if can_be_null(base, keys) else base
+    last = last_row(change_rows, keys, order).select(*[quoted(c) for c in brought])
     if newest:
-        merged = keep_newest(base_rows, change_rows.select(*[quoted(c) for c in base.columns]), keys, order)
+        merged = keep_newest(base_rows, last, keys, order)
     else:
-        last = last_row(change_rows, keys, order).select(*[quoted(c) for c in brought])
         merged = (update_matched if partial else replace_matched)(base_rows, last, keys)
 
     if can_be_null(base, keys):

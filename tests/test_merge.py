@@ -139,3 +139,27 @@ def test_hot_key_leaves_each_task_as_one_row(spark):
     plan = last._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan
     assert sorted(tuple(r) for r in last.collect())[0] == (-1, 299997)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_newest_equals_brute_force(spark, seed):
+    rng = random.Random(seed)
+
+    def rows(n):
+        return [(rng.choice([None, 1, 2, 3, 4, 5, 6]), rng.choice("abc"), rng.choice([None, *range(6)])) for _ in range(n)]
+
+    base = list({r[0]: r for r in rows(12) if r[0] is not None}.values()) + [(None, "n", 1)]
+    changes = rows(15)
+    target = {r[0]: r for r in base if r[0] is not None}
+
+    def rank(r):
+        return (r[2] is not None, r[2] or 0)
+
+    loose = [r for r in base + changes if r[0] is None]
+    for r in sorted((c for c in changes if c[0] is not None), key=lambda r: (rank(r), r[1])):
+        if r[0] not in target or rank(r) >= rank(target[r[0]]):
+            target[r[0]] = r
+    schema = "k int, v string, ts int"
+    merged = O.upsert(spark.createDataFrame(base, schema), spark.createDataFrame(changes, schema).repartition(3), ["k"],
+                      ["ts"], newest=True)
+    assert result(merged) == sorted([*target.values(), *loose], key=repr)

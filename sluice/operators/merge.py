@@ -76,41 +76,44 @@ def _on(left: str, right: str, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.`{k}`") == F.col(f"{right}.`{k}`") for k in keys])
 
 
-def replace_matched(base: DataFrame, last: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Base rows without a change, plus every change. ``last`` holds one row per key."""
-    found = last.select(*[quoted(k) for k in keys])
-    kept = base.alias("b").join(found.alias("c"), _on("b", "c", keys), "left_anti")
-    return kept.unionByName(last)
+# Each merge has two parts: rows that come from the base, and rows that are new. Neither ``small``
+# (the caller has measured ``last`` and wants it broadcast) nor a shuffled join changes the result.
 
 
-def update_matched(base: DataFrame, last: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Like ``replace_matched`` for changes that carry only some columns of ``base``.
+def replace_parts(base: DataFrame, last: DataFrame, keys: Sequence[str], *,
+                  small: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Base rows without a change, and every change. ``last`` holds one row per key."""
+    found = _marked(last.select(*[quoted(k) for k in keys]), small)
+    return base.alias("b").join(found.alias("c"), _on("b", "c", keys), "left_anti"), last
+
+
+def update_parts(base: DataFrame, last: DataFrame, keys: Sequence[str], *,
+                 small: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Like ``replace_parts`` for changes that carry only some columns of ``base``.
 
     The missing columns keep their value on a match and are NULL on insert. The choice is made by
     the presence of a match, so a change may still set a column to NULL.
     """
     brought = [c for c in last.columns if c not in keys]
-    marked = last.withColumn("_hit", F.lit(True))
-    joined = base.alias("b").join(marked.alias("c"), _on("b", "c", keys), "left")
+    hits = _marked(last.withColumn("_hit", F.lit(True)), small)
+    joined = base.alias("b").join(hits.alias("c"), _on("b", "c", keys), "left")
     updated = joined.select(*[
         F.when(F.col("c._hit"), F.col(f"c.`{c}`")).otherwise(F.col(f"b.`{c}`")).alias(c)
         if c in brought else F.col(f"b.`{c}`")
         for c in base.columns
     ])
     # keys of the changes that exist already: a key-only scan of the base, reduced before any shuffle
-    base_keys = base.select(*[quoted(k) for k in keys])
-    known = base_keys.alias("b").join(
-        last.select(*[quoted(k) for k in keys]).alias("c"), _on("b", "c", keys), "left_semi"
-    ).distinct()
-    new = last.alias("c").join(known.alias("b"), _on("c", "b", keys), "left_anti")
-    return updated.unionByName(new, allowMissingColumns=True)
+    names = [quoted(k) for k in keys]
+    known = base.select(*names).alias("b").join(
+        _marked(last.select(*names), small).alias("c"), _on("b", "c", keys), "left_semi").distinct()
+    return updated, last.alias("c").join(known.alias("b"), _on("c", "b", keys), "left_anti")
 
 
-def keep_newest(base: DataFrame, last: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Like ``replace_matched``, but a base row that is newer by ``order`` stays and its change goes.
+def newest_parts(base: DataFrame, last: DataFrame, keys: Sequence[str], order: Sequence[str], *,
+                 small: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Like ``replace_parts``, but a base row that is newer by ``order`` stays and its change goes.
 
-    On equal order the change wins. ``last`` holds one row per key, so the base is only filtered
-    against it, never aggregated.
+    On equal order the change wins. The base is only filtered, never aggregated.
     """
     ranked = [*keys, *[c for c in order if c not in keys]]
     newer = (
@@ -118,11 +121,14 @@ def keep_newest(base: DataFrame, last: DataFrame, keys: Sequence[str], order: Se
         if order else F.lit(False)
     )
     same = _on("b", "c", keys)
-    marks = last.select(*[quoted(c) for c in ranked])
+    marks = _marked(last.select(*[quoted(c) for c in ranked]), small)
     kept = base.alias("b").join(marks.alias("c"), same & ~newer, "left_anti")
     contested = base.select(*[quoted(c) for c in ranked]).alias("b").join(marks.alias("c"), same & newer, "left_semi")
-    winners = last.alias("c").join(contested.alias("b"), same, "left_anti")
-    return kept.unionByName(winners)
+    return kept, last.alias("c").join(contested.alias("b"), same, "left_anti")
+
+
+def _marked(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
 
 
 def upsert(base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str] = (), *,
@@ -146,9 +152,10 @@ def upsert(base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequ
     base_rows = keyed(base, keys) if can_be_null(base, keys) else base
     last = last_row(change_rows, keys, order).select(*[quoted(c) for c in brought])
     if newest:
-        merged = keep_newest(base_rows, last, keys, order)
+        kept, new = newest_parts(base_rows, last, keys, order)
     else:
-        merged = (update_matched if partial else replace_matched)(base_rows, last, keys)
+        kept, new = (update_parts if partial else replace_parts)(base_rows, last, keys)
+    merged = kept.unionByName(new, allowMissingColumns=True)
 
     if can_be_null(base, keys):
         merged = merged.unionByName(unkeyed(base, keys))

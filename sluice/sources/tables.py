@@ -20,12 +20,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.filters import quoted
-from ..operators.merge import can_be_null, keep_newest, keyed, last_row, replace_matched, unkeyed, update_matched
+from ..operators.merge import can_be_null, keyed, last_row, newest_parts, replace_parts, unkeyed, update_parts
 from ..schemas import TARGETS
 from .change_files import empty_frame, schema_of
 
@@ -53,16 +54,24 @@ class _State:
 
 
 class Table:
-    """A target table with one key (possibly of several columns, possibly none)."""
+    """A target table with one key (possibly of several columns, possibly none).
+
+    ``buckets`` is fixed when the table is first written. A batch of at most ``broadcast_bytes`` (as
+    stored) is broadcast, and the rows it leaves alone are then written without a shuffle; that adds
+    a file or so per bucket, so every ``compact_every``-th version shuffles them into whole files.
+    """
 
     def __init__(self, spark: SparkSession, path: str, schema: str | T.StructType, keys: Sequence[str] = (), *,
-                 buckets: int = 16, bucket: Callable[..., Column] | None = None):
+                 buckets: int = 16, bucket: Callable[..., Column] | None = None,
+                 broadcast_bytes: int = 32 << 20, compact_every: int = 8):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema_of(schema)
         self.keys = list(keys)
         self.buckets = buckets if bucket is None else 0
         self._bucket = bucket or hash_buckets(buckets)
+        self.broadcast_bytes = broadcast_bytes
+        self.compact_every = compact_every
 
     @classmethod
     def target(cls, spark: SparkSession, base: str, name: str, **options) -> Table:
@@ -73,14 +82,17 @@ class Table:
     # -- state ---------------------------------------------------------------------------------
 
     def _log(self) -> DataFrame:
-        path = f"{self.path}/log"
-        if not self._exists(path):
-            return empty_frame(self.spark, _LOG)
-        return self.spark.read.schema(_LOG).json(path)
-
-    def _exists(self, path: str) -> bool:
-        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return jvm_path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(jvm_path)
+        try:
+            return self.spark.read.schema(_LOG).json(f"{self.path}/log")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":  # nothing was ever written
+                return empty_frame(self.spark, _LOG)
+            raise
+
+    def _size(self, path: str) -> int:
+        """Bytes of the files below a folder; reads names and lengths only."""
+        files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+        return files.agg(F.sum("length")).first()[0] or 0
 
     def _state(self, batch_id: str | None = None) -> _State:
         """What the log says, reduced by Spark to one line per bucket ever written."""
@@ -135,8 +147,11 @@ class Table:
         return rows.withColumn(BUCKET, self._bucket(*[quoted(k) for k in self.keys]))
 
     def _write(self, rows: DataFrame, path: str) -> None:
+        rows.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+
+    def _write_compact(self, rows: DataFrame, path: str) -> None:
         # rebalance: one shuffle that adaptive execution joins (small buckets) or splits (big ones)
-        rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        self._write(self._bucketed(rows).hint("rebalance", BUCKET), path)
 
     def _write_loose(self, rows: DataFrame, path: str, mode: str) -> None:
         rows.withColumn(BUCKET, F.lit(LOOSE)).write.mode(mode).partitionBy(BUCKET).parquet(path)
@@ -146,8 +161,6 @@ class Table:
 
     def _written(self, path: str) -> list[int]:
         """Buckets below a folder: a scan that reads no data column."""
-        if not self._exists(f"{path}/_SUCCESS"):
-            return []
         columns = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
         return self._buckets_of(self.spark.read.schema(columns).parquet(path))
 
@@ -199,13 +212,19 @@ class Table:
         buckets = self._buckets_of(self._bucketed(staged))
         if buckets:
             base = self._scan({b: state.live[b] for b in buckets if b in state.live})
+            small = self._size(staged_path) <= self.broadcast_bytes
             if newest:
-                merged = keep_newest(base, staged, self.keys, order)
+                kept, new = newest_parts(base, staged, self.keys, order, small=small)
             elif partial:
-                merged = update_matched(base, staged, self.keys)
+                kept, new = update_parts(base, staged, self.keys, small=small)
+            else:
+                kept, new = replace_parts(base, staged, self.keys, small=small)
+            if small and version % self.compact_every:
+                # kept rows stay in the tasks that read them, and these read few buckets each
+                tail = self._bucketed(self._aligned(new)).hint("rebalance", BUCKET)
+                self._write(self._bucketed(kept).unionByName(tail), data_path)
             else:
-                merged = replace_matched(base, staged, self.keys)
-            self._write(self._bucketed(merged), data_path)
+                self._write_compact(kept.unionByName(new, allowMissingColumns=True), data_path)
         if null_keys == "insert" and loose.get["rows"]:
             self._write_loose(self._aligned(unkeyed(changes, self.keys)), data_path,
                               "append" if buckets else "overwrite")
@@ -228,7 +247,7 @@ class Table:
         path = f"{self.path}/data/version={version}"
         rows = self._aligned(rows)
         if self.keys:
-            self._write(self._bucketed(keyed(rows, self.keys)), path)
+            self._write_compact(keyed(rows, self.keys), path)
             if can_be_null(rows, self.keys):
                 self._write_loose(unkeyed(rows, self.keys), path, "append")
         else:
@@ -242,13 +261,11 @@ class Table:
         """
         state = self._state()
         needed = {v for versions in state.live.values() for v in versions}
-        fs_path = self.spark._jvm.org.apache.hadoop.fs.Path
-        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
         gone = 0
         for v in range(1, state.version + 1):
             for folder in ("staged", "data"):
-                path = fs_path(f"{self.path}/{folder}/version={v}")
-                if folder == "data" and v in needed:
-                    continue
-                gone += bool(path.getFileSystem(conf).delete(path, True))
+                if folder == "staged" or v not in needed:
+                    at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}/version={v}")
+                    files = at.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+                    gone += bool(files.delete(at, True))
         return gone

@@ -122,3 +122,30 @@ def test_untouched_versions_are_read_as_one_folder(spark, folder):
     t.upsert(frame(spark, [(3, "x", "y", 1), (None, "n", "n", 1)]), ["o"])
     assert t._state().whole == [2]
     assert t.read().count() == 51
+
+
+@pytest.mark.parametrize("options", [{"broadcast_bytes": 0}, {"compact_every": 1}, {}])
+def test_ways_of_writing_agree(spark, folder, options):
+    t = Table(spark, folder, SCHEMA, ["k"], buckets=3, **options)
+    full, partial = {}, "k bigint, w string, o int"
+    for i in range(4):
+        rows = [(j, f"v{i}", f"w{j}", 1) for j in range(i, i + 6)]
+        t.upsert(frame(spark, rows), ["o"])
+        full.update({r[0]: [r[1], r[2]] for r in rows})
+    t.upsert(spark.createDataFrame([(2, "only w", 1), (90, "new", 1)], partial), ["o"])
+    full[2][1] = "only w"
+    full[90] = [None, "new"]
+    assert rows_of(t) == sorted(((k, *v) for k, v in full.items()), key=repr)
+
+
+def test_small_batches_do_not_shuffle_the_kept_rows(spark, folder, monkeypatch):
+    t = Table(spark, folder, SCHEMA, ["k"], buckets=2)
+    t.upsert(spark.range(1000).select(F.col("id").alias("k"), F.lit("a").alias("v"), F.lit("b").alias("w")))
+    seen = []
+    write = Table._write
+    monkeypatch.setattr(Table, "_write", lambda self, rows, path: (
+        seen.append(rows._jdf.queryExecution().executedPlan().toString()), write(self, rows, path)))
+    t.upsert(frame(spark, [(5, "n", "n", 1)]), ["o"])
+    assert "BroadcastHashJoin" in seen[0] and "LeftAnti" in seen[0]
+    assert seen[0].count("Exchange hashpartitioning") == 1 and "REBALANCE_PARTITIONS_BY_COL" in seen[0]  # the new rows
+    assert t.read().count() == 1000

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.nested import descriptions, get_or, people_json, programme_list
-from ..functions.terms import catalogue_term, description_year
 from ..functions.text import code_part, joined_key, room_name, teacher, timeedit_id
 from ..functions.times import whole_number
 from ..operators.filters import (
@@ -35,7 +34,7 @@ from ..operators.nested import (
     summaries_nested,
 )
 from ..schemas import CHANGE_FILES, PAGES, TARGETS
-from ..sources.change_files import ARRIVAL, read_changes
+from ..sources.change_files import ARRIVAL, read_changes, read_mixed
 from ..sources.control import control_table, get_watermark, set_watermark
 from ..sources.pages import page_nodes, read_nodes, read_pages
 from ..sources.snapshots import write_snapshot
@@ -228,37 +227,32 @@ def page_view_rows(nodes: DataFrame) -> DataFrame:
         F.col(f"node.{c}").alias(c) for c in ("visited_at", "visited_url", "asset_readable_category")], "user_id")
 
 
-def catalogue_request(as_of: dt.datetime) -> dict[str, object]:
-    """Year, term code and description year that select the course catalogue at a date."""
-    return {
-        "year": F.year(F.lit(as_of.date())),
-        "term": catalogue_term(F.lit(as_of.date())),
-        "description_year": description_year(F.lit(as_of.date())),
-    }
-
-
 # -- jobs -----------------------------------------------------------------------------------------
 
 
 class Jobs:
     """The table jobs over one folder of target tables, at one reference date.
 
-    ``lines`` tells that pages were landed as JSON lines, one page per line.
+    ``lines`` tells that pages were landed as JSON lines, one page per line; ``mixed_headers`` that
+    the change files of a set need not have the same columns in the same order.
     """
 
-    def __init__(self, spark: SparkSession, base: str, as_of: dt.datetime, *, buckets: int = 16, lines: bool = False):
+    def __init__(self, spark: SparkSession, base: str, as_of: dt.datetime, *, buckets: int = 16, lines: bool = False,
+                 mixed_headers: bool = False):
         self.spark = spark
         self.base = base.rstrip("/")
         self.as_of = as_of
         self.buckets = buckets
         self.lines = lines
+        self.mixed_headers = mixed_headers
         self.control = control_table(spark, base)
 
     def table(self, name: str) -> Table:
         return Table.target(self.spark, self.base, name, buckets=self.buckets)
 
     def changes(self, kind: str, paths: Paths) -> DataFrame:
-        return read_changes(self.spark, paths, CHANGE_FILES[kind], with_arrival=True)
+        read = read_mixed if self.mixed_headers else read_changes
+        return read(self.spark, paths, CHANGE_FILES[kind], with_arrival=True)
 
     def _nodes(self, kind: str, paths: Paths, keep: Sequence[str] = ()) -> DataFrame:
         return read_nodes(self.spark, paths, kind, keep=keep, lines=self.lines)
@@ -314,7 +308,7 @@ class Jobs:
 
     def snapshot(self, kind: str, paths: Paths, until: dt.datetime, snapshots: str) -> str:
         """Dated copy of a slice of one change-file table."""
-        rows = read_changes(self.spark, paths, CHANGE_FILES[kind])
+        rows = self.changes(kind, paths).drop(ARRIVAL)
         written = write_snapshot(rows, f"{snapshots}/{kind}", until)
         set_watermark(self.control, kind, until)
         return written

@@ -83,7 +83,8 @@ def read_changes(spark: SparkSession, paths: str | Sequence[str], schema: str |
     return rows.select(*columns, *([arrival()] if with_arrival else []))
 
 
-def read_mixed(spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType) -> DataFrame:
+def read_mixed(spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType, *,
+               with_arrival: bool = False) -> DataFrame:
     """Like ``read_changes`` for files of one table whose headers differ in order or extent.
 
     The files are grouped by header first (a scan that keeps one line per file), then each group is
@@ -92,26 +93,28 @@ def read_mixed(spark: SparkSession, paths: str | Sequence[str], schema: str | T.
     """
     kind = schema_of(schema)
     listed = [paths] if isinstance(paths, str) else list(paths)
-    if not listed:
-        return empty_frame(spark, kind)
-    # the header is the first line of the split that starts a file
-    heads = (
-        spark.read.text(listed)
-        .filter(F.col("_metadata.file_block_start") == 0)
-        .select("value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"))
-        .groupBy("path")
-        .agg(F.min_by("value", "at").alias("header"))
-        .groupBy("header")
-        .agg(F.collect_list("path").alias("paths"))
-    )
     frames = []
-    # one entry per distinct header; the paths are what the scan has to list on the driver anyway
-    for row in heads.collect():
-        names = [n.strip().strip('"') for n in row["header"].split(",")]
-        known = [quoted(n) for n in names if n in kind.names]
-        frames.append(_reader(spark).schema(_typed(names, kind)).csv(row["paths"]).select(*known))
+    if listed:
+        # the header is the first line of the split that starts a file
+        heads = (
+            spark.read.text(listed)
+            .filter(F.col("_metadata.file_block_start") == 0)
+            .select("value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"))
+            .groupBy("path")
+            .agg(F.min_by("value", "at").alias("header"))
+            .groupBy("header")
+            .agg(F.collect_list("path").alias("paths"))
+        )
+        # one entry per distinct header; the paths are what the scan has to list on the driver anyway
+        for row in heads.collect():
+            names = [n.strip().strip('"') for n in row["header"].split(",")]
+            rows = _reader(spark).schema(_typed(names, kind)).csv(row["paths"])
+            known = [quoted(n) for n in names if n in kind.names]
+            frames.append(rows.select(*known, *([arrival()] if with_arrival else [])))
     everything = union_frames([empty_frame(spark, kind), *frames])
-    return everything.select(*[quoted(n) for n in kind.names])
+    if with_arrival and not frames:
+        everything = everything.withColumn(ARRIVAL, F.lit(None).cast("string"))
+    return everything.select(*[quoted(n) for n in kind.names], *([ARRIVAL] if with_arrival else []))
 
 
 def write_changes(df: DataFrame, path: str) -> None:

@@ -20,7 +20,6 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,13 +80,16 @@ class Table:
 
     # -- state ---------------------------------------------------------------------------------
 
+    def _at(self, path: str):
+        """A path and its file system, as Hadoop sees them."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at, at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
     def _log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(_LOG).json(f"{self.path}/log")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":  # nothing was ever written
-                return empty_frame(self.spark, _LOG)
-            raise
+        at, files = self._at(f"{self.path}/log")
+        if not files.exists(at):
+            return empty_frame(self.spark, _LOG)
+        return self.spark.read.schema(_LOG).json(f"{self.path}/log")
 
     def _size(self, path: str) -> int:
         """Bytes of the files below a folder; reads names and lengths only."""
@@ -265,7 +267,6 @@ class Table:
         for v in range(1, state.version + 1):
             for folder in ("staged", "data"):
                 if folder == "staged" or v not in needed:
-                    at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}/version={v}")
-                    files = at.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+                    at, files = self._at(f"{self.path}/{folder}/version={v}")
                     gone += bool(files.delete(at, True))
         return gone

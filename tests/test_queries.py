@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, on the smallest tables."""
+"""Every registered query against its SQL, on the smallest tables, and what its plan must not hold."""
 
 import math
 import os
@@ -34,6 +34,9 @@ def normal(names, rows):
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_equals_sql(spark, db, name):
     frame = entry.queries()[name](spark, SF)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan
     ours = frame.collect()
     cursor = db.execute(entry.oracle_sql()[name])
     names = [d[0] for d in cursor.description]

@@ -90,7 +90,7 @@ def test_reload_and_append(spark, folder):
     assert rows_of(t) == [("a",)] * 4
     t.reload(t.read().limit(1))
     assert rows_of(t) == [("a",)]
-    t.append(names)
+    assert t.append(names, batch_id="n") and not t.append(names, batch_id="n")
     assert rows_of(t) == [("a",)] * 3
     t.reload(names.limit(0))
     assert rows_of(t) == []
@@ -100,6 +100,8 @@ def test_reload_and_append(spark, folder):
     assert rows_of(keyed) == [(7, "g", "g"), (None, "z", "z")]
     with pytest.raises(ValueError):
         keyed.append(frame(spark, []))
+    with pytest.raises(ValueError):
+        t.upsert(names)
 
 
 def test_bucket_count_is_fixed(spark, folder):

@@ -55,7 +55,7 @@ def check_pages(pages: DataFrame, page: Column, *, page_set: Column | None = Non
         (page_set if page_set is not None else F.lit("all")).alias("page_set"),
         page.alias("page"),
         (F.coalesce(~has_next, no) if has_next is not None else no).alias("final"),
-        (F.coalesce(size, F.lit(0)) == 0 if size is not None else no).alias("empty"),
+        (F.coalesce(size, F.lit(0)) <= 0 if size is not None else no).alias("empty"),
         (F.coalesce(failed, no) if failed is not None else no).alias("failed"),
     ).groupBy("page_set", "page").agg(
         F.bool_or("final").alias("final"), F.bool_or("empty").alias("empty"), F.bool_or("failed").alias("failed")

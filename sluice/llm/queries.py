@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, simhash, urls, wordpiece
+from . import bpe, mixing, quality, sharding, simhash, urls, wordpiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +38,50 @@ def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the target weights of their sources."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+# the same in SQL: one row per source with its level, then a running total over each source
+ORACLES["op2_pareto_mix"] = """
+WITH sizes AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+        md5(coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))) AS k
+    FROM documents),
+per_source AS (
+    SELECT source, sum(size)::BIGINT AS source_size, (2 * sum(size))::BIGINT AS cap,
+        [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+    FROM sizes GROUP BY source),
+levels AS (
+    SELECT *, (1.5::DOUBLE * sum(source_size) OVER ()::DOUBLE
+            - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+            / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS level,
+        row_number() OVER o AS place
+    FROM per_source WINDOW o AS (ORDER BY cap::DOUBLE / w, source NULLS LAST)),
+fixed AS (SELECT min(place) AS first_place, min_by(level, place) AS fit_level FROM levels WHERE level * w <= cap),
+targets AS (
+    SELECT source, source_size, CASE WHEN place >= first_place THEN fit_level * w ELSE cap::DOUBLE END AS target
+    FROM levels CROSS JOIN fixed),
+wanted AS (
+    SELECT s.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN least(t.target / t.source_size, 2.0::DOUBLE) ELSE 0::DOUBLE END AS want,
+        (('0x' || substr(k, 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496::DOUBLE AS u
+    FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+rated AS (
+    SELECT *, floor(want) AS sure, CASE WHEN floor(want) < 2 THEN size ELSE 0 END AS free,
+        CASE WHEN want > floor(want) THEN (u / (1 - u)) / ((want - floor(want)) / (1 - (want - floor(want)))) ELSE 'inf'::DOUBLE END AS q
+    FROM wanted),
+ordered AS (
+    SELECT *, coalesce(sum(free) OVER (PARTITION BY source ORDER BY q, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+        sum(sure * size) OVER (PARTITION BY source) AS certain
+    FROM rated)
+SELECT doc_id, size, source_size, target,
+    (size * (sure + CASE WHEN free > 0 AND 2 * before + free <= 2 * (target - certain) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM ordered
+"""
+
+
 @query
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document to token ids and back, as digests."""
@@ -52,6 +96,15 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), keep=["doc_id"])
 
 
+@query
+def op7_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of near equal bytes, neighbours by metadata together."""
+    placed = sharding.kd_shards(table(spark, sf_dir, "documents"), 8)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query
 def op8_simhash_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents by SimHash, two bits apart at most."""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, sharding, simhash, urls, wordpiece
+from . import bpe, lines, mixing, quality, sharding, simhash, substrings, urls, wordpiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -90,6 +90,32 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(ids, path).select("doc_id", *bpe.digests())
 
 
+@query
+def op5_count_min_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without passages of 50 words that a document of smaller id has."""
+    return substrings.deduplicated(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+ORACLES["op5_count_min_windows"] = """
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+starts AS (
+    SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS s FROM docs WHERE len(words) >= 50),
+windows AS (SELECT doc_id, s, md5(array_to_string(words[s : s + 49], ' ')) AS w FROM starts),
+later AS (SELECT doc_id, s FROM (SELECT *, min(doc_id) OVER (PARTITION BY w) AS least FROM windows) WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS at_word FROM later),
+marked AS (
+    SELECT d.doc_id, d.n, d.word, d.len, g.at_word IS NULL AS stays
+    FROM (SELECT doc_id, len(words) AS len, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS n FROM docs) d
+    LEFT JOIN gone g ON g.doc_id = d.doc_id AND g.at_word = d.n),
+kept AS (
+    SELECT doc_id, count(*) FILTER (WHERE NOT stays) AS n_removed, string_agg(word, ' ' ORDER BY n) FILTER (WHERE stays) AS rest
+    FROM marked GROUP BY doc_id)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT AS n_removed,
+    sha256(coalesce(k.rest, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k USING (doc_id)
+"""
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy word-piece counts of every document."""
@@ -112,6 +138,36 @@ def op8_simhash_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
 
 
+@query
+def op9_suffix_array_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without later copies of runs of three or more lines."""
+    kept = lines.deduplicated(table(spark, sf_dir, "documents"), min_lines=3, counts=("n_lines", "n_removed"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op9_suffix_array_lines"] = """
+WITH cut AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS p
+    FROM documents WHERE text IS NOT NULL),
+worded AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS n FROM cut WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+runs AS (
+    SELECT doc_id, n, line || chr(10) || lead(line, 1) OVER o || chr(10) || lead(line, 2) OVER o AS run
+    FROM worded WINDOW o AS (PARTITION BY doc_id ORDER BY n)),
+later AS (
+    SELECT doc_id, n FROM (
+        SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, n) AS copy FROM runs WHERE run IS NOT NULL) WHERE copy > 1),
+gone AS (SELECT DISTINCT doc_id, unnest([n, n + 1, n + 2]) AS n FROM later),
+marked AS (
+    SELECT c.doc_id, c.p, c.line, w.n IS NOT NULL AS worded, g.n IS NOT NULL AS lost
+    FROM cut c LEFT JOIN worded w ON w.doc_id = c.doc_id AND w.p = c.p LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.n = w.n)
+SELECT d.doc_id, coalesce(count(*) FILTER (WHERE worded), 0)::BIGINT AS n_lines,
+    coalesce(count(*) FILTER (WHERE lost), 0)::BIGINT AS n_removed,
+    sha256(coalesce(string_agg(m.line, chr(10) ORDER BY m.p) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM documents d LEFT JOIN marked m USING (doc_id) GROUP BY d.doc_id
+"""
+
+
 @query
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url by rules, and by a classifier where no rule fits."""

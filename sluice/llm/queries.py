@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lines, mixing, quality, sharding, simhash, substrings, urls, wordpiece
+from . import bpe, lines, mixing, quality, sharding, simhash, spherical, substrings, urls, wordpiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,6 +82,12 @@ FROM ordered
 """
 
 
+@query
+def op3_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of a label among all embeddings, cosine 0.98 or more."""
+    return spherical.near_groups(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 @query
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document to token ids and back, as digests."""

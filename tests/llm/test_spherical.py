@@ -1,0 +1,92 @@
+"""Embedding near-dedup against brute force."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from sluice.llm import queries, spherical
+
+
+def brute(rows, threshold):
+    """(id, links, component, kept) of each row, by comparing all."""
+    good = [k for k, (_, v, lab) in enumerate(rows) if lab is not None and v and None not in v and np.isfinite(v).all() and any(v)]
+    root = list(range(len(rows)))
+
+    def top(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    links = [0] * len(rows)
+    for n, i in enumerate(good):
+        for j in good[n + 1:]:
+            (_, v, a), (_, w, b) = rows[i], rows[j]
+            if a == b and len(v) == len(w):
+                x, y = (np.array(u, float) / max(map(abs, u)) for u in (v, w))
+                if x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= threshold:
+                    links[i] += 1
+                    links[j] += 1
+                    root[top(i)] = top(j)
+    least = {}
+    for k, (i, _, _) in enumerate(rows):
+        if i is not None:
+            least[top(k)] = min(i, least.get(top(k), i))
+    out = [(i, links[k], least.get(top(k))) for k, (i, _, _) in enumerate(rows)]
+    return Counter((i, n, c, c == i) for i, n, c in out)
+
+
+def vectors(seed, dim, n):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for k in range(n):
+        if rows and rng.random() < 0.5:
+            base = np.array(rows[rng.integers(len(rows))][1])
+            v = base + rng.standard_normal(len(base)) * np.linalg.norm(base) / np.sqrt(len(base)) * rng.choice([0, 0.05, 0.14, 0.2, 0.3])
+        else:
+            v = rng.standard_normal(dim)
+        rows.append((k, [float(np.float32(x)) for x in v], int(rng.integers(3))))
+    return rows
+
+
+ODD = [
+    (900, None, 1), (901, [], 1), (902, [0.0, -0.0, 0.0], 1), (903, [1.0, None, 0.0], 1), (904, [1.0, float("nan"), 0.0], 1),
+    (905, [float("inf"), 1.0, 0.0], 1), (906, [1.0, 2.0, 3.0], None), (907, [1.0, 2.0, 3.0], None), (908, [1.0, 2.0, 3.0], 5),
+    (908, [1.0, 2.0, 3.0], 5), (None, [2.0, 4.0, 6.0], 5), (None, [7.0], 6), (909, [5.0], 6), (910, [-5.0], 6), (911, [1.0, 0.0], 5),
+    (912, [1.0, -0.0], 5), (913, [1e30, 1e30], 7), (914, [1e-30, 1e-30], 7),
+]
+
+
+@pytest.mark.parametrize("dim,kind", [(16, "float"), (64, "float"), (3, "double")])
+def test_equals_brute_force(spark, dim, kind):
+    rows = vectors(dim, dim, 260) + ODD
+    df = spark.createDataFrame([(*r, "clash") for r in rows], f"vec_id long, embedding array<{kind}>, label int, n_links string").repartition(4)
+    assert Counter(map(tuple, spherical.near_groups(df).collect())) == brute(rows, 0.98)
+    assert spherical.near_groups(df.limit(0)).count() == 0
+
+
+def test_small_tiles(spark, monkeypatch):
+    """A filter with many more vectors than a tile holds gives the same links."""
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal(12)
+    rows = [(k, [float(x) for x in base + rng.standard_normal(12) * 0.08], 1) for k in range(120)] + vectors(8, 12, 60)
+    rows = [(k, v, lab) for k, (_, v, lab) in enumerate(rows)]
+    monkeypatch.setattr(spherical, "TILE", 16)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert Counter(map(tuple, spherical.near_groups(df).collect())) == brute(rows, 0.98)
+
+
+def test_list_decode_finds_all():
+    rng = np.random.default_rng(2)
+    scores = [rng.standard_normal(9) for _ in range(3)]
+    every = (scores[0][:, None, None] + scores[1][None, :, None] + scores[2][None, None, :]).ravel()
+    for least in (-9, 0.5, 2.0, 9):
+        assert sorted(spherical.list_decode(scores, least)) == list(np.flatnonzero(every >= least))
+
+
+def test_registered_query(spark):
+    rows = [(r.vec_id, list(r.embedding), r.label) for r in spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()]
+    got = queries.QUERIES["op3_spherical_caps"](spark, "/root/testdata/sf0.001").collect()
+    assert Counter(map(tuple, got)) == brute(rows, 0.98)

@@ -25,7 +25,7 @@ DOCS = "doc_id long, text string, `N_Words` string, ids string, keep_me int"
 
 
 def frame(spark, texts):
-    return spark.createDataFrame([(i, t, "clash", "clash", i) for i, t in enumerate(texts)], DOCS)
+    return spark.createDataFrame([(i, t, "clash", "clash", i) for i, t in enumerate(texts)], DOCS).coalesce(2)
 
 
 def plain_quality(text):

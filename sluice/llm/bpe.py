@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import re
+from array import array
+from collections.abc import Callable, Iterator
+from functools import cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -18,8 +21,11 @@ from .common import bounded_batches, map_texts
 #: Fixed value: how byte-level vocabularies of this kind cut a text before merging.
 CUT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Entries of a task's cache of encoded pieces, and the longest piece that goes into it.
-CACHE_PIECES, CACHE_CHARS = 100_000, 48
+#: Entries of each of a task's caches of encoded pieces, and the longest piece that goes into one.
+CACHE_PIECES, CACHE_CHARS = 400_000, 48
+#: Ids have at most so many bits; a symbol that was merged into its left neighbour is out.
+ID_BITS = 20
+LAST_ID, OUT = (1 << ID_BITS) - 1, -1
 
 
 def byte_letters() -> dict[str, int]:
@@ -41,6 +47,8 @@ class Vocabulary:
         letters = byte_letters()
         ids = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        if max(len(ids), *self.special.values()) > LAST_ID:
+            raise ValueError("too many ids")
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
             raise ValueError("added tokens that take in their surroundings are not supported")
         self.strings = [b""] * (1 + max([*ids.values(), *self.special.values()]))
@@ -51,74 +59,79 @@ class Vocabulary:
         self.first = [0] * 256
         for letter, byte in letters.items():
             self.first[byte] = ids[letter]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.merges: dict[int, int] = {}
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges.setdefault((ids[left], ids[right]), (rank, ids[left + right]))
+            self.merges.setdefault(ids[left] << ID_BITS | ids[right], rank << ID_BITS | ids[left + right])
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one cut piece.
 
-        The queue holds (rank, place, left id, right id). Symbols form a doubly linked list; merging
-        puts the new id at the left one's place and takes the right one out. An entry whose two ids
-        no longer stand at its place is stale and skipped.
+        The queue holds the merges that can be made, as rank, merged id and place in one number, so
+        that the least rank comes first and of equal ones the leftmost. Symbols form a doubly linked
+        list; merging puts the new id at the left one's place and takes the right one out. An entry
+        is stale, and skipped, if the symbols at its place no longer give its merge.
         """
         ids = [self.first[b] for b in data]
         n = len(ids)
+        bits = n.bit_length()
+        places = (1 << bits) - 1
+        find = self.merges.get
+        queue = [m << bits | i for i in range(n - 1) if (m := find(ids[i] << ID_BITS | ids[i + 1])) is not None]
+        heapify(queue)
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
-        merges = self.merges
-        queue = [(merges[p][0], i, *p) for i in range(n - 1) if (p := (ids[i], ids[i + 1])) in merges]
-        heapify(queue)
         while queue:
-            _, i, left, right = heappop(queue)
+            entry = heappop(queue)
+            i = entry & places
             j = after[i]
-            if ids[i] != left or j >= n or ids[j] != right:
+            if j == n or find(ids[i] << ID_BITS | ids[j]) != entry >> bits:
                 continue
-            ids[i] = merges[left, right][1]
-            ids[j] = -1
+            ids[i] = new = entry >> bits & LAST_ID
+            ids[j] = OUT
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if (p := (ids[i], ids[k])) in merges:
-                    heappush(queue, (merges[p][0], i, *p))
+                if (m := find(new << ID_BITS | ids[k])) is not None:
+                    heappush(queue, m << bits | i)
             h = before[i]
-            if h >= 0 and (p := (ids[h], ids[i])) in merges:
-                heappush(queue, (merges[p][0], h, *p))
-        return [x for x in ids if x >= 0]
+            if h >= 0 and (m := find(ids[h] << ID_BITS | new)) is not None:
+                heappush(queue, m << bits | h)
+        return [x for x in ids if x != OUT]
 
     def decode(self, ids: list[int]) -> str:
         """The text: vocabulary strings one after the other; bytes that are no UTF-8 become U+FFFD."""
         return b"".join([self.strings[i] for i in ids]).decode("utf-8", "replace")
 
 
-class _Pieces(dict):
-    """Ids of a piece as int32 bytes, kept for short ones; emptied when full, so it stays bounded."""
+class _Cache(dict):
+    """What ``find`` gives for a short text, kept; emptied when full, so it stays bounded."""
 
-    def __init__(self, vocabulary: Vocabulary, lead: str):
+    def __init__(self, find: Callable[[str], bytes]):
         super().__init__()
-        self.vocabulary, self.lead, self.cut = vocabulary, lead, regex.compile(CUT)
-
-    def __missing__(self, piece: str) -> bytes:
-        ids: list[int] = []
-        for part in self.cut.findall(self.lead + piece):
-            ids += self.vocabulary.merge(part.encode())
-        found = np.array(ids, "<i4").tobytes()
-        if len(piece) <= CACHE_CHARS:
+        self.find = find
+
+    def __missing__(self, text: str) -> bytes:
+        found = self.find(text)
+        if len(text) <= CACHE_CHARS:
             if len(self) >= CACHE_PIECES:
                 self.clear()
-            self[piece] = found
+            self[text] = found
         return found
 
 
 class Encoder:
-    """Whole texts to ids. Made once per task."""
+    """Whole texts to ids, as int32. Made once per Python worker, so that tasks share its caches."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.plain, self.spaced = _Pieces(vocabulary, ""), _Pieces(vocabulary, " ")
+        cut = regex.compile(CUT)
+        words = _Cache(lambda w: array("i", vocabulary.merge(w.encode())).tobytes())
+        self.plain = lambda piece: b"".join([words[w] for w in cut.findall(piece)])
+        self.spaced = _Cache(lambda piece: self.plain(" " + piece))
         tokens = sorted(vocabulary.special, key=len, reverse=True)
         self.special = vocabulary.special
         self.split = regex.compile("(" + "|".join(map(regex.escape, tokens)) + ")") if tokens else None
+        self.gap = re.compile(r" (?:\s|\Z)")
 
     def part(self, text: str) -> bytes:
         """Ids of a text without special tokens.
@@ -127,35 +140,47 @@ class Encoder:
         apart there; runs of white space stay whole for the pattern.
         """
         pieces = text.split(" ")
-        joined = [pieces[0]]
-        for piece in pieces[1:]:
-            if not piece or piece[0].isspace():
-                joined[-1] += " " + piece
-            else:
-                joined.append(piece)
-        head = self.plain[joined[0]] if joined[0] else b""
-        return head + b"".join([self.spaced[p] for p in joined[1:]])
+        if self.gap.search(text):
+            joined = [pieces[0]]
+            for piece in pieces[1:]:
+                if not piece or piece[0].isspace():
+                    joined[-1] += " " + piece
+                else:
+                    joined.append(piece)
+            pieces = joined
+        spaced = self.spaced
+        return self.plain(pieces[0]) + b"".join([spaced[p] for p in pieces[1:]])
 
     def __call__(self, text: str) -> np.ndarray:
         if self.split is None or not any(t in text for t in self.special):
-            return np.frombuffer(self.part(text), "<i4")
-        found = [np.array([self.special[p]], "<i4").tobytes() if p in self.special else self.part(p)
+            return np.frombuffer(self.part(text), np.int32)
+        found = [array("i", [self.special[p]]).tobytes() if p in self.special else self.part(p)
                  for p in self.split.split(text) if p]
-        return np.frombuffer(b"".join(found), "<i4")
+        return np.frombuffer(b"".join(found), np.int32)
+
+
+@cache
+def vocabulary_of(path: str) -> Vocabulary:
+    return Vocabulary(path)
+
+
+@cache
+def encoder_of(path: str) -> Encoder:
+    return Encoder(vocabulary_of(path))
 
 
 def encode(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, ids: str = "ids") -> DataFrame:
     """The ``keep`` columns (all others by default) and the text's token ids as ``array<int>``.
 
-    The vocabulary is read from ``path`` in each task, which every machine must have. Special tokens
-    written out in a text become their id. Row by row, no shuffle; a task keeps a bounded cache.
+    The vocabulary is read from ``path``, which every machine must have, once in each Python worker. Special tokens
+    written out in a text become their id. Row by row, no shuffle; a worker keeps a bounded cache.
 
     Null and empty texts give an empty array. Texts of any length are encoded whole. Repeated rows
     give repeated rows, an empty table an empty one. A kept column named ``ids`` is replaced.
     """
 
     def start():
-        encoder = Encoder(Vocabulary(path))
+        encoder = encoder_of(path)
 
         def work(texts: list[str | None]) -> list[pa.Array]:
             found = [encoder(t or "") for t in texts]
@@ -176,9 +201,12 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     at = source.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(path)
+        vocabulary = vocabulary_of(path)
         for batch in batches:
-            texts = [None if x is None else vocabulary.decode(x) for x in batch.column(at).to_pylist()]
+            column = batch.column(at)
+            values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_pylist()
+            texts = [vocabulary.decode(values[a:b].tolist()) if known else None
+                     for a, b, known in zip(ends, ends[1:], column.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, text])
 
     return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(text, T.StringType())]))

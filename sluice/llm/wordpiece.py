@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -102,6 +103,12 @@ class _Counts(dict):
 ADDED = T.StructType([T.StructField(c, T.LongType()) for c in ("n_words", "n_unknown", "n_tokens")])
 
 
+@cache
+def counts_of(path: str) -> _Counts:
+    """Made once per Python worker, so that tasks share automaton and cache."""
+    return _Counts(Automaton(*pieces_of(path)))
+
+
 def token_counts(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns (all but the text by default), words, unknown words and tokens of each text.
 
@@ -111,7 +118,7 @@ def token_counts(df: DataFrame, path: str, text: str = "text", keep: list[str] |
     """
 
     def start():
-        counts = _Counts(Automaton(*pieces_of(path)))
+        counts = counts_of(path)
 
         def work(texts: list[str | None]) -> list[pa.Array]:
             rows = []

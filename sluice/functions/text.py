@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def code_part(code: Column, index: int, institution: str = "203") -> Column:
+def code_part(code: Column, index: int, institution: str) -> Column:
     """Part ``index`` of an underscore code such as ``UE_203_ABC100_1_2024_HØST``.
 
     Codes that do not carry the institution mark (or are NULL) give a single blank; a marked code

@@ -38,9 +38,12 @@ def like_column(df: DataFrame, name: str, value) -> Column:
     """``value`` as a literal of exactly the type of ``df[name]``.
 
     Comparing a column with a literal of another type puts a cast around the column, and the
-    filter then no longer reaches the Parquet scan.
+    filter then no longer reaches the Parquet scan. Columns without a zone hold UTC, so a moment
+    with an offset is moved there first.
     """
     kind = df.schema[name].dataType
+    if isinstance(value, dt.datetime) and value.tzinfo and isinstance(kind, T.TimestampNTZType):
+        value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
     if isinstance(value, (dt.datetime, dt.date)) and isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         value = value.isoformat()
     return F.lit(value).cast(kind)

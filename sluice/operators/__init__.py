@@ -16,7 +16,7 @@ from .filters import (
     valid_bigint,
 )
 from .joins import in_active_terms, legacy_calendar, lookup, of_courses, recent_users, rows_per_course
-from .merge import last_row, newest_parts, replace_parts, update_parts, upsert
+from .merge import last_row, merge_last, upsert
 from .nested import (
     course_enrollments,
     course_programmes,
@@ -32,7 +32,7 @@ from .sets import top_rows, union_frames
 __all__ = [
     "accepted", "active_by_code", "active_terms", "checked", "course_enrollments", "course_programmes",
     "exclude_text", "fill_text", "flatten", "in_active_terms", "last_row", "legacy_calendar",
-    "lookup", "module_items", "newest_parts", "of_courses", "pivot_last", "plain", "quarantined", "quoted", "recent_active_events", "recent_users",
-    "replace_parts", "rows_per_course", "semester_of", "since", "still_taught", "summaries_flat",
-    "summaries_nested", "top_rows", "union_frames", "update_parts", "upsert", "valid_bigint",
+    "lookup", "merge_last", "module_items", "of_courses", "pivot_last", "plain", "quarantined", "quoted", "recent_active_events", "recent_users",
+    "rows_per_course", "semester_of", "since", "still_taught", "summaries_flat",
+    "summaries_nested", "top_rows", "union_frames", "upsert", "valid_bigint",
 ]

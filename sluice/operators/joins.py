@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.terms import legacy_term_end
 from ..functions.times import like_column
 from .filters import quoted
+from .merge import last_row
 
 
 def in_active_terms(courses: DataFrame, terms: DataFrame, course_term: str = "enrollment_term_id",
@@ -49,10 +50,12 @@ def recent_users(users: DataFrame, activity: DataFrame, login_after, active_afte
 def lookup(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Every row with the columns ``ids`` has for its key; unknown and NULL keys keep NULLs.
 
-    Rows without a key skip the join, so they cannot pile up in one partition. ``ids`` must hold
-    one row per key.
+    Rows without a key skip the join, so they cannot pile up in one partition. Of several ids for a
+    key the one that is greatest by its columns, from left to right, counts (NULL lowest), so no row
+    is multiplied; give ``ids`` its deciding column first, or reduce it with ``last_row`` before.
     """
     added = [c for c in ids.columns if c != key]
+    ids = last_row(ids.filter(quoted(key).isNotNull()), [key], added)
     kept = rows
     if rows.schema[key].nullable:
         kept = rows.filter(quoted(key).isNotNull())

@@ -7,9 +7,10 @@ The reference point is a MERGE that runs one row after the other. Set-wise that
 * nothing is ever deleted, and an update also sets columns to NULL.
 
 Scale: the last change of each key is found by a ``max`` over structs, which Spark combines inside
-each map task, so a key holding a third of the batch leaves each task as one row. NULL keys never
-enter a shuffle. The target side is joined by ``left_anti``/``left``, where Spark broadcasts the
-change side when its measured size allows and adaptive execution splits skewed target partitions.
+each map task, so a key holding a third of the batch leaves each task as one row. The base is read
+and shuffled once at most: whole rows are merged by an anti join, where the keys of a small batch are
+broadcast and the base is not shuffled at all, parts of rows by one full outer join. Rows with a NULL in their key match nothing;
+they carry a number of their own beside the key, so they spread over all tasks.
 """
 
 from __future__ import annotations
@@ -48,87 +49,71 @@ def can_be_null(df: DataFrame, keys: Sequence[str]) -> bool:
     return any(df.schema[k].nullable for k in keys)
 
 
+def _best(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """Keys and ``_last``, a struct of the other columns of the greatest row; where in it each is."""
+    rest = [c for c in changes.columns if c not in keys]
+    ranked = list(order) + [c for c in rest if c not in order and _orderable(changes.schema[c].dataType)]
+    rank = F.struct(*[quoted(c).alias(f"r{i}") for i, c in enumerate(ranked)])
+    grouped = changes.groupBy(*[quoted(k) for k in keys])
+    if set(rest) <= set(ranked):
+        # the rank holds every value already
+        return grouped.agg(F.max(rank).alias("_last")), {c: f"r{i}" for i, c in enumerate(ranked)}
+    at = {c: f"v{i}" for i, c in enumerate(rest)}
+    values = F.struct(*[quoted(c).alias(at[c]) for c in rest])
+    return grouped.agg(F.max_by(values, rank).alias("_last")), at
+
+
 def last_row(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the greatest by ``order`` (NULL lowest).
 
     Rows that tie on the whole order are settled by their other columns, so the result does not
-    depend on how the input is partitioned. All keys are expected to be present.
+    depend on how the input is partitioned. NULL groups with NULL.
     """
-    rest = [c for c in changes.columns if c not in keys]
-    if not rest:
+    if all(c in keys for c in changes.columns):
         return changes.distinct()
-    ranked = list(order) + [c for c in rest if c not in order and _orderable(changes.schema[c].dataType)]
-    rank = F.struct(*[quoted(c).alias(f"r{i}") for i, c in enumerate(ranked)])
-    if set(rest) <= set(ranked):
-        # the rank holds every value already
-        at = {c: f"r{i}" for i, c in enumerate(ranked)}
-        best = changes.groupBy(*[quoted(k) for k in keys]).agg(F.max(rank).alias("_last"))
-    else:
-        at = {c: f"v{i}" for i, c in enumerate(rest)}
-        values = F.struct(*[quoted(c).alias(at[c]) for c in rest])
-        best = changes.groupBy(*[quoted(k) for k in keys]).agg(F.max_by(values, rank).alias("_last"))
-    return best.select(*[
-        quoted(c) if c in keys else F.col("_last")[at[c]].alias(c) for c in changes.columns
-    ])
+    best, at = _best(changes, keys, order)
+    return best.select(*[quoted(c) if c in keys else F.col("_last")[at[c]].alias(c) for c in changes.columns])
 
 
 def _on(left: str, right: str, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.`{k}`") == F.col(f"{right}.`{k}`") for k in keys])
 
 
-# Each merge has two parts: rows that come from the base, and rows that are new. Neither ``small``
-# (the caller has measured ``last`` and wants it broadcast) nor a shuffled join changes the result.
+APART = "_apart"
 
 
-def replace_parts(base: DataFrame, last: DataFrame, keys: Sequence[str], *,
-                  small: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Base rows without a change, and every change. ``last`` holds one row per key."""
-    found = _marked(last.select(*[quoted(k) for k in keys]), small)
-    return base.alias("b").join(found.alias("c"), _on("b", "c", keys), "left_anti"), last
+def apart(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds a number that is 0 for rows with a key and differs for all rows without one, so that
+    grouping and joining by key and number leaves the latter alone and deals them out evenly."""
+    loose = reduce(lambda a, b: a | b, [quoted(k).isNull() for k in keys])
+    return df.withColumn(APART, F.when(loose, F.monotonically_increasing_id() + 1).otherwise(F.lit(0).cast("bigint")))
 
 
-def update_parts(base: DataFrame, last: DataFrame, keys: Sequence[str], *,
-                 small: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Like ``replace_parts`` for changes that carry only some columns of ``base``.
+def merge_last(base: DataFrame, last: DataFrame, keys: Sequence[str], order: Sequence[str] = (), *,
+               newest: bool = False) -> DataFrame:
+    """``base`` after one full outer join with ``last``, which holds one row per key.
 
-    The missing columns keep their value on a match and are NULL on insert. The choice is made by
-    the presence of a match, so a change may still set a column to NULL.
-    """
-    brought = [c for c in last.columns if c not in keys]
-    hits = _marked(last.withColumn("_hit", F.lit(True)), small)
-    joined = base.alias("b").join(hits.alias("c"), _on("b", "c", keys), "left")
-    updated = joined.select(*[
-        F.when(F.col("c._hit"), F.col(f"c.`{c}`")).otherwise(F.col(f"b.`{c}`")).alias(c)
-        if c in brought else F.col(f"b.`{c}`")
-        for c in base.columns
-    ])
-    # keys of the changes that exist already: a key-only scan of the base, reduced before any shuffle
-    names = [quoted(k) for k in keys]
-    known = base.select(*names).alias("b").join(
-        _marked(last.select(*names), small).alias("c"), _on("b", "c", keys), "left_semi").distinct()
-    return updated, last.alias("c").join(known.alias("b"), _on("c", "b", keys), "left_anti")
-
-
-def newest_parts(base: DataFrame, last: DataFrame, keys: Sequence[str], order: Sequence[str], *,
-                 small: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Like ``replace_parts``, but a base row that is newer by ``order`` stays and its change goes.
-
-    On equal order the change wins. The base is only filtered, never aggregated.
+    Both sides carry ``apart`` numbers. Columns that ``last`` lacks keep their value on a match and
+    are NULL on insert. Whether a change applies follows from the presence of a match, so it may set
+    a column to NULL. With ``newest`` a base row that is greater by ``order`` stays as it is.
     """
-    ranked = [*keys, *[c for c in order if c not in keys]]
-    newer = (
-        F.struct(*[F.col(f"b.`{c}`") for c in order]) > F.struct(*[F.col(f"c.`{c}`") for c in order])
-        if order else F.lit(False)
-    )
-    same = _on("b", "c", keys)
-    marks = _marked(last.select(*[quoted(c) for c in ranked]), small)
-    kept = base.alias("b").join(marks.alias("c"), same & ~newer, "left_anti")
-    contested = base.select(*[quoted(c) for c in ranked]).alias("b").join(marks.alias("c"), same & newer, "left_semi")
-    return kept, last.alias("c").join(contested.alias("b"), same, "left_anti")
+    names = [c for c in base.columns if c != APART]
+    match = _on("b", "c", [*keys, APART])
+    joined = base.withColumn("_old", F.lit(True)).alias("b").join(
+        last.withColumn("_new", F.lit(True)).alias("c"), match, "full_outer")
+    wins = F.coalesce(F.col("c._new"), F.lit(False))
+    if newest and order:
+        older = (F.struct(*[F.col(f"b.`{c}`") for c in order]) > F.struct(*[F.col(f"c.`{c}`") for c in order]))
+        wins = wins & ~(F.coalesce(F.col("b._old"), F.lit(False)) & older)
 
+    def value(c: str) -> Column:
+        if c in keys:
+            return F.coalesce(F.col(f"b.`{c}`"), F.col(f"c.`{c}`"))
+        if c not in last.columns:
+            return F.col(f"b.`{c}`")
+        return F.when(wins, F.col(f"c.`{c}`")).otherwise(F.col(f"b.`{c}`"))
 
-def _marked(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
+    return joined.select(*[value(c).alias(c) for c in names])
 
 
 def upsert(base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str] = (), *,
@@ -144,22 +129,16 @@ def upsert(base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequ
         raise ValueError(f"null_keys must be 'insert' or 'reject', not {null_keys!r}")
     keys = list(keys)
     brought = [c for c in changes.columns if c in base.columns]
-    partial = len(brought) < len(base.columns)
-    if newest and partial:
+    if newest and len(brought) < len(base.columns):
         raise ValueError("newest needs changes with all columns of the target")
-
-    change_rows = keyed(changes, keys) if can_be_null(changes, keys) else changes
-    base_rows = keyed(base, keys) if can_be_null(base, keys) else base
-    last = last_row(change_rows, keys, order).select(*[quoted(c) for c in brought])
-    if newest:
-        kept, new = newest_parts(base_rows, last, keys, order)
-    else:
-        kept, new = (update_parts if partial else replace_parts)(base_rows, last, keys)
-    merged = kept.unionByName(new, allowMissingColumns=True)
-
-    if can_be_null(base, keys):
-        merged = merged.unionByName(unkeyed(base, keys))
-    if null_keys == "insert" and can_be_null(changes, keys):
-        loose = unkeyed(changes, keys).select(*[quoted(c) for c in brought])
-        merged = merged.unionByName(loose, allowMissingColumns=True)
-    return merged.select(*[quoted(c) for c in base.columns])
+    wanted = apart(keyed(changes, keys) if null_keys == "reject" else changes, keys)
+    marked = apart(base, keys)
+    named = [*keys, APART]
+    last = last_row(wanted, named, order).select(*[quoted(c) for c in [*brought, APART]])
+    if newest or len(brought) < len(base.columns) or all(c in named for c in wanted.columns):
+        return merge_last(marked, last, keys, order, newest=newest)
+    # Whole rows: all rows a change hits go, repeated ones too, and all changes come. The anti join can
+    # broadcast the keys of a small batch, so the base is not shuffled; the batch is read twice for it.
+    hits = last.select(*[quoted(k) for k in named]).alias("c")
+    kept = marked.alias("b").join(hits, _on("b", "c", named), "left_anti")
+    return kept.unionByName(last).select(*[quoted(c) for c in base.columns])

@@ -7,7 +7,7 @@ data is in place. Input is whatever has landed: change files or JSON pages.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +16,13 @@ from ..functions.nested import descriptions, get_or, people_json, programme_list
 from ..functions.text import code_part, joined_key, room_name, teacher, timeedit_id
 from ..functions.times import whole_number
 from ..operators.filters import (
+    accepted,
     active_terms,
+    checked,
     exclude_text,
     fill_text,
     plain,
+    quarantined,
     quoted,
     recent_active_events,
     since,
@@ -33,12 +36,13 @@ from ..operators.nested import (
     summaries_flat,
     summaries_nested,
 )
-from ..schemas import CHANGE_FILES, PAGES, TARGETS
-from ..sources.change_files import ARRIVAL, read_changes, read_mixed
-from ..sources.control import control_table, get_watermark, set_watermark
-from ..sources.pages import page_nodes, read_nodes, read_pages
+from ..schemas import CHANGE_FILES, INSTITUTION, PAGES, TARGETS
+from ..session import settled
+from ..sources.change_files import ARRIVAL, CORRUPT, read_texts, schema_of
+from ..sources.control import RunMetrics, control_table, get_watermark, set_watermark
+from ..sources.pages import failed_pages, page_nodes, read_pages
 from ..sources.snapshots import write_snapshot
-from ..sources.tables import Table
+from ..sources.tables import Layout, Table
 
 Paths = str | Sequence[str]
 PLACE = [ARRIVAL, "place"]
@@ -58,12 +62,16 @@ def link_rows(pseudonyms: DataFrame, after: dt.datetime) -> DataFrame:
 
 def new_user_rows(users: DataFrame, links: DataFrame, after: dt.datetime, exclude: str = "student") -> DataFrame:
     """Users created since the watermark (inclusive) whose record does not mention ``exclude``."""
-    new = since(users, "value.created_at", after, inclusive=True)
-    kept = exclude_text(new, exclude, [c for c in users.columns if c != ARRIVAL])
-    ids = kept.select(quoted("key.id").alias("user_id"), quoted("meta.ts").alias("ts"), ARRIVAL)
+    ids = new_users_slice(users, after, exclude).select(quoted("key.id").alias("user_id"), quoted("meta.ts").alias("ts"), ARRIVAL)
     return lookup(ids, links, "user_id")
 
 
+def new_users_slice(users: DataFrame, after: dt.datetime, exclude: str = "student") -> DataFrame:
+    """The whole records of such users."""
+    new = since(users, "value.created_at", after, inclusive=True)
+    return exclude_text(new, exclude, [c for c in users.columns if c != ARRIVAL])
+
+
 def changed_enrollment_rows(changes: DataFrame) -> DataFrame:
     """Enrollments from change files; the registry id is not known there."""
     rows = plain(changes, {
@@ -218,7 +226,7 @@ def course_rows(nodes: DataFrame) -> DataFrame:
     return nodes.select(
         F.col("node.id").alias("course_id"), *[F.col(f"node.{c}").alias(c) for c in same],
         F.col("node.end_at").alias("conclude_at"), *[F.col(f"node.{c}").alias(c) for c in after],
-        code_part(sis_id, 2).alias("emnekode"), code_part(sis_id, 3).alias("versjonskode"), *PLACE,
+        code_part(sis_id, 2, INSTITUTION).alias("emnekode"), code_part(sis_id, 3, INSTITUTION).alias("versjonskode"), *PLACE,
     )
 
 
@@ -230,15 +238,35 @@ def page_view_rows(nodes: DataFrame) -> DataFrame:
 # -- jobs -----------------------------------------------------------------------------------------
 
 
+class IncompletePages(RuntimeError):
+    """A set of landed pages that is not whole."""
+
+
 class Jobs:
     """The table jobs over one folder of target tables, at one reference date.
 
-    ``lines`` tells that pages were landed as JSON lines, one page per line; ``mixed_headers`` that
-    the change files of a set need not have the same columns in the same order.
+    ``lines`` tells that pages were landed as JSON lines, one page per line. Change files of a set
+    are read by their column names; with ``mixed_headers=False`` they must all have the same header,
+    which spares a pass over their first lines. ``layouts`` gives the layout of targets, by name; the
+    others have ``buckets`` hash buckets. The session's time zone must be UTC.
+
+    No landed row is lost. Change rows with a value that cannot be read go to
+    ``<base>/quarantine/<kind>``, with the texts, the file and the columns at fault, and the others
+    are loaded. A page set with a page that is cut off or holds no list fails the job, unless
+    ``failed_pages`` is ``skip``: then such pages go to the quarantine and the others are loaded. Each
+    job appends its seconds and rows to ``<base>/metrics``.
     """
 
     def __init__(self, spark: SparkSession, base: str, as_of: dt.datetime, *, buckets: int = 16, lines: bool = False,
-                 mixed_headers: bool = False):
+                 mixed_headers: bool = True, layouts: Mapping[str, Layout] | None = None, failed_pages: str = "fail"):
+        if failed_pages not in ("fail", "skip"):
+            raise ValueError(f"failed_pages must be 'fail' or 'skip', not {failed_pages!r}")
+        zone = spark.conf.get("spark.sql.session.timeZone")
+        if zone not in ("UTC", "Etc/UTC", "Z", "GMT", "+00:00"):
+            raise ValueError(f"the session's time zone must be UTC, not {zone}")
+        self.layouts = dict(layouts or {})
+        self.failed_pages = failed_pages
+        self.metrics = RunMetrics(spark)
         self.spark = spark
         self.base = base.rstrip("/")
         self.as_of = as_of
@@ -248,24 +276,52 @@ class Jobs:
         self.control = control_table(spark, base)
 
     def table(self, name: str) -> Table:
-        return Table.target(self.spark, self.base, name, buckets=self.buckets)
+        return Table.target(self.spark, self.base, name, buckets=self.buckets, layout=self.layouts.get(name))
+
+    def quarantine(self, kind: str) -> DataFrame:
+        """What was put aside of a kind so far."""
+        return self.spark.read.json(f"{self.base}/quarantine/{kind}")
+
+    def _put_aside(self, kind: str, bad: DataFrame) -> None:
+        bad.write.mode("append").json(f"{self.base}/quarantine/{kind}")
 
     def changes(self, kind: str, paths: Paths) -> DataFrame:
-        read = read_mixed if self.mixed_headers else read_changes
-        return read(self.spark, paths, CHANGE_FILES[kind], with_arrival=True)
+        """The readable rows of change files; the others go to the quarantine. Files are parsed once."""
+        schema = schema_of(CHANGE_FILES[kind])
+        casts = {f.name: f.dataType.simpleString() for f in schema.fields if f.dataType.typeName() != "string"}
+        texts = read_texts(self.spark, paths, schema, mixed=self.mixed_headers)
+        rows = settled(checked(texts, casts), kind)
+        unfit = F.col(CORRUPT).isNotNull()
+        fault = F.when(unfit, F.array(F.lit("record"))).otherwise(F.col("bad_columns"))
+        bad = rows.withColumn("bad_columns", fault).filter(F.size("bad_columns") > 0)
+        if not bad.isEmpty():
+            self._put_aside(kind, quarantined(bad))
+        return accepted(rows.filter(~unfit)).drop(CORRUPT)
+
+    def _pages(self, kind: str, paths: Paths) -> DataFrame:
+        """The pages of a set, parsed once; see the class for those that hold no list."""
+        schema, nodes = PAGES[kind]
+        pages = settled(read_pages(self.spark, paths, schema, lines=self.lines), kind)
+        bad = failed_pages(pages, nodes)
+        found = bad.select(F.col(f"{ARRIVAL}.file").alias("file"), "reason").limit(20).collect()
+        if found and self.failed_pages == "fail":
+            raise IncompletePages(f"{kind}: " + "; ".join(f"{r['file']}: {r['reason']}" for r in found))
+        if found:
+            self._put_aside(kind, bad.select(F.col(ARRIVAL), "reason", CORRUPT))
+        return pages
 
     def _nodes(self, kind: str, paths: Paths, keep: Sequence[str] = ()) -> DataFrame:
-        return read_nodes(self.spark, paths, kind, keep=keep, lines=self.lines)
+        return page_nodes(self._pages(kind, paths), PAGES[kind][1], [*keep, ARRIVAL])
 
     def _course_nodes(self, kind: str, paths: Paths) -> DataFrame:
         """Records of the running courses; whole pages are selected before they are unfolded."""
-        schema, nodes = PAGES[kind]
-        pages = read_pages(self.spark, paths, schema, lines=self.lines)
-        return page_nodes(of_courses(pages, self._running()), nodes, ["course_id", ARRIVAL])
+        return page_nodes(of_courses(self._pages(kind, paths), self._running()), PAGES[kind][1], ["course_id", ARRIVAL])
 
     def _merge(self, name: str, rows: DataFrame, order: Sequence[str], **options) -> Table:
         table = self.table(name)
-        table.upsert(rows, order, **options)
+        with self.metrics.stage(name) as stage:
+            table.upsert(stage.watch(rows), order, **options)
+        self.metrics.save(f"{self.base}/metrics")
         return table
 
     def _running(self) -> DataFrame:
@@ -284,21 +340,23 @@ class Jobs:
                   exclude: str = "student") -> Table:
         """New users whose record does not mention ``exclude``; ``links`` gives the registry ids."""
         after = get_watermark(self.control, "users", self.as_of)
-        rows = new_user_rows(self.changes("users", paths), links, after, exclude)
+        changes = self.changes("users", paths)
+        rows = new_user_rows(changes, links, after, exclude)
         table = self._merge("user_id_link", rows, ["ts", ARRIVAL], null_keys="reject")
         if snapshots:
-            write_snapshot(rows.select("user_id", "sis_user_id"), f"{snapshots}/users", until)
+            write_snapshot(new_users_slice(changes, after, exclude).drop(ARRIVAL), f"{snapshots}/users", until)
         set_watermark(self.control, "users", until)
         return table
 
     def changed_enrollments(self, paths: Paths, until: dt.datetime, snapshots: str | None = None) -> Table:
-        """All enrollments of the slice; the snapshot holds those created after the watermark."""
+        """All enrollments of the slice; the snapshot holds those created since the watermark."""
         after = get_watermark(self.control, "enrollments", self.as_of)
         changes = self.changes("enrollments", paths)
         table = self._merge("enrollment", changed_enrollment_rows(changes), ["updated_at", ARRIVAL],
                             null_keys="reject")
         if snapshots:
-            write_snapshot(since(changes, "value.created_at", after).drop(ARRIVAL), f"{snapshots}/enrollments", until)
+            new = since(changes, "value.created_at", after, inclusive=True)
+            write_snapshot(new.drop(ARRIVAL), f"{snapshots}/enrollments", until)
         set_watermark(self.control, "enrollments", until)
         return table
 
@@ -307,8 +365,8 @@ class Jobs:
         return self._merge("timetable", rows, [ARRIVAL], null_keys="reject")
 
     def snapshot(self, kind: str, paths: Paths, until: dt.datetime, snapshots: str) -> str:
-        """Dated copy of a slice of one change-file table."""
-        rows = self.changes(kind, paths).drop(ARRIVAL)
+        """Dated copy of a slice of one change-file table, every value as it arrived."""
+        rows = read_texts(self.spark, paths, CHANGE_FILES[kind], mixed=self.mixed_headers).drop(ARRIVAL, CORRUPT)
         written = write_snapshot(rows, f"{snapshots}/{kind}", until)
         set_watermark(self.control, kind, until)
         return written
@@ -339,10 +397,11 @@ class Jobs:
             self.table("user").read(), self.table("enrollment").read(),
             self.as_of - dt.timedelta(days=login_days), self.as_of - dt.timedelta(days=active_days),
         )
-        schema, nodes = PAGES["page_views"]
-        pages = read_pages(self.spark, paths, schema, lines=self.lines).join(recent, "user_id", "left_semi")
+        pages = self._pages("page_views", paths).join(recent, "user_id", "left_semi")
         table = self.table("history")
-        table.reload(page_view_rows(page_nodes(pages, nodes, ["user_id"])))
+        with self.metrics.stage("history") as stage:
+            table.reload(stage.watch(page_view_rows(page_nodes(pages, PAGES["page_views"][1], ["user_id"]))))
+        self.metrics.save(f"{self.base}/metrics")
         return table
 
     # registry pages

@@ -15,6 +15,9 @@ def _ddl(text: str) -> str:
     return ", ".join(f"`{name}` {kind.strip()}" for name, kind in fields)
 
 
+#: Fixed value: the mark of the institution in its codes.
+INSTITUTION = "203"
+
 # Fixed formats: columns of the change files, in file order.
 CHANGE_FILES: dict[str, str] = {
     "enrollments": _ddl("""

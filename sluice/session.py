@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +22,12 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
+    return _own_dir(spark.sparkContext.applicationId)
+
+
+@cache
+def _own_dir(application: str) -> str:
+    """One temporary folder for all that a local application without a named folder writes."""
     return tempfile.mkdtemp(prefix="sluice-")
 
 

@@ -2,12 +2,12 @@
 
 from .change_files import read_changes, read_columns, read_mixed, write_changes
 from .control import RunMetrics, control_table, get_watermark, set_watermark, watermarks_or_default
-from .pages import check_pages, page_nodes, read_nodes, read_pages
+from .pages import check_pages, failed_pages, page_nodes, read_nodes, read_pages
 from .snapshots import read_snapshot, snapshot_path, write_snapshot
-from .tables import Table, hash_buckets, id_ranges
+from .tables import Layout, Table, hash_buckets, id_ranges
 
 __all__ = [
-    "RunMetrics", "Table", "check_pages", "control_table", "get_watermark", "hash_buckets", "id_ranges",
+    "Layout", "RunMetrics", "Table", "check_pages", "control_table", "failed_pages", "get_watermark", "hash_buckets", "id_ranges",
     "page_nodes", "read_changes", "read_columns", "read_mixed", "read_nodes", "read_pages", "read_snapshot",
     "set_watermark", "snapshot_path", "watermarks_or_default", "write_changes", "write_snapshot",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -56,7 +57,8 @@ def _header(spark: SparkSession, paths: Sequence[str]) -> list[str]:
 
 def _typed(names: Sequence[str], kind: T.StructType) -> T.StructType:
     known = {f.name: f for f in kind.fields}
-    return T.StructType([known.get(n, T.StructField(n, T.StringType())) for n in names])
+    fields = [known.get(n, T.StructField(n, T.StringType())) for n in names]
+    return T.StructType([*fields, *([known[CORRUPT]] if CORRUPT in known else [])])
 
 
 def read_changes(spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType, *,
@@ -79,10 +81,26 @@ def read_changes(spark: SparkSession, paths: str | Sequence[str], schema: str |
         empty = empty_frame(spark, kind)
         return empty.withColumn(ARRIVAL, F.lit(None).cast("string")) if with_arrival else empty
     rows = _reader(spark, splittable).schema(_typed(names, kind)).csv(listed)
-    columns = [quoted(f.name) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in kind.fields]
+    found = {*names, CORRUPT}
+    columns = [quoted(f.name) if f.name in found else F.lit(None).cast(f.dataType).alias(f.name) for f in kind.fields]
     return rows.select(*columns, *([arrival()] if with_arrival else []))
 
 
+#: Holds a record whose fields do not fit the header.
+CORRUPT = "_corrupt_record"
+
+
+def read_texts(spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType, *,
+               mixed: bool = True) -> DataFrame:
+    """The columns of a schema as the texts that arrived, with ``arrival`` and ``CORRUPT``.
+
+    For callers that must lose no row: ``checked`` casts the texts and tells what did not fit.
+    """
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema_of(schema).fields])
+    texts = texts.add(CORRUPT, T.StringType())
+    return (read_mixed if mixed else read_changes)(spark, paths, texts, with_arrival=True)
+
+
 def read_mixed(spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType, *,
                with_arrival: bool = False) -> DataFrame:
     """Like ``read_changes`` for files of one table whose headers differ in order or extent.
@@ -107,9 +125,9 @@ def read_mixed(spark: SparkSession, paths: str | Sequence[str], schema: str | T.
         )
         # one entry per distinct header; the paths are what the scan has to list on the driver anyway
         for row in heads.collect():
-            names = [n.strip().strip('"') for n in row["header"].split(",")]
+            names = next(csv.reader([row["header"]], skipinitialspace=True))
             rows = _reader(spark).schema(_typed(names, kind)).csv(row["paths"])
-            known = [quoted(n) for n in names if n in kind.names]
+            known = [quoted(n) for n in [*names, CORRUPT] if n in kind.names]
             frames.append(rows.select(*known, *([arrival()] if with_arrival else [])))
     everything = union_frames([empty_frame(spark, kind), *frames])
     if with_arrival and not frames:

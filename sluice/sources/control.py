@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import time
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from ..functions.times import yesterday
 from .tables import Table
 
+#: Seconds that a count may take to reach the driver after the action that made it.
+GRACE_S = 2.0
 METRICS = "stage string, seconds double, rows bigint"
 
 
@@ -50,31 +53,52 @@ class RunMetrics:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.lines: list[tuple[str, float, int | None]] = []
+        self._saved = 0
 
     @contextmanager
     def stage(self, name: str) -> Iterator[_Stage]:
         started = time.perf_counter()
         stage = _Stage(name)
         yield stage
-        self.lines.append((name, time.perf_counter() - started, stage.rows()))
+        seconds = time.perf_counter() - started
+        self.lines.append((name, seconds, stage.rows()))
 
     def frame(self) -> DataFrame:
         return self.spark.createDataFrame(self.lines, METRICS)
 
     def save(self, path: str) -> None:
-        """Append to the metrics table; one line per stage."""
-        self.frame().coalesce(1).write.mode("append").option("header", True).csv(path)
+        """Append the stages that are not saved yet to the metrics table; one line per stage."""
+        new = self.lines[self._saved:]
+        self._saved = len(self.lines)
+        if new:
+            self.spark.createDataFrame(new, METRICS).coalesce(1).write.mode("append").option("header", True).csv(path)
 
 
 class _Stage:
     def __init__(self, name: str):
         self._name = name
         self._seen: Observation | None = None
+        self._given: int | None = None
 
     def watch(self, df: DataFrame, *more: Column) -> DataFrame:
         """The same rows, counted by the action that consumes them."""
         self._seen = Observation(self._name)
         return df.observe(self._seen, F.count(F.lit(1)).alias("rows"), *more)
 
+    def counted(self, rows: int) -> None:
+        """A count that is known already."""
+        self._given = rows
+
     def rows(self) -> int | None:
-        return self._seen.get["rows"] if self._seen else None
+        """The count, or NULL if no action has consumed the watched rows; it never waits for one.
+
+        Counts reach the driver just after an action, so one that is still on its way is waited for
+        for a moment only.
+        """
+        if self._given is not None or self._seen is None:
+            return self._given
+        got: list[int] = []
+        waiter = threading.Thread(target=lambda: got.append(self._seen.get["rows"]), daemon=True)
+        waiter.start()
+        waiter.join(GRACE_S)
+        return got[0] if got else None

@@ -9,18 +9,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import PAGES
-from .change_files import ARRIVAL, arrival, schema_of
+from .change_files import ARRIVAL, CORRUPT, arrival, schema_of
 
 
 def read_pages(spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType, *,
                lines: bool = False) -> DataFrame:
-    """One row per landed page, with its ``arrival`` among the files.
+    """One row per landed page, with its ``arrival`` among the files and, where it cannot be read,
+    its text in ``CORRUPT``.
 
     With ``lines`` the files hold one page per line and can be split.
     """
     kind = schema_of(schema)
-    pages = spark.read.schema(kind).option("multiLine", not lines).json(paths)
-    return pages.select(*kind.names, arrival())
+    read = T.StructType([*kind.fields, T.StructField(CORRUPT, T.StringType())])
+    pages = spark.read.schema(read).option("multiLine", not lines).option("columnNameOfCorruptRecord", CORRUPT).json(paths)
+    return pages.select(*kind.names, CORRUPT, arrival())
+
+
+def failed_pages(pages: DataFrame, nodes: str) -> DataFrame:
+    """Pages that hold no list: cut-off or unreadable ones (``reason`` is ``unreadable``), and those
+    that hold something else, such as an error (``no list``)."""
+    reason = F.when(F.col(CORRUPT).isNotNull(), "unreadable").when(F.col(nodes).isNull(), "no list")
+    return pages.select("*", reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
 def page_nodes(pages: DataFrame, nodes: str, keep: Sequence[str] = ()) -> DataFrame:

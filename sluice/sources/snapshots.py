@@ -11,15 +11,19 @@ from ..functions.times import stamp_date
 from .change_files import read_changes
 
 
-def snapshot_path(base: str, until: str | dt.datetime, *, whole_stamp: bool = False) -> str:
-    """Folder of a snapshot: named by the date of ``until``, or by the whole stamp."""
+def snapshot_path(base: str, until: str | dt.datetime, *, whole_stamp: bool = True) -> str:
+    """Folder of a snapshot: named by the whole stamp of ``until``, or by its date alone."""
     stamp = until.isoformat() if isinstance(until, dt.datetime) else until
     name = stamp.replace(":", "-") if whole_stamp else stamp_date(stamp)
-    return f"{base}/date={name}"
+    return f"{base}/{'stamp' if whole_stamp else 'date'}={name}"
 
 
-def write_snapshot(df: DataFrame, base: str, until: str | dt.datetime, *, whole_stamp: bool = False) -> str:
-    """Write the rows with a header line; a second run for the same date replaces the first."""
+def write_snapshot(df: DataFrame, base: str, until: str | dt.datetime, *, whole_stamp: bool = True) -> str:
+    """Write the rows with a header line.
+
+    A second run for the same stamp replaces the first; two slices of one date stand side by side.
+    Only with ``whole_stamp=False`` is there one snapshot a date.
+    """
     path = snapshot_path(base, until, whole_stamp=whole_stamp)
     df.write.mode("overwrite").option("header", True).option("escape", '"').option(
         "timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").csv(path)

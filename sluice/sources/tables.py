@@ -1,13 +1,13 @@
-"""Target tables: plain Parquet folders that an upsert can rewrite in part.
+"""Target tables: Parquet folders per partition, and one pointer to the current ones.
 
-    <path>/data/version=<v>/table_bucket=<b>/*.parquet
-    <path>/log/*.json        one line per bucket a version wrote
+    <path>/data/version=<v>/table_bucket=<b>/*.parquet    rows with a key
+    <path>/loose/loose_version=<v>/*.parquet              rows without one; only ever added to
+    <path>/state/version=<v>/                             one line: which folder holds which bucket
 
-A row's bucket follows from its key, so an upsert reads and writes only the buckets its changes fall
-into. It writes them beside the old ones under a new version and then appends to the log: readers
-see the old state until that single small file appears, and a job that dies before leaves nothing
-visible. Rows without a key live in a bucket of their own that only ever grows, so they are never
-read, joined or shuffled again.
+An upsert stages its batch, writes the buckets it falls into beside the old ones, and then switches
+by writing the pointer of the new version: readers see the old state until then, and a job that dies
+before leaves nothing visible. The pointer's size follows the number of buckets, never the number of
+batches; older pointers are removed with each switch.
 
 One writer per table at a time. Where the cluster has a lakehouse format with MERGE, use that
 instead; the operators in ``operators.merge`` do not depend on this module.
@@ -15,62 +15,70 @@ instead; the operators in ``operators.merge`` do not depend on this module.
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
-from functools import reduce
+from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.filters import quoted
-from ..operators.merge import can_be_null, keyed, last_row, newest_parts, replace_parts, unkeyed, update_parts
+from ..operators.merge import APART, apart, keyed, last_row, merge_last, unkeyed
 from ..schemas import TARGETS
 from .change_files import empty_frame, schema_of
 
-BUCKET = "table_bucket"
-LOOSE = -1  # the bucket of rows without a key
-_LOG = "version int, kind string, bucket int, written int, buckets int, batch_id string"
+BUCKET, LOOSE = "table_bucket", "loose_version"
+_STATE = ("version int, layout string, since int, loose boolean, buckets array<struct<bucket: bigint, held: int>>, "
+          "sources array<struct<source: string, number: bigint>>")
 
 
-def hash_buckets(count: int) -> Callable[..., Column]:
+@dataclass(frozen=True)
+class Layout:
+    """How a row's bucket follows from its key; recorded with the table, which refuses another."""
+
+    kind: str
+    size: int
+
+    def bucket(self, *keys: Column) -> Column:
+        if self.kind == "hash":
+            return F.pmod(F.xxhash64(*keys), F.lit(self.size)).cast("bigint")
+        return F.floor(keys[0] / F.lit(self.size)).cast("bigint")
+
+
+def hash_buckets(count: int) -> Layout:
     """Rows spread evenly by key. Choose the count so that a bucket is some gigabytes."""
-    return lambda *keys: F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int")
+    return Layout("hash", count)
 
 
-def id_ranges(width: int) -> Callable[..., Column]:
+def id_ranges(width: int) -> Layout:
     """Ranges of a growing number as first key: changes to young rows then touch few buckets."""
-    return lambda key, *_: F.floor(key / F.lit(width)).cast("int")
+    return Layout("range", width)
 
 
 @dataclass
 class _State:
-    version: int
-    live: dict[int, list[int]]  # bucket to the versions that hold its rows
-    seen: bool
-    whole: list[int]  # versions none of whose buckets was replaced since
+    version: int = 0
+    since: int = 0  # the version of the last reload
+    loose: bool = False
+    held: dict[int, int] = field(default_factory=dict)  # bucket to the version that holds its rows
+    sources: dict[str, int] = field(default_factory=dict)  # the last batch merged from each source
 
 
 class Table:
     """A target table with one key (possibly of several columns, possibly none).
 
-    ``buckets`` is fixed when the table is first written. A batch of at most ``broadcast_bytes`` (as
-    stored) is broadcast, and the rows it leaves alone are then written without a shuffle; that adds
-    a file or so per bucket, so every ``compact_every``-th version shuffles them into whole files.
+    ``layout`` is fixed when the table is first written. A batch rewrites the buckets it falls into
+    and no others, so choose one by which batches fall together.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: str | T.StructType, keys: Sequence[str] = (), *,
-                 buckets: int = 16, bucket: Callable[..., Column] | None = None,
-                 broadcast_bytes: int = 32 << 20, compact_every: int = 8):
+                 buckets: int = 16, layout: Layout | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema_of(schema)
         self.keys = list(keys)
-        self.buckets = buckets if bucket is None else 0
-        self._bucket = bucket or hash_buckets(buckets)
-        self.broadcast_bytes = broadcast_bytes
-        self.compact_every = compact_every
+        self.layout = layout or hash_buckets(buckets)
 
     @classmethod
     def target(cls, spark: SparkSession, base: str, name: str, **options) -> Table:
@@ -80,195 +88,172 @@ class Table:
 
     # -- state ---------------------------------------------------------------------------------
 
-    def _at(self, path: str):
-        """A path and its file system, as Hadoop sees them."""
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return at, at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _log(self) -> DataFrame:
-        at, files = self._at(f"{self.path}/log")
-        if not files.exists(at):
-            return empty_frame(self.spark, _LOG)
-        return self.spark.read.schema(_LOG).json(f"{self.path}/log")
-
-    def _size(self, path: str) -> int:
-        """Bytes of the files below a folder; reads names and lengths only."""
-        files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-        return files.agg(F.sum("length")).first()[0] or 0
-
-    def _state(self, batch_id: str | None = None) -> _State:
-        """What the log says, reduced by Spark to one line per bucket ever written."""
-        reloads = F.when(F.col("kind") == "reload", F.col("version"))
-        lines = self._log().groupBy("bucket").agg(
-            F.max("version").alias("newest"),
-            F.max(reloads).alias("reload"),
-            F.max("buckets").alias("buckets"),
-            F.max_by("written", "version").alias("written"),
-            F.collect_set(F.when(F.col("bucket") == LOOSE, F.col("version"))).alias("all"),
-            F.bool_or(F.col("batch_id").eqNullSafe(batch_id)).alias("seen"),
-        ).collect()
-        state = _State(0, {}, batch_id is not None and any(r["seen"] for r in lines), [])
-        if not lines:
-            return state
-        made_with = max(r["buckets"] for r in lines)
-        if self.keys and made_with != self.buckets:
-            raise ValueError(f"{self.path} has {made_with} buckets, not {self.buckets}")
-        state.version = max(r["newest"] for r in lines)
-        start = max((r["reload"] or 0) for r in lines)
-        for r in lines:
-            versions = r["all"] if r["bucket"] == LOOSE else [r["newest"]]
-            current = sorted(v for v in versions if v >= start)
-            if r["bucket"] is not None and current:
-                state.live[r["bucket"]] = current
-        written = {r["newest"]: r["written"] for r in lines if r["bucket"] is not None}
-        held = Counter(v for versions in state.live.values() for v in versions)
-        state.whole = sorted(v for v, n in held.items() if n == written.get(v))
-        return state
+    def _described(self) -> str:
+        return f"{self.layout.kind}({self.layout.size}) of {', '.join(self.keys)}" if self.keys else "no key"
+
+    def _state(self) -> _State:
+        """The newest pointer: one line, whose lists follow buckets and sources."""
+        try:
+            line = self.spark.read.schema(_STATE).json(f"{self.path}/state").orderBy(F.desc("version")).first()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            line = None
+        if line is None:
+            return _State()
+        if line["layout"] != self._described():
+            raise ValueError(f"{self.path} is laid out by {line['layout']}, not by {self._described()}")
+        return _State(line["version"], line["since"], line["loose"], {x["bucket"]: x["held"] for x in line["buckets"] or ()},
+                      {x["source"]: x["number"] for x in line["sources"] or ()})
+
+    def _delete(self, *folders: str) -> None:
+        """Remove folders below the table that no pointer names."""
+        for folder in folders:
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
+            at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+    def _switch(self, state: _State, loose_written: bool) -> None:
+        """Make a written version the current one."""
+        if not loose_written:  # what a dead job may have left under the same number
+            self._delete(f"loose/{LOOSE}={state.version}")
+        buckets = [(b, v) for b, v in sorted(state.held.items())]
+        sources = sorted(state.sources.items())
+        line = self.spark.createDataFrame(
+            [(state.version, self._described(), state.since, state.loose, buckets, sources)], _STATE)
+        line.coalesce(1).write.mode("overwrite").json(f"{self.path}/state/version={state.version}")
+        self._delete(f"state/version={state.version - 2}", f"staged/version={state.version}")
 
     # -- reading -------------------------------------------------------------------------------
 
-    def _scan(self, live: dict[int, list[int]], whole: Sequence[int] = ()) -> DataFrame:
-        """The given buckets; versions named in ``whole`` are read as one folder."""
+    def _buckets_of(self, held: dict[int, int]) -> DataFrame:
+        """The given buckets, each from the folder that holds it."""
         root = f"{self.path}/data"
-        paths = [f"{root}/version={v}" for v in whole]
-        for b, versions in sorted(live.items()):
-            paths += [f"{root}/version={v}/{BUCKET}={b}" for v in versions if v not in whole]
+        paths = [f"{root}/version={v}/{BUCKET}={b}" for b, v in sorted(held.items())]
         if not paths:
             return empty_frame(self.spark, self.schema)
         rows = self.spark.read.schema(self.schema).option("basePath", root).parquet(*paths)
         return rows.select(*[quoted(c) for c in self.schema.names])
 
+    def _loose_of(self, state: _State) -> DataFrame:
+        """Rows without a key, from the last reload up to the current version."""
+        columns = T.StructType([*self.schema.fields, T.StructField(LOOSE, T.IntegerType())])
+        rows = self.spark.read.schema(columns).parquet(f"{self.path}/loose")
+        return rows.filter(F.col(LOOSE).between(state.since, state.version)).select(*[quoted(c) for c in self.schema.names])
+
     def read(self) -> DataFrame:
-        """The current content, as a plain Parquet scan."""
+        """The current content, as plain Parquet scans."""
         state = self._state()
-        return self._scan(state.live, state.whole)
+        rows = self._buckets_of(state.held)
+        return rows.unionByName(self._loose_of(state)) if state.loose and self.keys else (
+            self._loose_of(state) if state.loose else rows)
 
     # -- writing -------------------------------------------------------------------------------
 
-    def _bucketed(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn(BUCKET, self._bucket(*[quoted(k) for k in self.keys]))
-
-    def _write(self, rows: DataFrame, path: str) -> None:
-        rows.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
-
-    def _write_compact(self, rows: DataFrame, path: str) -> None:
+    def _write_buckets(self, rows: DataFrame, version: int) -> None:
         # rebalance: one shuffle that adaptive execution joins (small buckets) or splits (big ones)
-        self._write(self._bucketed(rows).hint("rebalance", BUCKET), path)
-
-    def _write_loose(self, rows: DataFrame, path: str, mode: str) -> None:
-        rows.withColumn(BUCKET, F.lit(LOOSE)).write.mode(mode).partitionBy(BUCKET).parquet(path)
-
-    def _buckets_of(self, rows: DataFrame) -> list[int]:
-        return sorted(r[0] for r in rows.select(BUCKET).distinct().collect())
+        placed = rows.withColumn(BUCKET, self.layout.bucket(*[quoted(k) for k in self.keys]))
+        placed.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/data/version={version}")
 
-    def _written(self, path: str) -> list[int]:
-        """Buckets below a folder: a scan that reads no data column."""
-        columns = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        return self._buckets_of(self.spark.read.schema(columns).parquet(path))
+    def _write_loose(self, rows: DataFrame, version: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/loose/{LOOSE}={version}")
 
-    def _commit(self, version: int, kind: str, buckets: Sequence[int], batch_id: str | None) -> None:
-        bucket = F.explode(F.lit(list(buckets))) if buckets else F.lit(None).cast("int")
-        line = self.spark.range(1, numPartitions=1).select(
-            F.lit(version).alias("version"), F.lit(kind).alias("kind"), bucket.alias("bucket"),
-            F.lit(len(buckets)).alias("written"), F.lit(self.buckets).alias("buckets"),
-            F.lit(batch_id).cast("string").alias("batch_id"),
-        )
-        line.write.mode("append").json(f"{self.path}/log")
+    def _touched(self, rows: DataFrame) -> list[int]:
+        """Buckets that rows fall into; as many as the layout has at most."""
+        found = rows.select(self.layout.bucket(*[quoted(k) for k in self.keys]).alias(BUCKET)).distinct().collect()
+        return sorted(r[0] for r in found)
 
-    def _aligned(self, rows: DataFrame, partial: bool = False) -> DataFrame:
+    def _aligned(self, rows: DataFrame, partial: bool = False, extra: Sequence[str] = ()) -> DataFrame:
         names = [c for c in self.schema.names if c in rows.columns or not partial]
         return rows.select(*[
             (quoted(c) if c in rows.columns else F.lit(None)).cast(self.schema[c].dataType).alias(c) for c in names
-        ])
+        ], *[quoted(c) for c in extra])
 
-    def upsert(self, changes: DataFrame, order: Sequence[str] = (), *, batch_id: str | None = None,
+    def upsert(self, changes: DataFrame, order: Sequence[str] = (), *, batch: tuple[str, int] | None = None,
                null_keys: str = "insert", newest: bool = False) -> bool:
-        """Merge a batch; see ``operators.upsert``. False when ``batch_id`` was merged before.
+        """Merge a batch; see ``operators.upsert``.
 
+        ``batch`` names the source of the batch and its number there. Numbers of a source rise; one
+        that is not above the last merged is a replay, nothing happens and the result is False.
         ``order`` columns need not be columns of the table, except with ``newest``.
         """
         if null_keys not in ("insert", "reject"):
             raise ValueError(f"null_keys must be 'insert' or 'reject', not {null_keys!r}")
         if not self.keys:
             raise ValueError("a table without a key has nothing to match; use append or reload")
-        state = self._state(batch_id)
-        if state.seen:
+        state = self._state()
+        if batch and batch[1] <= state.sources.get(batch[0], -1):
             return False
         version = state.version + 1
         partial = any(c not in changes.columns for c in self.schema.names)
         if newest and (partial or any(c not in self.schema.names for c in order)):
             raise ValueError("newest needs changes with all columns of the table, and its order among them")
 
-        # The batch is written once, reduced to one row per key: a retried merge rereads the same
-        # rows, and the planner knows its size. Rows without a key are counted in passing, so the
-        # source is read a second time only when there are any.
+        # The batch is evaluated once, reduced to one row per key, and staged: a retried merge reads
+        # the same rows, and the planner knows their size.
         staged_path = f"{self.path}/staged/version={version}"
-        data_path = f"{self.path}/data/version={version}"
-        loose = Observation()
-        missing = reduce(lambda a, b: a | b, [quoted(k).isNull() for k in self.keys])
-        incoming = keyed(changes.observe(loose, F.count_if(missing).alias("rows")), self.keys)
-        last = self._aligned(last_row(incoming, self.keys, order), partial)
+        wanted = keyed(changes, self.keys) if null_keys == "reject" else changes
+        last = self._aligned(last_row(apart(wanted, self.keys), [*self.keys, APART], order), partial, [APART])
         last.write.mode("overwrite").parquet(staged_path)
-
         staged = self.spark.read.schema(last.schema).parquet(staged_path)
-        buckets = self._buckets_of(self._bucketed(staged))
+
+        with_key = keyed(staged, self.keys)
+        buckets = self._touched(with_key)
         if buckets:
-            base = self._scan({b: state.live[b] for b in buckets if b in state.live})
-            small = self._size(staged_path) <= self.broadcast_bytes
-            if newest:
-                kept, new = newest_parts(base, staged, self.keys, order, small=small)
-            elif partial:
-                kept, new = update_parts(base, staged, self.keys, small=small)
-            else:
-                kept, new = replace_parts(base, staged, self.keys, small=small)
-            if small and version % self.compact_every:
-                # kept rows stay in the tasks that read them, and these read few buckets each
-                tail = self._bucketed(self._aligned(new)).hint("rebalance", BUCKET)
-                self._write(self._bucketed(kept).unionByName(tail), data_path)
-            else:
-                self._write_compact(kept.unionByName(new, allowMissingColumns=True), data_path)
-        if null_keys == "insert" and loose.get["rows"]:
-            self._write_loose(self._aligned(unkeyed(changes, self.keys)), data_path,
-                              "append" if buckets else "overwrite")
-            buckets.append(LOOSE)
-        self._commit(version, "upsert", buckets, batch_id)
+            base = self._buckets_of({b: state.held[b] for b in buckets if b in state.held})
+            self._write_buckets(merge_last(apart(base, self.keys), with_key, self.keys, order, newest=newest), version)
+        without = unkeyed(staged, self.keys)
+        has_loose = null_keys == "insert" and not without.isEmpty()
+        if has_loose:
+            self._write_loose(self._aligned(without), version)
+        self._switch(_State(
+            version, state.since, state.loose or has_loose, state.held | dict.fromkeys(buckets, version),
+            state.sources | ({batch[0]: batch[1]} if batch else {})), has_loose)
         return True
 
     def reload(self, rows: DataFrame) -> None:
         """Replace the whole content at once; readers never see an empty table in between."""
-        self._fresh(rows, "reload", self._state().version + 1, None)
-
-    def append(self, rows: DataFrame, batch_id: str | None = None) -> bool:
-        """Add rows to a table without a key. False when ``batch_id`` was added before."""
+        state = self._state()
+        version = state.version + 1
+        if not self.keys:
+            self._write_loose(self._aligned(rows), version)
+            self._switch(_State(version, version, True, {}, state.sources), True)
+            return
+        staged_path = f"{self.path}/staged/version={version}"
+        self._aligned(rows).write.mode("overwrite").parquet(staged_path)
+        staged = self.spark.read.schema(self.schema).parquet(staged_path)
+        with_key, without = keyed(staged, self.keys), unkeyed(staged, self.keys)
+        buckets = self._touched(with_key)
+        if buckets:
+            self._write_buckets(with_key, version)
+        has_loose = not without.isEmpty()
+        if has_loose:
+            self._write_loose(without, version)
+        self._switch(_State(version, version, has_loose, dict.fromkeys(buckets, version), state.sources), has_loose)
+
+    def append(self, rows: DataFrame, batch: tuple[str, int] | None = None) -> bool:
+        """Add rows to a table without a key. False when ``batch`` is a replay, as for ``upsert``."""
         if self.keys:
             raise ValueError("append is for tables without a key; use upsert")
-        state = self._state(batch_id)
-        if not state.seen:
-            self._fresh(rows, "append", state.version + 1, batch_id)
-        return not state.seen
-
-    def _fresh(self, rows: DataFrame, kind: str, version: int, batch_id: str | None) -> None:
-        path = f"{self.path}/data/version={version}"
-        rows = self._aligned(rows)
-        if self.keys:
-            self._write_compact(keyed(rows, self.keys), path)
-            if can_be_null(rows, self.keys):
-                self._write_loose(unkeyed(rows, self.keys), path, "append")
-        else:
-            self._write_loose(rows, path, "overwrite")
-        self._commit(version, kind, self._written(path), batch_id)
+        state = self._state()
+        if batch and batch[1] <= state.sources.get(batch[0], -1):
+            return False
+        version = state.version + 1
+        self._write_loose(self._aligned(rows), version)
+        self._switch(_State(version, state.since, True, {}, state.sources | ({batch[0]: batch[1]} if batch else {})), True)
+        return True
 
     def vacuum(self) -> int:
-        """Delete folders of versions no reader of the current state needs. Returns their number.
+        """Delete the version folders that are there and that the current pointer does not need.
 
-        Only call it while no job still reads an older state.
+        Only call it while no job still reads an older state. Returns their number.
         """
         state = self._state()
-        needed = {v for versions in state.live.values() for v in versions}
-        gone = 0
-        for v in range(1, state.version + 1):
-            for folder in ("staged", "data"):
-                if folder == "staged" or v not in needed:
-                    at, files = self._at(f"{self.path}/{folder}/version={v}")
-                    gone += bool(files.delete(at, True))
-        return gone
+        gone = []
+        for folder, column, needed in (
+                ("data", "version", set(state.held.values())), ("loose", LOOSE, range(state.since, state.version + 1))):
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
+            files = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            names = [x.getPath().getName() for x in files.listStatus(at)] if files.exists(at) else []
+            gone += [f"{folder}/{n}" for n in names if n.startswith(f"{column}=") and int(n.split("=")[1]) not in needed]
+        self._delete(*gone)
+        return len(gone)

@@ -6,6 +6,7 @@ watermark: each run with ``availableNow`` reads what arrived since the run befor
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +19,19 @@ from ..sources.change_files import ARRIVAL, CSV_OPTIONS
 from ..sources.tables import Table
 
 
-def stream_changes(spark: SparkSession, path: str, schema: str | T.StructType, files_per_batch: int = 1000) -> DataFrame:
+def stream_changes(spark: SparkSession, path: str, schema: str | T.StructType,
+                   files_per_batch: int | None = None) -> DataFrame:
     """Change files of a folder as a stream; ``schema`` has the columns of the files, in their order.
 
-    A batch takes at most ``files_per_batch`` files, so a long backlog is worked off in steps.
+    With ``files_per_batch`` a long backlog is worked off in steps of so many files.
     """
     reader = spark.readStream.schema(schema).options(**CSV_OPTIONS)
-    return reader.option("maxFilesPerTrigger", files_per_batch).csv(path)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).csv(path)
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream of a checkpoint, and keeps over restarts."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0])["id"]
 
 
 def drop_reread(stream: DataFrame, ts: str, keys: Sequence[str], overlap: str) -> DataFrame:
@@ -38,12 +45,14 @@ def drop_reread(stream: DataFrame, ts: str, keys: Sequence[str], overlap: str) -
 
 
 def stream_upsert(stream: DataFrame, table: Table, order: Sequence[str], checkpoint: str, *,
-                  name: str = "upsert", newest: bool = False, null_keys: str = "insert",
+                  newest: bool = False, null_keys: str = "insert",
                   prepare: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Merge everything that has arrived into ``table``, batch by batch, then stop.
 
-    A batch that is replayed after a failure carries the same id and is skipped if it was already
-    merged; the id is made of ``name``, so streams into one table need different names. With ``newest`` a late, older version never replaces a newer row; without it, the
+    A batch is known by the id that the checkpoint holds and by its number there, so one that is
+    replayed after a failure is skipped if it was merged, and no other ever is: streams into one
+    table do not take each other's batches for theirs, and a stream with a new checkpoint merges all
+    it reads. With ``newest`` a late, older version never replaces a newer row; without it, the
     arrival of the batches decides, and ``order`` settles repeats inside a batch.
     """
 
@@ -53,7 +62,8 @@ def stream_upsert(stream: DataFrame, table: Table, order: Sequence[str], checkpo
         if ARRIVAL in ranked:  # the place inside a file can only be told inside a batch
             rows = rows.withColumn("_row", F.monotonically_increasing_id())
             ranked.insert(ranked.index(ARRIVAL) + 1, "_row")
-        table.upsert(rows, ranked, batch_id=f"{name}:{epoch}", newest=newest, null_keys=null_keys)
+        batch = (stream_id(table.spark, checkpoint), epoch)
+        table.upsert(rows, ranked, batch=batch, newest=newest, null_keys=null_keys)
 
     return (
         stream.writeStream.foreachBatch(merge)

@@ -24,7 +24,7 @@ def one(spark, column, **values):
 ])
 def test_code_parts(spark, code, course, version):
     found = spark.createDataFrame([(code,)], "c string").select(
-        X.code_part(F.col("c"), 2).alias("a"), X.code_part(F.col("c"), 3).alias("b")).first()
+        X.code_part(F.col("c"), 2, "203").alias("a"), X.code_part(F.col("c"), 3, "203").alias("b")).first()
     assert tuple(found) == (course, version)
 
 

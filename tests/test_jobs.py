@@ -8,9 +8,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.plans.jobs import Jobs
+from sluice.operators import lookup
+from sluice.plans.jobs import IncompletePages, Jobs
 from sluice.schemas import CHANGE_FILES
-from sluice.sources import get_watermark
+from sluice.sources import get_watermark, id_ranges, snapshot_path
 from sluice.sources.change_files import schema_of
 
 AS_OF = dt.datetime(2024, 10, 2, 6)
@@ -18,7 +19,7 @@ AS_OF = dt.datetime(2024, 10, 2, 6)
 
 @pytest.fixture
 def jobs(spark, folder):
-    return Jobs(spark, folder + "/tables", AS_OF, buckets=2)
+    return Jobs(spark, folder + "/tables", AS_OF, buckets=2, failed_pages="skip")
 
 
 def change_file(folder, kind, rows, name="part.csv.gz"):
@@ -81,8 +82,8 @@ def test_new_users(spark, jobs, folder):
     links = spark.createDataFrame([(1, "s1"), (2, "s2"), (5, "s5")], "user_id bigint, sis_user_id string")
     table = jobs.new_users(path, links, AS_OF, folder + "/snap")
     assert rows_of(table) == [(1, "s1"), (3, None), (5, "s5")]
-    copy = spark.read.option("header", True).csv(folder + "/snap/users/date=2024-10-02")
-    assert copy.columns == ["user_id", "sis_user_id"] and copy.count() == 3
+    copy = spark.read.option("header", True).csv(snapshot_path(folder + "/snap/users", AS_OF))
+    assert copy.columns == schema_of(CHANGE_FILES["users"]).names and copy.count() == 3
 
 
 def test_changed_enrollments(spark, jobs, folder):
@@ -96,7 +97,7 @@ def test_changed_enrollments(spark, jobs, folder):
     table = jobs.changed_enrollments(path, AS_OF, folder + "/snap")
     assert rows_of(table, "enrollment_id", "user_id", "sis_user_id", "updated_at", "start_at", "total_activity_time") == [
         (1, 11, None, "2024-10-01 08:00:00", None, 5236), (2, 12, None, "2024-09-01 08:00:00", None, 0)]
-    assert spark.read.option("header", True).csv(folder + "/snap/enrollments/date=2024-10-02").count() == 1
+    assert spark.read.option("header", True).csv(snapshot_path(folder + "/snap/enrollments", AS_OF)).count() == 1
 
 
 def test_timetable(jobs, folder):
@@ -118,7 +119,7 @@ def test_timetable(jobs, folder):
 def test_snapshots(spark, jobs, folder, kind):
     path = change_file(folder + "/in", kind, [{"id": 1, "name": "n"}, {"id": 2}])
     written = jobs.snapshot(kind, path, AS_OF, folder + "/snap")
-    assert written.endswith(f"/{kind}/date=2024-10-02")
+    assert written == snapshot_path(f"{folder}/snap/{kind}", AS_OF)
     found = spark.read.option("header", True).csv(written)
     assert found.columns == schema_of(CHANGE_FILES[kind]).names and found.count() == 2
     assert get_watermark(jobs.control, kind, AS_OF + dt.timedelta(days=9)) == AS_OF
@@ -343,3 +344,65 @@ def test_mixed_headers(spark, folder):
         f.write("value.user_id,key.id,value.unknown\n9,3,x\n")
     assert rows_of(jobs.changed_enrollments(path, AS_OF), "enrollment_id", "user_id", "course_id") == [
         (1, 2, None), (3, 9, None)]
+
+
+def test_unreadable_rows_are_put_aside(spark, jobs, folder):
+    def ev(i, start="2024-01-01T08:00:00Z"):
+        return {"id": i, "title": f"t{i}", "start_at": start, "workflow_state": "active"}
+
+    path = change_file(folder + "/in", "calendar_events", [ev(1), ev("2.0"), ev("x"), ev(4, "no time")])
+    assert rows_of(jobs.timetable(path), "id") == [(1,)]
+    bad = jobs.quarantine("calendar_events").collect()
+    assert sorted((r["raw"]["key.id"], r["bad_columns"]) for r in bad) == [
+        ("2.0", ["key.id"]), ("4", ["value.start_at"]), ("x", ["key.id"])]
+    assert all("/in/" in r["arrival"]["file"] for r in bad)
+
+
+def test_failed_pages_stop_a_job_unless_skipped(spark, folder):
+    path = land(folder + "/t", {"page": 1, "items": [{"id": 1, "name": "a"}]}, {"errors": [{"message": "no"}]})
+    with open(f"{path}/cut.json", "w") as file:
+        file.write('{"page": 3, "items": [{"id": 2, "na')
+    strict = Jobs(spark, folder + "/tables", AS_OF, buckets=2)
+    with pytest.raises(IncompletePages, match="unreadable"):
+        strict.terms(path)
+    lax = Jobs(spark, folder + "/tables", AS_OF, buckets=2, failed_pages="skip")
+    assert rows_of(lax.terms(path), "term_id") == [(1,)]
+    assert sorted(r["reason"] for r in lax.quarantine("terms").collect()) == ["no list", "unreadable"]
+    with pytest.raises(ValueError):
+        Jobs(spark, folder, AS_OF, failed_pages="ignore")
+
+
+def test_two_slices_of_a_date_stand_side_by_side(spark, jobs, folder):
+    for hour, i in ((5, 1), (17, 2)):
+        path = change_file(f"{folder}/in{hour}", "roles", [{"id": i, "name": "n"}])
+        jobs.snapshot("roles", path, dt.datetime(2024, 10, 2, hour), folder + "/snap")
+    found = [spark.read.option("header", True).csv(snapshot_path(f"{folder}/snap/roles", dt.datetime(2024, 10, 2, h)))
+             for h in (5, 17)]
+    assert [[r["key.id"] for r in f.collect()] for f in found] == [["1"], ["2"]]
+
+
+def test_jobs_want_utc_and_record_metrics(spark, jobs, folder):
+    jobs.terms(land(folder + "/t", {"page": 1, "items": [{"id": 1, "name": "a"}, {"id": 2, "name": "b"}]}))
+    lines = spark.read.option("header", True).csv(folder + "/tables/metrics").collect()
+    assert [(r["stage"], r["rows"]) for r in lines] == [("term", "2")]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            Jobs(spark, folder, AS_OF)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_target_has_its_own_layout(spark, folder):
+    """With ranges of ids, a batch of young ids leaves the old folders untouched."""
+    jobs = Jobs(spark, folder + "/tables", AS_OF, layouts={"term": id_ranges(100)})
+    jobs.terms(land(folder + "/a", {"page": 1, "items": [{"id": i, "name": "old"} for i in range(1, 400, 30)]}))
+    jobs.terms(land(folder + "/b", {"page": 1, "items": [{"id": 391, "name": "new"}, {"id": 395, "name": "new"}]}))
+    assert jobs.table("term")._state().held == {0: 1, 1: 1, 2: 1, 3: 2}
+    assert jobs.table("term").read().count() == 15
+
+
+def test_lookup_takes_one_id_per_key(spark):
+    ids = spark.createDataFrame([(1, "a"), (1, "b"), (1, None), (None, "x")], "user_id bigint, sis_user_id string")
+    rows = spark.createDataFrame([(1,), (2,), (None,)], "user_id bigint")
+    assert sorted(map(tuple, lookup(rows, ids, "user_id").collect()), key=repr) == [(1, "b"), (2, None), (None, None)]

@@ -163,3 +163,24 @@ def test_newest_equals_brute_force(spark, seed):
     merged = O.upsert(spark.createDataFrame(base, schema), spark.createDataFrame(changes, schema).repartition(3), ["k"],
                       ["ts"], newest=True)
     assert result(merged) == sorted([*target.values(), *loose], key=repr)
+
+
+@pytest.mark.parametrize("mode", ["full", "partial", "reject", "newest"])
+def test_the_base_is_read_and_shuffled_once(spark, folder, mode):
+    spark.range(2000).selectExpr("id as k", "'a' as v", "1 as ts").write.parquet(f"{folder}/base")
+    spark.range(900).selectExpr("if(id % 3 = 0, null, id) as k", "'b' as v", "2 as ts", "id as o").write.parquet(f"{folder}/new")
+    base, new = spark.read.parquet(f"{folder}/base"), spark.read.parquet(f"{folder}/new")
+    if mode == "partial":
+        new = new.drop("v")
+    merged = O.upsert(base, new, ["k"], ["ts"] if mode == "newest" else ["o"], newest=mode == "newest",
+                      null_keys="reject" if mode == "reject" else "insert")
+    assert merged.count() == (2000 if mode == "reject" else 2300)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged.write.format("noop").mode("overwrite").save()
+        assert merged.count() and len(merged.collect()) == (2000 if mode == "reject" else 2300)
+        plan = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # whole rows take the batch once for its keys and once for its rows; the base is never read twice
+    assert plan.count("FileScan parquet") == plan.count("Exchange hashpartitioning") == (3 if mode in ("full", "reject") else 2)

@@ -125,8 +125,8 @@ def test_page_check(spark):
 
 def test_snapshots(spark, folder):
     rows = spark.createDataFrame([(1, 'a "b"\nc'), (2, None)], "id bigint, name string")
-    assert S.snapshot_path("x", dt.datetime(2024, 10, 30, 8)) == "x/date=2024-10-30"
-    assert S.snapshot_path("x", "2024-10-23T08:18:48Z", whole_stamp=True) == "x/date=2024-10-23T08-18-48Z"
+    assert S.snapshot_path("x", dt.datetime(2024, 10, 30, 8), whole_stamp=False) == "x/date=2024-10-30"
+    assert S.snapshot_path("x", "2024-10-23T08:18:48Z") == "x/stamp=2024-10-23T08-18-48Z"
     for _ in range(2):
         path = S.write_snapshot(rows, folder + "/snap", "2024-10-30T08:00:00Z")
     assert sorted(map(tuple, S.read_snapshot(spark, path, rows.schema).collect())) == [(1, 'a "b"\nc'), (2, None)]
@@ -170,7 +170,8 @@ def test_shared_folder_comes_from_the_session(spark):
     def session(master, folder):
         conf = SimpleNamespace(get=lambda key, default: folder)
         nothing = SimpleNamespace(get=lambda key, default: default)
-        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, getConf=lambda: nothing))
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(
+            master=master, getConf=lambda: nothing, applicationId="app-1"))
 
     assert shared_dir(session("yarn", "hdfs://x/check/")) == "hdfs://x/check"
     with pytest.raises(RuntimeError):
@@ -186,3 +187,30 @@ def test_mixed_headers_keep_their_arrival(spark, folder):
     rows = S.read_mixed(spark, [a, b], SCHEMA, with_arrival=True)
     assert [r["value.name"] for r in rows.orderBy("arrival").collect()] == ["third", "first", "second"]
     assert "arrival" in S.read_mixed(spark, [], SCHEMA, with_arrival=True).columns
+
+
+def test_unread_counts_do_not_block(spark):
+    import time
+
+    metrics = S.RunMetrics(spark)
+    started = time.perf_counter()
+    with metrics.stage("no action") as stage:
+        stage.watch(spark.range(3))
+    with metrics.stage("none") as stage:
+        stage.counted(7)
+    assert [x[2] for x in metrics.lines] == [None, 7] and time.perf_counter() - started < 10
+
+
+def test_bounds_with_an_offset_meet_columns_without_zone(spark):
+    from sluice import operators as O
+
+    rows = spark.sql("select timestamp_ntz'2024-01-01 09:00:00' as ts")
+    zone = dt.timezone(dt.timedelta(hours=2))
+    assert O.since(rows, "ts", dt.datetime(2024, 1, 1, 10, tzinfo=zone)).count() == 1
+    assert O.since(rows, "ts", dt.datetime(2024, 1, 1, 12, tzinfo=zone)).count() == 0
+
+
+def test_local_folder_is_one_per_session():
+    from sluice.session import _own_dir
+
+    assert _own_dir("app-2") == _own_dir("app-2") != _own_dir("app-3")

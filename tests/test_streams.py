@@ -41,8 +41,8 @@ def test_lost_checkpoint_commit_is_replayed_safely(spark, folder):
     """The same batch id again, as after a crash between merge and checkpoint, changes nothing."""
     table = Table(spark, folder + "/t", SCHEMA, ["k"], buckets=2)
     batch = spark.createDataFrame([(None, "n")], "k bigint, v string").withColumn("ts", F.lit(None).cast("timestamp"))
-    assert table.upsert(batch, ["ts"], batch_id="upsert:0")
-    assert not table.upsert(batch, ["ts"], batch_id="upsert:0")
+    assert table.upsert(batch, ["ts"], batch=("stream", 0))
+    assert not table.upsert(batch, ["ts"], batch=("stream", 0))
     assert rows_of(table) == [(None, "n")]
 
 
@@ -98,3 +98,22 @@ def test_change_files_as_a_stream(spark, folder):
     land([(2, "late", "2024-01-02")], "three")
     run()
     assert rows_of(table) == [(1, 'a "quoted"\nline'), (2, "c")]
+
+
+def test_streams_into_one_table_lose_nothing(spark, folder):
+    """Two streams, and a new checkpoint of one of them: every row arrives."""
+    table = Table(spark, folder + "/t", SCHEMA, ["k"], buckets=2)
+
+    def run(name, checkpoint):
+        stream = spark.readStream.schema(SCHEMA).parquet(f"{folder}/{name}")
+        stream_upsert(stream, table, ["ts"], f"{folder}/{checkpoint}").awaitTermination()
+
+    write(spark, [(1, "a", "2024-01-01")], folder + "/one")
+    write(spark, [(2, "b", "2024-01-01")], folder + "/two")
+    run("one", "c1")
+    run("two", "c2")
+    assert rows_of(table) == [(1, "a"), (2, "b")]
+    write(spark, [(3, "c", "2024-01-01")], folder + "/one")
+    run("one", "c3")
+    assert rows_of(table) == [(1, "a"), (2, "b"), (3, "c")]
+    assert len(table._state().sources) == 3

@@ -1,7 +1,9 @@
+from glob import glob
+
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.sources import Table, id_ranges
+from sluice.sources import Table, hash_buckets, id_ranges
 
 SCHEMA = "k bigint, v string, w string"
 
@@ -18,21 +20,21 @@ def test_upsert_replay_and_null_keys(spark, folder):
     t = Table(spark, folder, SCHEMA, ["k"], buckets=4)
     assert rows_of(t) == []
     batch = frame(spark, [(1, "a", "x", 1), (1, "b", "y", 2), (2, "c", None, 1), (None, "n", "n", 1), (None, "n", "n", 2)])
-    assert t.upsert(batch, ["o"], batch_id="1")
+    assert t.upsert(batch, ["o"], batch=("s", 1))
     state = [(1, "b", "y"), (2, "c", None), (None, "n", "n"), (None, "n", "n")]
     assert rows_of(t) == sorted(state, key=repr)
-    assert not t.upsert(batch, ["o"], batch_id="1")
+    assert not t.upsert(batch, ["o"], batch=("s", 1))
     assert rows_of(t) == sorted(state, key=repr)
     # a second batch with NULL keys only adds; a rejecting one does not
-    assert t.upsert(frame(spark, [(None, "m", "m", 1)]), ["o"], batch_id="2")
+    assert t.upsert(frame(spark, [(None, "m", "m", 1)]), ["o"], batch=("s", 2))
     assert t.upsert(frame(spark, [(None, "no", "no", 1), (2, "d", "z", 1)]), ["o"], null_keys="reject")
     state = [(1, "b", "y"), (2, "d", "z"), (None, "n", "n"), (None, "n", "n"), (None, "m", "m")]
     assert rows_of(t) == sorted(state, key=repr)
     # an empty batch is remembered too
-    assert t.upsert(batch.limit(0), ["o"], batch_id="3")
-    assert not t.upsert(batch, ["o"], batch_id="3")
+    assert t.upsert(batch.limit(0), ["o"], batch=("s", 3))
+    assert not t.upsert(batch, ["o"], batch=("s", 3))
     assert rows_of(t) == sorted(state, key=repr)
-    assert t.vacuum() > 0
+    t.vacuum()
     assert rows_of(t) == sorted(state, key=repr)
 
 
@@ -44,11 +46,10 @@ def test_partial_columns(spark, folder):
 
 
 def test_only_touched_buckets_are_rewritten(spark, folder):
-    t = Table(spark, folder, SCHEMA, ["k"], bucket=id_ranges(100))
+    t = Table(spark, folder, SCHEMA, ["k"], layout=id_ranges(100))
     t.upsert(spark.range(1000).select(F.col("id").alias("k"), F.lit("a").alias("v"), F.lit("b").alias("w")))
     t.upsert(frame(spark, [(905, "new", "new", 1)]), ["o"])
-    live = t._state().live
-    assert live[9] == [2] and all(live[b] == [1] for b in range(9))
+    assert t._state().held == {**{b: 1 for b in range(9)}, 9: 2}
     assert t.read().count() == 1000
     assert t.read().filter("v = 'new'").collect()[0]["k"] == 905
 
@@ -61,12 +62,12 @@ def test_unfinished_write_is_invisible(spark, folder, monkeypatch):
         raise RuntimeError("driver lost")
 
     with monkeypatch.context() as m:
-        m.setattr(Table, "_commit", dies)
+        m.setattr(Table, "_switch", dies)
         with pytest.raises(RuntimeError):
-            t.upsert(frame(spark, [(1, "b", "y", 1), (5, "e", "e", 1), (None, "n", "n", 1)]), ["o"], batch_id="b")
+            t.upsert(frame(spark, [(1, "b", "y", 1), (5, "e", "e", 1), (None, "n", "n", 1)]), ["o"], batch=("b", 0))
     assert rows_of(t) == [(1, "a", "x")]
     # the next run takes the same version number and leaves nothing of the dead one
-    t.upsert(frame(spark, [(1, "c", "z", 1)]), ["o"], batch_id="b")
+    t.upsert(frame(spark, [(1, "c", "z", 1)]), ["o"], batch=("b", 0))
     assert rows_of(t) == [(1, "c", "z")]
     t.upsert(frame(spark, [(None, "n", "n", 1)]), ["o"])
     assert rows_of(t) == [(1, "c", "z"), (None, "n", "n")]
@@ -90,7 +91,7 @@ def test_reload_and_append(spark, folder):
     assert rows_of(t) == [("a",)] * 4
     t.reload(t.read().limit(1))
     assert rows_of(t) == [("a",)]
-    assert t.append(names, batch_id="n") and not t.append(names, batch_id="n")
+    assert t.append(names, batch=("n", 7)) and not t.append(names, batch=("n", 7))
     assert rows_of(t) == [("a",)] * 3
     t.reload(names.limit(0))
     assert rows_of(t) == []
@@ -117,18 +118,8 @@ def test_read_prunes_columns_and_pushes_filters(spark, folder):
     assert "ReadSchema: struct<k:bigint,v:string>" in plan and "EqualTo(k,1)" in plan
 
 
-def test_untouched_versions_are_read_as_one_folder(spark, folder):
-    t = Table(spark, folder, SCHEMA, ["k"], bucket=id_ranges(10))
-    t.upsert(spark.range(50).select(F.col("id").alias("k"), F.lit("a").alias("v"), F.lit("b").alias("w")))
-    assert t._state().whole == [1]
-    t.upsert(frame(spark, [(3, "x", "y", 1), (None, "n", "n", 1)]), ["o"])
-    assert t._state().whole == [2]
-    assert t.read().count() == 51
-
-
-@pytest.mark.parametrize("options", [{"broadcast_bytes": 0}, {"compact_every": 1}, {}])
-def test_ways_of_writing_agree(spark, folder, options):
-    t = Table(spark, folder, SCHEMA, ["k"], buckets=3, **options)
+def test_batch_after_batch(spark, folder):
+    t = Table(spark, folder, SCHEMA, ["k"], buckets=3)
     full, partial = {}, "k bigint, w string, o int"
     for i in range(4):
         rows = [(j, f"v{i}", f"w{j}", 1) for j in range(i, i + 6)]
@@ -140,14 +131,40 @@ def test_ways_of_writing_agree(spark, folder, options):
     assert rows_of(t) == sorted(((k, *v) for k, v in full.items()), key=repr)
 
 
-def test_small_batches_do_not_shuffle_the_kept_rows(spark, folder, monkeypatch):
+def test_layout_is_recorded(spark, folder):
+    """Another width or kind is refused, so that no key can end up in two buckets."""
+    t = Table(spark, folder, SCHEMA, ["k"], layout=id_ranges(10))
+    t.upsert(frame(spark, [(15, "a", "x", 1), (-5, "b", "y", 1), (None, "n", "n", 1)]), ["o"])
+    t.upsert(frame(spark, [(15, "c", "x", 1), (-5, "d", "y", 1)]), ["o"])
+    assert rows_of(t) == [(-5, "d", "y"), (15, "c", "x"), (None, "n", "n")]
+    for other in (id_ranges(100), hash_buckets(10)):
+        with pytest.raises(ValueError):
+            Table(spark, folder, SCHEMA, ["k"], layout=other).upsert(frame(spark, [(15, "e", "x", 1)]), ["o"])
+
+
+def test_what_is_kept_does_not_grow_with_batches(spark, folder):
     t = Table(spark, folder, SCHEMA, ["k"], buckets=2)
-    t.upsert(spark.range(1000).select(F.col("id").alias("k"), F.lit("a").alias("v"), F.lit("b").alias("w")))
+    for i in range(6):
+        t.upsert(frame(spark, [(j, f"v{i}", "w", 1) for j in range(8)]), ["o"], batch=("s", i))
+    assert len(glob(f"{folder}/state/version=*")) <= 2 and not glob(f"{folder}/staged/*")
+    assert t._state().sources == {"s": 5} and len(t._state().held) == 2
+    assert t.vacuum() == 5 and len(glob(f"{folder}/data/version=*")) == 1
+    assert rows_of(t) == [(j, "v5", "w") for j in range(8)]
+
+
+def test_a_merge_reads_and_shuffles_each_side_once(spark, folder, monkeypatch):
+    """The plan behind a stored upsert: one scan of the base, one of the batch, one shuffle for each."""
+    t = Table(spark, folder, "k bigint, v string, ts int", ["k"], buckets=2)
+    rows = "k bigint, v string, ts int"
+    t.upsert(spark.range(1000).selectExpr("id as k", "'a' as v", "1 as ts"))
     seen = []
-    write = Table._write
-    monkeypatch.setattr(Table, "_write", lambda self, rows, path: (
-        seen.append(rows._jdf.queryExecution().executedPlan().toString()), write(self, rows, path)))
-    t.upsert(frame(spark, [(5, "n", "n", 1)]), ["o"])
-    assert "BroadcastHashJoin" in seen[0] and "LeftAnti" in seen[0]
-    assert seen[0].count("Exchange hashpartitioning") == 1 and "REBALANCE_PARTITIONS_BY_COL" in seen[0]  # the new rows
-    assert t.read().count() == 1000
+    write = Table._write_buckets
+    monkeypatch.setattr(Table, "_write_buckets", lambda self, merged, version: (
+        seen.append(merged._jdf.queryExecution().executedPlan().toString()), write(self, merged, version)))
+    t.upsert(spark.createDataFrame([(5, "n", 2), (None, "n", 1)], rows), ["ts"])
+    t.upsert(spark.createDataFrame([(5, 3), (6, 3)], "k bigint, ts int"))
+    t.upsert(spark.createDataFrame([(5, "late", 1)], rows), ["ts"], newest=True)
+    for plan in seen:
+        assert plan.count("FileScan parquet") == 2 and plan.count("Exchange hashpartitioning") <= 2
+        assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    assert t.read().count() == 1001 and [r.v for r in t.read().filter("k = 5").collect()] == ["n"]

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import free, stored
+from .common import bounded_batches, free, stored
 from .ranked import running
 
 #: A line takes part if it holds a word; others are passed over and stay.
@@ -22,6 +25,23 @@ def _worded(text: Column) -> Column:
     return F.filter(_lines(text), lambda x: x.rlike(HAS_WORD))
 
 
+@F.pandas_udf(T.StringType())
+def _without(texts: pd.Series, gone: pd.Series) -> pd.Series:
+    """Texts without the worded lines of the given numbers; null where nothing goes."""
+
+    def rest(text: str | None, numbers: np.ndarray | None) -> str | None:
+        if text is None or numbers is None:
+            return None
+        lost, kept, number = set(numbers), [], -1
+        for line in text.split("\n"):
+            number += (worded := bool(line.encode().split()))
+            if not (worded and number in lost):
+                kept.append(line)
+        return "\n".join(kept)
+
+    return pd.Series([rest(t, g) for t, g in zip(texts, gone)], dtype=object)
+
+
 def _ranked(suffixes: DataFrame, keys: list[str]) -> DataFrame:
     """Suffixes whose keys another one shares, with ``rank``: where their bucket starts in the suffix
     array. Buckets are counted before they are shuffled and sorted in ranges; a bucket is one row here,
@@ -93,14 +113,13 @@ def deduplicated(df: DataFrame, id: str = "doc_id", text: str = "text", min_line
     gone = repeated_lines(df, id, text, min_lines).select(
         F.col("id").alias(at), F.col("h").alias(of), F.col("gone").alias(found))
     own = F.col(f"`{text}`")
+    bounded_batches(df.sparkSession)
     joined = df.join(gone, F.col(f"`{id}`").eqNullSafe(F.col(at)) & (F.xxhash64(own) == F.col(of)), "left")
-    lines = _lines(own)
-    every = F.sequence(F.lit(0), F.size(lines) - 1)
-    worded = F.filter(every, lambda i: F.get(lines, i).rlike(HAS_WORD))
-    lost = F.transform(F.col(found), lambda k: F.get(worded, k))
-    rest = F.array_join(F.transform(F.array_except(every, lost), lambda i: F.get(lines, i)), "\n")
-    out = {text: F.when(F.col(found).isNotNull(), rest).otherwise(own)}
-    n_lines, n_removed = (F.coalesce(F.size(x), F.lit(0)).cast("long") for x in (_worded(F.coalesce(own, F.lit(""))), F.coalesce(F.col(found), F.array())))
+    # only texts that lose lines are handed to Python
+    changed = F.col(found).isNotNull()
+    out = {text: F.when(changed, _without(F.when(changed, own), F.col(found))).otherwise(own)}
+    n_lines = F.coalesce(F.size(_worded(F.coalesce(own, F.lit("")))), F.lit(0)).cast("long")
+    n_removed = F.when(changed, F.size(found)).otherwise(0).cast("long")
     taken = {c.lower() for c in counts or ()}
     return joined.select(
         *(out.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns if c.lower() not in taken),

@@ -36,7 +36,7 @@ def link_relations(header: Column) -> Column:
         rel = F.regexp_extract(link, ";[^=]*=([^=;]*)", 1)
         return F.struct(F.trim(F.regexp_replace(rel, '"', "")).alias("rel"), url.alias("url"))
 
-    entries = F.transform(F.split(header, ","), entry)
+    entries = F.transform(F.split(header, r",\s*(?=<)"), entry)  # a URL may hold commas
     return F.map_from_entries(last_entries(entries, lambda e: e["rel"]))
 
 

@@ -168,3 +168,9 @@ def test_parse_whole(spark, text, number):
     assert rows.select(X.parse_whole(F.col("c"))).first()[0] == number
     small = number if number is not None and abs(number) < 2**31 else None
     assert rows.select(X.parse_whole(F.col("c"), "int")).first()[0] == small
+
+
+def test_link_header_with_commas_in_a_url(spark):
+    text = '<https://x/a?ids=1,2,3&page=2>; rel="next", <https://x/a?ids=1,2>; rel="first"'
+    found = spark.createDataFrame([(text,)], "h string").select(X.link_relations(F.col("h")).alias("m")).first()["m"]
+    assert found == {"next": "https://x/a?ids=1,2,3&page=2", "first": "https://x/a?ids=1,2"}

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, map_texts
+from .common import ready_for_python, map_texts
 
 #: Fixed value: how byte-level vocabularies of this kind cut a text before merging.
 CUT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -196,7 +196,7 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: list[str] | None
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` and the text its ids stand for. Null ids give null, an empty array the empty text."""
-    bounded_batches(df.sparkSession)
+    ready_for_python(df.sparkSession)
     source = df.drop(text) if text.lower() in {c.lower() for c in df.columns} else df
     at = source.columns.index(ids)
 

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import cache
+from pathlib import Path
+from zipfile import ZipFile
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import sluice
 from sluice.session import new_path
 
 #: Words are runs of anything but these six characters; ``bytes.split()`` cuts at the same ones.
@@ -41,8 +46,24 @@ def free(df: DataFrame, name: str) -> str:
     return name if name.lower() not in taken else f"{name}_{uuid.uuid4().hex[:8]}"
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches hold ``BATCH_ROWS`` rows at most: a batch of very long texts fits a worker."""
+@cache
+def _ship(application: str) -> None:
+    """Sends the package to the Python workers, once for an application.
+
+    The archive lies with the driver, whose file server hands it out as long as the application runs.
+    """
+    root = Path(sluice.__file__).parent
+    archive = f"{tempfile.mkdtemp(prefix='sluice-')}/sluice.zip"
+    with ZipFile(archive, "w") as file:
+        for path in sorted(root.rglob("*.py")):
+            file.write(path, Path(root.name) / path.relative_to(root))
+    SparkSession.active().sparkContext.addPyFile(archive)
+
+
+def ready_for_python(spark: SparkSession) -> None:
+    """Call before rows go to Python. Workers find this package wherever the driver found it, and Arrow
+    batches hold ``BATCH_ROWS`` rows at most, so that a batch of very long texts fits a worker."""
+    _ship(spark.sparkContext.applicationId)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
@@ -60,7 +81,7 @@ def map_texts(
     ``start`` runs once per task and returns the function from a batch's texts to its new columns.
     A kept column with the name of an added one is dropped, whatever its case.
     """
-    bounded_batches(df.sparkSession)
+    ready_for_python(df.sparkSession)
     new = {f.name.lower() for f in added.fields}
     keep = [c for c in keep if c.lower() not in new]
     value = "__text"

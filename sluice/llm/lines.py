@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, free, stored
+from .common import free, ready_for_python, stored
 from .ranked import running
 
 #: A line takes part if it holds a word; others are passed over and stay.
@@ -113,7 +113,7 @@ def deduplicated(df: DataFrame, id: str = "doc_id", text: str = "text", min_line
     gone = repeated_lines(df, id, text, min_lines).select(
         F.col("id").alias(at), F.col("h").alias(of), F.col("gone").alias(found))
     own = F.col(f"`{text}`")
-    bounded_batches(df.sparkSession)
+    ready_for_python(df.sparkSession)
     joined = df.join(gone, F.col(f"`{id}`").eqNullSafe(F.col(at)) & (F.xxhash64(own) == F.col(of)), "left")
     # only texts that lose lines are handed to Python
     changed = F.col(found).isNotNull()

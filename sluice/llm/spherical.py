@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, stored
+from .common import ready_for_python, stored
 from .components import components
 
 #: Most vectors on one side of a verified tile.
@@ -130,7 +130,7 @@ def near_groups(df: DataFrame, id: str = "vec_id", vector: str = "embedding", la
     with one another. Null ids are passed over by the smallest id. Extra columns are not read; an
     empty table gives an empty one.
     """
-    bounded_batches(df.sparkSession)
+    ready_for_python(df.sparkSession)
     kind = "<f4" if df.schema[vector].dataType.elementType == T.FloatType() else "<f8"
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     source = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{label}`").alias("label"), F.col(f"`{vector}`").alias("vector"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, map_texts, stored
+from .common import ready_for_python, map_texts, stored
 
 #: Odd multipliers of the two rolling hashes, and their inverses modulo 2**64.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -204,7 +204,7 @@ def removals(df: DataFrame, id: str = "doc_id", text: str = "text", window: int
     wholes = repeats.groupBy("gram").agg(F.min("whole").alias("low"), F.max("whole").alias("high")).where("low != high").select("gram")
     spots = repeats.join(wholes, "gram").groupBy("id", "whole").agg(F.collect_set("spot").alias("spots"))
 
-    bounded_batches(df.sparkSession)
+    ready_for_python(df.sparkSession)
     source = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")).join(
         spots.select(F.col("id").alias("__id"), "whole", "spots"), F.col("id").eqNullSafe(F.col("__id"))).select(
         "id", "text", "whole", "spots")

@@ -17,11 +17,11 @@ from .common import free, map_texts
 #: (bytes up to, lowest ratio, highest ratio) of compressed to plain bytes. Short texts compress
 #: badly whatever they hold, so the bands widen and rise towards them.
 WHOLE_BANDS = (
-    (64, 0.0, 9.0), (128, 0.50, 1.30), (256, 0.40, 1.15), (512, 0.38, 0.92), (1024, 0.32, 0.85),
-    (4096, 0.26, 0.80), (None, 0.20, 0.76),
+    (64, 0.0, 9.0), (128, 0.50, 1.30), (256, 0.40, 1.10), (512, 0.38, 0.90), (1024, 0.32, 0.82),
+    (4096, 0.26, 0.72), (None, 0.20, 0.68),
 )
 #: The same for one chunk, by the chunk's bytes.
-CHUNK_BANDS = ((512, 0.32, 0.95), (None, 0.28, 0.85))
+CHUNK_BANDS = ((512, 0.32, 0.92), (None, 0.28, 0.80))
 SYMBOLS = str.maketrans("", "", "#*$%&|<>")
 BLANKS = str.maketrans("", "", " \t\n\v\f\r")
 

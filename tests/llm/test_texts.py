@@ -144,3 +144,17 @@ def test_token_counts_equal_library(spark):
         unknown = sum(f == ["[UNK]"] for f in found)
         assert tuple(row) == (row.doc_id, len(words), unknown, sum(map(len, found)))
     assert wordpiece.token_counts(frame(spark, ODD).limit(0), PATH).count() == 0
+
+
+def test_bands_leave_ordinary_texts_alone(spark):
+    """Of labelled texts that the base rules pass, none of good quality is rejected; noise of each length is."""
+    import base64
+    import random
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").join(
+        spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("quality = 1").select("doc_id"), "doc_id")
+    judged = quality.measure(docs.select("doc_id", "text"))
+    assert judged.where("not base_failed").count() > 1000 and judged.where("not base_failed and not kept").count() == 0
+    rng = random.Random(5)
+    noise = ["\n".join(base64.b64encode(rng.randbytes(45)).decode() + " x" for _ in range(n)) for n in (40, 90, 400)]
+    assert [r.kept for r in quality.measure(frame(spark, noise)).collect()] == [False] * 3

@@ -20,9 +20,10 @@ def text_size(text: Column) -> Column:
 
 def coordinate(df: DataFrame, name: str) -> Column:
     """A metadata column as a number that keeps its order: numbers as they are, anything else by the
-    first six bytes of its text. Null comes first."""
+    first six bytes of its text. Null stands at -1, and so do numbers that are not finite."""
     if dict(df.dtypes)[name].split("(")[0] in ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal"):
-        return F.coalesce(F.col(f"`{name}`").cast("double"), F.lit(float("-1")))
+        number = F.col(f"`{name}`").cast("double")
+        return F.when(F.abs(number) < float("inf"), number).otherwise(-1.0)
     head = F.rpad(F.hex(F.substring(F.col(f"`{name}`").cast("string").cast("binary"), 1, 6)), 12, "0")
     return F.coalesce(F.conv(head, 16, 10).cast("double"), F.lit(-1.0))
 
@@ -34,15 +35,15 @@ def kd_shards(df: DataFrame, shards: int, id: str = "doc_id", text: str = "text"
     The tree splits units, each of them all rows with one text, at the weighted median of the
     dimension that is widest in the node (its range as a share of the whole table's; the first of
     equals), for an odd number of leaves at the matching fraction, until each leaf has the target of
-    1/shards of all bytes. A unit's place is that of its least copy; ties in a dimension fall by the
-    text's hash. Medians come from running totals over ranges, so no node's rows meet in one task.
+    1/shards of all bytes. A unit's place is that of its least copy. Ties in a dimension fall by the
+    text's hash, after the heavy texts, so that a cut rather falls among light ones. Medians come from running totals over ranges, so no node's rows meet in one task.
 
     Equal texts stay in one shard as long as they weigh no more than ``whole`` of a shard. Of heavier
     ones there are at most shards / whole; their rows are dealt to several units, which lie side by
     side, so that only a cut through them parts them and sizes stay near equal.
 
-    Null texts have size 1 and the checksum of no bytes. Null metadata come first in their
-    dimension. Rows repeated in full count each. Slots are gapless from 0 in each shard. Extra
+    Null texts have size 1 and the checksum of no bytes. Null metadata stand at -1 in
+    their dimension. Rows repeated in full count each. Slots are gapless from 0 in each shard. Extra
     columns are not read; an empty table gives an empty one.
     """
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
@@ -56,12 +57,13 @@ def kd_shards(df: DataFrame, shards: int, id: str = "doc_id", text: str = "text"
 
     heavy = (
         rows.groupBy(*KEY).agg(F.sum("size").alias("weight")).where(F.col("weight") > limit)
-        .select(*KEY, F.ceil(F.col("weight") / limit).alias("ways")))
+        .select(*KEY, F.ceil(F.col("weight") / limit).alias("ways"), (-F.col("weight")).alias("heft")))
     salted = (
         rows.join(F.broadcast(heavy), KEY, "left")  # at most shards / whole rows
-        .withColumn("salt", F.pmod(F.xxhash64("row"), F.coalesce("ways", F.lit(1)))).drop("ways"))
+        .withColumn("salt", F.pmod(F.xxhash64("row"), F.coalesce("ways", F.lit(1))))
+        .withColumn("heft", F.coalesce("heft", F.lit(0))).drop("ways"))
     units = stored(
-        salted.groupBy(*KEY, "salt")
+        salted.groupBy(*KEY, "salt", "heft")
         .agg(F.sum("size").alias("weight"), *(F.min(k).alias(k) for k in place))
         .withColumns({"first": F.lit(0), "leaves": F.lit(shards)}), "units")
 
@@ -82,7 +84,7 @@ def kd_shards(df: DataFrame, shards: int, id: str = "doc_id", text: str = "text"
             here = F.col("first") == node["first"]
             axis = F.when(here, F.col(wide)).otherwise(axis)
             cut = F.when(here, F.lit(2.0 * node["weight"] * (node["leaves"] // 2) / node["leaves"])).otherwise(cut)
-        ordered = running(units.withColumns({"axis": axis, "cut": cut}), ["first"], ["axis", *KEY, "salt"], "weight")
+        ordered = running(units.withColumns({"axis": axis, "cut": cut}), ["first"], ["axis", "heft", *KEY, "salt"], "weight")
         left = 2 * F.col("before") + F.col("weight") <= F.col("cut")
         half = F.floor(F.col("leaves") / 2).cast("int")
         single = F.col("leaves") == 1

@@ -10,6 +10,7 @@ from pathlib import Path
 from zipfile import ZipFile
 
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,8 +48,8 @@ def free(df: DataFrame, name: str) -> str:
 
 
 @cache
-def _ship(application: str) -> None:
-    """Sends the package to the Python workers, once for an application.
+def _ship(context: SparkContext) -> None:
+    """Sends the package to the Python workers, once for a context.
 
     The archive lies with the driver, whose file server hands it out as long as the application runs.
     """
@@ -57,13 +58,13 @@ def _ship(application: str) -> None:
     with ZipFile(archive, "w") as file:
         for path in sorted(root.rglob("*.py")):
             file.write(path, Path(root.name) / path.relative_to(root))
-    SparkSession.active().sparkContext.addPyFile(archive)
+    context.addPyFile(archive)
 
 
 def ready_for_python(spark: SparkSession) -> None:
     """Call before rows go to Python. Workers find this package wherever the driver found it, and Arrow
     batches hold ``BATCH_ROWS`` rows at most, so that a batch of very long texts fits a worker."""
-    _ship(spark.sparkContext.applicationId)
+    _ship(spark.sparkContext)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))

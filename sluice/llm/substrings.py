@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ready_for_python, map_texts, stored
+from .common import map_texts, ready_for_python, stored
 
 #: Odd multipliers of the two rolling hashes, and their inverses modulo 2**64.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -201,7 +201,7 @@ def removals(df: DataFrame, id: str = "doc_id", text: str = "text", window: int
     total = firsts.agg(F.sum(F.size("grams"))).first()[0] or 0
     width = max(1 << 12, min(MAX_CELLS, 1 << (CELLS_PER_GRAM * total).bit_length()))
     repeats = stored(estimated_repeats(firsts, width), "repeats")
-    wholes = repeats.groupBy("gram").agg(F.min("whole").alias("low"), F.max("whole").alias("high")).where("low != high").select("gram")
+    wholes = stored(repeats.groupBy("gram").agg(F.min("whole").alias("low"), F.max("whole").alias("high")).where("low != high").select("gram"), "grams")
     spots = repeats.join(wholes, "gram").groupBy("id", "whole").agg(F.collect_set("spot").alias("spots"))
 
     ready_for_python(df.sparkSession)
@@ -235,7 +235,8 @@ def removals(df: DataFrame, id: str = "doc_id", text: str = "text", window: int
     suspects = stored(source.mapInArrow(windows, schema), "suspects")
     each = suspects.select("id", "whole", F.explode(F.arrays_zip("h1", "h2", "start")).alias("w")).select("id", "whole", "w.h1", "w.h2", "w.start")
     least = each.groupBy("h1", "h2").agg(F.min("id").alias("least"), F.min("whole").alias("low"), F.max("whole").alias("high")).where("low != high")
-    starts = each.join(least.select("h1", "h2", "least"), ["h1", "h2"]).where(_earlier("least", "id")).groupBy("id", "whole").agg(
+    # written, so that both sides of the join are plain scans and a frequent window can be split
+    starts = each.join(stored(least.select("h1", "h2", "least"), "windows"), ["h1", "h2"]).where(_earlier("least", "id")).groupBy("id", "whole").agg(
         F.collect_set("start").alias("starts"))
     cut = suspects.select("id", "whole", "text").join(
         starts.select(F.col("id").alias("__id"), F.col("whole").alias("__whole"), "starts"),

@@ -10,8 +10,9 @@ from .common import stored
 
 def _to_least(pairs: DataFrame) -> DataFrame:
     """Each (u, v) with the least of u and its partners. A node with many partners leaves every map
-    task as one row of the aggregate, and adaptive execution splits it in the join."""
-    least = pairs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    task as one row of the aggregate; that is written, so that both sides of the join are plain scans
+    and adaptive execution splits such a node there."""
+    least = stored(pairs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
     return pairs.join(least, "u")
 
 
@@ -35,7 +36,7 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = mark
         both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _to_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = stored(_to_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "edges")
         small = _to_least(large)
         ends = F.explode(F.array("u", "v"))
         state = stored(

@@ -99,7 +99,8 @@ def near_groups(df: DataFrame, id: str = "doc_id", text: str = "text", words: in
         classes.join(roots, classes["fp"] == roots["node"], "left")
         .select("fp", "first", F.coalesce("root", "fp").alias("root")))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
+    # written, so that both sides of the next join are plain scans and a frequent fingerprint can be split
+    named = stored(rooted.join(least, "root").select("fp", "component_id"), "components")
     return marked.join(named, "fp").select(F.col("__id").alias(id), "fp", "component_id")
 
 

@@ -49,8 +49,9 @@ def _ranked(suffixes: DataFrame, keys: list[str]) -> DataFrame:
     buckets = (
         suffixes.groupBy(*keys).agg(F.count("*").alias("members"), F.min("place").alias("first"))
         .where("members > 1"))
-    starts = running(stored(buckets, "buckets"), [], keys, "members", "rank").select(
-        *(F.col(k).alias(f"__{k}") for k in keys), "rank", "first")
+    # written, so that both sides of the join are plain scans and the suffixes of a large bucket can be split
+    starts = stored(running(stored(buckets, "buckets"), [], keys, "members", "rank").select(
+        *(F.col(k).alias(f"__{k}") for k in keys), "rank", "first"), "starts")
     same = F.lit(True)
     for k in keys:
         same = same & (F.col(k) == F.col(f"__{k}"))

@@ -200,8 +200,9 @@ def near_groups(df: DataFrame, id: str = "vec_id", vector: str = "embedding", la
         classes.join(links, "node", "left").join(roots, "node", "left")
         .select("label", "vector", "head", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "node").alias("root")))
     least = named.groupBy("root").agg(F.min("head").alias("component_id"))
-    known = named.join(least, "root").select(
-        F.col("label").alias("__label"), F.col("vector").alias("__vector"), "n_links", "component_id", F.lit(True).alias("known"))
+    # written, so that both sides of the last join are plain scans and a frequent vector can be split
+    known = stored(named.join(least, "root").select(
+        F.col("label").alias("__label"), F.col("vector").alias("__vector"), "n_links", "component_id", F.lit(True).alias("known")), "known")
     joined = rows.join(known, (F.col("label") == F.col("__label")) & (F.col("vector") == F.col("__vector")), "left")
     component = F.when(F.col("known"), F.col("component_id")).otherwise(F.col("id"))
     return joined.select(

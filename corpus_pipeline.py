@@ -14,7 +14,7 @@ VOCABULARY = "byte_bpe_50k.json"
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and whose compression ratios lie in their bands."""
-    return quality.accepted(docs)
+    return quality.accepted(docs, rules=quality.Rules())
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

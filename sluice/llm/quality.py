@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -15,13 +15,22 @@ from pyspark.sql import types as T
 from .common import free, map_texts
 
 #: (bytes up to, lowest ratio, highest ratio) of compressed to plain bytes. Short texts compress
-#: badly whatever they hold, so the bands widen and rise towards them.
-WHOLE_BANDS = (
+#: badly whatever they hold, so the bands widen and rise towards them. These reject repeats and noise.
+WIDE_WHOLE = (
     (64, 0.0, 9.0), (128, 0.50, 1.30), (256, 0.40, 1.10), (512, 0.38, 0.90), (1024, 0.32, 0.82),
     (4096, 0.26, 0.72), (None, 0.20, 0.68),
 )
 #: The same for one chunk, by the chunk's bytes.
-CHUNK_BANDS = ((512, 0.32, 0.92), (None, 0.28, 0.80))
+WIDE_CHUNKS = ((512, 0.32, 0.92), (None, 0.28, 0.80))
+#: Lower limits near the ratios of good texts: ``fitted`` over the labelled good rows of even id at
+#: sf0.1. Classes with fewer than 20 such rows have the wide limit; for long texts the chunks decide.
+WHOLE_BANDS = (
+    (64, 0.0, 9.0), (128, 0.795, 1.30), (192, 0.40, 1.10), (256, 0.40, 1.10), (384, 0.587, 0.90), (512, 0.569, 0.90),
+    (768, 0.526, 0.82), (1024, 0.493, 0.82), (1536, 0.475, 0.72), (2048, 0.463, 0.72), (3072, 0.45, 0.72),
+    (4096, 0.436, 0.72), (6144, 0.422, 0.68), (8192, 0.412, 0.68), (12288, 0.409, 0.68), (16384, 0.20, 0.68),
+    (None, 0.20, 0.68),
+)
+CHUNK_BANDS = ((512, 0.32, 0.92), (1023, 0.497, 0.80), (None, 0.49, 0.80))
 SYMBOLS = str.maketrans("", "", "#*$%&|<>")
 BLANKS = str.maketrans("", "", " \t\n\v\f\r")
 
@@ -40,6 +49,10 @@ class Rules:
     chunk_bands: Sequence[tuple[int | None, float, float]] = CHUNK_BANDS
 
 
+#: What ``measure`` and ``accepted`` go by if no rules are given.
+WIDE = Rules(whole_bands=WIDE_WHOLE, chunk_bands=WIDE_CHUNKS)
+
+
 def repeat_words(words: list[bytes], window: int) -> int:
     """Words that lie in a window of ``window`` words found twice or more, the first one included.
 
@@ -63,8 +76,13 @@ def repeat_words(words: list[bytes], window: int) -> int:
     return int((np.cumsum(edges) > 0).sum())
 
 
+def band(size: int | None, bands: Sequence[tuple[int | None, float, float]]) -> tuple[float, float]:
+    """The limits for a number of bytes; None stands for more than any."""
+    return next((lo, hi) for top, lo, hi in bands if top is None or (size is not None and size <= top))
+
+
 def in_band(ratio: float, size: int, bands: Sequence[tuple[int | None, float, float]]) -> bool:
-    low, high = next((lo, hi) for top, lo, hi in bands if top is None or size <= top)
+    low, high = band(size, bands)
     return low <= ratio <= high
 
 
@@ -78,6 +96,11 @@ class _Judge:
     def ratio(self, data: bytes) -> float:
         return len(self.zstd.compress(data)) / len(data)
 
+    def chunks(self, data: bytes) -> list[bytes]:
+        size = self.rules.chunk_bytes
+        chunks = [data[i : i + size] for i in range(0, len(data), size)]
+        return [c for c in chunks if 2 * len(c) >= size]
+
     def bands(self, data: bytes) -> tuple[float, float, bool]:
         """Ratio of the whole, share of chunks outside their band, and whether both are accepted.
 
@@ -85,8 +108,7 @@ class _Judge:
         """
         r = self.rules
         whole = self.ratio(data)
-        chunks = [data[i : i + r.chunk_bytes] for i in range(0, len(data), r.chunk_bytes)]
-        chunks = [c for c in chunks if 2 * len(c) >= r.chunk_bytes]
+        chunks = self.chunks(data)
         bad = sum(not in_band(self.ratio(c), len(c), r.chunk_bands) for c in chunks)
         share = bad / len(chunks) if chunks else 0.0
         return whole, share, in_band(whole, len(data), r.whole_bands) and share <= r.max_bad_chunk_share
@@ -117,9 +139,10 @@ ADDED = T.StructType(
 ARROW = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
 
 
-def measure(df: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), rules: Rules = Rules()) -> DataFrame:
+def measure(df: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), rules: Rules = WIDE) -> DataFrame:
     """Every row's measures and verdict: the ``keep`` columns, then ``ADDED``.
 
+    The wide bands reject repeats and noise only; ``Rules()`` has the fitted ones.
     A row is kept if the base rules pass and its compression ratios lie in the bands of its length:
     the whole text's, and those of its fixed chunks but for a share of ``max_bad_chunk_share``.
     Narrow and row by row: no shuffle, one text in memory at a time beside its batch.
@@ -131,7 +154,7 @@ def measure(df: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",)
     return map_texts(df, text, list(keep), ADDED, lambda: _Judge(rules))
 
 
-def accepted(df: DataFrame, text: str = "text", rules: Rules = Rules()) -> DataFrame:
+def accepted(df: DataFrame, text: str = "text", rules: Rules = WIDE) -> DataFrame:
     """The rows that pass, with the columns they came with, whatever their names."""
     verdict = free(df, "__verdict")
     added = T.StructType([T.StructField(verdict, T.BooleanType())])
@@ -141,3 +164,45 @@ def accepted(df: DataFrame, text: str = "text", rules: Rules = Rules()) -> DataF
         return lambda texts: [pa.array([judge.one(t)[6] for t in texts], pa.bool_())]
 
     return map_texts(df, text, df.columns, added, start).where(F.col(verdict)).drop(verdict)
+
+
+RATIOS = T.StructType([T.StructField("ratios", T.ArrayType(T.StructType([
+    T.StructField("whole", T.BooleanType()), T.StructField("size", T.LongType()), T.StructField("ratio", T.DoubleType())])))])
+
+
+def fitted(good: DataFrame, text: str = "text", wide: Rules = WIDE, whole: Sequence[int | None] = tuple(b[0] for b in WHOLE_BANDS),
+           chunks: Sequence[int | None] = tuple(b[0] for b in CHUNK_BANDS), max_rows: int = 20_000, least_rows: int = 20,
+           tail: float = 0.001, margin: float = 0.015) -> Rules:
+    """Rules whose lower limits follow from ``good`` texts, such as those labelled so.
+
+    A length class starts ``margin`` below the ``tail`` quantile of its ratios; with fewer than
+    ``least_rows`` of them it has the limits of ``wide``, from which all upper limits come too. Of
+    the texts that pass the base rules the ``max_rows`` of least hash count; the driver gets one row
+    for each class.
+    """
+    own = F.col(f"`{text}`")
+    few = accepted(good.select(own), text, wide).orderBy(F.xxhash64(own), own).limit(max_rows)
+
+    def start():
+        judge = _Judge(wide)
+
+        def one(data: bytes) -> list[dict]:
+            parts = [(True, data), *((False, c) for c in judge.chunks(data))]
+            return [{"whole": w, "size": len(x), "ratio": judge.ratio(x)} for w, x in parts]
+
+        kind = pa.list_(pa.struct([("whole", pa.bool_()), ("size", pa.int64()), ("ratio", pa.float64())]))
+        return lambda texts: [pa.array([one(t.encode()) for t in texts], kind)]
+
+    def top(tops: Sequence[int | None]):
+        return F.least(*(F.when(F.col("size") <= t, t) for t in tops if t is not None), F.lit(None).cast("long"))
+
+    found = map_texts(few, text, [], RATIOS, start).select(F.inline("ratios"))
+    found = found.groupBy("whole", F.when(F.col("whole"), top(whole)).otherwise(top(chunks)).alias("top")).agg(
+        F.count("*").alias("rows"), F.percentile("ratio", F.lit(tail)).alias("low"))
+    lows = {(r.whole, r.top): round(r.low - margin, 3) for r in found.collect() if r.rows >= least_rows}
+
+    def limits(is_whole: bool, tops, bands):
+        return tuple((t, lows.get((is_whole, t), band(t, bands)[0]), band(t, bands)[1]) for t in tops)
+
+    return replace(
+        wide, whole_bands=limits(True, whole, wide.whole_bands), chunk_bands=limits(False, chunks, wide.chunk_bands))

@@ -158,3 +158,34 @@ def test_bands_leave_ordinary_texts_alone(spark):
     rng = random.Random(5)
     noise = ["\n".join(base64.b64encode(rng.randbytes(45)).decode() + " x" for _ in range(n)) for n in (40, 90, 400)]
     assert [r.kept for r in quality.measure(frame(spark, noise)).collect()] == [False] * 3
+
+
+def labelled(spark, quality):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where(f"quality = {quality}").select("doc_id")
+    return docs.join(labels, "doc_id").select("doc_id", "text")
+
+
+def test_fitted_bands_reject_held_out_junk(spark):
+    """The bands come from good texts of even id; those of odd id stay, and most junk of odd id goes."""
+    rules = quality.fitted(labelled(spark, 1).where("doc_id % 2 = 0"))
+    for found, given in ((rules.whole_bands, quality.WHOLE_BANDS), (rules.chunk_bands, quality.CHUNK_BANDS)):
+        assert [b[0] for b in found] == [b[0] for b in given]
+        assert all(b[1:] == pytest.approx(g[1:], abs=0.0021) for b, g in zip(found, given))
+    shares = []
+    for good in (1, 0):
+        judged = quality.measure(labelled(spark, good).where("doc_id % 2 = 1"), rules=quality.Rules()).where("not base_failed")
+        shares.append(judged.agg(F.avg(F.col("kept").cast("int"))).first()[0])
+    assert shares[0] > 0.995 and shares[1] < 0.4
+
+
+def test_query_and_stage_use_the_fitted_bands(spark):
+    import corpus_pipeline
+    from sluice.llm import queries
+
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    wide = {r.doc_id for r in quality.accepted(docs).collect()}
+    kept = {r.doc_id for r in queries.QUERIES["op1_compression_bands"](spark, sf).where("kept").collect()}
+    assert kept < wide and {32, 40, 44} <= wide - kept  # '$$$', '|' and '&&&' among the words
+    assert {r.doc_id for r in corpus_pipeline.keep_quality(spark, docs, sf).collect()} == kept

@@ -35,7 +35,7 @@ def kd_shards(df: DataFrame, shards: int, id: str = "doc_id", text: str = "text"
     The tree splits units, each of them all rows with one text, at the weighted median of the
     dimension that is widest in the node (its range as a share of the whole table's; the first of
     equals), for an odd number of leaves at the matching fraction, until each leaf has the target of
-    1/shards of all bytes. A unit's place is that of its least copy. Ties in a dimension fall by the
+    1/shards of all bytes. A unit's place is the least of all copies of its text. Ties in a dimension fall by the
     text's hash, after the heavy texts, so that a cut rather falls among light ones. Medians come from running totals over ranges, so no node's rows meet in one task.
 
     Equal texts stay in one shard as long as they weigh no more than ``whole`` of a shard. Of heavier
@@ -56,12 +56,16 @@ def kd_shards(df: DataFrame, shards: int, id: str = "doc_id", text: str = "text"
     limit = max(1.0, whole * total / shards)
 
     heavy = (
-        rows.groupBy(*KEY).agg(F.sum("size").alias("weight")).where(F.col("weight") > limit)
-        .select(*KEY, F.ceil(F.col("weight") / limit).alias("ways"), (-F.col("weight")).alias("heft")))
+        rows.groupBy(*KEY).agg(F.sum("size").alias("weight"), *(F.min(k).alias(f"least_{k}") for k in place))
+        .where(F.col("weight") > limit)
+        .select(*KEY, F.ceil(F.col("weight") / limit).alias("ways"), (-F.col("weight")).alias("heft"),
+                *(f"least_{k}" for k in place)))
     salted = (
         rows.join(F.broadcast(heavy), KEY, "left")  # at most shards / whole rows
         .withColumn("salt", F.pmod(F.xxhash64("row"), F.coalesce("ways", F.lit(1))))
-        .withColumn("heft", F.coalesce("heft", F.lit(0))).drop("ways"))
+        .withColumn("heft", F.coalesce("heft", F.lit(0)))
+        # the place of a text, not of those of its rows that share a salt
+        .withColumns({k: F.coalesce(f"least_{k}", k) for k in place}).drop("ways", *(f"least_{k}" for k in place)))
     units = stored(
         salted.groupBy(*KEY, "salt", "heft")
         .agg(F.sum("size").alias("weight"), *(F.min(k).alias(k) for k in place))

@@ -182,6 +182,15 @@ def test_shards_split_the_widest_dimension(spark):
         k: list(range(16 * k, 16 * k + 16)) for k in range(4)}
 
 
+def test_copies_of_a_heavy_text_lie_side_by_side(spark):
+    """Four copies, each over the limit and from sources far apart, are parted by one cut at most."""
+    rows = [(i, f"text {i:04d} " * 10, f"s{i % 10}", "en", 5) for i in range(400)]
+    rows += [(1000 + k, "heavy text " * 60, f"s{3 * k}", "en", 5) for k in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    placed = sharding.kd_shards(df, 8).where("doc_id >= 1000").select("shard").distinct().collect()
+    assert len(placed) <= 2
+
+
 # ---- SimHash
 
 def plain_simhash(text, words=3):

@@ -41,6 +41,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def without_summary(model, spark: SparkSession):
+    """A fitted ML model, written to the shared folder and loaded again: what it learnt, and no more.
+
+    A fresh model carries the summary of its training and through it the session, which cannot be
+    sent to executors once the session has observed a query.
+    """
+    path = new_path(spark, "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def free(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have (Spark compares names without case)."""
     taken = {c.lower() for c in df.columns}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lines, mixing, quality, sharding, simhash, spherical, substrings, urls, wordpiece
+from . import bpe, factorisation, infilling, lexical, lines, mixing, quality, sharding, simhash, spherical, substrings, urls, wordpiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -178,3 +178,76 @@ FROM documents d LEFT JOIN marked m USING (doc_id) GROUP BY d.doc_id
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url by rules, and by a classifier where no rule fits."""
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op11_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all documents for each benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+ORACLES["op11_reversed_search"] = r"""
+WITH cut AS (
+    SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\x{80}-\x{10FFFF}]+') AS terms
+    FROM documents),
+corpus AS (SELECT count(*)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM cut WHERE len(terms) > 0),
+asked AS (
+    SELECT item_id, term, count(*)::BIGINT AS times FROM (
+        SELECT item_id, unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) AS term
+        FROM benchmark) GROUP BY item_id, term),
+held AS (
+    SELECT row, doc_id, n, term, count(*)::BIGINT AS tf FROM (
+        SELECT row, doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM cut)
+    WHERE term IN (SELECT term FROM asked) GROUP BY row, doc_id, n, term),
+weighed AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+    FROM (SELECT term, count(*)::BIGINT AS df FROM held GROUP BY term) CROSS JOIN corpus),
+scored AS (
+    SELECT item_id, row, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+    FROM held JOIN weighed USING (term) JOIN asked USING (term) CROSS JOIN corpus GROUP BY item_id, row, doc_id)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
+@query
+def op12_factorisation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by a factorisation machine that labelled ones train."""
+    return factorisation.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document made ready for infilling, and back, as digests."""
+    made = infilling.fill_in_middle(table(spark, sf_dir, "documents"))
+    back = infilling.restore(made, keep=["doc_id", "n", "form", "prefix_chars", "middle_chars", "output"])
+    return back.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
+
+
+ORACLES["op13_fill_in_middle"] = """
+WITH cut AS (
+    SELECT doc_id, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+        sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+    FROM documents),
+drawn AS (
+    SELECT *, len(units)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+        ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM cut),
+formed AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN body = '' OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+            WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (
+    SELECT *, coalesce(array_to_string(units[1 : a], ''), '') AS prefix, coalesce(array_to_string(units[a + 1 : b], ''), '') AS middle,
+        coalesce(array_to_string(units[b + 1 : n], ''), '') AS suffix FROM formed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN body WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(CASE form WHEN 'plain' THEN body ELSE prefix || middle || suffix END) AS restored_sha256
+FROM parts
+"""

@@ -14,7 +14,7 @@ from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free, stored
+from .common import free, stored, without_summary
 
 ALLOW, BLOCK = "allow", "block"
 
@@ -93,9 +93,9 @@ def train(labelled: DataFrame, learning: Learning = Learning()) -> LogisticRegre
     few = stored(few.withColumn("label", (F.col("verdict") == BLOCK).cast("double")).coalesce(1), "labelled")
     if few.select("verdict").distinct().count() < 2:
         return None
-    return LogisticRegression(
+    return without_summary(LogisticRegression(
         featuresCol="terms", regParam=learning.regularization, maxIter=learning.iterations,
-    ).fit(features(few, "host", "path", "terms", learning).select("terms", "label"))
+    ).fit(features(few, "host", "path", "terms", learning).select("terms", "label")), labelled.sparkSession)
 
 
 def judge(df: DataFrame, rules: Sequence[Rule], url: str = "url", keep: Sequence[str] = ("page_id",),

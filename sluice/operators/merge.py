@@ -11,6 +11,15 @@ each map task, so a key holding a third of the batch leaves each task as one row
 and shuffled once at most: whole rows are merged by an anti join, where the keys of a small batch are
 broadcast and the base is not shuffled at all, parts of rows by one full outer join. Rows with a NULL in their key match nothing;
 they carry a number of their own beside the key, so they spread over all tasks.
+
+Which plan suits follows from what the caller says of the batch (``batch`` of ``upsert``), never from a size:
+
+* ``small`` (the default): a batch that hits few rows of a base of any kind.
+* ``sparse``: keys scattered over a base too large to be shuffled, parts of rows too. A Bloom filter of
+  the batch's keys, made by an aggregation, tells which base rows may be hit; only those go into the
+  join, all others pass by unshuffled. False positives are harmless: they are joined and stay.
+* ``wide``: whole rows that replace a good part of a base with one row per key. Both sides are read and
+  shuffled once, as one tagged union under one aggregation.
 """
 
 from __future__ import annotations
@@ -22,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import settled
 from .filters import quoted
 
 
@@ -116,26 +126,113 @@ def merge_last(base: DataFrame, last: DataFrame, keys: Sequence[str], order: Seq
     return joined.select(*[value(c).alias(c) for c in names])
 
 
+#: Bits that a Bloom filter may have at most (its words are broadcast: 16 bytes for each 64 bits), bits for
+#: a key, and hash functions.
+MAX_BITS, BITS_PER_KEY, N_HASHES = 1 << 24, 10, 3
+
+
+def _places(keys: Sequence[Column], bits: int) -> list[Column]:
+    """The bits of a key, by several hashes of it."""
+    return [F.pmod(F.xxhash64(F.lit(k), *keys), F.lit(bits)) for k in range(N_HASHES)]
+
+
+def bloom_words(last: DataFrame, keys: Sequence[str], bits: int) -> DataFrame:
+    """(word, mask): the set bits of a Bloom filter of all keys, 64 to a row; rows without any are left out.
+
+    A plain aggregation: tasks combine their masks before the shuffle, so what is sent is bounded by
+    the filter's size, not by the batch.
+    """
+    at = last.select(F.explode(F.array(*_places([quoted(k) for k in keys], bits))).alias("at"))
+    mask = F.expr("shiftleft(1L, cast(at % 64 as int))")
+    return at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(mask).alias("mask"))
+
+
+def split_by_bloom(base: DataFrame, words: DataFrame, keys: Sequence[str], bits: int) -> tuple[DataFrame, DataFrame]:
+    """Base rows that the batch may hit, and the others. ``words`` holds 16 bytes for each 64 of ``bits`` at
+    most, so it is broadcast; the base is not shuffled. Rows without a key are never hit."""
+    marked, hit = base, F.lit(True)
+    for k, place in enumerate(_places([quoted(c) for c in keys], bits)):
+        side = F.broadcast(words.select(F.col("word").alias(f"_w{k}"), F.col("mask").alias(f"_m{k}")))
+        marked = marked.withColumn(f"_p{k}", place)
+        marked = marked.join(side, F.shiftright(f"_p{k}", 6) == F.col(f"_w{k}"), "left")
+        bit = F.expr(f"shiftleft(1L, cast(_p{k} % 64 as int))")
+        hit = hit & (F.coalesce(F.col(f"_m{k}"), F.lit(0)).bitwiseAND(bit) != 0)
+    present = reduce(lambda a, b: a & b, [quoted(c).isNotNull() for c in keys])
+    hit = present & hit
+    names = [quoted(c) for c in base.columns]
+    return marked.filter(hit).select(*names), marked.filter(~hit).select(*names)
+
+
+def merge_sparse(base: DataFrame, last: DataFrame, keys: Sequence[str], *, max_bits: int = MAX_BITS) -> DataFrame:
+    """``base`` after merging ``last`` (one row per key; whole rows or parts), shuffling only what it may hit.
+
+    The filter has ``BITS_PER_KEY`` bits for each key of the batch, rounded up to a power of two, and
+    ``max_bits`` at most; with more keys than that more of the base goes into the join, nothing else.
+    Of a repeated base key every row is updated.
+    """
+    # keys of one type on both sides, or their hashes differ
+    last = settled(last.select(*[quoted(c).cast(base.schema[c].dataType).alias(c) for c in last.columns]), "batch")
+    with_key, without = keyed(last, keys), unkeyed(last, keys)
+    bits = 64
+    while bits < min(max_bits, BITS_PER_KEY * with_key.count()):
+        bits *= 2
+    words = settled(bloom_words(with_key, keys, bits), "bloom")
+    maybe, never = split_by_bloom(base, words, keys, bits)
+    merged = merge_last(apart(maybe, keys), apart(with_key, keys), keys)
+    new = without.select(*[(quoted(c) if c in last.columns else F.lit(None)).cast(base.schema[c].dataType).alias(c) for c in base.columns])
+    return merged.unionByName(never).unionByName(new)
+
+
+def merge_wide(base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``base``, which has one row per key, after merging whole rows: the last change of a key counts.
+
+    One union of both sides, tagged, and one ``max`` over (tag, order, row) for each key, which tasks
+    combine before the shuffle: a change outranks the base row, a later change an earlier one.
+    """
+    names = list(base.columns)
+    extra = [c for c in order if c not in names]
+    kinds = {c: changes.schema[c].dataType for c in extra}
+    old = base.select(*[quoted(c) for c in names], *[F.lit(None).cast(kinds[c]).alias(c) for c in extra])
+    new = changes.select(*[quoted(c).cast(base.schema[c].dataType).alias(c) for c in names], *[quoted(c) for c in extra])
+    # old numbers and new ones must differ: rows without a key match nothing
+    tagged = apart(old.withColumn("_tag", F.lit(0)).unionByName(new.withColumn("_tag", F.lit(1))), keys)
+    rank = ["_tag", *order]
+    best = last_row(tagged, [*keys, APART], rank)
+    return best.select(*[quoted(c) for c in names])
+
+
 def upsert(base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str] = (), *,
-           null_keys: str = "insert", newest: bool = False) -> DataFrame:
+           null_keys: str = "insert", newest: bool = False, batch: str = "small") -> DataFrame:
     """The target after merging ``changes`` into ``base``.
 
     ``order`` names the columns that tell which change of a key came last; columns of it that the
     target does not have are used and dropped. Changes may carry fewer columns than the target.
     ``null_keys`` is ``insert`` or ``reject``. With ``newest`` the order columns must be columns of
-    the target too, and older changes are ignored.
+    the target too, and older changes are ignored. ``batch`` says what kind of batch it is (see the
+    module): ``small``, ``sparse`` or ``wide``; the result is the same but for repeated keys in a base,
+    which ``wide`` must not have and of which ``sparse`` updates every row.
     """
     if null_keys not in ("insert", "reject"):
         raise ValueError(f"null_keys must be 'insert' or 'reject', not {null_keys!r}")
+    if batch not in ("small", "sparse", "wide"):
+        raise ValueError(f"batch must be 'small', 'sparse' or 'wide', not {batch!r}")
     keys = list(keys)
     brought = [c for c in changes.columns if c in base.columns]
-    if newest and len(brought) < len(base.columns):
+    partial = len(brought) < len(base.columns)
+    if newest and partial:
         raise ValueError("newest needs changes with all columns of the target")
-    wanted = apart(keyed(changes, keys) if null_keys == "reject" else changes, keys)
-    marked = apart(base, keys)
+    if batch != "small" and newest or batch == "wide" and partial:
+        raise ValueError(f"a {batch} batch cannot be merged so: newest and, if wide, parts of rows need a small one")
+    allowed = keyed(changes, keys) if null_keys == "reject" else changes
+    if batch == "wide":
+        return merge_wide(base, allowed, keys, order)
+    wanted = apart(allowed, keys)
     named = [*keys, APART]
     last = last_row(wanted, named, order).select(*[quoted(c) for c in [*brought, APART]])
-    if newest or len(brought) < len(base.columns) or all(c in named for c in wanted.columns):
+    if batch == "sparse":
+        return merge_sparse(base, last.drop(APART), keys)
+    marked = apart(base, keys)
+    if newest or partial or all(c in named for c in wanted.columns):
         return merge_last(marked, last, keys, order, newest=newest)
     # Whole rows: all rows a change hits go, repeated ones too, and all changes come. The anti join can
     # broadcast the keys of a small batch, so the base is not shuffled; the batch is read twice for it.

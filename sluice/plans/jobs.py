@@ -7,8 +7,10 @@ data is in place. Input is whatever has landed: change files or JSON pages.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,8 +42,8 @@ from ..schemas import CHANGE_FILES, INSTITUTION, PAGES, TARGETS
 from ..session import settled
 from ..sources.change_files import ARRIVAL, CORRUPT, read_texts, schema_of
 from ..sources.control import RunMetrics, control_table, get_watermark, set_watermark
-from ..sources.pages import failed_pages, page_nodes, read_pages
-from ..sources.snapshots import write_snapshot
+from ..sources.pages import failed_pages, page_faults, page_nodes, read_pages
+from ..sources.snapshots import RECORD, proved_snapshot, write_snapshot
 from ..sources.tables import Layout, Table
 
 Paths = str | Sequence[str]
@@ -252,13 +254,17 @@ class Jobs:
 
     No landed row is lost. Change rows with a value that cannot be read go to
     ``<base>/quarantine/<kind>``, with the texts, the file and the columns at fault, and the others
-    are loaded. A page set with a page that is cut off or holds no list fails the job, unless
-    ``failed_pages`` is ``skip``: then such pages go to the quarantine and the others are loaded. Each
-    job appends its seconds and rows to ``<base>/metrics``.
+    are loaded. A page set fails the job if a page is cut off or holds no list, if a page is missing
+    (a number, or a cursor that was given and not followed) or if its end is, unless ``failed_pages``
+    is ``skip``: then such pages and what is missing go to the quarantine and the others are loaded.
+    Numbered sets of which no page tells whether another follows, and none is empty, pass as they
+    are, unless ``require_end``. A job run again over the same input at the same date replaces what it
+    put aside. Each job appends its seconds and rows to ``<base>/metrics``.
     """
 
     def __init__(self, spark: SparkSession, base: str, as_of: dt.datetime, *, buckets: int = 16, lines: bool = False,
-                 mixed_headers: bool = True, layouts: Mapping[str, Layout] | None = None, failed_pages: str = "fail"):
+                 mixed_headers: bool = True, layouts: Mapping[str, Layout] | None = None, failed_pages: str = "fail",
+                 require_end: bool = False):
         if failed_pages not in ("fail", "skip"):
             raise ValueError(f"failed_pages must be 'fail' or 'skip', not {failed_pages!r}")
         zone = spark.conf.get("spark.sql.session.timeZone")
@@ -266,6 +272,7 @@ class Jobs:
             raise ValueError(f"the session's time zone must be UTC, not {zone}")
         self.layouts = dict(layouts or {})
         self.failed_pages = failed_pages
+        self.require_end = require_end
         self.metrics = RunMetrics(spark)
         self.spark = spark
         self.base = base.rstrip("/")
@@ -282,8 +289,19 @@ class Jobs:
         """What was put aside of a kind so far."""
         return self.spark.read.json(f"{self.base}/quarantine/{kind}")
 
-    def _put_aside(self, kind: str, bad: DataFrame) -> None:
-        bad.write.mode("append").json(f"{self.base}/quarantine/{kind}")
+    def _put_aside(self, kind: str, paths: Paths, what: str, bad: DataFrame) -> None:
+        """Writes under the names of the date and the input, so that a retry replaces its own rows."""
+        listed = "\n".join([paths] if isinstance(paths, str) else sorted(paths))
+        run = f"{self.as_of.isoformat().replace(':', '-')}-{hashlib.sha256(listed.encode()).hexdigest()[:12]}"
+        path = f"{self.base}/quarantine/{kind}/run={run}/what={what}"
+        if bad.isEmpty():
+            try:
+                self.spark.read.text(path)
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                return  # nothing to put aside and nothing from an earlier try
+        bad.withColumnRenamed(CORRUPT, RECORD).write.mode("overwrite").json(path)
 
     def changes(self, kind: str, paths: Paths) -> DataFrame:
         """The readable rows of change files; the others go to the quarantine. Files are parsed once."""
@@ -293,21 +311,22 @@ class Jobs:
         rows = settled(checked(texts, casts), kind)
         unfit = F.col(CORRUPT).isNotNull()
         fault = F.when(unfit, F.array(F.lit("record"))).otherwise(F.col("bad_columns"))
-        bad = rows.withColumn("bad_columns", fault).filter(F.size("bad_columns") > 0)
-        if not bad.isEmpty():
-            self._put_aside(kind, quarantined(bad))
+        self._put_aside(kind, paths, "rows", quarantined(rows.withColumn("bad_columns", fault)))
         return accepted(rows.filter(~unfit)).drop(CORRUPT)
 
     def _pages(self, kind: str, paths: Paths) -> DataFrame:
         """The pages of a set, parsed once; see the class for those that hold no list."""
         schema, nodes = PAGES[kind]
         pages = settled(read_pages(self.spark, paths, schema, lines=self.lines), kind)
-        bad = failed_pages(pages, nodes)
-        found = bad.select(F.col(f"{ARRIVAL}.file").alias("file"), "reason").limit(20).collect()
-        if found and self.failed_pages == "fail":
-            raise IncompletePages(f"{kind}: " + "; ".join(f"{r['file']}: {r['reason']}" for r in found))
-        if found:
-            self._put_aside(kind, bad.select(F.col(ARRIVAL), "reason", CORRUPT))
+        bad = failed_pages(pages, nodes).select(F.col(ARRIVAL), "reason", CORRUPT)
+        missing = settled(page_faults(pages, nodes, require_end=self.require_end), "faults")
+        if self.failed_pages == "fail":
+            found = [f"{r['file']}: {r['reason']}" for r in bad.select(f"{ARRIVAL}.file", "reason").limit(20).collect()]
+            found += [f"set {r['page_set']}: {r['reason']} {r['at'] or ''}".rstrip() for r in missing.limit(20).collect()]
+            if found:
+                raise IncompletePages(f"{kind}: " + "; ".join(found))
+        self._put_aside(kind, paths, "pages", bad)
+        self._put_aside(kind, paths, "sets", missing)
         return pages
 
     def _nodes(self, kind: str, paths: Paths, keep: Sequence[str] = ()) -> DataFrame:
@@ -317,8 +336,8 @@ class Jobs:
         """Records of the running courses; whole pages are selected before they are unfolded."""
         return page_nodes(of_courses(self._pages(kind, paths), self._running()), PAGES[kind][1], ["course_id", ARRIVAL])
 
-    def _merge(self, name: str, rows: DataFrame, order: Sequence[str], **options) -> Table:
-        table = self.table(name)
+    def _merge(self, name: str, rows: DataFrame, order: Sequence[str], table: Table | None = None, **options) -> Table:
+        table = table or self.table(name)
         with self.metrics.stage(name) as stage:
             table.upsert(stage.watch(rows), order, **options)
         self.metrics.save(f"{self.base}/metrics")
@@ -365,9 +384,16 @@ class Jobs:
         return self._merge("timetable", rows, [ARRIVAL], null_keys="reject")
 
     def snapshot(self, kind: str, paths: Paths, until: dt.datetime, snapshots: str) -> str:
-        """Dated copy of a slice of one change-file table, every value as it arrived."""
-        rows = read_texts(self.spark, paths, CHANGE_FILES[kind], mixed=self.mixed_headers).drop(ARRIVAL, CORRUPT)
-        written = write_snapshot(rows, f"{snapshots}/{kind}", until)
+        """Dated copy of a slice of one change-file table, every value as it arrived.
+
+        Records that do not fit the header are kept as raw text beside it; sums of both are in a
+        manifest, and the files are held against it before the watermark is saved.
+        """
+        texts = read_texts(self.spark, paths, CHANGE_FILES[kind], mixed=self.mixed_headers).drop(ARRIVAL)
+        with self.metrics.stage(f"snapshot {kind}") as stage:
+            rows = settled(stage.watch(texts), kind)  # parsed once
+            written = proved_snapshot(rows, f"{snapshots}/{kind}", until)
+        self.metrics.save(f"{self.base}/metrics")
         set_watermark(self.control, kind, until)
         return written
 
@@ -424,15 +450,17 @@ class Jobs:
     def programme_rights(self, paths: Paths, keys: Sequence[str] = ("plnr",)) -> Table:
         """One right per person, the last one; other keys keep more."""
         table = Table(self.spark, f"{self.base}/programme_right", TARGETS["programme_right"][1], keys,
-                      buckets=self.buckets)
-        table.upsert(programme_right_rows(self._nodes("programme_rights", paths)), PLACE)
-        return table
+                      buckets=self.buckets, layout=self.layouts.get("programme_right"))
+        return self._merge("programme_right", programme_right_rows(self._nodes("programme_rights", paths)), PLACE, table)
 
     def study_rights(self, paths: Paths, snapshots: str) -> str:
         """Study programmes per student, as a dated CSV with the list as JSON text."""
         rows = study_right_rows(self._nodes("study_rights", paths))
-        return write_snapshot(rows.withColumn("programmes", F.to_json("programmes")), f"{snapshots}/study_rights",
-                              self.as_of)
+        with self.metrics.stage("study_rights") as stage:
+            written = write_snapshot(stage.watch(rows.withColumn("programmes", F.to_json("programmes"))),
+                                     f"{snapshots}/study_rights", self.as_of)
+        self.metrics.save(f"{self.base}/metrics")
+        return written
 
     def terms(self, paths: Paths) -> Table:
         return self._merge("term", term_rows(self._nodes("terms", paths)), PLACE, null_keys="reject")

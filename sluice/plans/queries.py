@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import functions as X
@@ -29,11 +29,13 @@ from ..sources import (
     read_pages,
     read_snapshot,
     set_watermark,
+    snapshot_records,
     watermarks_or_default,
     write_changes,
     write_snapshot,
 )
-from ..streaming import drop_reread, stream_changes, stream_upsert
+from ..sources.change_files import ARRIVAL
+from ..streaming import drop_reread, stream_changes, stream_checked, stream_texts, stream_upsert
 from .jobs import Jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,17 +125,33 @@ def table_upsert(spark, sf):
     return _seen_on(target.read())
 
 
-@query(f"""
+PARTIAL_SQL = f"""
     WITH last AS (SELECT * FROM ({ORDER_CHANGES_SQL}) WHERE rn = 1)
     SELECT coalesce(l.user_id, c.c_custkey) AS user_id, c.c_name AS name,
            CASE WHEN l.user_id IS NOT NULL THEN l.balance ELSE c.c_acctbal END AS balance
-    FROM customer c FULL JOIN last l ON l.user_id = c.c_custkey""")
+    FROM customer c FULL JOIN last l ON l.user_id = c.c_custkey"""
+
+
+@query(PARTIAL_SQL)
 def upsert_partial_columns(spark, sf):
     """Changes without some columns: kept on a match, NULL on insert."""
     base = _users(spark, sf).drop("seen_at")
     return O.upsert(base, _order_changes(spark, sf).drop("name"), ["user_id"], ["seen_at", "o_orderkey"])
 
 
+@query(PARTIAL_SQL)
+def upsert_sparse_batch(spark, sf):
+    """The same merge of a sparse batch: a Bloom filter keeps rows it cannot hit out of the shuffle."""
+    base = _users(spark, sf).drop("seen_at")
+    return O.upsert(base, _order_changes(spark, sf).drop("name"), ["user_id"], ["seen_at", "o_orderkey"], batch="sparse")
+
+
+@query(UPSERT_SQL)
+def upsert_wide_batch(spark, sf):
+    """Whole rows of a wide batch: one union and one aggregation for both sides."""
+    return _seen_on(O.upsert(_users(spark, sf), _order_changes(spark, sf), ["user_id"], ["seen_at", "o_orderkey"], batch="wide"))
+
+
 @query("""
     WITH ch AS (SELECT CASE WHEN o_orderstatus <> 'O' THEN o_custkey + 750 END AS user_id, o_orderpriority AS name,
                        o_totalprice AS balance, o_orderdate, o_orderkey
@@ -1423,10 +1441,86 @@ def job_snapshot(spark, sf):
 
 
 @query("""
+    SELECT s_suppkey AS id, s_name AS name, CAST(NULL AS VARCHAR) AS record FROM supplier WHERE s_nationkey % 3 = 0
+    UNION ALL SELECT NULL, NULL, '" ' || s_name || '"' || CASE WHEN s_nationkey % 3 = 1 THEN ',' || s_suppkey || ',surplus' ELSE '' END
+    FROM supplier WHERE s_nationkey % 3 <> 0""")
+def job_snapshot_records(spark, sf):
+    """A slice with records that have a field too many or are cut off: all of it is kept and proved."""
+    base = new_path(spark, "job_snapshot_records")
+    name, key, part = F.col("s_name"), F.col("s_suppkey").cast("string"), F.col("s_nationkey") % 3
+    odd = F.concat(F.lit('" '), name, F.lit('"'))
+    record = F.when(part == 0, F.concat(name, F.lit(","), key)).when(part == 1, F.concat(odd, F.lit(","), key, F.lit(",surplus"))).otherwise(odd)
+    files = table(spark, sf, "supplier").groupBy("s_nationkey").agg(F.concat_ws("\n", F.collect_list(record)).alias("lines"))
+    files.select(F.concat(F.lit("value.name,key.id\n"), F.col("lines"))).write.option("maxRecordsPerFile", 1).text(f"{base}/landed")
+    path = _jobs(spark, base, dt.datetime(2024, 1, 1)).snapshot("roles", f"{base}/landed", dt.datetime(2024, 1, 1), f"{base}/snapshots")
+    rows = O.plain(read_snapshot(spark, path, CHANGE_FILES["roles"]), ["key.id", "value.name"])
+    return rows.withColumn("record", F.lit(None).cast("string")).unionByName(
+        snapshot_records(spark, path).select(F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("string").alias("name"), "record"))
+
+
+QUARANTINE_SQL = """
     SELECT o_orderkey || CASE o_orderstatus WHEN 'P' THEN '.0' ELSE '' END AS id,
            CASE WHEN o_orderstatus = 'P' OR o_orderpriority = '1-URGENT' THEN 'put aside' ELSE 'loaded' END AS outcome,
            CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END + CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS faults
-    FROM orders""")
+    FROM orders"""
+
+
+@query(QUARANTINE_SQL)
+def stream_quarantine(spark, sf):
+    """A stream whose unreadable rows are put aside batch by batch, and then run again."""
+    base, schema = new_path(spark, "stream_quarantine"), "`key.id` bigint, `value.user_id` bigint, `value.updated_at` timestamp"
+    key = F.col("o_orderkey").cast("string")
+    rows = table(spark, sf, "orders").select(
+        F.when(F.col("o_orderstatus") == "P", F.concat(key, F.lit(".0"))).otherwise(key).alias("key.id"),
+        F.col("o_custkey").alias("value.user_id"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("no time")).otherwise(F.lit("2024-01-01T08:00:00Z")).alias("value.updated_at"))
+    write_changes(rows.repartition(6, "`key.id`"), f"{base}/landed")
+    target = Table(spark, f"{base}/table", "id bigint, user_id bigint, updated_at timestamp", ["id"], buckets=8)
+    for _ in range(2):  # the second run finds nothing new
+        stream_checked(
+            stream_texts(spark, f"{base}/landed", schema, files_per_batch=2), schema, target, ["updated_at", ARRIVAL],
+            f"{base}/checkpoint", f"{base}/quarantine", null_keys="reject",
+            prepare=lambda good: O.plain(good, {"key.id": "id", "value.user_id": "user_id", "value.updated_at": "updated_at", ARRIVAL: ARRIVAL, "_row": "_row"}),
+        ).awaitTermination()
+    aside = spark.read.schema("raw struct<`key.id`: string>, bad_columns array<string>").json(f"{base}/quarantine")
+    return target.read().select(F.col("id").cast("string").alias("id"), F.lit("loaded").alias("outcome"), F.lit(0).alias("faults")).union(
+        aside.select(F.col("raw")["key.id"], F.lit("put aside"), F.size("bad_columns")))
+
+
+@query("""
+    WITH pages AS (
+        SELECT o_custkey AS s, o_orderkey AS k, o_orderpriority <> '1-URGENT' AS landed,
+               lag(o_orderkey) OVER w IS NULL AS is_first, lead(o_orderkey) OVER w IS NULL AS is_last,
+               lead(o_orderpriority <> '1-URGENT') OVER w AS next_landed,
+               min(CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey END) OVER (PARTITION BY o_custkey) AS first_gap
+        FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)),
+    sets AS (
+        SELECT s, bool_or(NOT is_first) AS linked, bool_or(is_first) AS begun, bool_or(is_last) AS ended, count(*) AS seen,
+               count(*) FILTER (WHERE first_gap IS NULL OR k < first_gap) AS steps
+        FROM pages WHERE landed GROUP BY s)
+    SELECT CAST(s AS VARCHAR) AS page_set, 'missing page' AS reason, CAST(k AS VARCHAR) AS at
+    FROM pages JOIN sets USING (s) WHERE landed AND linked AND next_landed = false
+    UNION ALL SELECT CAST(s AS VARCHAR), 'missing page', NULL FROM sets WHERE linked AND NOT begun
+    UNION ALL SELECT CAST(s AS VARCHAR), 'missing end', NULL FROM sets WHERE NOT ended
+    UNION ALL SELECT CAST(s AS VARCHAR), 'unreached', CAST(seen - steps AS VARCHAR) FROM sets WHERE linked AND begun AND steps < seen""")
+def job_page_gap(spark, sf):
+    """Pages of cursor listings of which some never landed: what is missing of each set is recorded."""
+    base = new_path(spark, "job_page_gap")
+    order = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    info = F.struct(F.col("o_orderkey").cast("string").alias("endCursor"), F.lead("o_orderkey").over(order).isNotNull().alias("hasNextPage"))
+    node = F.struct(F.col("o_orderkey").cast("string").alias("_id"), F.struct(F.col("o_custkey").cast("string").alias("_id")).alias("user"))
+    page = F.struct(
+        F.col("o_custkey").alias("course_id"), F.lag("o_orderkey").over(order).cast("string").alias("after"),
+        F.struct(F.struct(F.struct(info.alias("pageInfo"), F.array(node).alias("nodes")).alias("enrollmentsConnection")).alias("course")).alias("data"))
+    pages = table(spark, sf, "orders").select("o_orderpriority", F.to_json(page).alias("value"))
+    pages.filter(F.col("o_orderpriority") != "1-URGENT").select("value").write.text(f"{base}/landed")
+    jobs = Jobs(spark, f"{base}/tables", dt.datetime(1998, 10, 1), buckets=8, lines=True, failed_pages="skip")
+    jobs.enrollments(f"{base}/landed")
+    return spark.read.schema("page_set string, reason string, at string").json(f"{base}/tables/quarantine/enrollments").select(
+        "page_set", "reason", "at")
+
+
+@query(QUARANTINE_SQL)
 def job_quarantine(spark, sf):
     """Change rows with values that cannot be read are put aside with their faults, the others loaded."""
     base = new_path(spark, "job_quarantine")

@@ -115,16 +115,19 @@ _ERRORS = "errors array<struct<message:string>>"
 
 
 def _connection(root: str, node: str) -> str:
-    return f"data struct<{root}:struct<{_PAGE_INFO},nodes:array<struct<{node}>>>>, {_ERRORS}"
+    """Pages of a cursor listing are landed with ``after``, the cursor they were asked for (none: the first)."""
+    return f"after string, data struct<{root}:struct<{_PAGE_INFO},nodes:array<struct<{node}>>>>, {_ERRORS}"
 
 
 def _course_page(path: str, node: str) -> str:
-    return f"course_id bigint, data struct<course:struct<{path}:struct<nodes:array<struct<{node}>>>>>, {_ERRORS}"
+    return (f"course_id bigint, after string, data struct<course:struct<{path}:struct<{_PAGE_INFO},nodes:array<struct<{node}>>>>>, "
+            f"{_ERRORS}")
 
 
 def _items_page(item: str) -> str:
-    """Numbered pages are landed as one object per page, with the listing under ``items``."""
-    return f"page int, items array<struct<{item}>>, {_ERRORS}"
+    """Numbered pages are landed as one object per page, with the listing under ``items`` and, where the
+    answer told, whether another page follows."""
+    return f"page int, has_next boolean, items array<struct<{item}>>, {_ERRORS}"
 
 
 # Fixed formats: landed pages, and where their list of records is.

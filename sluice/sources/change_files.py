@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.times import parse_whole
 from ..operators.filters import quoted
-from ..operators.sets import union_frames
+from ..session import settled
 
 ARRIVAL = "arrival"
 
@@ -101,44 +102,90 @@ def read_texts(spark: SparkSession, paths: str | Sequence[str], schema: str | T.
     return (read_mixed if mixed else read_changes)(spark, paths, texts, with_arrival=True)
 
 
+def _cells(width: int) -> list[str]:
+    return [f"_{i}" for i in range(width)]
+
+
+def _heads(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, header) of every file that has a line: the first line of the split that starts it."""
+    return (
+        spark.read.text(list(paths))
+        .filter(F.col("_metadata.file_block_start") == 0)
+        .select("value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"))
+        .groupBy("path")
+        .agg(F.min_by("value", "at").alias("header"))
+    )
+
+
 def read_mixed(spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType, *,
                with_arrival: bool = False) -> DataFrame:
     """Like ``read_changes`` for files of one table whose headers differ in order or extent.
 
-    The files are grouped by header first (a scan that keeps one line per file), then each group is
-    read with its own column order and the groups are joined by name. Columns a file lacks are NULL,
-    columns the schema does not know are left out.
+    A first scan keeps one line per file: its path and header. Only the distinct headers reach the
+    driver, which turns each into the places of the schema's columns. Then all files are read as
+    records of cells, a join by path gives each record the places that hold for its file, and the
+    columns are taken from there. However many files share a header, no list of them is made.
+
+    Columns a file lacks are NULL, columns the schema does not know are left out. Where the schema has
+    ``CORRUPT``, it gets the text of a record with more or fewer fields than its own file's header.
     """
     kind = schema_of(schema)
     listed = [paths] if isinstance(paths, str) else list(paths)
-    frames = []
-    if listed:
-        # the header is the first line of the split that starts a file
-        heads = (
-            spark.read.text(listed)
-            .filter(F.col("_metadata.file_block_start") == 0)
-            .select("value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"))
-            .groupBy("path")
-            .agg(F.min_by("value", "at").alias("header"))
-            .groupBy("header")
-            .agg(F.collect_list("path").alias("paths"))
-        )
-        # one entry per distinct header; the paths are what the scan has to list on the driver anyway
-        for row in heads.collect():
-            names = next(csv.reader([row["header"]], skipinitialspace=True))
-            rows = _reader(spark).schema(_typed(names, kind)).csv(row["paths"])
-            known = [quoted(n) for n in [*names, CORRUPT] if n in kind.names]
-            frames.append(rows.select(*known, *([arrival()] if with_arrival else [])))
-    everything = union_frames([empty_frame(spark, kind), *frames])
-    if with_arrival and not frames:
-        everything = everything.withColumn(ARRIVAL, F.lit(None).cast("string"))
-    return everything.select(*[quoted(n) for n in kind.names], *([ARRIVAL] if with_arrival else []))
+    heads = settled(_heads(spark, listed), "heads") if listed else None
+    found = [r["header"] for r in heads.select("header").distinct().collect()] if listed else []
+    if not found:
+        empty = empty_frame(spark, kind)
+        return empty.withColumn(ARRIVAL, F.lit(None).cast("string")) if with_arrival else empty
+    names = [next(csv.reader([h], skipinitialspace=True)) for h in found]
+    wanted = [f for f in kind.fields if f.name != CORRUPT]
+    places = [(h, len(n), [n.index(f.name) if f.name in n else None for f in wanted]) for h, n in zip(found, names)]
+    known = spark.createDataFrame(places, "header string, width int, places array<int>")
+    of = settled(heads.join(known, "header").select(F.col("path").alias("_path"), "width", "places"), "places")
+    width = max(len(n) for n in names)
+
+    # every first line is passed over as a header; what it says does not bind the cells
+    cells = T.StructType([T.StructField(c, T.StringType()) for c in _cells(width)]).add(CORRUPT, T.StringType())
+    records = _reader(spark).option("enforceSchema", "true").option("columnNameOfCorruptRecord", CORRUPT).schema(cells).csv(listed)
+    records = records.select(
+        F.array(*_cells(width)).alias("cells"), F.col(CORRUPT).alias("raw"), F.col("_metadata.file_path").alias("_of"),
+        *([arrival()] if with_arrival else []))
+    rows = records.join(of, F.col("_of") == F.col("_path"))
+    values = [_cast(F.get("cells", F.get("places", k)), f.dataType).alias(f.name) for k, f in enumerate(wanted)]
+    by_name = dict(zip((f.name for f in wanted), values))
+    if CORRUPT in kind.names:
+        by_name[CORRUPT] = _unfit(F.col("raw"), F.col("cells"), F.col("width"), sorted({len(n) for n in names}), width).alias(CORRUPT)
+    return rows.select(*[by_name[n] for n in kind.names], *([ARRIVAL] if with_arrival else []))
+
+
+def _cast(text: Column, kind: T.DataType) -> Column:
+    name = kind.simpleString()
+    if name == "string":
+        return text
+    return parse_whole(text, name) if name in ("int", "bigint") else text.try_cast(name)
+
+
+def _unfit(raw: Column, cells: Column, width: Column, widths: Sequence[int], most: int) -> Column:
+    """The text of a record that has not as many fields as its file's header, else NULL.
+
+    The reader marks the records that are not as wide as the widest header. Those of narrower files
+    are held against their own width by parsing their text once more; one that is not marked fits
+    the widest header and so has too many fields, and its text is put together from them.
+    """
+    unfit = F.when(width == most, raw)
+    whole = F.to_csv(F.struct(*[F.get(cells, i).alias(c) for i, c in enumerate(_cells(most))]), {"escape": '"'})
+    for w in widths:
+        if w == most:
+            continue
+        schema = ", ".join(f"{c} string" for c in _cells(w)) + f", {CORRUPT} string"
+        again = F.from_csv(raw, F.lit(schema), {**CSV_OPTIONS, "header": "false", "columnNameOfCorruptRecord": CORRUPT})
+        unfit = F.when(width == w, F.when(raw.isNull(), whole).when(again[CORRUPT].isNotNull(), raw)).otherwise(unfit)
+    return unfit
 
 
 def write_changes(df: DataFrame, path: str) -> None:
     """Rows as gzip CSV change files."""
     df.write.option("header", True).option("compression", "gzip").option("escape", '"').option(
-        "quoteAll", False).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").csv(path)
+        "quoteAll", False).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").csv(path)
 
 
 def read_columns(spark: SparkSession, path: str, schema: str | T.StructType, columns: Sequence[str]) -> DataFrame:

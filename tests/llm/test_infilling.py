@@ -1,0 +1,83 @@
+"""Fill-in-middle against its definition, text by text, and back."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from sluice.llm import infilling
+
+TEXTS = [
+    None, "", "a", "words and more words\nof a text", "é漢😀 mixed ÀB 12", "<P>", "holds <M> inside", "<<P", "ends with <", "P>S>M>",
+    "x" * 70_000 + " y", "1 2 3 " * 30_000, "the same", "the same", "\x00\r\n\t", "<S", ">", "a<b>c <P",
+]
+
+
+def plain(id, text, seed=1, plain_percent=10, spm_percent=20):
+    text = text or ""
+    units = re.findall("[A-Za-z]+|[^A-Za-z]", text)
+    digest = hashlib.sha256(f"{seed}:{'' if id is None else id}".encode()).hexdigest()
+    h = [int(digest[8 * k : 8 * k + 8], 16) for k in range(4)]
+    n = len(units)
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    prefix, middle, suffix = ("".join(x) for x in (units[:a], units[a:b], units[b:]))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 100 - plain_percent:
+        return n, "plain", None, None, text
+    if h[3] % 100 < spm_percent:
+        return n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def test_equals_definition_and_comes_back(spark):
+    rows = [(100 * k + i, t, "clash", "x") for k in range(6) for i, t in enumerate(TEXTS)] + [(None, "no id at all", "clash", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `Form` string, mine string").repartition(3)
+    made = infilling.fill_in_middle(df, keep=["doc_id", "Form", "mine"])
+    assert made.columns == ["doc_id", "mine", *infilling.ADDED.names]
+    back = infilling.restore(made, keep=made.columns)
+    found = {r.doc_id: r for r in back.collect()}
+    assert len(found) == len(rows)
+    for id, text, *_ in rows:
+        r = found[id]
+        assert (r.n, r.form, r.prefix_chars, r.middle_chars, r.output) == plain(id, text), (id, (text or "")[:20])
+        assert r.restored == (text or "") and r.mine == "x"
+    assert {r.form for r in found.values()} == {"plain", "psm", "spm"}
+    assert infilling.fill_in_middle(df.limit(0)).count() == 0 and infilling.restore(made.limit(0)).count() == 0
+
+
+def test_blocks_and_slices_change_nothing(spark, monkeypatch):
+    """The same bytes whatever is moved at once: shifts are carried from block to block."""
+    texts, drawn = [t or "" for t in TEXTS], np.random.default_rng(3).integers(0, 1 << 32, (4, len(TEXTS)))
+    data, ends = infilling.packed(pa.array(texts))
+    whole = infilling.scatter(data, ends, drawn, 10, 20)
+    monkeypatch.setattr(infilling, "BLOCK", 7)
+    parts = infilling.scatter(data, ends, drawn, 10, 20)
+    assert [p.to_pylist() for p in parts] == [w.to_pylist() for w in whole]
+    out, out_ends = infilling.packed(parts[4])
+    assert infilling.gather(out, out_ends, parts[1].to_pylist()).to_pylist() == texts
+    monkeypatch.setattr(infilling, "SLICE", 10)
+    batch = pa.RecordBatch.from_arrays([pa.array(TEXTS)], ["t"])
+    assert [x for s in infilling.slices(batch, 0) for x in s.column(0).to_pylist()] == TEXTS
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("<>PSMab é漢\n"), max_size=12), max_size=6), st.integers(0, 1 << 30))
+def test_any_texts_come_back(texts, seed):
+    drawn = np.random.default_rng(seed).integers(0, 1 << 32, (4, len(texts)))
+    data, ends = infilling.packed(pa.array(texts, pa.string()))
+    made = infilling.scatter(data, ends, drawn, 10, 50)
+    out, out_ends = infilling.packed(made[4])
+    assert infilling.gather(out, out_ends, made[1].to_pylist()).to_pylist() == texts
+
+
+def test_restore_states_what_it_cannot_read(spark):
+    df = spark.createDataFrame([(1, None, "psm"), (2, "kept", None)], "doc_id int, output string, form string")
+    assert {r.doc_id: r.restored for r in infilling.restore(df).collect()} == {1: None, 2: "kept"}
+    bad, ends = infilling.packed(pa.array(["<P>no end"]))
+    with pytest.raises(ValueError):
+        infilling.gather(bad, ends, ["psm"])

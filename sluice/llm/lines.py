@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free, ready_for_python, stored
+from .common import WORD_SQL, free, ready_for_python, stored
 from .ranked import running
 
 #: A line takes part if it holds a word; others are passed over and stay.
@@ -55,63 +57,107 @@ def _ranked(suffixes: DataFrame, keys: list[str]) -> DataFrame:
     same = F.lit(True)
     for k in keys:
         same = same & (F.col(k) == F.col(f"__{k}"))
-    return suffixes.join(starts, same).select("row", "pos", "place", "rank", "first")
+    return suffixes.join(starts, same).select("row", "pos", "place", "depth", "rank", "first")
+
 
+def least_depths(sizes: Column, min_lines: int, min_words: int) -> Column:
+    """For each line of a text, how many lines from there on make a run worth deleting: the fewest that
+    hold ``min_words`` words together, and ``min_lines`` if no fewer do; null if the text ends before.
 
-def repeated_runs(lines: DataFrame, min_lines: int) -> DataFrame:
-    """(place, first) of every suffix whose first ``min_lines`` lines also stand somewhere else.
+    Word sums run along the run. The depth depends on those lines alone, so all suffixes that share
+    them have the same.
+    """
 
-    ``lines``: row, pos, place (what orders suffixes in the corpus) and the line id h1, h2. Prefix
-    doubling sorts the suffixes by one line, by two, by four and so on: the rank by 2d lines comes
-    from the ranks by d lines of a suffix and of the one d lines on. Suffixes alone in their bucket
-    have no copy at any greater depth and leave. A bucket at depth d is the interval of the suffix
-    array within which the longest common prefix is d or more; the last round takes the step that
-    makes d equal ``min_lines``. Sorting deeper would split these intervals, never join them, and a
-    longer run is the union of its windows of ``min_lines`` lines.
+    def depth(_: Column, pos: Column) -> Column:
+        words, found = F.lit(0), F.lit(None).cast("int")
+        steps = []
+        for k in range(min_lines):
+            words = words + F.get(sizes, pos + k)  # null behind the end
+            steps.append((k + 1, words))
+        for k, total in reversed(steps):
+            enough = total.isNotNull() if k == min_lines else total >= min_words
+            found = F.when(enough, F.lit(k)).otherwise(found)
+        return found
+
+    return F.transform(sizes, depth)
+
+
+def repeated_runs(lines: DataFrame, max_depth: int) -> DataFrame:
+    """(place, depth) of every suffix whose first ``depth`` lines also stand at an earlier place.
+
+    ``lines``: row, pos, place (what orders suffixes in the corpus), ``depth`` and the line id h1, h2. Prefix
+    doubling sorts the suffixes by one line, by two, by four and so on: the rank by more lines comes
+    from the ranks by d lines of a suffix and of one up to d lines on. Suffixes alone in their bucket
+    have no copy at any greater depth and leave; doubling ends when none is left or all have come to
+    the depth at which they count.
+
+    A bucket at depth d is an interval of the suffix array within which the longest common prefix is
+    d or more. An interval at its suffixes' own depth is the widest one whose common run is worth
+    deleting: deeper ones lie within it, and their longer runs are made of such runs one after the
+    other. So its earliest place stays and all others of it are named here; what they cover together
+    is every maximal repeated run of the corpus that is worth deleting, but for its earliest copy.
     """
-    found = stored(_ranked(lines, ["h1", "h2"]), "suffixes")
-    depth = 1
-    while depth < min_lines:
-        step = min(depth, min_lines - depth)
+    found, depth, parts = stored(_ranked(lines, ["h1", "h2"]), "suffixes"), 1, []
+    while True:
+        later = (F.col("depth") == depth) & (F.col("place") != F.col("first"))
+        parts.append(found.where(later).select("place", "depth"))
+        if depth >= max_depth or found.where(F.col("depth") > depth).isEmpty():
+            return reduce(DataFrame.unionAll, parts)
+        step = min(depth, max_depth - depth)
         ahead = Window.partitionBy("row").orderBy("pos").rangeBetween(step, step)
         pairs = found.withColumn("next", F.max("rank").over(ahead)).where("next is not null").drop("first")
         found = stored(_ranked(pairs.withColumnRenamed("rank", "own"), ["own", "next"]), "suffixes")
         depth += step
-    return found.select("place", "first")
 
 
-def repeated_lines(df: DataFrame, id: str = "doc_id", text: str = "text", min_lines: int = 3) -> DataFrame:
+def repeated_lines(df: DataFrame, id: str = "doc_id", text: str = "text", min_lines: int = 3, min_words: int = 50) -> DataFrame:
     """(id, h, gone): for each text that loses lines, numbers of its worded lines that go, from 0.
 
-    ``h`` is the text's hash; with the id it names the text.
+    ``h`` is the text's hash; with the id it names the text. A text whose worded lines are all those of
+    an earlier one goes as a whole; it then takes no part in the search for runs, since the earliest
+    copy stands for it.
     """
     body = df.select(F.col(f"`{id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("h"), _worded(F.col(f"`{text}`")).alias("lines"))
-    body = body.where(F.size("lines") >= min_lines).withColumn("row", F.monotonically_increasing_id())
-    lines = stored(body.select("id", "h", "row", F.posexplode("lines").alias("pos", "line")).select(
-        "row", "pos", F.struct("id", "h", "pos").alias("place"), F.xxhash64("line").alias("h1"),
-        F.xxhash64(F.concat(F.lit(SALT), "line")).alias("h2")), "lines")
-    later = repeated_runs(lines, min_lines).where("place != first").select("place").distinct()
-    gone = later.select("place.id", "place.h", F.explode(F.sequence("place.pos", F.col("place.pos") + (min_lines - 1))).alias("at"))
+    body = body.where(F.size("lines") > 0).withColumns({
+        "row": F.monotonically_increasing_id(), "sizes": F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD_SQL)))})
+    body = body.withColumn("depths", least_depths(F.col("sizes"), min_lines, min_words))
+    cells = F.posexplode(F.arrays_zip("lines", "depths")).alias("pos", "cell")
+    whole = [F.xxhash64("lines").alias("w1"), F.xxhash64(F.lit(SALT), "lines").alias("w2"), F.size("lines").alias("n")]
+    line = F.col("cell.lines")
+    lines = stored(body.select("id", "h", "row", *whole, cells).select(
+        "row", "pos", F.struct("id", "h", "pos").alias("place"), F.col("cell.depths").alias("depth"), F.xxhash64(line).alias("h1"),
+        F.xxhash64(F.concat(F.lit(SALT), line)).alias("h2"),
+        *(F.when(F.col("pos") == 0, F.col(c)).alias(c) for c in ("w1", "w2", "n"))), "lines")
+
+    starts = lines.where("pos = 0")
+    heads = stored(starts.groupBy("w1", "w2").agg(F.min("place").alias("head"), F.count("*").alias("members")).where("members > 1").select(
+        F.col("w1").alias("__w1"), F.col("w2").alias("__w2"), "head"), "heads")
+    copies = stored(starts.join(heads, (F.col("w1") == F.col("__w1")) & (F.col("w2") == F.col("__w2"))).where("place != head").select(
+        F.col("row").alias("__row"), "place", "n"), "copies")
+    rest = lines.drop("w1", "w2", "n").join(copies.select("__row"), F.col("row") == F.col("__row"), "left_anti")
+    runs = repeated_runs(rest, min_lines).unionByName(copies.select("place", F.col("n").alias("depth"))).distinct()
+    gone = runs.select("place.id", "place.h", F.explode(F.sequence("place.pos", F.col("place.pos") + F.col("depth") - 1)).alias("at"))
     return gone.groupBy("id", "h").agg(F.sort_array(F.collect_set("at")).alias("gone"))
 
 
-def deduplicated(df: DataFrame, id: str = "doc_id", text: str = "text", min_lines: int = 3,
+def deduplicated(df: DataFrame, id: str = "doc_id", text: str = "text", min_lines: int = 3, min_words: int = 50,
                  counts: tuple[str, str] | None = None) -> DataFrame:
     """``df`` with the later copies of repeated line runs taken out of its texts.
 
-    A run of ``min_lines`` or more lines in a row that also stands earlier in the corpus (by id,
-    text hash and line; null ids first) is deleted, the earliest copy stays; within one text too.
-    Only lines with a word count; blank ones are passed over and stay as they are. Lines must be
-    equal in every character. With ``counts``, two columns of these names hold the worded lines
-    of a text and those deleted.
-
-    Every row comes back, also one that lost all its lines. Null texts stay null, texts of fewer
-    worded lines than a run stay as they are. Rows that repeat id and text are one document and stay
-    alike. Columns of any other name are kept. Nothing but line ids, places and, once, the texts is
-    shuffled; a line that a third of the corpus shares is one row after counting.
+    A run of lines that also stands earlier in the corpus (by id, text hash and line; null ids first) is
+    deleted if it has ``min_lines`` lines or ``min_words`` words or more, and so are all lines of a text
+    that has the same lines as an earlier one, however few; the earliest copy stays. Runs are found
+    within one text too. Only lines with a word count; blank ones are passed over and stay as they
+    are. Lines must be equal in every character. Short lines that come alone stay, however common.
+    With ``counts``, two columns of these names hold the worded lines of a text and those deleted.
+
+    Every row comes back, also one that lost all its lines. Null texts stay null; texts of any length
+    are whole. Rows that repeat id and text are one document and stay alike. Columns of any other name
+    are kept. An empty table gives an empty one. Nothing but line ids, places and, once, the texts is
+    shuffled; a line or a text that a third of the corpus shares is one row after counting.
     """
     at, of, found = (free(df, f"__{c}") for c in ("at", "of", "gone"))
-    gone = repeated_lines(df, id, text, min_lines).select(
+    gone = repeated_lines(df, id, text, min_lines, min_words).select(
         F.col("id").alias(at), F.col("h").alias(of), F.col("gone").alias(found))
     own = F.col(f"`{text}`")
     ready_for_python(df.sparkSession)

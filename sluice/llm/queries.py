@@ -146,8 +146,8 @@ def op8_simhash_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_suffix_array_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without later copies of runs of three or more lines."""
-    kept = lines.deduplicated(table(spark, sf_dir, "documents"), min_lines=3, counts=("n_lines", "n_removed"))
+    """All documents without later copies of runs of three lines or fifty words, and of whole texts."""
+    kept = lines.deduplicated(table(spark, sf_dir, "documents"), min_lines=3, min_words=50, counts=("n_lines", "n_removed"))
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
@@ -156,14 +156,26 @@ WITH cut AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS p
     FROM documents WHERE text IS NOT NULL),
 worded AS (
-    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS n FROM cut WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
-runs AS (
-    SELECT doc_id, n, line || chr(10) || lead(line, 1) OVER o || chr(10) || lead(line, 2) OVER o AS run
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS n, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS words
+    FROM cut WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+sized AS (
+    SELECT *, lead(line, 1) OVER o AS line2, lead(line, 2) OVER o AS line3,
+        CASE WHEN words >= 50 THEN 1 WHEN words + lead(words, 1) OVER o >= 50 THEN 2
+            WHEN lead(line, 2) OVER o IS NOT NULL THEN 3 END AS depth
     FROM worded WINDOW o AS (PARTITION BY doc_id ORDER BY n)),
+runs AS (
+    SELECT doc_id, n, depth, line || CASE WHEN depth > 1 THEN chr(10) || line2 ELSE '' END
+        || CASE WHEN depth > 2 THEN chr(10) || line3 ELSE '' END AS run
+    FROM sized WHERE depth IS NOT NULL),
 later AS (
-    SELECT doc_id, n FROM (
-        SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, n) AS copy FROM runs WHERE run IS NOT NULL) WHERE copy > 1),
-gone AS (SELECT DISTINCT doc_id, unnest([n, n + 1, n + 2]) AS n FROM later),
+    SELECT doc_id, n, depth FROM (
+        SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, n) AS copy FROM runs) WHERE copy > 1),
+wholes AS (
+    SELECT doc_id, count(*) AS lines, row_number() OVER (PARTITION BY string_agg(line, chr(10) ORDER BY n) ORDER BY doc_id) AS copy
+    FROM worded GROUP BY doc_id),
+gone AS (
+    SELECT doc_id, unnest(range(n, n + depth)) AS n FROM later
+    UNION SELECT doc_id, unnest(range(1, lines + 1)) FROM wholes WHERE copy > 1),
 marked AS (
     SELECT c.doc_id, c.p, c.line, w.n IS NOT NULL AS worded, g.n IS NOT NULL AS lost
     FROM cut c LEFT JOIN worded w ON w.doc_id = c.doc_id AND w.p = c.p LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.n = w.n)

@@ -85,17 +85,34 @@ def test_rolling_hash_is_of_the_words_alone(monkeypatch):
     assert (substrings.rolling(x, 50, 0) == a).all()
 
 
-def plain_lines(rows, m):
+def plain_lines(rows, m, least_words=50):
+    """Every run of any length, from every line on, looked up among those that start earlier."""
     keyed = sorted({r for r in rows if r[1] is not None}, key=lambda r: (r[0] is not None, r[0] or 0))
-    first, out = {}, {}
+    bodies, wholes, out = {}, set(), {}
+    seen = set()
     for i, t in keyed:
         body = t.split("\n")
         worded = [k for k, x in enumerate(body) if x.encode().split()]
+        bodies[i, t] = body, worded
+        texts = [body[k] for k in worded]
+        sizes = [len(x.encode().split()) for x in texts]
         gone = set()
-        for k in range(len(worded) - m + 1):
-            run = tuple(body[j] for j in worded[k : k + m])
-            if first.setdefault(run, (i, t, k)) != (i, t, k):
-                gone.update(worded[k : k + m])
+        for k in range(len(texts)):
+            words = 0
+            for length in range(1, len(texts) - k + 1):
+                words += sizes[k + length - 1]
+                if length < m and words < least_words:
+                    continue
+                run = tuple(texts[k : k + length])
+                if run in seen:
+                    gone.update(worded[k : k + length])
+                else:
+                    break  # a longer run is not there either
+            for length in range(1, min(len(texts) - k, m + 60) + 1):
+                seen.add(tuple(texts[k : k + length]))
+        if texts and tuple(texts) in wholes:
+            gone.update(worded)
+        wholes.add(tuple(texts))
         out[i, t] = ("\n".join(x for k, x in enumerate(body) if k not in gone), len(worded), len(gone))
     return out
 
@@ -125,6 +142,23 @@ def test_lines_equal_definition(spark, m):
     assert lines.deduplicated(df.limit(0), min_lines=m).count() == 0
 
 
+def test_runs_of_many_words_and_whole_texts(spark):
+    """One and two long lines go, short common ones stay, short texts go as a whole; long texts too."""
+    rng = random.Random(8)
+    words = lambda n: " ".join(rng.choices("abcdefgh", k=n))
+    long, pair, short = words(50), [words(30), words(20)], words(49)
+    rows = [(i, "\n".join([words(9), rng.choice([long, short, "\n".join(pair), pair[0]]), words(8)])) for i in range(60)]
+    rows += [(100, "two words"), (101, "two words\n"), (102, "two words\nmore"), (103, "\ntwo words"), (104, short), (105, short), (106, pair[1])]
+    rows += [(200, "\n".join(words(4) for _ in range(3000))), (201, "same old\n" * 2500)]
+    rows += [(202, rows[-2][1] + "\n" + words(3)), (203, rows[-1][1].strip())]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    expected = plain_lines(rows, 3)
+    got = {r.doc_id: r.text for r in lines.deduplicated(df).collect()}
+    assert got == {i: expected[i, t][0] for i, t in rows}
+    assert got[101] == "" and got[103] == "" and got[102] == rows[62][1] and got[105] == "" and got[106] == pair[1]
+    assert sum(long in t for t in got.values()) == 1 and sum(short in t for t in got.values()) > 5
+
+
 def test_null_ids_come_first(spark):
     df = spark.createDataFrame([(1, "a\nb\nc"), (None, "a\nb\nc\nd")], "doc_id long, text string")
     assert {r.doc_id: r.text for r in lines.deduplicated(df).collect()} == {1: "", None: "a\nb\nc\nd"}

@@ -147,9 +147,19 @@ def bloom_words(last: DataFrame, keys: Sequence[str], bits: int) -> DataFrame:
     return at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(mask).alias("mask"))
 
 
-def split_by_bloom(base: DataFrame, words: DataFrame, keys: Sequence[str], bits: int) -> tuple[DataFrame, DataFrame]:
-    """Base rows that the batch may hit, and the others. ``words`` holds 16 bytes for each 64 of ``bits`` at
-    most, so it is broadcast; the base is not shuffled. Rows without a key are never hit."""
+def filter_bits(keys: int, max_bits: int = MAX_BITS) -> int:
+    """Bits of a filter for so many keys: a power of two, ``BITS_PER_KEY`` for each, ``max_bits`` at most."""
+    bits = 64
+    while bits < min(max_bits, BITS_PER_KEY * keys):
+        bits *= 2
+    return bits
+
+
+def marked_by_bloom(base: DataFrame, words: DataFrame, keys: Sequence[str], bits: int, name: str) -> DataFrame:
+    """``base`` and a column that tells which rows the filter may hold; for all rows that it holds it does.
+
+    ``words`` has 16 bytes for each 64 of ``bits`` at most, so it is broadcast; the base is not shuffled.
+    """
     marked, hit = base, F.lit(True)
     for k, place in enumerate(_places([quoted(c) for c in keys], bits)):
         side = F.broadcast(words.select(F.col("word").alias(f"_w{k}"), F.col("mask").alias(f"_m{k}")))
@@ -157,10 +167,14 @@ def split_by_bloom(base: DataFrame, words: DataFrame, keys: Sequence[str], bits:
         marked = marked.join(side, F.shiftright(f"_p{k}", 6) == F.col(f"_w{k}"), "left")
         bit = F.expr(f"shiftleft(1L, cast(_p{k} % 64 as int))")
         hit = hit & (F.coalesce(F.col(f"_m{k}"), F.lit(0)).bitwiseAND(bit) != 0)
-    present = reduce(lambda a, b: a & b, [quoted(c).isNotNull() for c in keys])
-    hit = present & hit
-    names = [quoted(c) for c in base.columns]
-    return marked.filter(hit).select(*names), marked.filter(~hit).select(*names)
+    return marked.select(*[quoted(c) for c in base.columns], hit.alias(name))
+
+
+def split_by_bloom(base: DataFrame, words: DataFrame, keys: Sequence[str], bits: int) -> tuple[DataFrame, DataFrame]:
+    """Base rows that the batch may hit, and the others. Rows without a key are never hit."""
+    marked = marked_by_bloom(base, words, keys, bits, "_hit")
+    hit = reduce(lambda a, b: a & b, [quoted(c).isNotNull() for c in keys]) & F.col("_hit")
+    return marked.filter(hit).drop("_hit"), marked.filter(~hit).drop("_hit")
 
 
 def merge_sparse(base: DataFrame, last: DataFrame, keys: Sequence[str], *, max_bits: int = MAX_BITS) -> DataFrame:
@@ -173,9 +187,7 @@ def merge_sparse(base: DataFrame, last: DataFrame, keys: Sequence[str], *, max_b
     # keys of one type on both sides, or their hashes differ
     last = settled(last.select(*[quoted(c).cast(base.schema[c].dataType).alias(c) for c in last.columns]), "batch")
     with_key, without = keyed(last, keys), unkeyed(last, keys)
-    bits = 64
-    while bits < min(max_bits, BITS_PER_KEY * with_key.count()):
-        bits *= 2
+    bits = filter_bits(with_key.count(), max_bits)
     words = settled(bloom_words(with_key, keys, bits), "bloom")
     maybe, never = split_by_bloom(base, words, keys, bits)
     merged = merge_last(apart(maybe, keys), apart(with_key, keys), keys)

@@ -10,18 +10,23 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.operators.merge import bloom_words, filter_bits, marked_by_bloom
+
 from .common import map_texts, ready_for_python, stored
 
 #: Odd multipliers of the two rolling hashes, and their inverses modulo 2**64.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 INVERSES = tuple(pow(b, -1, 1 << 64) for b in BASES)
-#: Cells of a sketch for each counted gram, rows of cells, and the bound on cells in a row.
-CELLS_PER_GRAM, DEPTH, MAX_CELLS = 8, 2, 1 << 26
-SHARDS = 64
+#: Cells of a sketch row for each counted gram, and rows of cells.
+CELLS_PER_GRAM, DEPTH = 8, 2
+#: Cells of a row that are merged at a time (a shard), and grams that a task counts before it sends them on.
+SHARD_CELLS, FLUSH = 1 << 22, 1 << 20
+#: Bits of the filter that keeps texts without suspect windows out of a shuffle.
+FILTER_BITS = 1 << 26
 #: Windows hashed at once.
 BLOCK = 1 << 16
 
@@ -108,70 +113,112 @@ def _survey(window: int):
     return lambda: work
 
 
-def _cells(grams: np.ndarray, width: int) -> list[np.ndarray]:
-    return [(mixed(grams, 0x5851F42D4C957F2D + 2 * k) % np.uint64(width)).astype(np.int64) for k in range(DEPTH)]
+#: How far a gram's hash is shifted, and added to itself bit by bit, for the cell in each row.
+SHIFTS = ((), (17, 41))
+
+
+def cells_of(grams: np.ndarray, width: int) -> list[np.ndarray]:
+    """The cell of each gram in each row; grams are hashes, so their bits are as good as random."""
+    out = []
+    for shifts in SHIFTS:
+        x = grams
+        for by in shifts:
+            x = x ^ (grams >> np.uint64(by))
+        out.append((x & np.uint64(width - 1)).astype(np.int64))
+    return out
+
 
+def cell_of(gram: Column, row: int, width: int) -> Column:
+    """The same as an expression."""
+    x = gram
+    for by in SHIFTS[row]:
+        x = x.bitwiseXOR(F.shiftrightunsigned(gram, by))
+    return x.bitwiseAND(F.lit(width - 1))
 
-def sketch(docs: DataFrame, width: int) -> np.ndarray:
-    """Cells of a count-min sketch over ``docs.grams`` that hold two or more, a bit each.
 
-    Every task counts its grams in a sketch of its own, up to 255 in a cell, and emits it in shards. A shard's
-    partial sketches are added one after the other as they stream in. Only the bits ``count >= 2``
-    of the merged sketch reach the driver: ``DEPTH * width / 8`` bytes, ``width`` being bounded.
+def _payload(cells: np.ndarray) -> bytes:
+    """Distinct cells of one shard and how often each was hit (255 at most), as sorted steps."""
+    cell, count = np.unique(cells, return_counts=True)
+    steps = np.diff(cell, prepend=0).astype(np.uint32)
+    return zlib.compress(steps.tobytes() + np.minimum(count, 255).astype(np.uint8).tobytes(), 1)
+
+
+def sketch(docs: DataFrame, width: int) -> DataFrame:
+    """(row, word, mask): a count-min sketch over ``docs.grams``, as the cells that hold two or more, 64 to a word.
+
+    Every task counts its grams in a sketch of its own and sends the cells that it hit, by ranges of
+    cells (shards) and packed. Shard by shard the partial sketches are added up, so a task holds
+    ``SHARD_CELLS`` counts however wide the sketch is. Its width follows the number of grams, without a bound;
+    nothing of it reaches the driver.
     """
-    slots = DEPTH * width // SHARDS
+    size = min(width, SHARD_CELLS)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((DEPTH, width), np.uint8)
+        held: list[np.ndarray] = []
         for batch in batches:
-            grams = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            for k, cells in enumerate(_cells(grams, width)):
-                cell, n = np.unique(cells, return_counts=True)
-                counts[k, cell] = np.minimum(counts[k, cell].astype(np.int64) + n, 255)
-        for shard, part in enumerate(counts.reshape(SHARDS, slots)):
-            if part.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([shard], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["shard", "counts"])
+            held.append(batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64))
+            if sum(map(len, held)) >= FLUSH:
+                yield from packed(np.concatenate(held))
+                held = []
+        if held:
+            yield from packed(np.concatenate(held))
+
+    def packed(grams: np.ndarray) -> Iterator[pa.RecordBatch]:
+        shards, bodies = [], []
+        for row, cells in enumerate(cells_of(grams, width)):
+            cells.sort()
+            own = cells // size
+            at = np.flatnonzero(np.diff(own, prepend=-1))
+            for low, high in zip(at, [*at[1:], len(cells)]):
+                shards.append(int(own[low]) * DEPTH + row)
+                bodies.append(_payload(cells[low:high] - own[low] * size))
+        yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), pa.array(bodies, pa.binary())], ["shard", "counts"])
+
+    def words(shard: int, counts: np.ndarray) -> pa.RecordBatch:
+        bits = np.packbits(counts >= 2, bitorder="little").view(np.int64)
+        at = np.flatnonzero(bits)
+        first = shard // DEPTH * (size // 64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(at), shard % DEPTH, np.int32)), pa.array(at + first), pa.array(bits[at])], ["row", "word", "mask"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for shard, part in zip(batch.column(0).to_pylist(), batch.column(1)):
-                more = np.frombuffer(zlib.decompress(part.as_buffer()), np.uint8)
-                have = sums.get(shard)
-                sums[shard] = more if have is None else np.where(have > 255 - more, np.uint8(255), have + more)
-        for shard, total in sums.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int32()), pa.array([np.packbits(total >= 2).tobytes()], pa.binary())], ["shard", "bits"])
-
-    parts = docs.select("grams").mapInArrow(build, "shard int, counts binary")
-    merged = parts.repartition(SHARDS, "shard").mapInArrow(merge, "shard int, bits binary")
-    bits = np.zeros((SHARDS, slots // 8), np.uint8)
-    for row in merged.collect():
-        bits[row.shard] = np.frombuffer(row.bits, np.uint8)
-    return bits.reshape(DEPTH, width // 8)
+        now, counts = None, np.zeros(size, np.uint8)
+        for batch in batches:  # in the order of shards
+            for shard, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if shard != now:
+                    if now is not None:
+                        yield words(now, counts)
+                    now = shard
+                    counts[:] = 0
+                raw = zlib.decompress(body)
+                n = len(raw) // 5
+                cell = np.cumsum(np.frombuffer(raw, np.uint32, n), dtype=np.int64)
+                more = np.frombuffer(raw, np.uint8, n, 4 * n)
+                have = counts[cell]
+                counts[cell] = np.where(have > 255 - more, np.uint8(255), have + more)
+        if now is not None:
+            yield words(now, counts)
+
+    parts = docs.select("grams").mapInArrow(build, "shard long, counts binary")
+    ordered = parts.repartition("shard").sortWithinPartitions("shard")
+    return stored(ordered.mapInArrow(merge, "row int, word long, mask long"), "sketch")
 
 
 def estimated_repeats(docs: DataFrame, width: int) -> DataFrame:
-    """(id, whole, gram, spot) of grams that the sketch estimates to occur twice or more."""
-    shared = docs.sparkSession.sparkContext.broadcast(sketch(docs, width))
+    """(doc, gram, spot) of grams that the sketch estimates to occur twice or more.
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-        for batch in batches:
-            lists = batch.column(2)
-            grams = lists.flatten().to_numpy(zero_copy_only=False)
-            keep = np.ones(len(grams), bool)
-            for k, cells in enumerate(_cells(grams.view(np.uint64), width)):
-                keep &= (bits[k, cells >> 3] >> (7 - (cells & 7)).astype(np.uint8) & 1).astype(bool)
-            owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))[keep]
-            spots = batch.column(3).flatten().to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(owner)), batch.column(1).take(pa.array(owner)),
-                 pa.array(grams[keep], pa.int64()), pa.array(spots[keep], pa.int32())], ["id", "whole", "gram", "spot"])
-
-    fields = [docs.schema["id"], docs.schema["whole"], T.StructField("gram", T.LongType()), T.StructField("spot", T.IntegerType())]
-    return docs.select("id", "whole", "grams", "spots").mapInArrow(look, T.StructType(fields))
+    Grams meet the sketch's words in a join, row by row of the sketch: what the first row tells to be
+    single does not go on to the second. Both sides are plain tables, so a frequent word can be split.
+    """
+    counted = sketch(docs, width)
+    left = docs.select("doc", F.explode(F.arrays_zip("grams", "spots")).alias("at")).select(
+        "doc", F.col("at.grams").alias("gram"), F.col("at.spots").alias("spot"))
+    for row in range(DEPTH):
+        words = counted.where(F.col("row") == row).select(F.col("word").alias("__word"), "mask")
+        cell = cell_of(F.col("gram"), row, width)
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (cell % 64).cast("int"))
+        left = left.join(words, F.shiftrightunsigned(cell, 6) == F.col("__word")).where(F.col("mask").bitwiseAND(bit) != 0).select("doc", "gram", "spot")
+    return left
 
 
 def _earlier(least: str, own: str):
@@ -196,16 +243,24 @@ def removals(df: DataFrame, id: str = "doc_id", text: str = "text", window: int
     classed = surveyed.join(heads, "whole")
     copies = classed.where(_earlier("head", "id")).select("id", "whole").distinct()
     firsts = stored(
-        classed.where(F.col("head").eqNullSafe(F.col("id"))).select("id", "whole", "grams", "spots").dropDuplicates(["id", "whole"]), "firsts")
+        classed.where(F.col("head").eqNullSafe(F.col("id"))).select("id", "whole", "grams", "spots").dropDuplicates(["id", "whole"])
+        .withColumn("doc", F.monotonically_increasing_id()), "firsts")
 
     total = firsts.agg(F.sum(F.size("grams"))).first()[0] or 0
-    width = max(1 << 12, min(MAX_CELLS, 1 << (CELLS_PER_GRAM * total).bit_length()))
+    width = max(1 << 12, 1 << (CELLS_PER_GRAM * total).bit_length())
     repeats = stored(estimated_repeats(firsts, width), "repeats")
-    wholes = stored(repeats.groupBy("gram").agg(F.min("whole").alias("low"), F.max("whole").alias("high")).where("low != high").select("gram"), "grams")
-    spots = repeats.join(wholes, "gram").groupBy("id", "whole").agg(F.collect_set("spot").alias("spots"))
-
+    shared = stored(repeats.groupBy("gram").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low != high").select("gram"), "grams")
+    found = repeats.join(shared, "gram").groupBy("doc").agg(F.collect_set("spot").alias("spots"))
+    spots = stored(found.join(firsts.select(F.col("doc").alias("__doc"), "id", "whole"), F.col("doc") == F.col("__doc")).select(
+        "id", "whole", F.col("spots").alias("spots")), "spots")
+
+    # of the texts only those with suspect windows, and few others, are shuffled
+    bits = filter_bits(spots.count(), FILTER_BITS)
+    words = stored(bloom_words(spots, ["id"], bits), "filter")
+    texts = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    texts = marked_by_bloom(texts, words, ["id"], bits, "__may").where("__may").drop("__may")
     ready_for_python(df.sparkSession)
-    source = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")).join(
+    source = texts.join(
         spots.select(F.col("id").alias("__id"), "whole", "spots"), F.col("id").eqNullSafe(F.col("__id"))).select(
         "id", "text", "whole", "spots")
 

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sluice.llm import lines, substrings
 
@@ -69,12 +70,51 @@ def test_substrings_equal_definition(spark, window):
 
 def test_saturated_sketch_loses_nothing(spark, monkeypatch):
     """With far too few cells everything is estimated repeated; exact grouping still decides."""
-    monkeypatch.setattr(substrings, "MAX_CELLS", 1 << 12)
+    monkeypatch.setattr(substrings, "CELLS_PER_GRAM", 0)
     rows = corpus(3, 20)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert Counter(tuple(r)[:4] for r in substrings.deduplicated(df, window=20).collect()) == plain_substrings(rows, 20)
 
 
+def gram_docs(spark, n):
+    """n single grams, and a tenth as many that occur in two or more rows."""
+    rng = np.random.default_rng(n)
+    single = rng.integers(-(1 << 63), 1 << 63, n)
+    twice = rng.integers(-(1 << 63), 1 << 63, n // 10)
+    rows = [(k, [int(g) for g in part], list(range(len(part)))) for k, part in enumerate(np.array_split(single, 40))]
+    rows += [(100 + k, [int(g) for g in twice], list(range(len(twice)))) for k in range(3)]
+    return spark.createDataFrame(rows, "doc long, grams array<long>, spots array<int>").repartition(5), set(twice.tolist())
+
+
+def test_the_sketch_grows_with_the_grams(spark, monkeypatch):
+    """The share of single grams that pass stays the same at five times the size, at any cells a gram, in any shards."""
+    shares = {}
+    for per_gram in (8, 1):
+        for n in (4000, 20000):
+            docs, twice = gram_docs(spark, n)
+            width = 1 << (per_gram * 13 * n // 10).bit_length()
+            per = width / n
+            for shard in (1 << 22, 1 << 10):
+                monkeypatch.setattr(substrings, "SHARD_CELLS", shard)
+                monkeypatch.setattr(substrings, "FLUSH", 1000)
+                found = {r.gram for r in substrings.estimated_repeats(docs, width).collect()}
+                assert twice <= found  # nothing that repeats is lost
+                share = len(found - twice) / n
+                assert shares.setdefault((per_gram, n), share) == share
+            # both cells of a single gram are shared with probability (1 - exp(-load))^2
+            load = 1.1 * n / width
+            assert share < 1.6 * (1 - np.exp(-load)) ** 2 + 0.002, (per, share)
+
+
+def test_cells_are_the_same_in_numpy_and_in_spark(spark):
+    x = np.random.default_rng(3).integers(-(1 << 63), 1 << 63, 500)
+    df = spark.createDataFrame([(int(v),) for v in x], "g long")
+    for width in (1 << 12, 1 << 40):
+        for row, cells in enumerate(substrings.cells_of(x.view(np.uint64), width)):
+            got = [r.c for r in df.select(substrings.cell_of(F.col("g"), row, width).alias("c")).collect()]
+            assert got == cells.tolist()
+
+
 def test_rolling_hash_is_of_the_words_alone(monkeypatch):
     rng = np.random.default_rng(1)
     x = rng.integers(0, 1 << 63, 5000, dtype=np.uint64)

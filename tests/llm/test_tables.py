@@ -169,7 +169,7 @@ def test_shards(spark, shards):
     weight = Counter()
     for _, size, crc in plain:
         weight[crc, size] += size
-    assert all(len(homes[k]) == 1 for k, w in weight.items() if w <= 0.02 * mean)
+    assert all(len(homes[k]) == 1 for k, w in weight.items() if w <= 0.05 * mean)
     assert sharding.kd_shards(df.limit(0), shards).count() == 0
 
 
@@ -182,6 +182,36 @@ def test_shards_split_the_widest_dimension(spark):
         k: list(range(16 * k, 16 * k + 16)) for k in range(4)}
 
 
+def test_long_names_with_one_beginning_are_told_apart(spark):
+    """Sources that share their first bytes have places of their own, in the order of their names."""
+    rng = random.Random(4)
+    names = [f"common_crawl_{y}" for y in range(2016, 2024)]
+    rows = [(i, f"text {i:04d} " * 8, rng.choice(names), "en", 7, "x", 1, "clash", 2) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long, Shard string, slot int, size string, crc int")
+    placed = sharding.kd_shards(df, 4, dimensions=("source",)).join(df.select("doc_id", "source"), "doc_id")
+    seen = {r.shard: sorted(r.names) for r in placed.groupBy("shard").agg(F.collect_set("source").alias("names")).collect()}
+    assert [seen[k][0] for k in range(4)] == sorted(seen[k][0] for k in range(4))
+    assert all(len(x) <= 4 for x in seen.values()) and all(seen[k][-1] <= seen[k + 1][0] for k in range(3))
+
+
+def test_a_thousand_shards_have_a_flat_plan(spark):
+    df = spark.range(6000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id") + 10000).alias("text"), F.concat(F.lit("source"), F.col("id") % 37).alias("source"),
+        F.lit("en").alias("lang"), (F.col("id") % 501).alias("n_chars"))
+    placed = sharding.kd_shards(df, 1000, whole=1.0)
+    text = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("CASE WHEN") < 20 and text.count("\n") < 60
+    sizes = [r["count"] for r in placed.groupBy("shard").count().collect()]
+    assert len(sizes) == 1000 and min(sizes) >= 4 and max(sizes) <= 8
+
+
+def test_a_very_long_text_and_many_short_ones(spark):
+    rows = [(0, "long " * 60_000, "s", "en", 300_000)] + [(i, f"short text {i}", "s", "en", 12) for i in range(1, 3000)]
+    placed = sharding.kd_shards(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long"), 2)
+    load = {r.shard: (r.bytes, r.n) for r in placed.groupBy("shard").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()}
+    assert sorted(n for _, n in load.values()) == [1, 2999] or len(load) == 1
+
+
 def test_copies_of_a_heavy_text_lie_side_by_side(spark):
     """Four copies, each over the limit and from sources far apart, are parted by one cut at most."""
     rows = [(i, f"text {i:04d} " * 10, f"s{i % 10}", "en", 5) for i in range(400)]

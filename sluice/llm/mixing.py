@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,46 +44,78 @@ def targets(sizes: DataFrame, weights: Sequence[int], share: float, most: int) -
     return found.select("source", "source_size", target.alias("target"))
 
 
+def root(size: Column) -> Column:
+    """The whole root of a size, as a measure: long documents are preferred, though less than their words."""
+    return F.floor(F.sqrt(size.cast("double"))).cast("long")
+
+
+def rates(rows: DataFrame, aims: DataFrame, most: int) -> DataFrame:
+    """(source, source_size, target, rate): the rate by which a document's measure gives its expected copies.
+
+    Copies are in proportion to the measure, ``most`` at most, and their words add up to the target. The
+    documents whose share exceeds ``most`` have it for certain; they are peeled off and the rest of the
+    target is shared out by measure among the others, pass after pass, until none exceeds it. Passes go
+    over the sums of each source's distinct measures; the driver sees a count.
+    """
+    sums = stored(rows.where("__likes > 0 and size > 0").groupBy("source", "__likes").agg(F.sum("size").alias("__words")).select(
+        F.col("source").alias("__of"), "__likes", "__words"), "measures")
+    capped, now = None, aims.withColumn("rate", F.lit(0.0))
+    while True:
+        over = F.col("rate") * F.col("__likes").cast("double") >= most
+        parts = now.join(sums, F.col("source").eqNullSafe(F.col("__of")), "left").groupBy("source", "source_size", "target", "rate").agg(
+            F.coalesce(F.sum(F.when(over, F.col("__words"))), F.lit(0)).alias("__sure"),
+            F.sum(F.when(~over, F.col("__words") * F.col("__likes"))).cast("double").alias("__rest"), F.count_if(over).alias("__capped"))
+        rate = (F.col("target") - most * F.col("__sure")) / F.col("__rest")
+        new = stored(parts.select("source", "source_size", "target", F.coalesce(F.when(F.col("__rest") > 0, rate), "rate").alias("rate"), "__capped"), "rates")
+        count = new.agg(F.sum("__capped")).first()[0]
+        now = new.drop("__capped")
+        if count == capped:
+            return now
+        capped = count
+
+
 def mix(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[int] = (3, 1, 2),
-        share: float = 1.5, most: int = 2, preference: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+        share: float = 1.5, most: int = 2, preference: str | Callable[[Column], Column] | None = None,
+        keep: Sequence[str] = ()) -> DataFrame:
     """One row per row of ``df``: id, size, source_size, target, copies, taken, and the ``keep`` columns.
 
-    A source's target over its size is the number of copies each of its documents should give, in
-    proportion to the column ``preference`` if named (0 or less: none). The whole part is certain
-    and taken as such. The fraction is the document's inclusion probability for one copy more: the
-    source's documents are ranked by random odds over inclusion odds (Pareto order sampling), and
+    The expected copies of a document are in proportion to its measure: the column ``preference``, or
+    what a function of that name makes of the size (``root``), or the same for all; 0, less or null: none.
+    They are ``most`` at most and their words add up to the source's target (``rates``). The whole part is
+    certain and taken as such. The fraction is the document's inclusion probability for one copy more:
+    the source's documents are ranked by random odds over inclusion odds (Pareto order sampling), and
     the first ones are taken until their words fill what the target still lacks; the one that crosses
     the line is taken if more than half of it fits. So a source misses its target by half a
-    document at most, and no document gives more than ``most`` copies.
+    document at most, unless too few of its documents have a measure, and no document gives more
+    than ``most`` copies.
 
-    Random odds come from a digest of id and text, so reruns agree. Ranking is a running total over
-    ranges: a source that holds most rows spreads over the tasks. Sizes are summed before the
-    shuffle; the table of targets has a row per source.
+    Random odds come from a digest of id and text, and measures count to six decimals, so that all sums
+    are exact: reruns agree. Ranking is a running total over ranges: a source that holds most rows
+    spreads over the tasks. Sizes are summed before the shuffle; the table of targets has a row per
+    source.
 
-    Null and empty texts have size 0 and give nothing. Null sources are one source of their own.
-    Rows that repeat in full are ranked each alone. A kept column named like another output is
-    dropped. An empty table gives an empty one.
+    Null and empty texts have size 0 and give nothing; texts of any length count whole. Null sources
+    are one source of their own. Rows that repeat in full are ranked each alone; equal ranks fall by
+    digest. A kept column named like another output is dropped. An empty table gives an empty one.
     """
     outputs = {c.lower() for c in (id, "size", "source_size", "target", "copies", "taken")}
     kept = [c for c in keep if c.lower() not in outputs]
     own = F.col(f"`{text}`")
     digest = F.md5(F.concat_ws("|", F.coalesce(F.col(f"`{id}`").cast("string"), F.lit("")),
                                F.md5(F.coalesce(own, F.lit("")).cast("binary"))).cast("binary"))
-    likes = F.lit(1.0) if preference is None else F.greatest(F.coalesce(F.col(f"`{preference}`").cast("double"), F.lit(0.0)), F.lit(0.0))
-    rows = stored(df.select(
+    rows = df.select(
         F.col(f"`{id}`").alias("__id"), F.col(f"`{source}`").alias("source"), n_words(own).alias("size"),
-        digest.alias("__key"), likes.alias("__likes"), F.monotonically_increasing_id().alias("__row"),
-        *(F.col(f"`{c}`").alias(f"__keep{k}") for k, c in enumerate(kept))), "sizes")
-    sums = rows.groupBy("source").agg(
-        F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("__likes")).alias("__liked"))
-    aims = targets(sums.select("source", "source_size"), weights, share, most)
-    rated = aims.join(sums.select(F.col("source").alias("__of"), "__liked"), F.col("source").eqNullSafe(F.col("__of"))).select(
-        F.col("source").alias("__source"), "source_size", "target",
-        F.when(F.col("__liked") > 0, F.col("target") / F.col("__liked")).otherwise(0.0).alias("__rate"))
-    rated = stored(rated, "targets")
+        digest.alias("__key"), F.monotonically_increasing_id().alias("__row"),
+        (F.col(f"`{preference}`") if isinstance(preference, str) else F.lit(1)).alias("__likes"),
+        *(F.col(f"`{c}`").alias(f"__keep{k}") for k, c in enumerate(kept)))
+    likes = preference(F.col("size")) if callable(preference) else F.col("__likes")
+    rows = stored(rows.withColumn("__likes", F.greatest(F.coalesce(likes.cast("decimal(20,6)"), F.lit(0)), F.lit(0)).cast("decimal(20,6)")), "sizes")
+    sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    rated = rates(rows, stored(targets(sums, weights, share, most), "targets"), most).select(
+        F.col("source").alias("__source"), "source_size", "target", F.col("rate").alias("__rate"))
     each = (
         rows.join(rated, rows["source"].eqNullSafe(rated["__source"])).drop("__source")
-        .withColumn("__want", F.least(F.col("__rate") * F.col("__likes"), F.lit(float(most))))
+        .withColumn("__want", F.least(F.col("__rate") * F.col("__likes").cast("double"), F.lit(float(most))))
         .withColumn("__sure", F.floor("__want"))
         .withColumn("__chance", F.col("__want") - F.col("__sure"))
         .withColumn("__rank", F.when(F.col("__chance") > 0, random_odds(F.col("__key"))

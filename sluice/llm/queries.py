@@ -40,8 +40,8 @@ def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents mixed to the target weights of their sources."""
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    """All documents mixed to the target weights of their sources, long ones preferred by the root of their size."""
+    return mixing.mix(table(spark, sf_dir, "documents"), preference=mixing.root).select("doc_id", "size", "source_size", "target", "taken")
 
 
 # the same in SQL: one row per source with its level, then a running total over each source
@@ -64,10 +64,18 @@ fixed AS (SELECT min(place) AS first_place, min_by(level, place) AS fit_level FR
 targets AS (
     SELECT source, source_size, CASE WHEN place >= first_place THEN fit_level * w ELSE cap::DOUBLE END AS target
     FROM levels CROSS JOIN fixed),
+measured AS (
+    SELECT source, floor(sqrt(size::DOUBLE))::BIGINT AS m, sum(size)::BIGINT AS words FROM sizes WHERE size > 0 GROUP BY ALL),
+shared AS (
+    SELECT t.source, m, (target - 2 * coalesce(sum(words) OVER (g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+        / sum(words * m) OVER (g ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS rate
+    FROM measured x JOIN targets t ON x.source IS NOT DISTINCT FROM t.source WINDOW g AS (PARTITION BY t.source ORDER BY m DESC)),
+rates AS (SELECT source, max_by(rate, m) AS rate FROM shared WHERE rate * m < 2 GROUP BY source),
 wanted AS (
-    SELECT s.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN least(t.target / t.source_size, 2.0::DOUBLE) ELSE 0::DOUBLE END AS want,
+    SELECT s.*, t.source_size, t.target,
+        CASE WHEN size = 0 THEN 0::DOUBLE ELSE least(coalesce(r.rate * floor(sqrt(size::DOUBLE)), 2::DOUBLE), 2::DOUBLE) END AS want,
         (('0x' || substr(k, 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496::DOUBLE AS u
-    FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+    FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source LEFT JOIN rates r ON s.source IS NOT DISTINCT FROM r.source),
 rated AS (
     SELECT *, floor(want) AS sure, CASE WHEN floor(want) < 2 THEN size ELSE 0 END AS free,
         CASE WHEN want > floor(want) THEN (u / (1 - u)) / ((want - floor(want)) / (1 - (want - floor(want)))) ELSE 'inf'::DOUBLE END AS q

@@ -116,6 +116,55 @@ def test_mix_prefers_by_odds(spark):
     assert abs(got[3.0] - 0.6) < 0.04 and abs(got[1.0] - 0.2) < 0.04
 
 
+def test_inclusion_rates_are_the_aims(spark):
+    """Over 300 like sources: what each document gives on average is its share by measure, twice at most."""
+    rng = random.Random(6)
+    docs = [(k, rng.randrange(1, 30), rng.choice([0.0, 0.25, 1.0, 2.5, 9.0, 40.0])) for k in range(40)]
+    rows = [(1000 * s + k, "w " * n, f"s{s:03d}", m) for s in range(300) for k, n, m in docs]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, m double").repartition(4)
+    found = mixing.mix(df, weights=(1,), share=0.9, preference="m")
+    got = {r.k: r.c for r in found.groupBy((F.col("doc_id") % 1000).alias("k")).agg(F.avg("copies").alias("c")).collect()}
+    target = 0.9 * sum(n for _, n, _ in docs)
+    capped = set()
+    while True:
+        left = target - 2 * sum(n for k, n, _ in docs if k in capped)
+        rate = left / sum(n * m for k, n, m in docs if k not in capped)
+        new = {k for k, _, m in docs if rate * m >= 2}
+        if new == capped:
+            break
+        capped = new
+    assert capped and any(0 < rate * m % 1 for k, _, m in docs if k not in capped)
+    for k, _, m in docs:
+        want = min(2.0, rate * m)
+        chance = want % 1
+        # four deviations of 300 draws, and what order sampling of fixed sizes is off by
+        assert abs(got[k] - want) <= 4 * (chance * (1 - chance) / 300) ** 0.5 + 0.05, (k, m, want, got[k])
+
+
+@pytest.mark.parametrize("preference", [mixing.root, "likes"])
+def test_targets_hold_with_unequal_odds(spark, preference):
+    df = mix_frame(spark, 600, seed=3).withColumn("likes", F.when(F.col("doc_id") % 5 == 0, 30.0).otherwise(F.rand(1) + 0.1))
+    rows = mixing.mix(df, preference=preference).collect()
+    plain = [(r.doc_id, r.source, len((r.text or "").split())) for r in df.collect()]
+    sizes, largest, taken, source_of = defaultdict(int), defaultdict(int), defaultdict(int), {}
+    for i, s, n in plain:
+        sizes[s] += n
+        largest[s] = max(largest[s], n)
+        source_of[i] = s
+    for r in rows:
+        assert 0 <= r.copies <= 2
+        taken[source_of[r.doc_id]] += r.taken
+    expected = waterfill(sizes)
+    assert all(abs(taken[s] - expected[s]) <= largest[s] / 2 + 1 for s in sizes)
+
+
+def test_documents_without_a_measure_give_nothing(spark):
+    df = spark.createDataFrame([(1, "a b", "s", 0.0), (2, "c d", "s", None), (3, "e f", "s", -1.0), (4, "g h", "s", 1.0), (5, "g " * 9000, "t", 5.0)],
+                               "doc_id long, text string, source string, m double")
+    got = {r.doc_id: r.copies for r in mixing.mix(df, preference="m").collect()}
+    assert got[1] == got[2] == got[3] == 0 and got[4] <= 2
+
+
 def test_mixed_rows(spark):
     df = mix_frame(spark, 200)
     copies = Counter({(r.doc_id, r.size): 0 for r in mixing.mix(df).collect()})

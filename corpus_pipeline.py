@@ -53,7 +53,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows are drawn each alone; ties fall by a digest of id and text, so reruns agree. Texts are whole,
     all columns come back, an empty table gives an empty one.
     """
-    return mixing.mixed(docs)
+    return mixing.mixed(docs, preference=mixing.root)
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

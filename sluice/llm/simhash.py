@@ -17,6 +17,8 @@ from .components import components
 
 BITS = 64
 BLOCK = 1 << 14
+#: Variants that a task makes, at most and about.
+VARIANTS_PER_TASK = 1 << 22
 
 
 def fingerprint(text: str | None, words: int, seed: int) -> int:
@@ -67,7 +69,10 @@ def link_edges(prints: DataFrame, max_bits: int) -> DataFrame:
     """
     half = (max_bits + 1) // 2
     masks = F.lit(ball(half)).cast("array<long>") if half else F.array(F.lit(0).cast("long"))
-    variants = prints.select("fp", F.explode(F.transform(masks, lambda m: F.col("fp").bitwiseXOR(m))).alias("variant"))
+    # fingerprints are few bytes and few files; their variants are not, so they are dealt out before
+    tasks = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                -(-prints.count() * variants_per_print(max_bits) // VARIANTS_PER_TASK))
+    variants = prints.repartition(tasks, "fp").select("fp", F.explode(F.transform(masks, lambda m: F.col("fp").bitwiseXOR(m))).alias("variant"))
     groups = (
         variants.groupBy("variant").agg(F.min("fp").alias("least"), F.collect_set("fp").alias("members"))
         .where(F.size("members") > 1))

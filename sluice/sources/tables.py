@@ -1,13 +1,14 @@
 """Target tables: Parquet folders per partition, and one pointer to the current ones.
 
     <path>/data/version=<v>/table_bucket=<b>/*.parquet    rows with a key
-    <path>/loose/loose_version=<v>/*.parquet              rows without one; only ever added to
-    <path>/state/version=<v>/                             one line: which folder holds which bucket
+    <path>/loose/version=<v>/*.parquet                    rows without one
+    <path>/state/version=<v>/                             one line: the folders that hold the table
 
 An upsert stages its batch, writes the buckets it falls into beside the old ones, and then switches
 by writing the pointer of the new version: readers see the old state until then, and a job that dies
-before leaves nothing visible. The pointer's size follows the number of buckets, never the number of
-batches; older pointers are removed with each switch.
+before leaves nothing visible. The pointer names a folder for each bucket, and one for each batch that
+brought rows without a key since the last reload: every folder that is read is one that it names.
+Older pointers are removed with each switch.
 
 One writer per table at a time. Where the cluster has a lakehouse format with MERGE, use that
 instead; the operators in ``operators.merge`` do not depend on this module.
@@ -28,8 +29,8 @@ from ..operators.merge import APART, apart, keyed, last_row, merge_last, unkeyed
 from ..schemas import TARGETS
 from .change_files import empty_frame, schema_of
 
-BUCKET, LOOSE = "table_bucket", "loose_version"
-_STATE = ("version int, layout string, since int, loose boolean, buckets array<struct<bucket: bigint, held: int>>, "
+BUCKET = "table_bucket"
+_STATE = ("version int, layout string, loose array<int>, buckets array<struct<bucket: bigint, held: int>>, "
           "sources array<struct<source: string, number: bigint>>")
 
 
@@ -59,8 +60,7 @@ def id_ranges(width: int) -> Layout:
 @dataclass
 class _State:
     version: int = 0
-    since: int = 0  # the version of the last reload
-    loose: bool = False
+    loose: list[int] = field(default_factory=list)  # versions whose folders hold the rows without a key
     held: dict[int, int] = field(default_factory=dict)  # bucket to the version that holds its rows
     sources: dict[str, int] = field(default_factory=dict)  # the last batch merged from each source
 
@@ -103,7 +103,7 @@ class Table:
             return _State()
         if line["layout"] != self._described():
             raise ValueError(f"{self.path} is laid out by {line['layout']}, not by {self._described()}")
-        return _State(line["version"], line["since"], line["loose"], {x["bucket"]: x["held"] for x in line["buckets"] or ()},
+        return _State(line["version"], list(line["loose"] or ()), {x["bucket"]: x["held"] for x in line["buckets"] or ()},
                       {x["source"]: x["number"] for x in line["sources"] or ()})
 
     def _delete(self, *folders: str) -> None:
@@ -112,14 +112,12 @@ class Table:
             at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
             at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
-    def _switch(self, state: _State, loose_written: bool) -> None:
+    def _switch(self, state: _State) -> None:
         """Make a written version the current one."""
-        if not loose_written:  # what a dead job may have left under the same number
-            self._delete(f"loose/{LOOSE}={state.version}")
         buckets = [(b, v) for b, v in sorted(state.held.items())]
         sources = sorted(state.sources.items())
         line = self.spark.createDataFrame(
-            [(state.version, self._described(), state.since, state.loose, buckets, sources)], _STATE)
+            [(state.version, self._described(), state.loose, buckets, sources)], _STATE)
         line.coalesce(1).write.mode("overwrite").json(f"{self.path}/state/version={state.version}")
         self._delete(f"state/version={state.version - 2}", f"staged/version={state.version}")
 
@@ -134,18 +132,21 @@ class Table:
         rows = self.spark.read.schema(self.schema).option("basePath", root).parquet(*paths)
         return rows.select(*[quoted(c) for c in self.schema.names])
 
-    def _loose_of(self, state: _State) -> DataFrame:
-        """Rows without a key, from the last reload up to the current version."""
-        columns = T.StructType([*self.schema.fields, T.StructField(LOOSE, T.IntegerType())])
-        rows = self.spark.read.schema(columns).parquet(f"{self.path}/loose")
-        return rows.filter(F.col(LOOSE).between(state.since, state.version)).select(*[quoted(c) for c in self.schema.names])
+    def _loose_of(self, versions: Sequence[int]) -> DataFrame:
+        """Rows without a key, from the folders that the pointer names."""
+        paths = [f"{self.path}/loose/version={v}" for v in versions]
+        if not paths:
+            return empty_frame(self.spark, self.schema)
+        rows = self.spark.read.schema(self.schema).option("basePath", f"{self.path}/loose").parquet(*paths)
+        return rows.select(*[quoted(c) for c in self.schema.names])
 
     def read(self) -> DataFrame:
         """The current content, as plain Parquet scans."""
         state = self._state()
+        if not self.keys:
+            return self._loose_of(state.loose)
         rows = self._buckets_of(state.held)
-        return rows.unionByName(self._loose_of(state)) if state.loose and self.keys else (
-            self._loose_of(state) if state.loose else rows)
+        return rows.unionByName(self._loose_of(state.loose)) if state.loose else rows
 
     # -- writing -------------------------------------------------------------------------------
 
@@ -155,7 +156,7 @@ class Table:
         placed.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/data/version={version}")
 
     def _write_loose(self, rows: DataFrame, version: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/loose/{LOOSE}={version}")
+        rows.write.mode("overwrite").parquet(f"{self.path}/loose/version={version}")
 
     def _touched(self, rows: DataFrame) -> list[int]:
         """Buckets that rows fall into; as many as the layout has at most."""
@@ -206,8 +207,8 @@ class Table:
         if has_loose:
             self._write_loose(self._aligned(without), version)
         self._switch(_State(
-            version, state.since, state.loose or has_loose, state.held | dict.fromkeys(buckets, version),
-            state.sources | ({batch[0]: batch[1]} if batch else {})), has_loose)
+            version, state.loose + [version] * has_loose, state.held | dict.fromkeys(buckets, version),
+            state.sources | ({batch[0]: batch[1]} if batch else {})))
         return True
 
     def reload(self, rows: DataFrame) -> None:
@@ -216,7 +217,7 @@ class Table:
         version = state.version + 1
         if not self.keys:
             self._write_loose(self._aligned(rows), version)
-            self._switch(_State(version, version, True, {}, state.sources), True)
+            self._switch(_State(version, [version], {}, state.sources))
             return
         staged_path = f"{self.path}/staged/version={version}"
         self._aligned(rows).write.mode("overwrite").parquet(staged_path)
@@ -228,10 +229,11 @@ class Table:
         has_loose = not without.isEmpty()
         if has_loose:
             self._write_loose(without, version)
-        self._switch(_State(version, version, has_loose, dict.fromkeys(buckets, version), state.sources), has_loose)
+        self._switch(_State(version, [version] * has_loose, dict.fromkeys(buckets, version), state.sources))
 
     def append(self, rows: DataFrame, batch: tuple[str, int] | None = None) -> bool:
-        """Add rows to a table without a key. False when ``batch`` is a replay, as for ``upsert``."""
+        """Add rows to a table without a key, as one more folder that the pointer names; nothing is
+        rewritten. False when ``batch`` is a replay, as for ``upsert``."""
         if self.keys:
             raise ValueError("append is for tables without a key; use upsert")
         state = self._state()
@@ -239,7 +241,7 @@ class Table:
             return False
         version = state.version + 1
         self._write_loose(self._aligned(rows), version)
-        self._switch(_State(version, state.since, True, {}, state.sources | ({batch[0]: batch[1]} if batch else {})), True)
+        self._switch(_State(version, [*state.loose, version], {}, state.sources | ({batch[0]: batch[1]} if batch else {})))
         return True
 
     def vacuum(self) -> int:
@@ -249,11 +251,10 @@ class Table:
         """
         state = self._state()
         gone = []
-        for folder, column, needed in (
-                ("data", "version", set(state.held.values())), ("loose", LOOSE, range(state.since, state.version + 1))):
+        for folder, needed in (("data", set(state.held.values())), ("loose", set(state.loose))):
             at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
             files = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
             names = [x.getPath().getName() for x in files.listStatus(at)] if files.exists(at) else []
-            gone += [f"{folder}/{n}" for n in names if n.startswith(f"{column}=") and int(n.split("=")[1]) not in needed]
+            gone += [f"{folder}/{n}" for n in names if n.startswith("version=") and int(n.split("=")[1]) not in needed]
         self._delete(*gone)
         return len(gone)

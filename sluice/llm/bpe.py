@@ -169,6 +169,12 @@ def encoder_of(path: str) -> Encoder:
     return Encoder(vocabulary_of(path))
 
 
+def _lists(found: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+    values = np.concatenate(found) if found else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(np.int32)))
+
+
 def encode(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, ids: str = "ids") -> DataFrame:
     """The ``keep`` columns (all others by default) and the text's token ids as ``array<int>``.
 
@@ -182,13 +188,7 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: list[str] | None
     def start():
         encoder = encoder_of(path)
 
-        def work(texts: list[str | None]) -> list[pa.Array]:
-            found = [encoder(t or "") for t in texts]
-            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-            values = np.concatenate(found) if found else np.empty(0, np.int32)
-            return [pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(np.int32)))]
-
-        return work
+        return lambda texts: [_lists([encoder(t or "") for t in texts])]
 
     keep = [c for c in df.columns if c != text] if keep is None else keep
     return map_texts(df, text, keep, T.StructType([T.StructField(ids, T.ArrayType(T.IntegerType()))]), start)
@@ -212,6 +212,28 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(text, T.StringType())]))
 
 
+def round_trip(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, ids: str = "ids",
+               decoded: str = "decoded") -> DataFrame:
+    """The ``keep`` columns, the ids of ``encode`` and the text that ``decode`` makes of them, in one pass.
+
+    For where both are asked for: the ids do not go back to Spark and to Python again in between. Nulls,
+    long texts, repeated rows and clashing names are as for ``encode``; a null text decodes to an empty one.
+    """
+
+    def start():
+        encoder, vocabulary = encoder_of(path), vocabulary_of(path)
+
+        def work(texts: list[str | None]) -> list[pa.Array]:
+            found = [encoder(t or "") for t in texts]
+            return [_lists(found), pa.array([vocabulary.decode(x.tolist()) for x in found], pa.string())]
+
+        return work
+
+    keep = [c for c in df.columns if c != text] if keep is None else keep
+    added = T.StructType([T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())])
+    return map_texts(df, text, keep, added, start)
+
+
 def digests(ids: str = "ids", text: str = "decoded") -> list:
     """Count of ids, SHA-256 of the decimal ids joined by commas, SHA-256 of the decoded text."""
     return [

@@ -100,8 +100,7 @@ def op3_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document to token ids and back, as digests."""
     path = public_tokenizers.path(VOCABULARY)
-    ids = bpe.encode(table(spark, sf_dir, "documents"), path, keep=["doc_id"])
-    return bpe.decode(ids, path).select("doc_id", *bpe.digests())
+    return bpe.round_trip(table(spark, sf_dir, "documents"), path, keep=["doc_id"]).select("doc_id", *bpe.digests())
 
 
 @query

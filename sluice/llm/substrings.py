@@ -238,13 +238,16 @@ def removals(df: DataFrame, id: str = "doc_id", text: str = "text", window: int
     4. Windows whose gram is left are grouped exactly, by 128 bits of rolling hash.
     """
     surveyed = stored(map_texts(
-        df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")), "text", ["id"], SURVEYED, _survey(window)), "survey")
-    heads = stored(surveyed.where(F.col("n_words") >= window).groupBy("whole").agg(F.min("id").alias("head")), "heads")
-    classed = surveyed.join(heads, "whole")
-    copies = classed.where(_earlier("head", "id")).select("id", "whole").distinct()
-    firsts = stored(
-        classed.where(F.col("head").eqNullSafe(F.col("id"))).select("id", "whole", "grams", "spots").dropDuplicates(["id", "whole"])
-        .withColumn("doc", F.monotonically_increasing_id()), "firsts")
+        df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")), "text", ["id"], SURVEYED, _survey(window))
+        .withColumn("doc", F.monotonically_increasing_id()), "survey")
+    long = surveyed.where(F.col("n_words") >= window)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "doc"))
+    heads = stored(long.groupBy("whole").agg(first.alias("first")).select(
+        F.col("whole").alias("__whole"), F.col("first.id").alias("__head"), F.col("first.doc").alias("__doc")), "heads")
+    # joined by what tells the rows of a class apart, so that one text of many copies spreads over the tasks
+    same = (F.col("whole") == F.col("__whole")) & F.col("id").eqNullSafe(F.col("__head"))
+    copies = long.select("id", "whole").join(heads, same, "left_anti").distinct()
+    firsts = stored(long.join(heads.select("__doc"), F.col("doc") == F.col("__doc")).select("id", "whole", "grams", "spots", "doc"), "firsts")
 
     total = firsts.agg(F.sum(F.size("grams"))).first()[0] or 0
     width = max(1 << 12, 1 << (CELLS_PER_GRAM * total).bit_length())

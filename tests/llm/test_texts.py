@@ -86,6 +86,15 @@ def test_bpe_equals_library(spark):
         assert row.decoded == library.decode(ids, skip_special_tokens=False)
 
 
+def test_round_trip_equals_encode_and_decode(spark):
+    df = frame(spark, ODD)
+    apart = bpe.decode(bpe.encode(df, PATH, keep=["doc_id", "keep_me"]), PATH)
+    both = bpe.round_trip(df, PATH, keep=["doc_id", "ids", "keep_me"])
+    assert both.columns == ["doc_id", "keep_me", "ids", "decoded"] == apart.columns
+    assert sorted(map(repr, both.collect())) == sorted(map(repr, apart.collect()))
+    assert bpe.round_trip(df.limit(0), PATH).count() == 0
+
+
 @pytest.fixture(scope="module")
 def both():
     return tokenizers.Tokenizer.from_file(PATH), bpe.Encoder(bpe.Vocabulary(PATH))

@@ -64,8 +64,8 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     empty one.
     """
     path = public_tokenizers.path(VOCABULARY)
-    ids = bpe.encode(docs, path, keep=["doc_id", "lang", "source"])
-    return bpe.decode(ids, path).select("doc_id", "lang", "source", "ids", *bpe.digests())
+    both = bpe.round_trip(docs, path, keep=["doc_id", "lang", "source"])
+    return both.select("doc_id", "lang", "source", "ids", *bpe.digests())
 
 
 STAGES = [

@@ -57,57 +57,66 @@ def _ranked(suffixes: DataFrame, keys: list[str]) -> DataFrame:
     same = F.lit(True)
     for k in keys:
         same = same & (F.col(k) == F.col(f"__{k}"))
-    return suffixes.join(starts, same).select("row", "pos", "place", "depth", "rank", "first")
+    return suffixes.join(starts, same).select("row", "pos", "place", "looks", "rank", "first")
 
 
-def least_depths(sizes: Column, min_lines: int, min_words: int) -> Column:
-    """For each line of a text, how many lines from there on make a run worth deleting: the fewest that
-    hold ``min_words`` words together, and ``min_lines`` if no fewer do; null if the text ends before.
+def depths(sizes: Column, min_lines: int, min_words: int) -> Column:
+    """For each line of a text the depths at which runs from there on are looked up, a bit for each.
 
-    Word sums run along the run. The depth depends on those lines alone, so all suffixes that share
-    them have the same.
+    A run is worth deleting if it has ``min_lines`` lines, or fewer that hold ``min_words`` words
+    together; words are summed along the run. A run that is made of two overlapping ones of that
+    kind needs no look of its own. Every run worth deleting, however long, is made of those looked up.
+    The bits depend on the run's lines alone, but for the end of the text.
     """
 
-    def depth(_: Column, pos: Column) -> Column:
-        words, found = F.lit(0), F.lit(None).cast("int")
-        steps = []
-        for k in range(min_lines):
-            words = words + F.get(sizes, pos + k)  # null behind the end
-            steps.append((k + 1, words))
-        for k, total in reversed(steps):
-            enough = total.isNotNull() if k == min_lines else total >= min_words
-            found = F.when(enough, F.lit(k)).otherwise(found)
-        return found
+    def bits(_: Column, pos: Column) -> Column:
+        total, mask = F.lit(0), F.lit(0)
+        before = behind = F.lit(False)  # whether the run without its last, and its first, line is worth deleting
+        for k in range(1, min_lines + 1):
+            total = total + F.get(sizes, pos + (k - 1))  # null behind the end
+            enough = total.isNotNull() if k == min_lines else F.coalesce(total >= min_words, F.lit(False))
+            mask = mask + F.when(enough & ~(before & behind), F.lit(1 << (k - 1))).otherwise(0)
+            # of runs of k lines: the one from here, and the one from the next line
+            before = F.coalesce(total >= min_words, F.lit(False))
+            behind = F.coalesce(total - F.get(sizes, pos) + F.get(sizes, pos + k) >= min_words, F.lit(False))
+        return mask
 
-    return F.transform(sizes, depth)
+    return F.transform(sizes, bits)
+
+
+def _deeper(found: DataFrame, step: int) -> DataFrame:
+    """Ranks by ``step`` lines more, from the ranks of a suffix and of the one that many lines on."""
+    ahead = Window.partitionBy("row").orderBy("pos").rangeBetween(step, step)
+    pairs = found.withColumn("next", F.max("rank").over(ahead)).where("next is not null").drop("first")
+    return stored(_ranked(pairs.withColumnRenamed("rank", "own"), ["own", "next"]), "suffixes")
 
 
 def repeated_runs(lines: DataFrame, max_depth: int) -> DataFrame:
-    """(place, depth) of every suffix whose first ``depth`` lines also stand at an earlier place.
+    """(place, depth) of runs that also stand at an earlier place, of those that ``looks`` asks for.
 
-    ``lines``: row, pos, place (what orders suffixes in the corpus), ``depth`` and the line id h1, h2. Prefix
-    doubling sorts the suffixes by one line, by two, by four and so on: the rank by more lines comes
-    from the ranks by d lines of a suffix and of one up to d lines on. Suffixes alone in their bucket
-    have no copy at any greater depth and leave; doubling ends when none is left or all have come to
-    the depth at which they count.
+    ``lines``: row, pos, place (what orders suffixes in the corpus), ``looks`` (see ``depths``) and the line id
+    h1, h2. Prefix doubling sorts the suffixes by one line, by two, by four and so on: the rank by more
+    lines comes from the ranks by d lines of a suffix and of one up to d lines on. Suffixes alone in
+    their bucket have no copy at any greater depth and leave.
 
     A bucket at depth d is an interval of the suffix array within which the longest common prefix is
-    d or more. An interval at its suffixes' own depth is the widest one whose common run is worth
-    deleting: deeper ones lie within it, and their longer runs are made of such runs one after the
-    other. So its earliest place stays and all others of it are named here; what they cover together
-    is every maximal repeated run of the corpus that is worth deleting, but for its earliest copy.
+    d or more. Its earliest place stays; for all others the first d lines are a later copy. Runs longer
+    than ``max_depth`` are made of such runs one line after the other, so what is named here covers
+    every maximal repeated run of the corpus that is worth deleting, but for its earliest copy.
     """
+
+    def later(found: DataFrame, depth: int) -> DataFrame:
+        asked = F.col("looks").bitwiseAND(1 << (depth - 1)) != 0
+        return found.where(asked & (F.col("place") != F.col("first"))).select("place", F.lit(depth).alias("depth"))
+
     found, depth, parts = stored(_ranked(lines, ["h1", "h2"]), "suffixes"), 1, []
     while True:
-        later = (F.col("depth") == depth) & (F.col("place") != F.col("first"))
-        parts.append(found.where(later).select("place", "depth"))
-        if depth >= max_depth or found.where(F.col("depth") > depth).isEmpty():
+        parts.append(later(found, depth))
+        parts += [later(_deeper(found, k - depth), k) for k in range(depth + 1, min(2 * depth, max_depth))]
+        if depth == max_depth:
             return reduce(DataFrame.unionAll, parts)
         step = min(depth, max_depth - depth)
-        ahead = Window.partitionBy("row").orderBy("pos").rangeBetween(step, step)
-        pairs = found.withColumn("next", F.max("rank").over(ahead)).where("next is not null").drop("first")
-        found = stored(_ranked(pairs.withColumnRenamed("rank", "own"), ["own", "next"]), "suffixes")
-        depth += step
+        found, depth = _deeper(found, step), depth + step
 
 
 def repeated_lines(df: DataFrame, id: str = "doc_id", text: str = "text", min_lines: int = 3, min_words: int = 50) -> DataFrame:
@@ -120,12 +129,12 @@ def repeated_lines(df: DataFrame, id: str = "doc_id", text: str = "text", min_li
     body = df.select(F.col(f"`{id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("h"), _worded(F.col(f"`{text}`")).alias("lines"))
     body = body.where(F.size("lines") > 0).withColumns({
         "row": F.monotonically_increasing_id(), "sizes": F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD_SQL)))})
-    body = body.withColumn("depths", least_depths(F.col("sizes"), min_lines, min_words))
-    cells = F.posexplode(F.arrays_zip("lines", "depths")).alias("pos", "cell")
+    body = body.withColumn("looks", depths(F.col("sizes"), min_lines, min_words))
+    cells = F.posexplode(F.arrays_zip("lines", "looks")).alias("pos", "cell")
     whole = [F.xxhash64("lines").alias("w1"), F.xxhash64(F.lit(SALT), "lines").alias("w2"), F.size("lines").alias("n")]
     line = F.col("cell.lines")
     lines = stored(body.select("id", "h", "row", *whole, cells).select(
-        "row", "pos", F.struct("id", "h", "pos").alias("place"), F.col("cell.depths").alias("depth"), F.xxhash64(line).alias("h1"),
+        "row", "pos", F.struct("id", "h", "pos").alias("place"), F.col("cell.looks").alias("looks"), F.xxhash64(line).alias("h1"),
         F.xxhash64(F.concat(F.lit(SALT), line)).alias("h2"),
         *(F.when(F.col("pos") == 0, F.col(c)).alias(c) for c in ("w1", "w2", "n"))), "lines")
 

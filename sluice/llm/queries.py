@@ -165,15 +165,13 @@ WITH cut AS (
 worded AS (
     SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS n, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS words
     FROM cut WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
-sized AS (
-    SELECT *, lead(line, 1) OVER o AS line2, lead(line, 2) OVER o AS line3,
-        CASE WHEN words >= 50 THEN 1 WHEN words + lead(words, 1) OVER o >= 50 THEN 2
-            WHEN lead(line, 2) OVER o IS NOT NULL THEN 3 END AS depth
+ahead AS (
+    SELECT *, lead(line, 1) OVER o AS line2, lead(line, 2) OVER o AS line3, words + lead(words, 1) OVER o AS words2
     FROM worded WINDOW o AS (PARTITION BY doc_id ORDER BY n)),
 runs AS (
-    SELECT doc_id, n, depth, line || CASE WHEN depth > 1 THEN chr(10) || line2 ELSE '' END
-        || CASE WHEN depth > 2 THEN chr(10) || line3 ELSE '' END AS run
-    FROM sized WHERE depth IS NOT NULL),
+    SELECT doc_id, n, 1 AS depth, line AS run FROM ahead WHERE words >= 50
+    UNION ALL SELECT doc_id, n, 2, line || chr(10) || line2 FROM ahead WHERE words2 >= 50
+    UNION ALL SELECT doc_id, n, 3, line || chr(10) || line2 || chr(10) || line3 FROM ahead WHERE line3 IS NOT NULL),
 later AS (
     SELECT doc_id, n, depth FROM (
         SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, n) AS copy FROM runs) WHERE copy > 1),

@@ -199,6 +199,23 @@ def test_runs_of_many_words_and_whole_texts(spark):
     assert sum(long in t for t in got.values()) == 1 and sum(short in t for t in got.values()) > 5
 
 
+@pytest.mark.parametrize("m, least", [(3, 8), (5, 10), (4, 6)])
+def test_word_sums_run_along_the_run(spark, m, least):
+    """Heavy and light lines in any order: what goes is every maximal copied run with enough lines or words."""
+    rng = random.Random(m)
+    pool = [" ".join(rng.choices("abcdefgh", k=rng.choice([1, 1, 2, 3, 5, 9]))) for _ in range(25)]
+    block = [rng.choice(pool) for _ in range(14)]
+    rows = []
+    for i in range(150):
+        body = [rng.choice(pool) for _ in range(rng.randrange(9))]
+        at, k = rng.randrange(len(body) + 1), rng.randrange(10)
+        body[at:at] = block[k : k + rng.randrange(1, 5)]
+        rows.append((i, "\n".join(body)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    expected = plain_lines(rows, m, least)
+    assert {r.doc_id: r.text for r in lines.deduplicated(df, min_lines=m, min_words=least).collect()} == {i: expected[i, t][0] for i, t in rows}
+
+
 def test_null_ids_come_first(spark):
     df = spark.createDataFrame([(1, "a\nb\nc"), (None, "a\nb\nc\nd")], "doc_id long, text string")
     assert {r.doc_id: r.text for r in lines.deduplicated(df).collect()} == {1: "", None: "a\nb\nc\nd"}

@@ -91,7 +91,7 @@ def near_groups(df: DataFrame, id: str = "doc_id", text: str = "text", words: in
     reach, the row's own included. Equal fingerprints meet once as one class, so copies are never
     paired; what is shuffled per class is its ball of variants.
 
-    Null and empty texts have fingerprint zero and link like any other. Null ids are passed over by
+    Texts of any length are hashed whole, block by block. Null and empty texts have fingerprint zero and link like any other. Null ids are passed over by
     the smallest id and get a component id; only if a component has no other is it null. Repeated
     rows stay repeated. Extra columns are not read; an empty table gives an empty one.
     """

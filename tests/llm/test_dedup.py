@@ -68,6 +68,17 @@ def test_substrings_equal_definition(spark, window):
     assert substrings.deduplicated(df.limit(0)).count() == 0
 
 
+def test_substrings_of_very_long_texts(spark):
+    """Passages within texts longer than a block of windows, across its border too."""
+    rng = random.Random(2)
+    text = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    one, two = text(70_000), text(66_000)
+    two[65_500:65_500] = one[65_520:65_600]
+    rows = [(1, " ".join(one)), (2, " ".join(two)), (3, " ".join(text(30) + one[:51] + text(5))), (4, " ".join(one[-49:]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert Counter(tuple(r)[:4] for r in substrings.deduplicated(df).collect()) == plain_substrings(rows, 50)
+
+
 def test_saturated_sketch_loses_nothing(spark, monkeypatch):
     """With far too few cells everything is estimated repeated; exact grouping still decides."""
     monkeypatch.setattr(substrings, "CELLS_PER_GRAM", 0)

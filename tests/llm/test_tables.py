@@ -333,6 +333,17 @@ def test_one_of_each_keeps_columns(spark):
     assert {r.doc_id for r in out.collect() if r.doc_id is not None} == set(groups.values())
 
 
+def test_simhash_of_very_long_texts(spark):
+    """Texts longer than a block of hashes, alike but for one word in the middle or not at all."""
+    words = [f"w{i}" for i in range(40_000)]
+    other = [*words[:20_000], "new", *words[20_001:]]
+    rows = [(1, " ".join(words)), (2, "  ".join(words).upper()), (3, " ".join(other)), (4, " ".join(reversed(words)))]
+    got = {r.doc_id: r for r in simhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        assert got[i].fp & (1 << 64) - 1 == plain_simhash(t)
+    assert got[2].component_id == 1 and got[4].component_id == 4
+
+
 def test_simhash_hex(spark):
     df = spark.createDataFrame([(0,), (-1,), (255,)], "fp long").select(simhash.as_hex().alias("h"))
     assert [r.h for r in df.collect()] == ["0" * 16, "f" * 16, "00000000000000ff"]
@@ -376,6 +387,20 @@ def test_url_rules(spark):
     assert {r.verdict for r in unruled} == {"allow"}
 
 
+def test_rules_of_one_length_do_not_depend_on_their_order(spark):
+    """Of equally long rules that fit, the first by code point counts, whatever the order of the list."""
+    df = spark.createDataFrame([("a.bc", "/x/"), ("z.a.bc", "/x/y")], "host string, path string")
+    rules = [urls.Rule(urls.BLOCK, "a.bc", "/x/"), urls.Rule(urls.ALLOW, "bc", "/x/"), urls.Rule(urls.ALLOW, "a.bc", "/x/")]
+    found = set()
+    for some in (rules, rules[::-1], [rules[1], rules[0], rules[2]]):
+        text, verdict = urls.fitting(F.col("host"), F.col("path"), some[:2] if some is rules else [r for r in some if r.verdict == urls.BLOCK or r.host == "bc"])
+        found.add(tuple((r.t, r.v) for r in df.select(text.alias("t"), verdict.alias("v")).collect()))
+    assert found == {(("a.bc/x/", "block"), ("a.bc/x/", "block"))}
+    ties = [urls.Rule(urls.BLOCK, "bc", "/x/"), urls.Rule(urls.ALLOW, "bc", "/x/")]
+    tied = {tuple(df.select(urls.fitting(F.col("host"), F.col("path"), t)[0].alias("t")).collect()) for t in (ties, ties[::-1])}
+    assert len(tied) == 1
+
+
 def test_url_classifier_on_held_out_urls(spark):
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url").distinct()
     host, path = urls.host_of(F.col("url")), urls.path_of(F.col("url"))

@@ -120,7 +120,9 @@ def near_groups(df: DataFrame, id: str = "vec_id", vector: str = "embedding", la
     threshold, and of the two the one nearer to its filter: the other's angle to that filter is at
     most the sum of the first one's and the threshold's, so it asks there. Hence no pair is missed,
     whatever the code, and each is verified in one place only: where its nearer vector is inserted.
-    The code has about as many filters as the square root of the largest label's classes.
+    The code has about as many filters as the largest label's classes fill tiles, and no more than the
+    square root of their number: a vector asks at a good part of all filters, so it is sent to as few as
+    tiles allow.
 
     Vectors meet in tiles of a filter, of ``TILE`` vectors at most on a side; a filter that holds more
     is dealt over several tiles. A tile gives a row for each linked vector, not for each pair.
@@ -150,7 +152,7 @@ def near_groups(df: DataFrame, id: str = "vec_id", vector: str = "embedding", la
         rows.where("vector is not null").groupBy("label", "vector").agg(F.count("*").alias("weight"), F.min("id").alias("head"))
         .withColumn("node", F.monotonically_increasing_id()), "classes")
     most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 1
-    size = max(4, ceil(most ** (1 / (2 * blocks))))
+    size = max(4, ceil(min(most / TILE, most**0.5) ** (1 / blocks)))
     reach = acos(threshold)
 
     def filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -41,7 +41,7 @@ from ..operators.nested import (
 from ..schemas import CHANGE_FILES, INSTITUTION, PAGES, TARGETS
 from ..session import settled
 from ..sources.change_files import ARRIVAL, CORRUPT, read_texts, schema_of
-from ..sources.control import RunMetrics, control_table, get_watermark, set_watermark
+from ..sources.control import RunMetrics, advance_watermark, control_table, get_watermark
 from ..sources.pages import failed_pages, page_faults, page_nodes, read_pages
 from ..sources.snapshots import RECORD, proved_snapshot, write_snapshot
 from ..sources.tables import Layout, Table
@@ -352,7 +352,7 @@ class Jobs:
         after = get_watermark(self.control, "pseudonyms", self.as_of)
         rows = link_rows(self.changes("pseudonyms", paths), after)
         table = self._merge("user_id_link", rows, order, null_keys="reject")
-        set_watermark(self.control, "pseudonyms", until)
+        advance_watermark(self.control, "pseudonyms", until)
         return table
 
     def new_users(self, paths: Paths, links: DataFrame, until: dt.datetime, snapshots: str | None = None,
@@ -364,7 +364,7 @@ class Jobs:
         table = self._merge("user_id_link", rows, ["ts", ARRIVAL], null_keys="reject")
         if snapshots:
             write_snapshot(new_users_slice(changes, after, exclude).drop(ARRIVAL), f"{snapshots}/users", until)
-        set_watermark(self.control, "users", until)
+        advance_watermark(self.control, "users", until)
         return table
 
     def changed_enrollments(self, paths: Paths, until: dt.datetime, snapshots: str | None = None) -> Table:
@@ -376,7 +376,7 @@ class Jobs:
         if snapshots:
             new = since(changes, "value.created_at", after, inclusive=True)
             write_snapshot(new.drop(ARRIVAL), f"{snapshots}/enrollments", until)
-        set_watermark(self.control, "enrollments", until)
+        advance_watermark(self.control, "enrollments", until)
         return table
 
     def timetable(self, paths: Paths, after: dt.datetime = dt.datetime(2023, 1, 1)) -> Table:
@@ -394,7 +394,7 @@ class Jobs:
             rows = settled(stage.watch(texts), kind)  # parsed once
             written = proved_snapshot(rows, f"{snapshots}/{kind}", until)
         self.metrics.save(f"{self.base}/metrics")
-        set_watermark(self.control, kind, until)
+        advance_watermark(self.control, kind, until)
         return written
 
     # pages of the courses that run now

@@ -20,6 +20,7 @@ from ..session import new_path
 from ..sources import (
     RunMetrics,
     Table,
+    advance_watermark,
     check_pages,
     control_table,
     get_watermark,
@@ -904,6 +905,19 @@ def watermark_saved(spark, sf):
     return rows.select("event_id", "user_id", stamp(F.col("ts")).alias("ts"))
 
 
+@query(f"""
+    SELECT event_id, user_id, {SQL_STAMP.format("ts")} AS ts FROM events WHERE ts > TIMESTAMP '2024-01-15 06:00:00'""")
+def watermark_rerun(spark, sf):
+    """A run again over an older slice does not take the next one back."""
+    events = table(spark, sf, "events")
+    control = control_table(spark, new_path(spark, "control"))
+    for until in (dt.datetime(2024, 1, 12), dt.datetime(2024, 1, 15, 6), dt.datetime(2024, 1, 12)):
+        O.since(events, "ts", dt.datetime(2024, 1, 10), until).write.format("noop").mode("overwrite").save()
+        advance_watermark(control, "events", until)
+    rows = O.since(events, "ts", get_watermark(control, "events", dt.datetime(2024, 2, 1)))
+    return rows.select("event_id", "user_id", stamp(F.col("ts")).alias("ts"))
+
+
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def snapshot_roundtrip(spark, sf):
     """A dated CSV snapshot, read back."""

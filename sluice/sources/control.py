@@ -31,12 +31,20 @@ def get_watermark(control: Table, name: str, as_of: dt.datetime) -> dt.datetime:
 
 
 def set_watermark(control: Table, name: str, until: dt.datetime) -> None:
-    """Save the end of the slice that was read. Call it after the data is written, so that a
-    failure in between repeats the slice instead of losing it."""
-    line = control.spark.range(1, numPartitions=1).select(
-        F.lit(name).alias("tabell"), F.lit(until.isoformat()).cast("timestamp").alias("sist_oppdatert")
-    )
-    control.upsert(line, ["sist_oppdatert"])
+    """Save a moment, whatever was saved before: for whoever wants a slice to be read again."""
+    control.upsert(_line(control, name, until), ["sist_oppdatert"])
+
+
+def advance_watermark(control: Table, name: str, until: dt.datetime) -> None:
+    """Save the end of the slice that was read, unless a later one is saved: a job run again over an
+    older slice does not make the next one read again what lies between. Call it after the data is
+    written, so that a failure in between repeats the slice instead of losing it."""
+    control.upsert(_line(control, name, until), ["sist_oppdatert"], newest=True)
+
+
+def _line(control: Table, name: str, until: dt.datetime) -> DataFrame:
+    return control.spark.range(1, numPartitions=1).select(
+        F.lit(name).alias("tabell"), F.lit(until.isoformat()).cast("timestamp").alias("sist_oppdatert"))
 
 
 def watermarks_or_default(names: DataFrame, control: DataFrame, as_of: dt.datetime) -> DataFrame:

@@ -2,13 +2,13 @@
 
     <path>/data/version=<v>/table_bucket=<b>/*.parquet    rows with a key
     <path>/loose/version=<v>/*.parquet                    rows without one
-    <path>/state/version=<v>/                             one line: the folders that hold the table
+    <path>/state/slot=<0 or 1>/                           one line: the folders that hold the table
 
-An upsert stages its batch, writes the buckets it falls into beside the old ones, and then switches
-by writing the pointer of the new version: readers see the old state until then, and a job that dies
-before leaves nothing visible. The pointer names a folder for each bucket, and one for each batch that
-brought rows without a key since the last reload: every folder that is read is one that it names.
-Older pointers are removed with each switch.
+An upsert stages its batch in the shared folder, writes the buckets it falls into beside the old ones,
+and then switches by writing the pointer over the last but one: readers see the old state until then,
+and a job that dies before leaves nothing visible. The pointer names a folder for each bucket, and one
+for each batch that brought rows without a key since the last reload: every folder that is read is one
+that it names. Nothing is deleted here; ``superseded`` tells the owner of the storage what may go.
 
 One writer per table at a time. Where the cluster has a lakehouse format with MERGE, use that
 instead; the operators in ``operators.merge`` do not depend on this module.
@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from ..operators.filters import quoted
 from ..operators.merge import APART, apart, keyed, last_row, merge_last, unkeyed
 from ..schemas import TARGETS
+from ..session import settled
 from .change_files import empty_frame, schema_of
 
 BUCKET = "table_bucket"
@@ -106,20 +107,14 @@ class Table:
         return _State(line["version"], list(line["loose"] or ()), {x["bucket"]: x["held"] for x in line["buckets"] or ()},
                       {x["source"]: x["number"] for x in line["sources"] or ()})
 
-    def _delete(self, *folders: str) -> None:
-        """Remove folders below the table that no pointer names."""
-        for folder in folders:
-            at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
-            at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
     def _switch(self, state: _State) -> None:
-        """Make a written version the current one."""
+        """Make a written version the current one. It takes the place of the last but one, so that the
+        current pointer is there until the new one is."""
         buckets = [(b, v) for b, v in sorted(state.held.items())]
         sources = sorted(state.sources.items())
         line = self.spark.createDataFrame(
             [(state.version, self._described(), state.loose, buckets, sources)], _STATE)
-        line.coalesce(1).write.mode("overwrite").json(f"{self.path}/state/version={state.version}")
-        self._delete(f"state/version={state.version - 2}", f"staged/version={state.version}")
+        line.coalesce(1).write.mode("overwrite").json(f"{self.path}/state/slot={state.version % 2}")
 
     # -- reading -------------------------------------------------------------------------------
 
@@ -191,11 +186,9 @@ class Table:
 
         # The batch is evaluated once, reduced to one row per key, and staged: a retried merge reads
         # the same rows, and the planner knows their size.
-        staged_path = f"{self.path}/staged/version={version}"
         wanted = keyed(changes, self.keys) if null_keys == "reject" else changes
         last = self._aligned(last_row(apart(wanted, self.keys), [*self.keys, APART], order), partial, [APART])
-        last.write.mode("overwrite").parquet(staged_path)
-        staged = self.spark.read.schema(last.schema).parquet(staged_path)
+        staged = settled(last, "staged")
 
         with_key = keyed(staged, self.keys)
         buckets = self._touched(with_key)
@@ -219,9 +212,7 @@ class Table:
             self._write_loose(self._aligned(rows), version)
             self._switch(_State(version, [version], {}, state.sources))
             return
-        staged_path = f"{self.path}/staged/version={version}"
-        self._aligned(rows).write.mode("overwrite").parquet(staged_path)
-        staged = self.spark.read.schema(self.schema).parquet(staged_path)
+        staged = settled(self._aligned(rows), "staged")
         with_key, without = keyed(staged, self.keys), unkeyed(staged, self.keys)
         buckets = self._touched(with_key)
         if buckets:
@@ -244,17 +235,18 @@ class Table:
         self._switch(_State(version, [*state.loose, version], {}, state.sources | ({batch[0]: batch[1]} if batch else {})))
         return True
 
-    def vacuum(self) -> int:
-        """Delete the version folders that are there and that the current pointer does not need.
+    def superseded(self) -> DataFrame:
+        """(folder, files, bytes) of the folders below the table that the current pointer does not name.
 
-        Only call it while no job still reads an older state. Returns their number.
+        Whoever owns the storage may remove them once no job reads an older state. Files are listed,
+        not read.
         """
         state = self._state()
-        gone = []
-        for folder, needed in (("data", set(state.held.values())), ("loose", set(state.loose))):
-            at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
-            files = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-            names = [x.getPath().getName() for x in files.listStatus(at)] if files.exists(at) else []
-            gone += [f"{folder}/{n}" for n in names if n.startswith("version=") and int(n.split("=")[1]) not in needed]
-        self._delete(*gone)
-        return len(gone)
+        if not state.version:
+            return empty_frame(self.spark, "folder string, files bigint, bytes bigint")
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
+            "pathGlobFilter", "*.parquet").load(self.path).select("path", "length")
+        folder = F.regexp_extract("path", rf"/((?:data/version=\d+/{BUCKET}=-?\d+|loose/version=\d+))/[^/]+$", 1)
+        found = files.groupBy(folder.alias("folder")).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+        named = [f"data/version={v}/{BUCKET}={b}" for b, v in state.held.items()] + [f"loose/version={v}" for v in state.loose]
+        return found.join(self.spark.createDataFrame([(n,) for n in named], "folder string"), "folder", "left_anti")

@@ -132,6 +132,17 @@ def test_snapshots(spark, folder):
     assert sorted(map(tuple, S.read_snapshot(spark, path, rows.schema).collect())) == [(1, 'a "b"\nc'), (2, None)]
 
 
+def test_a_watermark_only_advances(spark, folder):
+    control = S.control_table(spark, folder)
+    late, early, as_of = dt.datetime(2024, 3, 1, 8, 30), dt.datetime(2024, 2, 1), dt.datetime(2024, 3, 1, 9)
+    S.advance_watermark(control, "users", early)  # nothing saved yet: earlier than the default is saved too
+    assert S.get_watermark(control, "users", as_of) == early
+    for until in (late, early, late):
+        S.advance_watermark(control, "users", until)
+        assert S.get_watermark(control, "users", as_of) == late
+    assert control.read().count() == 1
+
+
 def test_watermarks(spark, folder):
     control = S.control_table(spark, folder)
     as_of = dt.datetime(2024, 3, 1, 9)

@@ -96,7 +96,7 @@ def map_texts(
     ready_for_python(df.sparkSession)
     new = {f.name.lower() for f in added.fields}
     keep = [c for c in keep if c.lower() not in new]
-    value = "__text"
+    value = free(df, "__text")
     source = df.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").alias(value))
     fields = [source.schema[c] for c in keep] + list(added.fields)
 

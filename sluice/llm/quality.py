@@ -8,11 +8,11 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free, map_texts
+from .common import free, map_texts, stored
 
 #: (bytes up to, lowest ratio, highest ratio) of compressed to plain bytes. Short texts compress
 #: badly whatever they hold, so the bands widen and rise towards them. These reject repeats and noise.
@@ -168,23 +168,15 @@ def accepted(df: DataFrame, text: str = "text", rules: Rules = WIDE) -> DataFram
 
 RATIOS = T.StructType([T.StructField("ratios", T.ArrayType(T.StructType([
     T.StructField("whole", T.BooleanType()), T.StructField("size", T.LongType()), T.StructField("ratio", T.DoubleType())])))])
+WHOLE_TOPS = tuple(b[0] for b in WHOLE_BANDS)
+CHUNK_TOPS = tuple(b[0] for b in CHUNK_BANDS)
 
 
-def fitted(good: DataFrame, text: str = "text", wide: Rules = WIDE, whole: Sequence[int | None] = tuple(b[0] for b in WHOLE_BANDS),
-           chunks: Sequence[int | None] = tuple(b[0] for b in CHUNK_BANDS), max_rows: int = 20_000, least_rows: int = 20,
-           tail: float = 0.001, margin: float = 0.015) -> Rules:
-    """Rules whose lower limits follow from ``good`` texts, such as those labelled so.
-
-    A length class starts ``margin`` below the ``tail`` quantile of its ratios; with fewer than
-    ``least_rows`` of them it has the limits of ``wide``, from which all upper limits come too. Of
-    the texts that pass the base rules the ``max_rows`` of least hash count; the driver gets one row
-    for each class.
-    """
-    own = F.col(f"`{text}`")
-    few = accepted(good.select(own), text, wide).orderBy(F.xxhash64(own), own).limit(max_rows)
+def _ratios(df: DataFrame, text: str, keep: Sequence[str], rules: Rules) -> DataFrame:
+    """The ``keep`` columns and ``ratios``: that of the whole text, then those of its chunks."""
 
     def start():
-        judge = _Judge(wide)
+        judge = _Judge(rules)
 
         def one(data: bytes) -> list[dict]:
             parts = [(True, data), *((False, c) for c in judge.chunks(data))]
@@ -193,16 +185,110 @@ def fitted(good: DataFrame, text: str = "text", wide: Rules = WIDE, whole: Seque
         kind = pa.list_(pa.struct([("whole", pa.bool_()), ("size", pa.int64()), ("ratio", pa.float64())]))
         return lambda texts: [pa.array([one(t.encode()) for t in texts], kind)]
 
-    def top(tops: Sequence[int | None]):
-        return F.least(*(F.when(F.col("size") <= t, t) for t in tops if t is not None), F.lit(None).cast("long"))
+    return map_texts(df, text, list(keep), RATIOS, start)
+
+
+def _class(size: Column, tops: Sequence[int | None]) -> Column:
+    """The upper end of a length class; null for the last one."""
+    return F.least(*(F.when(size <= t, t) for t in tops if t is not None), F.lit(None).cast("long"))
+
 
-    found = map_texts(few, text, [], RATIOS, start).select(F.inline("ratios"))
-    found = found.groupBy("whole", F.when(F.col("whole"), top(whole)).otherwise(top(chunks)).alias("top")).agg(
-        F.count("*").alias("rows"), F.percentile("ratio", F.lit(tail)).alias("low"))
-    lows = {(r.whole, r.top): round(r.low - margin, 3) for r in found.collect() if r.rows >= least_rows}
+def _lows(found: DataFrame, whole: Sequence[int | None], chunks: Sequence[int | None], tail: float, least: int,
+          counted: Column | None = None) -> dict:
+    """The ``tail`` quantile of each class with ``least`` ratios, or distinct values of ``counted``; the
+    driver gets a row for a class."""
+    parts = found.select(*([] if counted is None else [counted.alias("of")]), F.inline("ratios"))
+    size = F.col("size")
+    classes = parts.groupBy("whole", F.when(F.col("whole"), _class(size, whole)).otherwise(_class(size, chunks)).alias("top")).agg(
+        F.count("*").alias("rows") if counted is None else F.count_distinct("of").alias("rows"),
+        F.percentile("ratio", F.lit(tail)).alias("low"))
+    return {(r.whole, r.top): r.low for r in classes.collect() if r.rows >= least}
+
+
+def _with_lows(rules: Rules, lows: dict, margin: float, whole: Sequence[int | None], chunks: Sequence[int | None]) -> Rules:
+    """``rules`` with lower limits ``margin`` below the given ones, where there are any."""
 
     def limits(is_whole: bool, tops, bands):
-        return tuple((t, lows.get((is_whole, t), band(t, bands)[0]), band(t, bands)[1]) for t in tops)
+        return tuple((t, round(lows[is_whole, t] - margin, 3) if (is_whole, t) in lows else band(t, bands)[0], band(t, bands)[1]) for t in tops)
+
+    return replace(rules, whole_bands=limits(True, whole, rules.whole_bands), chunk_bands=limits(False, chunks, rules.chunk_bands))
+
 
-    return replace(
-        wide, whole_bands=limits(True, whole, wide.whole_bands), chunk_bands=limits(False, chunks, wide.chunk_bands))
+def fitted(good: DataFrame, text: str = "text", wide: Rules = WIDE, whole: Sequence[int | None] = WHOLE_TOPS,
+           chunks: Sequence[int | None] = CHUNK_TOPS, max_rows: int = 20_000, least_rows: int = 20,
+           tail: float = 0.001, margin: float = 0.015) -> Rules:
+    """Rules whose lower limits follow from ``good`` texts, such as those labelled so.
+
+    A length class starts ``margin`` below the ``tail`` quantile of its ratios; with fewer than
+    ``least_rows`` of them it has the limits of ``wide``, from which all upper limits come too. Of
+    the texts that pass the base rules the ``max_rows`` of least hash count; the driver gets one row
+    for each class.
+    """
+    own = F.col(f"`{text}`")
+    few = accepted(good.select(own), text, wide).orderBy(F.xxhash64(own), own).limit(max_rows)
+    return _with_lows(wide, _lows(_ratios(few, text, [], wide), whole, chunks, tail, least_rows), margin, whole, chunks)
+
+
+@dataclass(frozen=True)
+class Learning:
+    """How limits are learnt. ``max_labelled`` bounds the sample: the good ids of least hash.
+
+    Of crc32 of the id as text modulo four, 2 is held out and never read, 3 sets the margin, and the
+    others give the quantiles.
+    """
+
+    max_labelled: int = 8_000
+    least_texts: int = 100
+    tail: float = 0.001
+    max_lost: float = 0.0
+    folds: int = 4
+    held_out: int = 2
+    for_margin: int = 3
+
+
+def _needed(lows: dict, rules: Rules) -> Column:
+    """The margin below ``lows`` that a text needs to be kept, from its ``ratios``; parts of classes
+    without a low need none."""
+
+    def short(part: Column) -> Column:
+        low = F.lit(None).cast("double")
+        for whole, tops in ((True, WHOLE_TOPS), (False, CHUNK_TOPS)):
+            known = F.lit(None).cast("double")
+            for top in reversed(tops):  # the least class that fits comes first
+                value = F.lit(lows.get((whole, top))).cast("double")
+                known = value if top is None else F.when(part["size"] <= top, value).otherwise(known)
+            low = F.when(part["whole"] == whole, known).otherwise(low)
+        return F.coalesce(low - part["ratio"], F.lit(0.0))
+
+    chunks = F.sort_array(F.transform(F.filter("ratios", lambda x: ~x["whole"]), short), asc=False)
+    # this many may lie outside; the next one has to fit
+    allowed = F.floor(F.size(chunks) * F.lit(rules.max_bad_chunk_share)).cast("int")
+    return F.greatest(F.lit(0.0), short(F.col("ratios")[0]), F.coalesce(F.get(chunks, allowed), F.lit(0.0)))
+
+
+def learnt(df: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality",
+           rules: Rules = Rules(), learning: Learning = Learning()) -> Rules:
+    """Rules whose lower limits, and the margin below them, follow from the texts labelled good (1).
+
+    Limits are ``tail`` quantiles of the ratios of a length class over one part of the labelled ids.
+    The margin is what another part needs so that no more than ``max_lost`` of its texts are rejected. A
+    third part is held out. Classes that fewer than ``least_texts`` ids fill, and all upper limits, are those
+    of ``rules``: so small a quantile of a few texts is chance, and chunks of one text are alike.
+
+    At most ``max_labelled`` good ids, those of least hash, are learnt from: the choice depends on the
+    ids alone, and their texts are all that is compressed. An id of which any label is not 1, and null ids, are passed over;
+    rows that repeat an id count each; null, empty and other texts that fail the base rules do not count.
+    Empty tables, or no good label, give ``rules``.
+    """
+    of, own = F.col(f"`{id}`"), F.col(f"`{label}`")
+    fold = F.crc32(of.cast("string").cast("binary")) % learning.folds
+    good = labels.where(of.isNotNull() & (fold != learning.held_out)).groupBy(of.alias("__of")).agg(
+        F.min(F.coalesce(own == 1, F.lit(False))).alias("__good"))
+    known = stored(  # small as files are, so Spark may broadcast it
+        good.where("__good").orderBy(F.xxhash64("__of"), "__of").limit(learning.max_labelled).select("__of"), "labelled")
+    texts = df.select(of.alias("__id"), F.col(f"`{text}`").alias("__text"), (fold == learning.for_margin).alias("__margin")).join(
+        known, F.col("__id") == F.col("__of"), "left_semi")
+    found = stored(_ratios(accepted(texts, "__text", WIDE), "__text", ["__id", "__margin"], rules), "ratios")
+    lows = _lows(found.where("not __margin"), WHOLE_TOPS, CHUNK_TOPS, learning.tail, learning.least_texts, F.col("__id"))
+    margin = found.where("__margin").agg(F.percentile(_needed(lows, rules), F.lit(1 - learning.max_lost))).first()[0] or 0.0
+    return _with_lows(rules, lows, margin, WHOLE_TOPS, CHUNK_TOPS)

@@ -34,8 +34,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query
 def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quality rules of every document: word counts, repeats and compression bands."""
-    return quality.measure(table(spark, sf_dir, "documents"), rules=quality.Rules())
+    """Quality rules of every document: word counts, repeats and compression bands learnt from labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.measure(docs, rules=quality.learnt(docs, table(spark, sf_dir, "labels")))
 
 
 @query

@@ -17,9 +17,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     Null and empty texts have no words and go; texts of any length are judged whole. Repeated rows and
     rows with null ids are judged each alone; there are no ties. All columns come back, whatever
-    their names; an empty table gives an empty one.
+    their names; an empty table gives an empty one. The limits are learnt from the documents that
+    ``labels`` calls good, 8,000 at most.
     """
-    return quality.accepted(docs, rules=quality.Rules())
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.accepted(docs, rules=quality.learnt(docs, labels))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -172,20 +172,24 @@ WHOLE_TOPS = tuple(b[0] for b in WHOLE_BANDS)
 CHUNK_TOPS = tuple(b[0] for b in CHUNK_BANDS)
 
 
-def _ratios(df: DataFrame, text: str, keep: Sequence[str], rules: Rules) -> DataFrame:
-    """The ``keep`` columns and ``ratios``: that of the whole text, then those of its chunks."""
+def _ratios(df: DataFrame, text: str, keep: Sequence[str], rules: Rules, passing: Rules | None = None) -> DataFrame:
+    """The ``keep`` columns and ``ratios``: that of the whole text, then those of its chunks; of the
+    rows that ``passing`` accepts, if given. One pass in Python, so a task has one worker for it."""
 
     def start():
-        judge = _Judge(rules)
+        judge, first = _Judge(rules), passing and _Judge(passing)
 
-        def one(data: bytes) -> list[dict]:
+        def one(text: str | None) -> list[dict] | None:
+            if first and not first.one(text)[6]:
+                return None
+            data = text.encode()
             parts = [(True, data), *((False, c) for c in judge.chunks(data))]
             return [{"whole": w, "size": len(x), "ratio": judge.ratio(x)} for w, x in parts]
 
         kind = pa.list_(pa.struct([("whole", pa.bool_()), ("size", pa.int64()), ("ratio", pa.float64())]))
-        return lambda texts: [pa.array([one(t.encode()) for t in texts], kind)]
+        return lambda texts: [pa.array([one(t) for t in texts], kind)]
 
-    return map_texts(df, text, list(keep), RATIOS, start)
+    return map_texts(df, text, list(keep), RATIOS, start).where("ratios is not null")
 
 
 def _class(size: Column, tops: Sequence[int | None]) -> Column:
@@ -288,7 +292,7 @@ def learnt(df: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "te
         good.where("__good").orderBy(F.xxhash64("__of"), "__of").limit(learning.max_labelled).select("__of"), "labelled")
     texts = df.select(of.alias("__id"), F.col(f"`{text}`").alias("__text"), (fold == learning.for_margin).alias("__margin")).join(
         known, F.col("__id") == F.col("__of"), "left_semi")
-    found = stored(_ratios(accepted(texts, "__text", WIDE), "__text", ["__id", "__margin"], rules), "ratios")
+    found = stored(_ratios(texts, "__text", ["__id", "__margin"], rules, WIDE), "ratios")
     lows = _lows(found.where("not __margin"), WHOLE_TOPS, CHUNK_TOPS, learning.tail, learning.least_texts, F.col("__id"))
     margin = found.where("__margin").agg(F.percentile(_needed(lows, rules), F.lit(1 - learning.max_lost))).first()[0] or 0.0
     return _with_lows(rules, lows, margin, WHOLE_TOPS, CHUNK_TOPS)

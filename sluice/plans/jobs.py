@@ -44,7 +44,7 @@ from ..sources.change_files import ARRIVAL, CORRUPT, read_texts, schema_of
 from ..sources.control import RunMetrics, advance_watermark, control_table, get_watermark
 from ..sources.pages import failed_pages, page_faults, page_nodes, read_pages
 from ..sources.snapshots import RECORD, proved_snapshot, write_snapshot
-from ..sources.tables import Layout, Table
+from ..sources.tables import CODEC, Layout, Table
 
 Paths = str | Sequence[str]
 PLACE = [ARRIVAL, "place"]
@@ -317,7 +317,7 @@ class Jobs:
     def _pages(self, kind: str, paths: Paths) -> DataFrame:
         """The pages of a set, parsed once; see the class for those that hold no list."""
         schema, nodes = PAGES[kind]
-        pages = settled(read_pages(self.spark, paths, schema, lines=self.lines), kind)
+        pages = settled(read_pages(self.spark, paths, schema, lines=self.lines), kind, CODEC)
         bad = failed_pages(pages, nodes).select(F.col(ARRIVAL), "reason", CORRUPT)
         missing = settled(page_faults(pages, nodes, require_end=self.require_end), "faults")
         if self.failed_pages == "fail":
@@ -441,8 +441,9 @@ class Jobs:
 
     def course_catalogue(self, paths: Paths) -> tuple[Table, Table]:
         nodes = self._nodes("course_catalogue", paths)
-        return (self._merge("course_catalogue", catalogue_rows(nodes), PLACE),
-                self._merge("course_responsible", responsible_rows(nodes), PLACE))
+        # complete courses have both parts of the key, so none is rejected
+        return (self._merge("course_catalogue", catalogue_rows(nodes), PLACE, null_keys="reject"),
+                self._merge("course_responsible", responsible_rows(nodes), PLACE, null_keys="reject"))
 
     def study_programmes(self, paths: Paths) -> Table:
         return self._merge("study_programme", study_programme_rows(self._nodes("study_programmes", paths)), PLACE)

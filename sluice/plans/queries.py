@@ -1172,9 +1172,12 @@ def _jobs(spark: SparkSession, base: str, as_of: dt.datetime) -> Jobs:
     return Jobs(spark, f"{base}/tables", as_of, buckets=8, lines=True)
 
 
-def _land(rows: DataFrame, page: Column, path: str) -> None:
-    """One JSON page per row."""
-    rows.select(F.to_json(page).alias("value")).write.text(path)
+def _land(rows: DataFrame, page: Column, path: str, per_file: int | None = None) -> None:
+    """One JSON page per row; with ``per_file`` in gzip files of so many pages at most, as these cannot be split."""
+    landed = rows.select(F.to_json(page).alias("value")).write
+    if per_file:
+        landed = landed.options(compression="gzip", maxRecordsPerFile=per_file, **{"zlib.compress.level": "BEST_SPEED"})
+    landed.text(path)
 
 
 def _connection(root: str, node: Column) -> Column:
@@ -1379,7 +1382,7 @@ def job_course_catalogue(spark, sf):
         F.struct(F.struct(F.struct(F.lit("SP").alias("kode")).alias("vektingstype"),
                           F.col("n_chars").alias("verdi")).alias("emnevekting")).alias("vekting"),
         texts.alias("beskrivelser"), people.alias("personroller"))
-    _land(table(spark, sf, "documents"), _connection("emner", node), f"{base}/landed")
+    _land(table(spark, sf, "documents"), _connection("emner", node), f"{base}/landed", per_file=2000)
     courses, responsible = _jobs(spark, base, dt.datetime(2024, 1, 1)).course_catalogue(f"{base}/landed")
     return courses.read().join(responsible.read(), "unik_kode").select(
         "unik_kode", "emnenavn_nob", "vekting", "LUB_NNO", "ARB_ENG", "emneansvarlege")

@@ -36,15 +36,16 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
+def settled(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """The same rows, written once below the shared folder and read back.
 
     Worth it for a result that is small but that the planner cannot know to be small (an aggregate,
     say): read back, its size is that of its files, and Spark broadcasts it only if that is below
-    the session's threshold. The other side of a join is then not shuffled in vain.
+    the session's threshold. The other side of a join is then not shuffled in vain. ``compression``
+    names a codec other than the session's, for rows that are wide.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

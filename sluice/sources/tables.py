@@ -5,7 +5,8 @@
     <path>/state/slot=<0 or 1>/                           one line: the folders that hold the table
 
 An upsert stages its batch in the shared folder, writes the buckets it falls into beside the old ones,
-and then switches by writing the pointer over the last but one: readers see the old state until then,
+and then switches by writing the pointer over the last but one (the first batch of a table, if it has
+to have keys, is written in place, not staged): readers see the old state until then,
 and a job that dies before leaves nothing visible. The pointer names a folder for each bucket, and one
 for each batch that brought rows without a key since the last reload: every folder that is read is one
 that it names. Nothing is deleted here; ``superseded`` tells the owner of the storage what may go.
@@ -31,6 +32,8 @@ from ..session import settled
 from .change_files import empty_frame, schema_of
 
 BUCKET = "table_bucket"
+#: Codec of the tables and their staged batches: long texts take about half the bytes of Spark's default.
+CODEC = "zstd"
 _STATE = ("version int, layout string, loose array<int>, buckets array<struct<bucket: bigint, held: int>>, "
           "sources array<struct<source: string, number: bigint>>")
 
@@ -148,10 +151,18 @@ class Table:
     def _write_buckets(self, rows: DataFrame, version: int) -> None:
         # rebalance: one shuffle that adaptive execution joins (small buckets) or splits (big ones)
         placed = rows.withColumn(BUCKET, self.layout.bucket(*[quoted(k) for k in self.keys]))
-        placed.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/data/version={version}")
+        placed.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(
+            f"{self.path}/data/version={version}", compression=CODEC)
 
     def _write_loose(self, rows: DataFrame, version: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/loose/version={version}")
+        rows.write.mode("overwrite").parquet(f"{self.path}/loose/version={version}", compression=CODEC)
+
+    def _write_first(self, rows: DataFrame, version: int) -> list[int]:
+        """The first rows with a key, moved and written once; their buckets."""
+        self._write_buckets(rows, version)
+        kind = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.LongType())])
+        written = self.spark.read.schema(kind).parquet(f"{self.path}/data/version={version}")
+        return sorted(r[0] for r in written.select(BUCKET).distinct().collect())
 
     def _touched(self, rows: DataFrame) -> list[int]:
         """Buckets that rows fall into; as many as the layout has at most."""
@@ -185,20 +196,25 @@ class Table:
             raise ValueError("newest needs changes with all columns of the table, and its order among them")
 
         # The batch is evaluated once, reduced to one row per key, and staged: a retried merge reads
-        # the same rows, and the planner knows their size.
+        # the same rows, and the planner knows their size. Where all rows have a key and there is nothing
+        # to merge them with, they are written in place at once.
         wanted = keyed(changes, self.keys) if null_keys == "reject" else changes
         last = self._aligned(last_row(apart(wanted, self.keys), [*self.keys, APART], order), partial, [APART])
-        staged = settled(last, "staged")
-
-        with_key = keyed(staged, self.keys)
-        buckets = self._touched(with_key)
-        if buckets:
-            base = self._buckets_of({b: state.held[b] for b in buckets if b in state.held})
-            self._write_buckets(merge_last(apart(base, self.keys), with_key, self.keys, order, newest=newest), version)
-        without = unkeyed(staged, self.keys)
-        has_loose = null_keys == "insert" and not without.isEmpty()
-        if has_loose:
-            self._write_loose(self._aligned(without), version)
+        has_loose = False
+        if null_keys == "reject" and not state.held:
+            base = self._buckets_of({})
+            buckets = self._write_first(merge_last(apart(base, self.keys), last, self.keys, order, newest=newest), version)
+        else:
+            staged = settled(last, "staged", CODEC)
+            with_key = keyed(staged, self.keys)
+            buckets = self._touched(with_key)
+            if buckets:
+                base = self._buckets_of({b: state.held[b] for b in buckets if b in state.held})
+                self._write_buckets(merge_last(apart(base, self.keys), with_key, self.keys, order, newest=newest), version)
+            without = unkeyed(staged, self.keys)
+            has_loose = null_keys == "insert" and not without.isEmpty()
+            if has_loose:
+                self._write_loose(self._aligned(without), version)
         self._switch(_State(
             version, state.loose + [version] * has_loose, state.held | dict.fromkeys(buckets, version),
             state.sources | ({batch[0]: batch[1]} if batch else {})))
@@ -212,7 +228,7 @@ class Table:
             self._write_loose(self._aligned(rows), version)
             self._switch(_State(version, [version], {}, state.sources))
             return
-        staged = settled(self._aligned(rows), "staged")
+        staged = settled(self._aligned(rows), "staged", CODEC)
         with_key, without = keyed(staged, self.keys), unkeyed(staged, self.keys)
         buckets = self._touched(with_key)
         if buckets:

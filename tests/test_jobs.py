@@ -4,12 +4,15 @@ import datetime as dt
 import gzip
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from sluice import session
 from sluice.operators import lookup
 from sluice.plans.jobs import IncompletePages, Jobs
+from sluice.plans.queries import QUERIES
 from sluice.schemas import CHANGE_FILES
 from sluice.sources import get_watermark, id_ranges, snapshot_path
 from sluice.sources.change_files import schema_of
@@ -406,3 +409,20 @@ def test_lookup_takes_one_id_per_key(spark):
     ids = spark.createDataFrame([(1, "a"), (1, "b"), (1, None), (None, "x")], "user_id bigint, sis_user_id string")
     rows = spark.createDataFrame([(1,), (2,), (None,)], "user_id bigint")
     assert sorted(map(tuple, lookup(rows, ids, "user_id").collect()), key=repr) == [(1, "b"), (2, None), (None, None)]
+
+
+def test_catalogue_writes_little_more_than_its_texts(spark, folder, monkeypatch):
+    """Landed pages, their parsed copy and both tables: less than twice the texts, which are in each page twice."""
+    rnd = random.Random(3)
+    words = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(3, 9))) for _ in range(3000)]
+    texts = ["\n".join(" ".join(rnd.choices(words, k=12)) for _ in range(30)) for _ in range(2100)]
+    spark.createDataFrame([(i, t, "nn", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, n_chars long") \
+        .coalesce(1).write.parquet(f"{folder}/sf/documents.parquet")
+    monkeypatch.setattr(session, "shared_dir", lambda spark: f"{folder}/shared")
+    found = QUERIES["job_course_catalogue"](spark, f"{folder}/sf").collect()
+    assert {r.unik_kode: json.loads(r.emneansvarlege) for r in found} == {
+        f"D{i}_1": [[line, "nn", None] for line in t.split("\n")] for i, t in enumerate(texts)}
+    files = [os.path.join(d, f) for d, _, names in os.walk(f"{folder}/shared") for f in names if not f.startswith((".", "_"))]
+    assert sum(map(os.path.getsize, files)) < 2 * sum(map(len, texts))
+    # no file is more than a task's work
+    assert len([f for f in files if "/landed/" in f]) == 2

@@ -5,7 +5,7 @@ from glob import glob
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.sources import Table, hash_buckets, id_ranges
+from sluice.sources import Table, hash_buckets, id_ranges, tables
 
 SCHEMA = "k bigint, v string, w string"
 
@@ -48,6 +48,27 @@ def test_upsert_replay_and_null_keys(spark, folder):
     assert rows_of(t) == sorted(state, key=repr)
 
 
+def test_first_batch_is_written_once(spark, folder, monkeypatch):
+    """Rows that all have a key and nothing to merge with: no staged copy."""
+    staged = []
+    keep = tables.settled
+    monkeypatch.setattr(tables, "settled", lambda df, name, *more: staged.append(name) or keep(df, name, *more))
+    t = Table(spark, folder, SCHEMA, ["k"], buckets=2)
+    batch = [(1, "a", "x", 1), (1, "b", "y", 2), (2, "c", None, 1), (2, "c", None, 1), (None, "n", "n", 1)]
+    t.upsert(frame(spark, batch), ["o"], null_keys="reject")
+    assert not staged and rows_of(t) == [(1, "b", "y"), (2, "c", None)]
+    t.upsert(frame(spark, [(2, "d", "z", 1), (None, "m", "m", 1)]), ["o"])
+    assert staged == ["staged"] and rows_of(t) == sorted([(1, "b", "y"), (2, "d", "z"), (None, "m", "m")], key=repr)
+    # an empty batch, then one with some of the columns
+    part = Table(spark, folder + "/part", SCHEMA, ["k"], buckets=2)
+    rows = "k bigint, v string"
+    part.upsert(spark.createDataFrame([(None, "n")], rows), batch=("s", 1), null_keys="reject")
+    assert rows_of(part) == []
+    part.upsert(spark.createDataFrame([(None, "n"), (7, "p")], rows), null_keys="reject")
+    assert rows_of(part) == [(7, "p", None)] and staged == ["staged"]
+    assert part.superseded().count() == 0
+
+
 def test_partial_columns(spark, folder):
     t = Table(spark, folder, SCHEMA, ["k"], buckets=2)
     t.upsert(frame(spark, [(1, "a", "x", 1), (2, "b", "y", 1)]), ["o"])
